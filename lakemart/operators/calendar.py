@@ -34,10 +34,10 @@ def date_ids(df: DataFrame, dim_date: DataFrame, columns: Mapping[str, str]) ->
         if source not in df.columns:
             df = df.withColumn(out, F.lit(0).cast("int"))
             continue
-        side = days.select(F.col("date_actual").alias("_day"), F.col("date_id").alias("_id"))
+        side = days.select(F.col("date_actual").alias("__day"), F.col("date_id").alias("__found_id"))
         keep = [f"`{c}`" for c in df.columns if c != out]
-        df = df.join(F.broadcast(side), F.to_date(F.col(f"`{source}`")) == F.col("_day"), "left").select(
-            *keep, F.coalesce("_id", F.lit(0)).alias(out)
+        df = df.join(F.broadcast(side), F.to_date(F.col(f"`{source}`")) == F.col("__day"), "left").select(
+            *keep, F.coalesce("__found_id", F.lit(0)).alias(out)
         )
     return df
 
@@ -63,9 +63,9 @@ def status_ids(
     if source not in df.columns:
         return df.withColumn(out, F.lit(0).cast("bigint"))
     side = dim_status.where((F.col("status_domain") == domain) & F.col("current_flag")).select(
-        F.col("status_nk").alias("_status"), F.col("status_id").cast("bigint").alias("_id")
+        F.col("status_nk").alias("__status"), F.col("status_id").cast("bigint").alias("__found_id")
     )
     keep = [f"`{c}`" for c in df.columns if c != out]
-    return df.join(side, status_key(F.col(f"`{source}`")) == F.col("_status"), "left").select(
-        *keep, F.coalesce("_id", F.lit(0).cast("bigint")).alias(out)
+    return df.join(side, status_key(F.col(f"`{source}`")) == F.col("__status"), "left").select(
+        *keep, F.coalesce("__found_id", F.lit(0).cast("bigint")).alias(out)
     )

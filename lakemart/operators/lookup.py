@@ -26,11 +26,11 @@ def attach(
     Existing columns of the same new name are replaced.
     """
     side = other.select(
-        F.col(nk).alias("_nk"), *[F.col(c).alias(f"_take_{name}") for c, name in take.items()]
+        F.col(nk).alias("__nk"), *[F.col(c).alias(f"__take_{name}") for c, name in take.items()]
     )
     keep = [F.col(f"`{c}`") for c in df.columns if c not in take.values()]
-    taken = [F.col(f"_take_{name}").alias(name) for name in take.values()]
-    return df.join(side, F.col(f"`{fk}`") == F.col("_nk"), "left").select(*keep, *taken)
+    taken = [F.col(f"__take_{name}").alias(name) for name in take.values()]
+    return df.join(side, F.col(f"`{fk}`") == F.col("__nk"), "left").select(*keep, *taken)
 
 
 def lookup_sk(
