@@ -101,3 +101,19 @@ def moment_sql(column: str) -> str:
 def list_text(expr: str) -> str:
     """DuckDB text of a list column, '' for an empty or missing one."""
     return f"coalesce(array_to_string({expr}, ','), '')"
+
+
+def sk_dim(df: DataFrame, source: str, key: str) -> DataFrame:
+    """``df`` as a dimension: ``id`` and ``<source>_sk`` = id + 1."""
+    return df.withColumn("id", F.col(key)).withColumn(f"{source}_sk", F.col(key).cast("bigint") + 1)
+
+
+def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers, current when they are not in debt."""
+    return sk_dim(read(spark, sf_dir, "customer"), "customer", "c_custkey").withColumn(
+        "current_flag", F.col("c_acctbal") > 0
+    )
+
+
+def nation_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sk_dim(read(spark, sf_dir, "nation"), "nation", "n_nationkey")
