@@ -1,0 +1,19 @@
+"""Registered queries over the given tables and the SQL that checks them."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lakemart.checks import history, loads, lookups, orders, star
+
+_MODULES = (orders, history, lookups, star, loads)
+
+
+def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+
+
+def all_sql() -> dict[str, str]:
+    return {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
