@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lakemart.functions.columns import all_of
 from lakemart.operators.keys import position_in_group
+from lakemart.operators.lookup import fits_broadcast
 
 
 def members_per_parent(
@@ -45,10 +46,10 @@ def linked_members(
     links: DataFrame, parent: str, fk: str, dim: DataFrame, sk: str, out: str
 ) -> DataFrame:
     """Members reached through a link table; parents with none known are absent."""
-    pairs = dim.select(F.col("id").alias("_id"), F.col(sk).cast("bigint").alias("_sk"))
+    pairs = dim.select(F.col("id").alias("__id"), F.col(sk).cast("bigint").alias("__sk"))
     # Distinct links first: a hot parent or member then costs one row per pair.
-    resolved = links.select(parent, fk).distinct().join(pairs, F.col(fk) == F.col("_id"), "inner")
-    return members_per_parent(resolved, parent, "_sk", out)
+    resolved = links.select(parent, fk).distinct().join(pairs, F.col(fk) == F.col("__id"), "inner")
+    return members_per_parent(resolved, parent, "__sk", out)
 
 
 def bridge_rows(
@@ -74,18 +75,26 @@ def role_array(
 ) -> DataFrame:
     """Several foreign keys of one row to one dimension, as an array of its keys.
 
-    Role order is kept, misses are removed, repeats stay. The ids are unpivoted
-    so the dimension is joined once, however many roles there are. Returns
-    ``keys`` and ``out``; ``keys`` must identify a row.
+    Role order is kept, misses are removed, repeats stay. ``keys`` must identify
+    a row; returns ``keys`` and ``out``. A dimension within the broadcast limit
+    is looked up role by role, without any shuffle of ``df``. A larger one is
+    joined once: the ids are unpivoted, however many roles there are.
     """
+    pairs = dim.select(F.col("id").cast("bigint").alias("__id"), F.col(sk).cast("bigint").alias("__sk"))
+    if fits_broadcast(pairs):
+        found = df.select(*keys, *[F.col(c).cast("bigint").alias(f"__fk{i}") for i, c in enumerate(role_columns)])
+        for i in range(len(role_columns)):
+            side = pairs.select(F.col("__id").alias("__key"), F.col("__sk").alias(f"__sk{i}"))
+            found = found.join(side, F.col(f"__fk{i}") == F.col("__key"), "left").drop("__key", f"__fk{i}")
+        members = F.array_compact(F.array(*[F.col(f"__sk{i}") for i in range(len(role_columns))]))
+        return found.select(*keys, members.alias(out))
     ids = F.array(*[F.col(c).cast("bigint") for c in role_columns])
-    unpivoted = df.select(*keys, F.posexplode(ids).alias("_role", "_fk"))
-    pairs = dim.select(F.col("id").cast("bigint").alias("_id"), F.col(sk).cast("bigint").alias("_sk"))
-    found = F.when(F.col("_sk").isNotNull(), F.struct("_role", "_sk"))
+    unpivoted = df.select(*keys, F.posexplode(ids).alias("__role", "__fk"))
+    hit = F.when(F.col("__sk").isNotNull(), F.struct("__role", "__sk"))
     return (
-        unpivoted.join(pairs, F.col("_fk") == F.col("_id"), "left")
+        unpivoted.join(pairs, F.col("__fk") == F.col("__id"), "left")
         .groupBy(*keys)
-        .agg(F.transform(F.sort_array(F.collect_list(found)), lambda x: x["_sk"]).alias(out))
+        .agg(F.transform(F.sort_array(F.collect_list(hit)), lambda x: x["__sk"]).alias(out))
     )
 
 

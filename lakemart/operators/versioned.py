@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.operators import compare
@@ -28,50 +28,54 @@ def versioned_upsert(
     ``incoming`` must hold one row per key and is rejected otherwise.
     """
     keys = [k for k in keys if k in incoming.columns]
-    rows = incoming.drop(pk)
-    if keys and not compare.duplicate_keys(rows, keys).isEmpty():
-        raise ValueError(f"versioned upsert needs one row per {keys}")
-    columns = [pk, *rows.columns, FLAG]
+    names = [c for c in incoming.columns if c != pk]
+    columns = [pk, *names, FLAG]
+    shared = keys if fact is None else [k for k in keys if k in fact.columns]
+    if not shared:
+        # Nothing to match on: everything is new.
+        last, kept = (0, None) if fact is None else (max_key(fact, pk), fact)
+        added = dense_keys(incoming.drop(pk), names, pk, last).withColumn(FLAG, F.lit(True)).select(*columns)
+        return added if kept is None else kept.select(*columns).unionByName(added)
+
+    rows = compare.one_row_per_key(incoming.drop(pk), shared)
     if fact is None:
-        return dense_keys(rows, keys, pk).withColumn(FLAG, F.lit(True)).select(*columns)
+        fresh = materialize(rows, "versioned")
+        require_unique(fresh, shared)
+        return dense_keys(fresh.drop("_repeated"), shared, pk).withColumn(FLAG, F.lit(True)).select(*columns)
 
-    shared = [k for k in keys if k in fact.columns]
     live = F.coalesce(F.col(FLAG), F.lit(False))
-    if not shared:
-        fresh = rows
-        kept = fact
-    else:
-        matched = compare.match_rows(
-            fact.where(live), rows, shared, [c for c in compare_on if c in fact.columns]
-        )
-        kind = F.col("kind")
-        old = F.when(
-            kind != compare.ONLY_RIGHT,
-            F.struct(
-                F.lit(False).alias("_new"),
-                F.col("l")[pk].alias(pk),
-                *[F.col("l")[c].alias(c) for c in rows.columns],
-                (kind != compare.DIFFERS).alias(FLAG),
-            ),
-        )
-        new = F.when(
-            kind.isin(compare.ONLY_RIGHT, compare.DIFFERS),
-            F.struct(
-                F.lit(True).alias("_new"),
-                F.lit(None).cast("bigint").alias(pk),
-                *[F.col("r")[c].alias(c) for c in rows.columns],
-                F.lit(True).alias(FLAG),
-            ),
-        )
-        changes = materialize(
-            matched.select(F.explode(F.array_compact(F.array(old, new))).alias("_r")).select("_r.*"),
-            "versioned",
-            partition_by="_new",
+    matched = compare.match_rows(
+        fact.where(live), rows, shared, [c for c in compare_on if c in fact.columns]
+    )
+    kind = F.col("kind")
+    repeated = F.coalesce(F.col("r")["_repeated"], F.lit(False))
+
+    def row(new: bool, side: str, key: Column, flag: Column) -> Column:
+        return F.struct(
+            F.lit(new).alias("_new"),
+            repeated.alias("_repeated"),
+            key.cast("bigint").alias(pk),
+            *[F.col(side)[c].alias(c) for c in names],
+            flag.alias(FLAG),
         )
-        kept = fact.where(~live).select(*columns).unionByName(changes.where("NOT _new").select(*columns))
-        fresh = changes.where("_new").select(*rows.columns)
-    added = dense_keys(fresh, shared or rows.columns, pk, offset=max_key(fact, pk))
-    return kept.select(*columns).unionByName(added.withColumn(FLAG, F.lit(True)).select(*columns))
+
+    old = F.when(kind != compare.ONLY_RIGHT, row(False, "l", F.col("l")[pk], kind != compare.DIFFERS))
+    new = F.when(kind.isin(compare.ONLY_RIGHT, compare.DIFFERS), row(True, "r", F.lit(None), F.lit(True)))
+    changes = materialize(
+        matched.select(F.explode(F.array_compact(F.array(old, new))).alias("_r")).select("_r.*"),
+        "versioned",
+        partition_by="_new",
+    )
+    require_unique(changes, shared)
+    kept = fact.where(~live).select(*columns).unionByName(changes.where("NOT _new").select(*columns))
+    added = dense_keys(changes.where("_new").select(*names), shared, pk, offset=max_key(fact, pk))
+    return kept.unionByName(added.withColumn(FLAG, F.lit(True)).select(*columns))
+
+
+def require_unique(rows: DataFrame, keys: Sequence[str]) -> None:
+    """Raise when a written set of rows has repeated keys."""
+    if not rows.where("_repeated").isEmpty():
+        raise ValueError(f"versioned upsert needs one row per {list(keys)}")
 
 
 def needs_full_load(existing: DataFrame | None, pk: str) -> bool:

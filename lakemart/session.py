@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -22,7 +23,14 @@ DEFAULTS = {
 }
 
 _local_root: str | None = None
-_open_scopes: list[list[str]] = []
+# Per thread: loads of several tables run side by side.
+_scopes = threading.local()
+
+
+def _open_scopes() -> list[list[str]]:
+    if not hasattr(_scopes, "stack"):
+        _scopes.stack = []
+    return _scopes.stack
 
 
 def build_session(app: str = "lakemart", master: str | None = None, **conf: str) -> SparkSession:
@@ -54,8 +62,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     path = f"{scratch_root(spark)}/lakemart/{label}-{uuid.uuid4().hex}"
-    if _open_scopes:
-        _open_scopes[-1].append(path)
+    if _open_scopes():
+        _open_scopes()[-1].append(path)
     return path
 
 
@@ -86,9 +94,9 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     Wrap a load and its final write; results that are still lazy must be
     consumed inside.
     """
-    _open_scopes.append([])
+    _open_scopes().append([])
     try:
         yield
     finally:
-        for path in _open_scopes.pop():
+        for path in _open_scopes().pop():
             delete_path(spark, path)

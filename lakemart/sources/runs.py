@@ -96,8 +96,7 @@ class DimensionTable(RunTable):
     never rewrites history.
     """
 
-    def _live(self, with_current: bool, with_history: bool) -> DataFrame:
-        last = self.last()
+    def _rows(self, last, with_current: bool, with_history: bool) -> DataFrame:
         names = self.schema.names
         if last is None:
             return self.spark.createDataFrame([], self.schema)
@@ -110,13 +109,13 @@ class DimensionTable(RunTable):
         return rows.unionByName(self.part("new").where(run == last["run"]).select(*names))
 
     def read(self) -> DataFrame:
-        return self._live(True, True)
+        return self._rows(self.last(), True, True)
 
     def current(self) -> DataFrame:
-        return self._live(True, False)
+        return self._rows(self.last(), True, False)
 
     def history(self) -> DataFrame:
-        return self._live(False, True)
+        return self._rows(self.last(), False, True)
 
     def load(
         self,
@@ -138,14 +137,14 @@ class DimensionTable(RunTable):
         run = (last["run"] if last else 0) + 1
         last_key = last["last_key"] if last else 0
         rows = stage if trusted_keys else compare.one_row_per_key(stage, [dim.nk])
-        changes = scd2.scd2_changes(self.current(), rows, dim, load_ts, close_missing, delete_flag)
+        changes = scd2.scd2_changes(self._rows(last, True, False), rows, dim, load_ts, close_missing, delete_flag)
         self.write(changes, "rows", run, partition_by="_kind")
         written = self.part("rows", "run bigint, _kind string").where(
             (F.col("run") == run) & (F.col("_kind") == scd2.INSERT)
         )
         with scratch_scope(self.spark):
             inserts = written.select(*self.schema.names)
-            self.write(scd2.number_inserts(inserts, self.history(), dim, last_key), "new", run)
+            self.write(scd2.number_inserts(inserts, self._rows(last, False, True), dim, last_key), "new", run)
         new = self.part("new").where(F.col("run") == run)
         applied = batch_id if batch_id is not None else (last["batch_id"] if last else None)
         self.publish(run, 1, load_ts, applied, max(last_key, max_key(new, dim.sk)))
