@@ -21,7 +21,7 @@ def current(df: DataFrame) -> DataFrame:
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Catalyst's size estimate of ``df`` is below the session's broadcast limit."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return size <= limit
 
 
