@@ -90,11 +90,12 @@ def role_array(
         return found.select(*keys, members.alias(out))
     ids = F.array(*[F.col(c).cast("bigint") for c in role_columns])
     unpivoted = df.select(*keys, F.posexplode(ids).alias("__role", "__fk"))
-    hit = F.when(F.col("__sk").isNotNull(), F.struct("__role", "__sk"))
+    # One number per role keeps this a plain hash aggregate; ids are unique.
+    per_role = [F.max(F.when(F.col("__role") == i, F.col("__sk"))) for i in range(len(role_columns))]
     return (
         unpivoted.join(pairs, F.col("__fk") == F.col("__id"), "left")
         .groupBy(*keys)
-        .agg(F.transform(F.sort_array(F.collect_list(hit)), lambda x: x["__sk"]).alias(out))
+        .agg(F.array_compact(F.array(*per_role)).alias(out))
     )
 
 

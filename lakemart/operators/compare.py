@@ -13,20 +13,33 @@ ONLY_LEFT, ONLY_RIGHT, SAME, DIFFERS = "only_left", "only_right", "same", "diffe
 
 
 def match_rows(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], compare: Sequence[str]
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    compare: Sequence[str],
+    null_keys: bool = False,
 ) -> DataFrame:
     """Full outer join on ``keys``: columns ``l`` and ``r`` (whole rows) and ``kind``.
 
     Whether a side matched is told by a marker column of its own, so NULL keys
     count as unmatched rows. ``compare`` is null-safe, with NaN equal to NaN.
+    AQE cannot split a full outer join, so keys should be unique per side;
+    ``null_keys`` spreads rows with a NULL key, which match nothing, over all
+    tasks instead of one.
     """
-    l_side = left.select(
-        *[F.col(k).alias(f"_l_{k}") for k in keys], F.struct(*left.columns).alias("l"), F.lit(True).alias("_in_l")
-    )
-    r_side = right.select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys], F.struct(*right.columns).alias("r"), F.lit(True).alias("_in_r")
-    )
-    on = all_of(F.col(f"_l_{k}") == F.col(f"_r_{k}") for k in keys)
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        known = all_of(F.col(k).isNotNull() for k in keys)
+        salt = [F.when(known, F.lit(0)).otherwise(F.xxhash64(*df.columns)).alias(f"_{name}_salt")] if null_keys else []
+        return df.select(
+            *[F.col(k).alias(f"_{name}_{k}") for k in keys],
+            *salt,
+            F.struct(*df.columns).alias(name),
+            F.lit(True).alias(f"_in_{name}"),
+        )
+
+    l_side, r_side = side(left, "l"), side(right, "r")
+    on = all_of(F.col(f"_l_{k}") == F.col(f"_r_{k}") for k in [*keys, *(["salt"] if null_keys else [])])
     kind = (
         F.when(F.col("_in_r").isNull(), ONLY_LEFT)
         .when(F.col("_in_l").isNull(), ONLY_RIGHT)

@@ -106,19 +106,24 @@ def mirror_slice(df: DataFrame, pk: str, last_key=None, last_effective=None) ->
 
 
 def watermarks(slice_: DataFrame, pk: str, table: str, run_ts: str) -> DataFrame:
-    """Control row of a shipped slice: table, largest key, latest ``effective_from``.
+    """Control row of a shipped slice: table, largest key, latest ``effective_from``, rows.
 
-    A key that is not a number gives no key watermark.
+    One aggregate over two narrow columns. A key that is not a number gives no
+    key watermark.
     """
     numeric = dict(slice_.dtypes)[pk] in ("tinyint", "smallint", "int", "bigint")
     key = F.max(F.col(pk).cast("bigint")) if numeric else F.lit(None).cast("bigint")
     effective = (
         F.max("effective_from") if "effective_from" in slice_.columns else F.lit(None).cast("timestamp")
     )
-    return slice_.agg(key.alias("last_max_sk"), effective.alias("last_max_effective_from")).select(
+    marks = slice_.agg(
+        key.alias("last_max_sk"), effective.alias("last_max_effective_from"), F.count("*").alias("n_rows")
+    )
+    return marks.select(
         F.lit(table).alias("table_name"),
         "last_max_sk",
         "last_max_effective_from",
+        "n_rows",
         F.lit(run_ts).cast("timestamp").alias("last_run_ts"),
     )
 
@@ -126,7 +131,9 @@ def watermarks(slice_: DataFrame, pk: str, table: str, run_ts: str) -> DataFrame
 def merge_control(control: DataFrame, update: DataFrame) -> DataFrame:
     """Control table after ``update``: newest row per table, watermarks never fall back to NULL."""
     values = ["last_max_sk", "last_max_effective_from"]
-    both = control.unionByName(update)
+    both = control.select("table_name", *values, "last_run_ts").unionByName(
+        update.select("table_name", *values, "last_run_ts")
+    )
     return both.groupBy("table_name").agg(
         *[F.max_by(v, F.when(F.col(v).isNotNull(), F.col("last_run_ts"))).alias(v) for v in values],
         F.max("last_run_ts").alias("last_run_ts"),

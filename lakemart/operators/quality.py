@@ -20,7 +20,7 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Data
     """
     shared = [c for c in source.columns if c in target.columns and c not in keys]
     matched = compare.match_rows(
-        source.select(*keys, *shared), target.select(*keys, *shared), keys, shared
+        source.select(*keys, *shared), target.select(*keys, *shared), keys, shared, null_keys=True
     )
     kind = (
         F.when(F.col("kind") == compare.ONLY_LEFT, "missing_target")

@@ -169,7 +169,7 @@ def change_kinds(current: DataFrame, stage: DataFrame, dim: Dimension) -> DataFr
         compare.SAME: "same",
     }
     labels = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    matched = compare.match_rows(current, stage, [dim.nk], dim.business)
+    matched = compare.match_rows(current, stage, [dim.nk], dim.business, null_keys=True)
     key = F.coalesce(F.col("l")[dim.nk], F.col("r")[dim.nk])
     return matched.select(key.alias(dim.nk), labels[F.col("kind")].alias("kind"))
 

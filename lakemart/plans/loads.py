@@ -259,20 +259,17 @@ def mirror_dimension(
         projected, table.pk,
         control["last_max_sk"] if control and numeric else None,
         control["last_max_effective_from"] if control else None,
-    ).persist()
-    try:
-        marks = mirror.watermarks(slice_, table.pk, table.name, "1970-01-01").first()
-        rows = slice_.count()
-        statements = []
-        if rows:
-            jdbc.run_statements(spark, db, jdbc.create_stage(db, table))
-            jdbc.write_stage(slice_, db, table)
-            statements = jdbc.upsert_from_stage(db, table)
-        values = {c: marks[c] for c in ("last_max_sk", "last_max_effective_from")}
-        jdbc.run_statements(spark, db, [*statements, jdbc.upsert_control(db, "_mirror_control", table.name, values)])
-    finally:
-        slice_.unpersist()
-    return rows, ""
+    )
+    # Narrow pass for the watermarks and the count, then one full pass to write.
+    marks = mirror.watermarks(slice_, table.pk, table.name, "1970-01-01").first()
+    statements = []
+    if marks["n_rows"]:
+        jdbc.run_statements(spark, db, jdbc.create_stage(db, table))
+        jdbc.write_stage(slice_, db, table)
+        statements = jdbc.upsert_from_stage(db, table)
+    values = {c: marks[c] for c in ("last_max_sk", "last_max_effective_from")}
+    jdbc.run_statements(spark, db, [*statements, jdbc.upsert_control(db, "_mirror_control", table.name, values)])
+    return marks["n_rows"], ""
 
 
 def mirror_fact(

@@ -211,7 +211,11 @@ def upsert_from_stage(db: Database, table: MirrorTable) -> list[str]:
 
 
 def write_stage(df: DataFrame, db: Database, table: MirrorTable, writers: int = MAX_WRITERS) -> None:
-    """Append to the stage with a bounded number of connections."""
+    """Append to the stage with a bounded number of connections.
+
+    ``df`` should be a scan of a published table: coalescing lowers the
+    parallelism of everything up to the last shuffle.
+    """
     (
         df.coalesce(writers)
         .write.format("jdbc")

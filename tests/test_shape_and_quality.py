@@ -79,6 +79,8 @@ def test_reconcile(spark):
     target = spark.createDataFrame([(1, "a"), (2, None), (3, "x"), (5, "e")], "id int, v string")
     found = quality.reconcile(source, target, ["id"])
     assert sorted(tuple(r) for r in found.collect()) == [(3, "mismatch"), (4, "missing_target"), (5, "missing_source")]
+    nulls = source.unionByName(spark.createDataFrame([(None, "a"), (None, "a")], source.schema))
+    assert quality.reconcile(nulls, target, ["id"]).where("id IS NULL AND kind = 'missing_target'").count() == 2
     verdict = quality.reconcile_verdict(found, limit=2).first()
     assert tuple(verdict) == (1, 1, 1, True)
 
