@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chat_format, sentencepiece_codec, token_count, topk
+from lakemart.llm import chat_format, html_text, sentencepiece_codec, token_count, topk
 from lakemart.llm.common import table
 
 
@@ -77,10 +77,15 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op7_chat_format": op7_chat_format,
     "op8_exact_top_k": op8_exact_top_k,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
     "op9_token_counts": op9_token_counts,
+    "op10_html_text": op10_html_text,
 }
 ORACLES: dict[str, str] = {"op7_chat_format": _OP7_SQL, "op8_exact_top_k": _OP8_SQL}
