@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakemart.session import materialize
 
-__all__ = ["materialize", "table", "map_batches", "small", "components", "WORD_BREAK"]
+__all__ = ["materialize", "table", "map_batches", "on_workers", "small", "components", "WORD_BREAK"]
 
 #: Bytes that end a word: space and 0x09 to 0x0D.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
@@ -23,13 +24,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch]) -> DataFrame:
-    """``mapInArrow`` over one batch at a time; an empty batch gives nothing."""
+def on_workers(spark: SparkSession) -> None:
+    """Lets Python workers that share the driver's file system import this package from where it lies.
+
+    On a cluster without such a path the package is installed or sent with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
+def map_batches(
+    df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], rows: int = 10_000
+) -> DataFrame:
+    """``mapInArrow`` over at most ``rows`` rows at a time; an empty batch gives nothing."""
+    on_workers(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
+            for at in range(0, batch.num_rows, rows):
+                out = fn(batch.slice(at, rows))
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
     return df.mapInArrow(run, schema)

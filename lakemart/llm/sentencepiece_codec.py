@@ -24,8 +24,11 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import map_batches
 from lakemart.llm.pieces import SPACE, Vocabulary, chunks, merge, vocabulary
 
-#: Characters whose suffixes are sorted at a time, and chunks a worker remembers; neither changes a result.
-BLOCK_CHARS = 1 << 19
+#: New characters whose suffixes are sorted at a time, characters of text cut at a time, rows of a batch worked
+#: on at a time, and chunks a worker remembers; none changes a result.
+BLOCK_CHARS = 1 << 18
+TEXT_CHARS = 1 << 21
+ROWS = 512
 REMEMBERED = 600_000
 _DEPTH = 16
 
@@ -188,14 +191,15 @@ def _learn(words: list[str], model: str, into: dict[str, bytes]) -> None:
 def encode_texts(texts: list[str], model: str) -> list[bytes]:
     """Little-endian int32 ids of each text, as the model gives them without begin or end."""
     known = _known.setdefault(model, {})
-    if len(known) > REMEMBERED:
-        known.clear()
     out, at = [], 0
     while at < len(texts):
+        if len(known) > REMEMBERED:
+            known.clear()
         # As many texts as bring one block of new chunks; a long text is one block of its own.
-        cut, new, size, upto = [], {}, 0, at
-        while upto < len(texts) and (size < BLOCK_CHARS or upto == at):
+        cut, new, size, total, upto = [], {}, 0, 0, at
+        while upto < len(texts) and (upto == at or size < BLOCK_CHARS and total < TEXT_CHARS):
             cut.append(chunks(texts[upto]))
+            total += len(texts[upto])
             for chunk in cut[-1]:
                 if chunk not in known and chunk not in new:
                     new[chunk] = None
@@ -231,7 +235,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", out: str = "piece_id
         column = pa.array([None if t is None else next(ids) for t in texts], pa.binary())
         return pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, out])
 
-    return map_batches(rows, schema, run)
+    return map_batches(rows, schema, run, ROWS)
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "piece_ids", text: str = "text") -> DataFrame:
@@ -250,7 +254,7 @@ def decode(encoded: DataFrame, model: str, ids: str = "piece_ids", text: str = "
         kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if i != at]
         return pa.RecordBatch.from_arrays([*kept, column], [*rest, text])
 
-    return map_batches(rows, schema, run)
+    return map_batches(rows, schema, run, ROWS)
 
 
 def digest(encoded: DataFrame, model: str, key: str = "doc_id", text: str = "text", ids: str = "piece_ids") -> DataFrame:
@@ -270,5 +274,5 @@ def digest(encoded: DataFrame, model: str, key: str = "doc_id", text: str = "tex
             ["_key", "n_pieces", "ids_sha256", "round_trip"],
         )
 
-    made = map_batches(rows, f"_key {kind}, n_pieces bigint, ids_sha256 string, round_trip boolean", run)
+    made = map_batches(rows, f"_key {kind}, n_pieces bigint, ids_sha256 string, round_trip boolean", run, ROWS)
     return made.withColumnRenamed("_key", key)
