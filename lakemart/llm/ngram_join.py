@@ -58,7 +58,6 @@ def rarity(docs: DataFrame, k: int) -> np.ndarray:
         total = sum(np.frombuffer(x, "<i4").astype(np.int64) for x in table.column("counts").to_pylist())
         return pa.table({"part": table.column("part")[:1], "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
 
-    # Sums of sums: a second key keeps the rows that one task adds up bounded by the tasks of the scan.
     counted = map_batches(docs.select("_text"), "part int, counts binary", count)
     rows = counted.groupBy("part").applyInArrow(add, "part int, counts binary").collect()
     total = np.zeros(SKETCH, np.int64)
@@ -174,7 +173,7 @@ def _cells(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, nearest:
         ids, n, comp, bits, left, right = cell
         found_a, found_b = [], []
         r = np.flatnonzero(right)
-        for at in np.array_split(np.flatnonzero(left), -(-int(left.sum()) // 256)):
+        for at in np.array_split(np.flatnonzero(left), max(1, -(-int(left.sum()) // 256))):
             differ = comp[at][:, None] != comp[r][None, :]
             if not differ.any():
                 continue

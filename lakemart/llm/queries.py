@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chat_format, html_text, sentencepiece_codec, token_count, topk
+from lakemart.llm import chat_format, html_text, ngram_join, sentencepiece_codec, token_count, topk
 from lakemart.llm.common import table
 
 
@@ -15,6 +15,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = piece_model()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -82,6 +86,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_ngram_join": op3_ngram_join,
     "op7_chat_format": op7_chat_format,
     "op8_exact_top_k": op8_exact_top_k,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
