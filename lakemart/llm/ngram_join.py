@@ -32,9 +32,9 @@ LIST_COST = 6
 #: Buckets of the count sketch that orders shingles by rarity: 4 MB at any input size; it never changes a result.
 SKETCH = 1 << 20
 #: Sets of a list that one unit of work takes from either side.
-BLOCK = 1024
+BLOCK = 8192
 #: Rounds of nearest partners before the rest is verified in full.
-ROUNDS = 3
+ROUNDS = 2
 _BITS = 1024
 
 
@@ -152,12 +152,10 @@ def _cells(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, nearest:
     ``nearest``: for each set of a unit of work only the partner whose bitmap
     is nearest; else all.
     """
-    info = sets.select("id", "n", "bits")
+    posted = lists.withColumn("comp", F.col("id"))
     if labels is not None:
-        info = info.join(labels, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-    else:
-        info = info.withColumn("comp", F.col("id"))
-    posted = lists.join(info, "id")
+        known = labels.select("id", F.col("component").alias("_c"))
+        posted = lists.join(small(known), "id", "left").select("sig", "id", F.coalesce("_c", "id").alias("comp"))
     spread = posted.groupBy("sig").agg(F.count("*").alias("_n"), F.min("comp").alias("_low"), F.max("comp").alias("_high"))
     spread = spread.where("_low <> _high").select("sig", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"))
     rows = posted.join(spread, "sig")
@@ -165,35 +163,45 @@ def _cells(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, nearest:
     rows = rows.withColumn("_own", block).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     rows = rows.select(
         F.xxhash64("sig", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("cell"),
-        "id", "n", "comp", "bits", (F.col("_own") <= F.col("_other")).alias("left"), (F.col("_own") >= F.col("_other")).alias("right"),
+        "id", "comp", (F.col("_own") <= F.col("_other")).alias("left"), (F.col("_own") >= F.col("_other")).alias("right"),
     )
-    keyed = rows.repartition("cell").sortWithinPartitions("cell")
+    # The bitmaps come last, so that they go through one shuffle only.
+    keyed = rows.join(sets.select("id", "n", "bits"), "id").select("cell", "id", "n", "comp", "bits", "left", "right")
+    keyed = keyed.repartition("cell").sortWithinPartitions("cell")
 
     def pairs(cell: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         ids, n, comp, bits, left, right = cell
         found_a, found_b = [], []
         r = np.flatnonzero(right)
-        for at in np.array_split(np.flatnonzero(left), max(1, -(-int(left.sum()) // 256))):
-            differ = comp[at][:, None] != comp[r][None, :]
-            if not differ.any():
+        folded = np.bitwise_xor.reduce(bits.reshape(len(ids), -1, 4), axis=1)
+        lefts = np.flatnonzero(left)
+        for i in range(0, len(lefts), 256):
+            at = lefts[i : i + 256]
+            sizes, others = n[at][:, None], n[r][None, :]
+            # Both ways round in a cell of one block: one is enough.
+            fits = (comp[at][:, None] != comp[r][None, :]) & (~(right[at][:, None] & left[r][None, :]) | (at[:, None] < r[None, :]))
+            fits &= (sizes * 100 >= others * percent) & (others * 100 >= sizes * percent)
+            if not fits.any():
                 continue
-            x, y = np.nonzero(differ)
-            apart = np.zeros(len(x), np.int64)
-            a, b = at[x], r[y]
-            for i in range(0, len(x), 65536):
-                apart[i : i + 65536] = np.bitwise_count(bits[a[i : i + 65536]] ^ bits[b[i : i + 65536]]).sum(1)
-            total = n[a] + n[b]
-            # apart <= true difference = total - 2 * shared, and shared must reach percent * total / (100 + percent)
-            fits = apart * (100 + percent) <= total * (100 - percent)
-            fits &= np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * percent
-            found_a.append(a[fits])
-            found_b.append(b[fits])
-            if nearest and len(found_a[-1]):
-                order = np.lexsort((apart[fits], found_a[-1]))
-                a, b = found_a[-1][order], found_b[-1][order]
-                one = np.ones(len(a), bool)
-                one[1:] = a[1:] != a[:-1]
-                found_a[-1], found_b[-1] = a[one], b[one]
+            # Bits apart <= true difference = total - 2 * shared, and shared must reach percent * total / (100 + percent).
+            allowed = ((sizes + others) * (100 - percent) // (100 + percent)).astype(np.int32)
+            apart = np.zeros(fits.shape, np.uint16)
+            for w in range(folded.shape[1]):
+                apart += np.bitwise_count(folded[at, w][:, None] ^ folded[r, w][None, :])
+            x, y = np.nonzero(fits & (apart <= allowed))
+            if not len(x):
+                continue
+            a, b, most = at[x], r[y], allowed[x, y]
+            far = np.concatenate([np.bitwise_count(bits[a[j : j + 32768]] ^ bits[b[j : j + 32768]]).sum(1) for j in range(0, len(a), 32768)])
+            a, b, far = a[far <= most], b[far <= most], far[far <= most]
+            if nearest and len(a):
+                both, back = np.concatenate([a, b]), np.concatenate([b, a])
+                order = np.lexsort((np.tile(far, 2), both))
+                one = np.ones(len(both), bool)
+                one[1:] = both[order][1:] != both[order][:-1]
+                a, b = both[order][one], back[order][one]
+            found_a.append(a)
+            found_b.append(b)
         if not found_a:
             return ids[:0], ids[:0]
         a, b = ids[np.concatenate(found_a)], ids[np.concatenate(found_b)]
@@ -236,7 +244,7 @@ def _cells(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, nearest:
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of document ids whose texts' sets are similar, by the exact counts."""
     ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("_key")).distinct(), "ngram-ids")
-    texts = docs.join(small(ids), "_key", "left_semi")
+    texts = materialize(docs.join(small(ids), "_key", "left_semi"), "ngram-texts")
     one = pairs.join(texts.select(F.col("_key").alias("a"), F.col("_text").alias("_ta")), "a")
     both = one.join(texts.select(F.col("_key").alias("b"), F.col("_text").alias("_tb")), "b").select("a", "b", "_ta", "_tb")
 
