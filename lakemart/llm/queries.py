@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import chat_format, decontaminate, html_text, ngram_join, sentencepiece_codec, token_count, topk, toxicity
+from lakemart.llm import (
+    chat_format,
+    decontaminate,
+    html_text,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    sentencepiece_codec,
+    token_count,
+    topk,
+    toxicity,
+)
 from lakemart.llm.common import table
 
 
@@ -15,6 +26,15 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
 
@@ -106,6 +126,8 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_license_scan": op2_license_scan,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op3_ngram_join": op3_ngram_join,

@@ -29,7 +29,7 @@ TERMS = 2_000
 #: Words on either side of a hit that its context is read from.
 CONTEXT = 6
 THRESHOLD = 0.7
-_LEAST_PREFIX, _MOST_PREFIX, _LEAST_FUZZY = 4, 8, 5
+_LEAST_PREFIX, _MOST_PREFIX, _LEAST_FUZZY = 3, 8, 5
 
 # Signs that open or close a quotation, and words that report speech.
 QUOTES = "\"“”„«»‹›"
@@ -142,10 +142,9 @@ class Model:
         if word in self.words:
             found = (self.words[word], False)
         else:
-            for n in range(_LEAST_PREFIX, min(len(word), _MOST_PREFIX) + 1):
-                if word[:n] in self.prefixes:
-                    found = (self.prefixes[word[:n]], False)
-                    break
+            begun = [self.prefixes.get(word[:n], 0.0) for n in range(_LEAST_PREFIX, min(len(word), _MOST_PREFIX) + 1)]
+            if max(begun, default=0.0) > 0:
+                found = (max(begun), False)
             if found is None and _LEAST_FUZZY - 1 <= len(word) <= 40 and (hit := self._automaton.match(word)):
                 found = (self.words[self.fuzzy[hit[0]]] * (0.7 if hit[1] else 1.0), bool(hit[1]))
         if len(self._cache) > 400_000:
@@ -190,7 +189,7 @@ def _terms(text: str) -> set[str]:
     out = set()
     for token in set(text.lower().split()):
         word = _EDGE.sub("", token)
-        if len(word) < _LEAST_PREFIX or len(word) > 40 or not word[0].isalpha():
+        if len(word) < 4 or len(word) > 40 or not word[0].isalpha():
             continue
         out.add(word + "$")
         for n in range(_LEAST_PREFIX, min(len(word), _MOST_PREFIX) + 1):
@@ -227,14 +226,17 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
     t, c = F.col("t") + 0.5, F.col("c") + 0.5
     weight = F.log(t / (t_all - F.col("t") + 0.5)) - F.log(c / (c_all - F.col("c") + 0.5))
     sure = weight / F.sqrt(1 / t + 1 / c)
-    strong = tallied.where("t >= 4").withColumn("weight", weight).withColumn("sure", sure).where((sure > 3.3) & (F.col("c") * 5 <= F.col("t")))
+    strong = tallied.where("t >= 4").withColumn("weight", weight).withColumn("sure", sure).where((sure > 3.0) & (F.col("c") * 3 <= F.col("t")))
     kept = strong.orderBy(F.desc("sure"), "term").limit(TERMS).collect()
+    # Of nested beginnings with the same support the longest says most: it is the least likely to begin other words.
+    support = {r["term"]: r["t"] for r in kept if not r["term"].endswith("$")}
+    nested = {x[:-1] for x, t in support.items() if 20 * t >= 19 * support.get(x[:-1], math.inf)}
     words, prefixes = {}, {}
     for r in sorted(kept, key=lambda r: (len(r["term"]), r["term"])):
-        term, own = r["term"], r["c"] / r["t"]
+        term = r["term"]
         if term.endswith("$"):
             words[term[:-1]] = float(r["weight"])
-        elif not any(p in prefixes for n in range(_LEAST_PREFIX, len(term)) if (p := term[:n])) or own < 0:
+        elif term not in nested:
             prefixes[term] = float(r["weight"])
     model = Model(words=words, prefixes=prefixes)
     _choose_fuzzy(sample, model)
