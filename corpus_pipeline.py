@@ -1,24 +1,53 @@
-"""A corpus cleaned in stages; each stage's result is written and read again by the next."""
+"""A corpus cleaned in five stages; each stage's result is written and read again by the next."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemart.llm import sentencepiece_codec
+from lakemart.llm import decontaminate, line_dedup, ngram_join, sentencepiece_codec, toxicity
 from lakemart.llm.common import materialize, table
-from lakemart.llm.queries import piece_model
+from lakemart.llm.queries import piece_model, toxicity_model
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document kept, with the columns of documents."""
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier rejects go; the classifier learns outside the held-out fold."""
+    return toxicity.keep_clean(docs, toxicity_model(spark, docs, sf_dir))
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines similar to an earlier one go; a document goes if all its lines with words did. ``n_chars`` follows."""
+    kept = line_dedup.dedup_lines(docs).where(~F.coalesce("all_removed", F.lit(False)))
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", n_chars).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near copies stays."""
+    return ngram_join.keep_one(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with a benchmark item go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``piece_ids`` of every document kept, beside the columns of documents."""
     return sentencepiece_codec.encode(docs, piece_model())
 
 
-STAGES: list[tuple[str, Stage]] = [("sentencepiece", encoding)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", without_toxic),
+    ("line_dedup", without_repeated_lines),
+    ("ngram_join", without_near_copies),
+    ("decontamination", without_benchmark),
+    ("sentencepiece", encoded),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: Encoding, toxicity scores and verified overlaps have no SQL; tests/llm compares with brute force.
+#: Toxicity scores and piece encodings have no SQL; tests/llm compares with brute force.
 ORACLE_SQL = None

@@ -128,17 +128,15 @@ def _vectors(rows: DataFrame) -> DataFrame:
     return model.transform(rows.withColumn("_grams", F.concat("_words", ngrams(F.col("_words"), 2)))).drop("_grams")
 
 
-def _in_templates(found: Column, family: str | None = None) -> Column:
-    """Largest share of the paragraph's word pairs that one template (of the family) holds."""
-    pairs = F.array_distinct(ngrams(found, 2))
-    best = F.lit(0.0)
-    for name, texts in TEMPLATES.items():
-        if family is None or name == family:
-            for t in texts:
-                w = _python_words(t)
-                own = F.array(*[F.lit(f"{x} {y}") for x, y in zip(w, w[1:])])
-                best = F.greatest(best, F.size(F.array_intersect(pairs, own)) / F.greatest(F.size(pairs), F.lit(1)))
-    return best
+def _pairs(text: str) -> Column:
+    w = _python_words(text)
+    return F.array(*[F.lit(f"{x} {y}") for x, y in zip(w, w[1:])])
+
+
+def _best_share(pairs: Column, templates: Column) -> Column:
+    """Largest share of the paragraph's word pairs that one of the templates holds."""
+    most = F.array_max(F.transform(templates, lambda t: F.size(F.array_intersect(pairs, t))))
+    return most / F.greatest(F.size(pairs), F.lit(1))
 
 
 class Scanner:
@@ -169,7 +167,11 @@ def train(docs: DataFrame, key: str, text: str) -> Scanner:
     sample = docs.where(F.col(f"`{key}`").isNotNull() & F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
     sample = sample.orderBy(F.xxhash64("_key"), "_key", "_text").limit(UNKNOWN_DOCS)
     lines = sample.select("_key", F.explode(F.split("_text", "\n")).alias("_line")).select("_key", words(F.col("_line")).alias("_words"))
-    other = lines.where(F.size("_words") > 0).where(_in_templates(F.col("_words")) < LEAST_SHARED)
+    # Written before each step that reads its words again and again.
+    lines = materialize(lines.where(F.size("_words") > 0), "licence-lines")
+    lines = materialize(lines.withColumn("_pairs", F.array_distinct(ngrams(F.col("_words"), 2))), "licence-pairs")
+    every = F.array(*[_pairs(t) for texts in TEMPLATES.values() for t in texts])
+    other = lines.where(_best_share(F.col("_pairs"), every) < LEAST_SHARED)
     other = other.orderBy(F.xxhash64("_words"), "_words").limit(UNKNOWN_ROWS).select(F.lit(0.0).alias("label"), "_words", F.pmod(F.xxhash64("_words"), F.lit(4)).cast("int").alias("cut"))
     # Statements about licences that grant none, so that the unknown class has features too.
     near = spark.createDataFrame([(0.0, t) for t in _NO_GRANT], "label double, _text string")
@@ -210,14 +212,24 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", scanner: Scan
     scanner = scanner or train(docs, key, text)
     lines = docs.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("_key"), F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("line_no", "paragraph"))
     told = lines.withColumn("_words", words(F.col("paragraph"))).where(F.arrays_overlap("_words", F.array(*map(F.lit, telling_words()))))
-    p = scanner.probabilities(told)
+    told = materialize(told, "licence-told")
+    p = materialize(scanner.probabilities(told).drop("_grams"), "licence-scored")
     best = F.array_max(F.slice("_p", 2, len(TEMPLATES)))
     named = p.withColumn("probability", F.round(best, 6)).withColumn("_class", F.array_position("_p", best).cast("int") - 1)
     named = named.where((F.col("probability") >= LEAST_PROBABILITY) & (F.element_at("_p", 1) < best))
     named = named.withColumn("family", F.element_at(F.array(*map(F.lit, scanner.names)), F.col("_class") + 1))
-    shared = F.lit(0.0)
-    for family in TEMPLATES:
-        shared = F.when(F.col("family") == family, _in_templates(F.col("_words"), family)).otherwise(shared)
-    return named.withColumn("shared", F.round(shared, 6)).select(
+    named = materialize(named.withColumn("_pairs", F.array_distinct(ngrams(F.col("_words"), 2))), "licence-named")
+    own = spark_templates(docs.sparkSession)
+    compared = named.join(F.broadcast(own), "family").withColumn("shared", F.round(_best_share(F.col("_pairs"), F.col("_templates")), 6))
+    return compared.select(
         F.col("_key").alias(key), "line_no", "family", "probability", "shared", (F.col("shared") >= LEAST_SHARED).alias("confirmed"), "paragraph"
     )
+
+
+def spark_templates(spark: SparkSession) -> DataFrame:
+    """One row per family (a fixed number): its templates as arrays of word pairs."""
+    rows = []
+    for family, texts in TEMPLATES.items():
+        split = [_python_words(t) for t in texts]
+        rows.append((family, [[f"{x} {y}" for x, y in zip(w, w[1:])] for w in split]))
+    return spark.createDataFrame(rows, "family string, _templates array<array<string>>")

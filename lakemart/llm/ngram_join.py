@@ -306,3 +306,22 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def _repeated(owners: DataFrame) -> bool:
     """Whether one key stands for several sets (rows of one key with different texts)."""
     return owners.groupBy("_key").count().where("count > 1").limit(1).count() > 0
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
+    """The document with the least key of each component, all columns as they are.
+
+    Rows with a null key stay, documents without words stay; of several rows of
+    one key that have words one stays.
+    """
+    found = materialize(similar_documents(docs, key, text, k, percent), "ngram-found")
+    dropped = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
+    dropped = materialize(dropped, "ngram-dropped")
+    column = F.col(f"`{key}`").cast("long")
+    kept = docs.join(small(dropped), column == F.col("_gone"), "left_anti")
+    twice = found.where("n_shingles > 0").groupBy(F.col(key).alias("_twice")).count().where("count > 1").select("_twice")
+    twice = materialize(twice.where("_twice IS NOT NULL"), "ngram-twice")
+    if twice.limit(1).count() == 0:
+        return kept
+    once = kept.join(small(twice), column == F.col("_twice"), "left_semi").dropDuplicates([key])
+    return kept.join(small(twice), column == F.col("_twice"), "left_anti").unionByName(once)
