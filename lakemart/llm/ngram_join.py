@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import components, map_batches, materialize, small
+from lakemart.llm.common import components, map_batches, materialize, on_workers, small
 from lakemart.llm.shingles import mix, shingle_sets
 
 #: Sizes up to which the light way is weighed against the heavy one.
@@ -169,76 +169,104 @@ def _cells(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, nearest:
     keyed = rows.join(sets.select("id", "n", "bits"), "id").select("cell", "id", "n", "comp", "bits", "left", "right")
     keyed = keyed.repartition("cell").sortWithinPartitions("cell")
 
-    def pairs(cell: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        ids, n, comp, bits, left, right = cell
-        found_a, found_b = [], []
-        r = np.flatnonzero(right)
-        folded = np.bitwise_xor.reduce(bits.reshape(len(ids), -1, 4), axis=1)
-        lefts = np.flatnonzero(left)
+    def sound(a: np.ndarray, b: np.ndarray, cell: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of pairs of row numbers those that sizes and bitmaps allow, with the bits apart."""
+        _, _, n, comp, bits, _, _ = cell
+        keep = [np.zeros(0, np.int64)] * 3
+        for i in range(0, len(a), 65536):
+            x, y = a[i : i + 65536], b[i : i + 65536]
+            fits = (comp[x] != comp[y]) & (n[x] * 100 >= n[y] * percent) & (n[y] * 100 >= n[x] * percent)
+            x, y = x[fits], y[fits]
+            # Bits apart <= true difference = total - 2 * shared, and shared must reach percent * total / (100 + percent).
+            far = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+            fits = far * (100 + percent) <= (n[x] + n[y]) * (100 - percent)
+            keep = [np.concatenate(z) for z in zip(keep, (x[fits], y[fits], far[fits]))]
+        return tuple(keep)
+
+    def large(rows: np.ndarray, cell: list[np.ndarray]) -> list[tuple]:
+        """All pairs of one large unit of work, a block of left rows at a time."""
+        _, _, n, comp, bits, left, right = (c[rows] for c in cell)
+        folded = np.bitwise_xor.reduce(bits.reshape(len(rows), -1, 4), axis=1)
+        lefts, r, found = np.flatnonzero(left), np.flatnonzero(right), []
         for i in range(0, len(lefts), 256):
             at = lefts[i : i + 256]
-            sizes, others = n[at][:, None], n[r][None, :]
-            # Both ways round in a cell of one block: one is enough.
+            total = n[at][:, None] + n[r][None, :]
+            # Both ways round in a unit of one block: one is enough.
             fits = (comp[at][:, None] != comp[r][None, :]) & (~(right[at][:, None] & left[r][None, :]) | (at[:, None] < r[None, :]))
-            fits &= (sizes * 100 >= others * percent) & (others * 100 >= sizes * percent)
             if not fits.any():
                 continue
-            # Bits apart <= true difference = total - 2 * shared, and shared must reach percent * total / (100 + percent).
-            allowed = ((sizes + others) * (100 - percent) // (100 + percent)).astype(np.int32)
+            allowed = (total * (100 - percent) // (100 + percent)).astype(np.int32)
             apart = np.zeros(fits.shape, np.uint16)
             for w in range(folded.shape[1]):
                 apart += np.bitwise_count(folded[at, w][:, None] ^ folded[r, w][None, :])
             x, y = np.nonzero(fits & (apart <= allowed))
-            if not len(x):
-                continue
-            a, b, most = at[x], r[y], allowed[x, y]
-            far = np.concatenate([np.bitwise_count(bits[a[j : j + 32768]] ^ bits[b[j : j + 32768]]).sum(1) for j in range(0, len(a), 32768)])
-            a, b, far = a[far <= most], b[far <= most], far[far <= most]
-            if nearest and len(a):
-                both, back = np.concatenate([a, b]), np.concatenate([b, a])
-                order = np.lexsort((np.tile(far, 2), both))
-                one = np.ones(len(both), bool)
-                one[1:] = both[order][1:] != both[order][:-1]
-                a, b = both[order][one], back[order][one]
-            found_a.append(a)
-            found_b.append(b)
-        if not found_a:
-            return ids[:0], ids[:0]
-        a, b = ids[np.concatenate(found_a)], ids[np.concatenate(found_b)]
-        return np.minimum(a, b), np.maximum(a, b)
+            found.append(sound(rows[at[x]], rows[r[y]], cell))
+        return found
+
+    def pairs(cell: list[np.ndarray]) -> pa.RecordBatch | None:
+        """Pairs of whole units of work, one after the other in ``cell``."""
+        keys, ids = cell[0], cell[1]
+        cut = np.flatnonzero(np.append(keys[1:] != keys[:-1], True)) + 1
+        begin = np.append(0, cut[:-1])
+        size = cut - begin
+        found = []
+        for i in np.flatnonzero(size > 48):
+            found += large(np.arange(begin[i], cut[i]), cell)
+        # Small units all at once: rows that stand d apart in the same unit.
+        inside = np.repeat(np.where(size > 48, 0, cut), size)
+        at = np.flatnonzero(inside > np.arange(len(keys)) + 1)
+        for d in range(1, 48):
+            at = at[at + d < inside[at]]
+            if not len(at):
+                break
+            whole = (cell[5][at] & cell[6][at + d]) | (cell[6][at] & cell[5][at + d])
+            found.append(sound(at[whole], at[whole] + d, cell))
+        if not found:
+            return None
+        a, b, far = (np.concatenate(z) for z in zip(*found))
+        if not len(a):
+            return None
+        if nearest:
+            both, back = np.concatenate([ids[a], ids[b]]), np.concatenate([ids[b], ids[a]])
+            order = np.lexsort((np.tile(far, 2), both))
+            one = np.ones(len(both), bool)
+            one[1:] = both[order][1:] != both[order][:-1]
+            x, y = both[order][one], back[order][one]
+            n = np.zeros((2, len(x)), np.int64)
+        else:
+            x, y, n = ids[a], ids[b], np.stack([cell[2][a], cell[2][b]])
+        swap = x > y
+        rows = np.stack([np.where(swap, y, x), np.where(swap, x, y), np.where(swap, n[1], n[0]), np.where(swap, n[0], n[1])], axis=1)
+        rows, times = np.unique(rows, axis=0, return_counts=True)
+        return pa.RecordBatch.from_arrays([*map(pa.array, rows.T), pa.array(times.astype(np.int64))], ["a", "b", "na", "nb", "times"])
 
     def run(batches):
-        held: list = []
-        key = None
-
-        def done() -> pa.RecordBatch | None:
-            cell = [np.concatenate(x) for x in zip(*held)]
-            held.clear()
-            if len(cell[0]) < 2:
-                return None
-            a, b = pairs(cell)
-            both = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"]) if len(both) else None
-
+        held: list[np.ndarray] | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cells = batch.column(0).to_numpy()
-            bits = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, _BITS // 64)
             columns = [
-                batch.column(1).to_numpy(), batch.column(2).to_numpy().astype(np.int64), batch.column(3).to_numpy(), bits,
+                batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().astype(np.int64), batch.column(3).to_numpy(),
+                np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, _BITS // 64),
                 batch.column(5).to_numpy(zero_copy_only=False), batch.column(6).to_numpy(zero_copy_only=False),
             ]
-            cut = [0, *(np.flatnonzero(cells[1:] != cells[:-1]) + 1).tolist(), len(cells)]
-            for i, j in zip(cut, cut[1:]):
-                if key is not None and cells[i] != key and held and (out := done()):
-                    yield out
-                key = cells[i]
-                held.append([c[i:j] for c in columns])
-        if held and (out := done()):
+            held = columns if held is None else [np.concatenate(x) for x in zip(held, columns)]
+            last = int(np.searchsorted(held[0], held[0][-1]))  # the last unit may go on in the next batch
+            if last and (out := pairs([c[:last] for c in held])):
+                yield out
+            held = [c[last:] for c in held]
+        if held is not None and (out := pairs(held)):
             yield out
 
-    return keyed.mapInArrow(run, "a bigint, b bigint").distinct()
+    on_workers(keyed.sparkSession)
+    met = keyed.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, times bigint")
+    if nearest:
+        return met.select("a", "b").distinct()
+    # Shared shingles = those in both prefixes (one list each) + at most what follows the prefix of either.
+    shared = met.groupBy("a", "b", "na", "nb").agg(F.sum("times").alias("times"))
+    rest = F.ceil(F.greatest("na", "nb") * percent / 100 - 1e-9) - 1
+    enough = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent) - 1e-9) - rest
+    return shared.where((F.least("na", "nb") <= LIGHT_MOST) | (F.col("times") >= enough)).select("a", "b")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
