@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.session import materialize
 
@@ -37,18 +38,28 @@ def on_workers(spark: SparkSession) -> None:
 
 
 def map_batches(
-    df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], rows: int = 10_000
+    df: DataFrame,
+    schema: str | T.StructType,
+    fn: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch],
+    rows: int = 10_000,
 ) -> DataFrame:
-    """``mapInArrow`` over at most ``rows`` rows at a time; an empty batch gives nothing."""
+    """``mapInArrow`` over at most ``rows`` rows at a time; an empty batch gives nothing.
+
+    ``fn`` finds columns by position. Names with dots, which ``mapInArrow``
+    cannot take, are replaced on the way in and put back on the way out.
+    """
     on_workers(df.sparkSession)
+    made = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    safe = [f"_{i}" for i in range(len(made))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
-                out = fn(batch.slice(at, rows))
+                out = fn(batch.slice(at, rows)).rename_columns(safe)
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
-    return df.mapInArrow(run, schema)
+    kinds = T.StructType([T.StructField(n, f.dataType, True) for n, f in zip(safe, made)])
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))]).mapInArrow(run, kinds).toDF(*made.names)
 
 
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:

@@ -5,8 +5,9 @@ occur in toxic documents far more than in others. Words of a document are run
 through Levenshtein automata of the terms, intersected with the trie of the
 lexicon: states are sets of (trie node, edits) and are built as words need
 them. Each hit is weighed by its window: inside quotation marks or beside a
-word of reporting it counts as quoted. A logistic regression over the sums of
-plain, misspelled and quoted hits gives the score.
+word of reporting it counts as quoted. A misspelled term counts less than the
+term. A logistic regression over the sums of plain and quoted hits gives the
+score.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ TERMS = 2_000
 #: Words on either side of a hit that its context is read from.
 CONTEXT = 6
 THRESHOLD = 0.7
-_LEAST_PREFIX, _MOST_PREFIX, _LEAST_FUZZY = 3, 8, 5
+_LEAST_PREFIX, _MOST_PREFIX, _LEAST_FUZZY, _MISSPELLED = 3, 8, 5, 0.7
 
 # Signs that open or close a quotation, and words that report speech.
 QUOTES = "\"“”„«»‹›"
@@ -124,47 +125,47 @@ class Model:
     words: dict[str, float] = field(default_factory=dict)
     prefixes: dict[str, float] = field(default_factory=dict)
     fuzzy: list[str] = field(default_factory=list)
-    weights: list[float] = field(default_factory=lambda: [-2.0, 0.0, 0.0, 0.0])
+    weights: list[float] = field(default_factory=lambda: [-2.0, 0.0, 0.0])
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
     def _ready(self):
         if "_cache" not in self.__dict__:
-            self._cache: dict[str, tuple[float, bool] | None] = {}
+            self._cache: dict[str, float | None] = {}
             self._automaton = Automaton({w: i for i, w in enumerate(self.fuzzy)})
         return self._cache
 
-    def _look(self, token: str) -> tuple[float, bool] | None:
-        """(weight, misspelled) of a token, or None."""
+    def _look(self, token: str) -> float | None:
+        """The weight of a token, less if it is misspelled, or None."""
         word = _EDGE.sub("", token)
         found = None
         if word in self.words:
-            found = (self.words[word], False)
+            found = self.words[word]
         else:
             begun = [self.prefixes.get(word[:n], 0.0) for n in range(_LEAST_PREFIX, min(len(word), _MOST_PREFIX) + 1)]
             if max(begun, default=0.0) > 0:
-                found = (max(begun), False)
+                found = max(begun)
             if found is None and _LEAST_FUZZY - 1 <= len(word) <= 40 and (hit := self._automaton.match(word)):
-                found = (self.words[self.fuzzy[hit[0]]] * (0.7 if hit[1] else 1.0), bool(hit[1]))
+                found = self.words[self.fuzzy[hit[0]]] * (_MISSPELLED if hit[1] else 1.0)
         if len(self._cache) > 400_000:
             self._cache.clear()
         if len(token) <= 64:
             self._cache[token] = found
         return found
 
-    def features(self, text: str) -> tuple[float, float, float]:
-        """Logarithms of the summed weights of plain, misspelled and quoted hits."""
+    def features(self, text: str) -> tuple[float, float]:
+        """Logarithms of the summed weights of plain and of quoted hits."""
         cache = self._ready()
         tokens = text.lower().split()
-        sums = [0.0, 0.0, 0.0]
+        sums = [0.0, 0.0]
         for i, token in enumerate(tokens):
             try:
                 hit = cache[token]
             except KeyError:
                 hit = self._look(token)
             if hit is not None:
-                sums[2 if quoted(tokens, i) else int(hit[1])] += hit[0]
+                sums[quoted(tokens, i)] += hit
         return tuple(math.log1p(s) for s in sums)
 
     def score(self, text: str | None) -> float:
@@ -213,7 +214,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
     counts = {bool(r["_toxic"]): r["count"] for r in sample.groupBy("_toxic").count().collect()}
     t_all, c_all = counts.get(True, 0), counts.get(False, 0)
     if not t_all or not c_all:
-        return Model(weights=[3.0 if t_all else -3.0, 0.0, 0.0, 0.0])
+        return Model(weights=[3.0 if t_all else -3.0, 0.0, 0.0])
 
     def tally(batch: pa.RecordBatch) -> pa.Table:
         toxic_, clean_ = Counter(), Counter()
@@ -272,13 +273,13 @@ def _fit(sample: DataFrame, model: Model, pull: float = 1.0) -> Model:
 
     def run(batch: pa.RecordBatch) -> pa.Table:
         made = [model.features(x) for x in batch.column(1).to_pylist()]
-        return pa.table([batch.column(0), *[pa.array([m[i] for m in made], pa.float64()) for i in range(3)]], ["y", "a", "b", "c"])
+        return pa.table([batch.column(0), *[pa.array([m[i] for m in made], pa.float64()) for i in range(2)]], ["y", "a", "b"])
 
-    rows = map_batches(sample, "y int, a double, b double, c double", run).groupBy("y", *[F.round(x, 2).alias(x) for x in "abc"]).count().collect()
-    x = np.array([[1.0, r["a"], r["b"], r["c"]] for r in rows])
+    rows = map_batches(sample, "y int, a double, b double", run).groupBy("y", *[F.round(x, 2).alias(x) for x in "ab"]).count().collect()
+    x = np.array([[1.0, r["a"], r["b"]] for r in rows])
     y, n = np.array([r["y"] for r in rows], float), np.array([r["count"] for r in rows], float)
-    prior = np.array([-4.0, 3.0, 2.4, 1.2])
-    hold = pull * np.array([0.01, 0.3, 1.0, 1.0])
+    prior = np.array([-4.0, 3.0, 1.2])
+    hold = pull * np.array([0.01, 0.3, 1.0])
     w = prior.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
