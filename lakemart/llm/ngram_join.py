@@ -35,6 +35,7 @@ SKETCH = 1 << 20
 BLOCK = 8192
 #: Rounds of nearest partners before the rest is verified in full.
 ROUNDS = 2
+#: Bits of a set's bitmap at least; larger sets have more, so that the bitmaps of unlike sets still differ enough.
 _BITS = 1024
 
 
@@ -78,7 +79,6 @@ def document_sets(docs: DataFrame, k: int, percent: int, levels: np.ndarray) ->
         out = {c: [] for c in ("f1", "f2", "n", "tokens", "bits")}
         for _, made, counts in shingle_sets(batch.column(1), k):
             ends = np.cumsum(counts)
-            slot = (made % np.uint64(_BITS)).astype(np.int64)
             level = levels[(made % np.uint64(SKETCH)).astype(np.int64)]
             other = mix(made + np.uint64(0x632BE59BD9B4E019))
             for i, n in enumerate(counts.tolist()):
@@ -87,7 +87,10 @@ def document_sets(docs: DataFrame, k: int, percent: int, levels: np.ndarray) ->
                 if n > LIGHT_MOST:
                     order = np.argsort(level[part], kind="stable")
                     h = h[order[: n - -(-percent * n // 100) + 1]]
-                odd = np.bincount(slot[part], minlength=_BITS) & 1
+                width = _BITS
+                while 4 * width < 3 * n:
+                    width *= 2
+                odd = np.bincount((made[part] % np.uint64(width)).astype(np.int64), minlength=width) & 1
                 out["n"].append(n)
                 out["f1"].append(np.int64(np.sum(made[part]).view(np.int64)) if n else 0)
                 out["f2"].append(np.int64(np.sum(other[part]).view(np.int64)) if n else 0)
@@ -171,8 +174,9 @@ def _cells(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, nearest:
 
     def sound(a: np.ndarray, b: np.ndarray, cell: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of pairs of row numbers those that sizes and bitmaps allow, with the bits apart."""
-        _, _, n, comp, bits, _, _ = cell
+        _, _, n, comp, bits, _, _, wide = cell
         keep = [np.zeros(0, np.int64)] * 3
+        widths = np.array([len(w) // 8 for w in wide], np.int64)
         for i in range(0, len(a), 65536):
             x, y = a[i : i + 65536], b[i : i + 65536]
             fits = (comp[x] != comp[y]) & (n[x] * 100 >= n[y] * percent) & (n[y] * 100 >= n[x] * percent)
@@ -180,12 +184,19 @@ def _cells(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, nearest:
             # Bits apart <= true difference = total - 2 * shared, and shared must reach percent * total / (100 + percent).
             far = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
             fits = far * (100 + percent) <= (n[x] + n[y]) * (100 - percent)
-            keep = [np.concatenate(z) for z in zip(keep, (x[fits], y[fits], far[fits]))]
+            x, y, far = x[fits], y[fits], far[fits]
+            words = 2 * _BITS // 64
+            while len(x) and (both := np.minimum(widths[x], widths[y]) >= words).any():
+                matrix, at = _folded(wide, widths, np.unique(np.concatenate([x[both], y[both]])), words)
+                far[both] = np.bitwise_count(matrix[at[x[both]]] ^ matrix[at[y[both]]]).sum(1, dtype=np.int64)
+                fits = far * (100 + percent) <= (n[x] + n[y]) * (100 - percent)
+                x, y, far, words = x[fits], y[fits], far[fits], 2 * words
+            keep = [np.concatenate(z) for z in zip(keep, (x, y, far))]
         return tuple(keep)
 
     def large(rows: np.ndarray, cell: list[np.ndarray]) -> list[tuple]:
         """All pairs of one large unit of work, a block of left rows at a time."""
-        _, _, n, comp, bits, left, right = (c[rows] for c in cell)
+        _, _, n, comp, bits, left, right, _ = (c[rows] for c in cell)
         folded = np.bitwise_xor.reduce(bits.reshape(len(rows), -1, 4), axis=1)
         lefts, r, found = np.flatnonzero(left), np.flatnonzero(right), []
         for i in range(0, len(lefts), 256):
@@ -247,9 +258,11 @@ def _cells(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, nearest:
                 continue
             columns = [
                 batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().astype(np.int64), batch.column(3).to_numpy(),
-                np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, _BITS // 64),
-                batch.column(5).to_numpy(zero_copy_only=False), batch.column(6).to_numpy(zero_copy_only=False),
+                None, batch.column(5).to_numpy(zero_copy_only=False), batch.column(6).to_numpy(zero_copy_only=False),
+                np.array([*batch.column(4).to_pylist(), None], object)[:-1],
             ]
+            sizes = np.array([len(w) // 8 for w in columns[7]])
+            columns[4] = _folded(columns[7], sizes, np.arange(len(sizes)), _BITS // 64)[0]
             held = columns if held is None else [np.concatenate(x) for x in zip(held, columns)]
             last = int(np.searchsorted(held[0], held[0][-1]))  # the last unit may go on in the next batch
             if last and (out := pairs([c[:last] for c in held])):
@@ -269,6 +282,18 @@ def _cells(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, nearest:
     return shared.where((F.least("na", "nb") <= LIGHT_MOST) | (F.col("times") >= enough)).select("a", "b")
 
 
+def _folded(bitmaps: np.ndarray, widths: np.ndarray, rows: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bitmaps of ``rows``, folded to ``words`` words each, and where each row stands in that matrix."""
+    out = np.zeros((len(rows), words), np.uint64)
+    for w in np.unique(widths[rows]).tolist():
+        own = np.flatnonzero(widths[rows] == w)
+        whole = np.frombuffer(b"".join(bitmaps[rows[own]].tolist()), np.uint64).reshape(len(own), -1, words)
+        out[own] = np.bitwise_xor.reduce(whole, axis=1)
+    at = np.zeros(len(bitmaps), np.int64)
+    at[rows] = np.arange(len(rows))
+    return out, at
+
+
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of document ids whose texts' sets are similar, by the exact counts."""
     ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("_key")).distinct(), "ngram-ids")
