@@ -247,6 +247,51 @@ ins AS (SELECT n.id, n.event_type, n.value,
 SELECT id, event_type, value, user_sk, seq, {_USER_SHOWN} FROM (SELECT * FROM old UNION ALL SELECT * FROM ins)"""
 
 
+def cdc_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletes of unseen users come first, their older changes later, then the rest from a new checkpoint (batch 0 again)."""
+    feed = user_feed(read(spark, sf_dir, "events"))
+    table, dim = user_dimension(spark, feed)
+    cut = F.lit(FIRST_BATCH_BEFORE).cast("timestamp_ntz")
+    changes.apply_batch(table, dim, feed.where((F.col("op") == "D") & (F.col("seq") < cut)), 0, LOAD_TIMES[0], feed_id="a")
+    changes.apply_batch(table, dim, feed.where((F.col("op") != "D") & (F.col("seq") < cut)), 1, LOAD_TIMES[1], feed_id="a")
+    changes.apply_batch(table, dim, feed.where((F.col("op") != "D") & (F.col("seq") < cut)), 0, LOAD_TIMES[2], feed_id="b")
+    return shown_user(table.read())
+
+
+CDC_ORDER_SQL = f"""WITH {_FEED}, early AS (SELECT * FROM feed WHERE seq < TIMESTAMP '{FIRST_BATCH_BEFORE}'),
+gone AS (SELECT id, max(seq) AS seq FROM early WHERE op = 'D' GROUP BY 1),
+late AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM early WHERE op <> 'D') WHERE rn = 1),
+t AS (SELECT late.id, event_type, value, row_number() OVER (ORDER BY late.id) AS user_sk, late.seq,
+  TIMESTAMP '{LOAD_TIMES[1]}' AS effective_from, TIMESTAMP '{OPEN_END}' AS effective_to, TRUE AS current_flag, CAST(1 AS BIGINT) AS version
+  FROM late LEFT JOIN gone ON late.id = gone.id WHERE gone.id IS NULL OR late.seq > gone.seq)
+SELECT id, event_type, value, user_sk, seq, {_USER_SHOWN} FROM t"""
+
+
+def scd2_load_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of a load whose stage has NULL keys, repeated keys and failed casts, with the state of their keys after it."""
+    stages = states(spark, sf_dir)
+    empty, dim = empty_dim(spark, stages["day1"])
+    table = DimensionTable(spark, scratch_path(spark, "dim_customer"), empty.schema)
+    table.load(stages["day1"], dim, LOAD_TIMES[0])
+    day1 = stages["day1"]
+    note = F.array(F.struct(F.lit("nation_id").alias("column"), F.lit("x").alias("value")))
+    none = F.array().cast("array<struct<column:string,value:string>>")
+    stage = day1.withColumn("failed_casts", F.when(F.pmod("id", F.lit(9)) == 2, note).otherwise(none))
+    twice = stage.where("id % 9 = 4")
+    nameless = stage.where("id % 9 = 5").withColumn("id", F.lit(None).cast(dict(day1.dtypes)["id"]))
+    run = table.load(stage.unionByName(twice).unionByName(nameless), dim, LOAD_TIMES[1])
+    current = table.current().select(dim.nk, "version", moment("effective_from").alias("effective_from"))
+    return table.rejects(run).groupBy("id", "reason").agg(F.count("*").alias("n_rows")).join(current, "id", "left")
+
+
+REJECTS_SQL = f"""WITH day1 AS ({DAY1}), r AS (
+SELECT CAST(NULL AS BIGINT) AS id, 'null_key' AS reason, count(*) AS n_rows FROM day1 WHERE id % 9 = 5 HAVING count(*) > 0
+UNION ALL SELECT id, 'duplicate_key', 2 FROM day1 WHERE id % 9 = 4
+UNION ALL SELECT id, 'failed_cast', 1 FROM day1 WHERE id % 9 = 2)
+SELECT id, reason, n_rows, CASE WHEN id IS NOT NULL THEN CAST(1 AS BIGINT) END AS version,
+  CASE WHEN id IS NOT NULL THEN {moment_sql(f"TIMESTAMP '{LOAD_TIMES[0]}'")} END AS effective_from FROM r"""
+
+
 def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream of files, applied by ``foreachBatch`` until none is left."""
     events = read(spark, sf_dir, "events")
@@ -302,6 +347,8 @@ QUERIES = {
     "scd2_published_runs": scd2_published_runs,
     "cdc_apply_latest": cdc_apply_latest,
     "cdc_stream": cdc_stream,
+    "cdc_out_of_order": cdc_out_of_order,
+    "scd2_load_with_rejects": scd2_load_with_rejects,
     "dense_keys": keys_from_one,
     "dense_keys_offset": keys_from_offset,
     "dense_keys_in_group": keys_in_group,
@@ -318,6 +365,8 @@ ORACLES = {
     "scd2_published_runs": loaded_sql("day1", "day2", "day1"),
     "cdc_apply_latest": CDC_SQL,
     "cdc_stream": CDC_STREAM_SQL,
+    "cdc_out_of_order": CDC_ORDER_SQL,
+    "scd2_load_with_rejects": REJECTS_SQL,
     "dense_keys": "SELECT o_orderkey, o_custkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS order_sk FROM orders",
     "dense_keys_offset": (
         "SELECT o_orderkey, customer, "

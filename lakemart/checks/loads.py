@@ -213,7 +213,21 @@ def reconcile_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 VERDICT_SQL = RECONCILE_SQL + """SELECT count(*) FILTER (WHERE kind = 'missing_target') AS missing_target,
   count(*) FILTER (WHERE kind = 'missing_source') AS missing_source, count(*) FILTER (WHERE kind = 'mismatch') AS mismatch,
-  count(*) > 200 AS suspended FROM j WHERE kind IS NOT NULL"""
+  CAST(0 AS BIGINT) AS duplicate_key, count(*) > 200 AS suspended FROM j WHERE kind IS NOT NULL"""
+
+
+def reconcile_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, whose key repeats, against themselves (no finding) and against a copy with one line number changed in value."""
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    keys = ["l_orderkey", "l_linenumber"]
+    changed = lines.withColumn("l_quantity", F.col("l_quantity") + F.when(F.col("l_linenumber") == 3, 1).otherwise(0))
+    same = quality.reconcile(lines, lines, keys).withColumn("run", F.lit("same"))
+    return same.unionByName(quality.reconcile(lines, changed, keys).withColumn("run", F.lit("changed")))
+
+
+RECONCILE_DUPLICATES_SQL = """SELECT l_orderkey, l_linenumber,
+  CASE WHEN count(*) > 1 THEN 'duplicate_key' ELSE 'mismatch' END AS kind, 'changed' AS run
+FROM lineitem WHERE l_linenumber = 3 GROUP BY 1, 2"""
 
 
 def pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,17 +325,14 @@ UNION ALL SELECT 'day', count(*) FILTER (WHERE bad_day), count(*) FILTER (WHERE
 
 
 def lob_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Large objects at the extract's limit; the digest covers all that is kept."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.length("text").alias("n_before"))
-    return quality.limit_lobs(docs, ["text"]).select(
-        "doc_id", "n_before", F.length("text").alias("n_after"), F.md5("text").alias("digest"), "text_truncated"
-    )
+    """Large objects with their size and the extract's limit as a flag; the digest covers the whole text."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.limit_lobs(docs, ["text"]).select("doc_id", F.md5("text").alias("digest"), "text_size", "text_over_limit")
 
 
 _LOB = quality.LOB_LIMIT_KB * 1024
 LOB_SQL = f"""
-SELECT doc_id, CAST(length(text) AS INTEGER) AS n_before, CAST(least(length(text), {_LOB}) AS INTEGER) AS n_after,
-  md5(substring(text, 1, {_LOB})) AS digest, length(text) > {_LOB} AS text_truncated FROM documents"""
+SELECT doc_id, md5(text) AS digest, length(text) AS text_size, length(text) > {_LOB} AS text_over_limit FROM documents"""
 
 # ---- catalogue and files -----------------------------------------------------------
 
@@ -509,13 +520,14 @@ QUERIES = {
     "drop_decisions": drop_decisions,
     "file_like_share": file_like_values,
     "reconcile_rows": reconcile_rows,
+    "reconcile_duplicates": reconcile_duplicates,
     "reconcile_verdict": reconcile_verdict,
     "pk_duplicates": pk_duplicates,
     "fk_orphans": fk_orphans,
     "reference_check": reference_check,
     "quarantine_casts": quarantine_casts,
     "cast_failures": cast_failures,
-    "lob_truncate": lob_limit,
+    "lob_flags": lob_limit,
     "sync_diff": schema_sync,
     "validate_tables": validate_tables,
     "archive_counts": archive_counts,
@@ -535,6 +547,7 @@ ORACLES = {
     "profile_columns": profile_sql() + "SELECT * FROM p",
     "drop_decisions": DECISIONS_SQL,
     "file_like_share": FILE_LIKE_SQL,
+    "reconcile_duplicates": RECONCILE_DUPLICATES_SQL,
     "reconcile_rows": RECONCILE_SQL + "SELECT * FROM j WHERE kind IS NOT NULL",
     "reconcile_verdict": VERDICT_SQL,
     "pk_duplicates": PK_SQL,
@@ -542,7 +555,7 @@ ORACLES = {
     "reference_check": REFERENCE_SQL,
     "quarantine_casts": QUARANTINE_SQL,
     "cast_failures": CAST_FAILURES_SQL,
-    "lob_truncate": LOB_SQL,
+    "lob_flags": LOB_SQL,
     "sync_diff": SYNC_SQL,
     "validate_tables": VALIDATE_SQL,
     "archive_counts": ARCHIVE_SQL,

@@ -139,10 +139,28 @@ SELECT o_orderkey, coalesce(status_id, 0) AS status_id, CAST(0 AS BIGINT) AS abs
 FROM o LEFT JOIN (SELECT * FROM known WHERE domain = 'orders' AND nk <> 'f') k ON o.nk = k.nk"""
 
 
+def status_second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Priorities of orders before 1998, then of all orders and of lines: ids given first stay."""
+    orders = read(spark, sf_dir, "orders")
+    early = orders.where(F.year("o_orderdate") < 1998).where("o_orderpriority <> '2-HIGH'")
+    first = status_dim([("orders", early, "o_orderpriority")])
+    return status_dim([("orders", orders, "o_orderpriority"), ("lines", read(spark, sf_dir, "lineitem"), "l_linestatus")], first)
+
+
+STATUS_SECOND_SQL = """WITH a AS (SELECT 'orders' AS status_domain, lower(trim(o_orderpriority)) AS status_nk FROM orders
+  WHERE year(o_orderdate) < 1998 AND o_orderpriority <> '2-HIGH' GROUP BY 2),
+first AS (SELECT row_number() OVER (ORDER BY status_domain, status_nk) AS status_id, * FROM a),
+b AS (SELECT 'orders' AS status_domain, lower(trim(o_orderpriority)) AS status_nk FROM orders GROUP BY 2
+  UNION ALL SELECT 'lines', lower(trim(l_linestatus)) FROM lineitem GROUP BY 2),
+fresh AS (SELECT b.* FROM b LEFT JOIN a USING (status_domain, status_nk) WHERE a.status_nk IS NULL)
+SELECT *, TRUE AS current_flag FROM (SELECT * FROM first UNION ALL
+  SELECT (SELECT max(status_id) FROM first) + row_number() OVER (ORDER BY status_domain, status_nk), * FROM fresh)"""
+
+
 def set_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part keys and line count per order; orders without lines get an empty set and 0."""
     orders = read(spark, sf_dir, "orders").select("o_orderkey")
-    lines = read(spark, sf_dir, "lineitem").where("l_quantity > 20").selectExpr("l_orderkey", "l_partkey + 1 AS part_sk")
+    lines = read(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_partkey + 1 AS part_sk")
     sets = bridge.members_per_parent(lines, "l_orderkey", "part_sk", "part_sks", count_out="n_lines")
     joined = attach(orders, sets, "o_orderkey", {"part_sks": "part_sks", "n_lines": "n_lines"}, nk="l_orderkey")
     return joined.select(
@@ -154,7 +172,7 @@ def set_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
 SET_BRIDGE_SQL = f"""
 SELECT o_orderkey, {list_text('sks')} AS part_sks, CAST(coalesce(n, 0) AS INTEGER) AS n_lines FROM orders
 LEFT JOIN (SELECT l_orderkey, list(DISTINCT l_partkey + 1 ORDER BY l_partkey + 1) AS sks, count(*) AS n
-  FROM lineitem WHERE l_quantity > 20 GROUP BY 1) ON o_orderkey = l_orderkey"""
+  FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey"""
 
 
 def max_child(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,9 +218,9 @@ FROM (SELECT DISTINCT l_returnflag, l_shipdate, l_orderkey FROM lineitem)"""
 
 
 def risk_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts to current suppliers over large lines; [0] where none is known."""
-    suppliers = sk_dim(read(spark, sf_dir, "supplier"), "supplier", "s_suppkey").where("s_acctbal > 0")
-    links = read(spark, sf_dir, "lineitem").where("l_quantity > 48").select("l_partkey", "l_suppkey")
+    """Parts to current suppliers; [0] where none is known (few suppliers are current)."""
+    suppliers = sk_dim(read(spark, sf_dir, "supplier"), "supplier", "s_suppkey").where("s_suppkey % 20 = 7")
+    links = read(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
     sets = bridge.linked_members(links, "l_partkey", "l_suppkey", suppliers, "supplier_sk", "sks")
     parts = attach(read(spark, sf_dir, "part").select("p_partkey"), sets, "p_partkey", {"sks": "sks"}, nk="l_partkey")
     unknown = F.array(F.lit(0).cast("bigint"))
@@ -212,7 +230,7 @@ def risk_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
 RISK_BRIDGE_SQL = """
 SELECT p_partkey, coalesce(array_to_string(sks, ','), '0') AS supplier_sks FROM part
 LEFT JOIN (SELECT l_partkey, list(DISTINCT s_suppkey + 1 ORDER BY s_suppkey + 1) AS sks
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 48 AND s_acctbal > 0 GROUP BY 1) ON p_partkey = l_partkey"""
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_suppkey % 20 = 7 GROUP BY 1) ON p_partkey = l_partkey"""
 
 ROLES = ["first_id", "second_id", "third_id", "fourth_id", "fifth_id", "sixth_id"]
 ROLE_EXPRS = [
@@ -274,6 +292,7 @@ QUERIES = {
     "date_id_out_of_calendar": dates(SHORT_CALENDAR),
     "calendar_days": calendar_days,
     "status_lookup": status_lookup,
+    "status_second_load": status_second_load,
     "bridge_set": set_bridge,
     "bridge_max_child": max_child,
     "bridge_ordered": ordered_bridge,
@@ -291,6 +310,7 @@ ORACLES = {
     "date_id_out_of_calendar": dates_sql(SHORT_CALENDAR),
     "calendar_days": CALENDAR_SQL,
     "status_lookup": STATUS_SQL,
+    "status_second_load": STATUS_SECOND_SQL,
     "bridge_set": SET_BRIDGE_SQL,
     "bridge_max_child": MAX_CHILD_SQL,
     "bridge_ordered": ORDERED_BRIDGE_SQL,

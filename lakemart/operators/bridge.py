@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from lakemart.functions.columns import all_of
 from lakemart.operators.keys import position_in_group
-from lakemart.operators.lookup import fits_broadcast
 
 
 def members_per_parent(
@@ -75,28 +74,19 @@ def role_array(
 ) -> DataFrame:
     """Several foreign keys of one row to one dimension, as an array of its keys.
 
-    Role order is kept, misses are removed, repeats stay. ``keys`` must identify
-    a row; returns ``keys`` and ``out``. A dimension within the broadcast limit
-    is looked up role by role, without any shuffle of ``df``. A larger one is
-    joined once: the ids are unpivoted, however many roles there are.
+    Role order is kept, misses are removed, repeats stay. One row of ``df``
+    gives one row, also where ``keys`` repeat; an id with several dimension
+    rows stands for the one with the largest key. Returns ``keys`` and ``out``.
+    Each role is a left join, so Catalyst and AQE choose how each is run, and a
+    hot id is split.
     """
-    pairs = dim.select(F.col("id").cast("bigint").alias("__id"), F.col(sk).cast("bigint").alias("__sk"))
-    if fits_broadcast(pairs):
-        found = df.select(*keys, *[F.col(c).cast("bigint").alias(f"__fk{i}") for i, c in enumerate(role_columns)])
-        for i in range(len(role_columns)):
-            side = pairs.select(F.col("__id").alias("__key"), F.col("__sk").alias(f"__sk{i}"))
-            found = found.join(side, F.col(f"__fk{i}") == F.col("__key"), "left").drop("__key", f"__fk{i}")
-        members = F.array_compact(F.array(*[F.col(f"__sk{i}") for i in range(len(role_columns))]))
-        return found.select(*keys, members.alias(out))
-    ids = F.array(*[F.col(c).cast("bigint") for c in role_columns])
-    unpivoted = df.select(*keys, F.posexplode(ids).alias("__role", "__fk"))
-    # One number per role keeps this a plain hash aggregate; ids are unique.
-    per_role = [F.max(F.when(F.col("__role") == i, F.col("__sk"))) for i in range(len(role_columns))]
-    return (
-        unpivoted.join(pairs, F.col("__fk") == F.col("__id"), "left")
-        .groupBy(*keys)
-        .agg(F.array_compact(F.array(*per_role)).alias(out))
-    )
+    pairs = dim.groupBy(F.col("id").cast("bigint").alias("__id")).agg(F.max(F.col(sk).cast("bigint")).alias("__sk"))
+    found = df.select(*keys, *[F.col(c).cast("bigint").alias(f"__fk{i}") for i, c in enumerate(role_columns)])
+    for i in range(len(role_columns)):
+        side = pairs.select(F.col("__id").alias("__key"), F.col("__sk").alias(f"__sk{i}"))
+        found = found.join(side, F.col(f"__fk{i}") == F.col("__key"), "left").drop("__key", f"__fk{i}")
+    members = F.array_compact(F.array(*[F.col(f"__sk{i}") for i in range(len(role_columns))]))
+    return found.select(*keys, members.alias(out))
 
 
 def max_member(children: DataFrame, parent: str, member: str, out: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.columns import day_number, status_key
-from lakemart.operators.keys import dense_keys
+from lakemart.operators.keys import dense_keys, max_key
 
 
 def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
@@ -27,8 +27,7 @@ def date_ids(df: DataFrame, dim_date: DataFrame, columns: Mapping[str, str]) ->
 
     Absent source column, null, or day outside the calendar give 0.
     """
-    # min() per day makes the day unique, so the table is at most one row per
-    # day of the DATE domain (under 3.7 million): a bounded broadcast.
+    # min() per day makes the day unique; how it is joined is Catalyst's choice.
     days = dim_date.groupBy("date_actual").agg(F.min(F.col("date_id").cast("int")).alias("date_id"))
     for source, out in columns.items():
         if source not in df.columns:
@@ -36,14 +35,18 @@ def date_ids(df: DataFrame, dim_date: DataFrame, columns: Mapping[str, str]) ->
             continue
         side = days.select(F.col("date_actual").alias("__day"), F.col("date_id").alias("__found_id"))
         keep = [f"`{c}`" for c in df.columns if c != out]
-        df = df.join(F.broadcast(side), F.to_date(F.col(f"`{source}`")) == F.col("__day"), "left").select(
+        df = df.join(side, F.to_date(F.col(f"`{source}`")) == F.col("__day"), "left").select(
             *keep, F.coalesce("__found_id", F.lit(0)).alias(out)
         )
     return df
 
 
-def status_dim(sources: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
-    """``dim_status`` from ``(domain, table, column)``: one row per distinct status."""
+def status_dim(sources: Sequence[tuple[str, DataFrame, str]], existing: DataFrame | None = None) -> DataFrame:
+    """``dim_status`` from ``(domain, table, column)``: one row per distinct status.
+
+    With the ``existing`` dimension every status in it keeps its id and its
+    row, and unseen ones are numbered on, so facts loaded earlier stay right.
+    """
     parts = [
         df.select(F.lit(domain).alias("status_domain"), status_key(F.col(column)).alias("status_nk"))
         .where(F.col("status_nk").isNotNull())
@@ -51,9 +54,14 @@ def status_dim(sources: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
         for domain, df, column in sources
     ]
     statuses = reduce(DataFrame.unionByName, parts).distinct()
-    return dense_keys(statuses, ["status_domain", "status_nk"], "status_id").select(
+    order, last = ["status_domain", "status_nk"], 0
+    if existing is not None:
+        statuses = statuses.join(existing.select(*order), order, "left_anti")
+        last = max_key(existing, "status_id")
+    made = dense_keys(statuses, order, "status_id", offset=last).select(
         "status_id", "status_domain", "status_nk", F.lit(True).alias("current_flag")
     )
+    return made if existing is None else existing.select(*made.columns).unionByName(made)
 
 
 def status_ids(

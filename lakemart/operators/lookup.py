@@ -18,13 +18,6 @@ def current(df: DataFrame) -> DataFrame:
     return df.where("current_flag") if "current_flag" in df.columns else df
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate of ``df`` is below the session's broadcast limit."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= limit
-
-
 def attach(
     df: DataFrame, other: DataFrame, fk: str, take: Mapping[str, str], nk: str = "id"
 ) -> DataFrame:

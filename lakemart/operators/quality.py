@@ -1,4 +1,4 @@
-"""Load validation: reconciliation, keys, references, casts, truncation."""
+"""Load validation: reconciliation, keys, references, casts, large objects."""
 
 from __future__ import annotations
 
@@ -10,26 +10,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.functions.columns import any_of
-from lakemart.operators import compare
 
 
 def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every difference as ``(keys, kind)``: missing_target, missing_source, mismatch.
-
-    All findings are kept; ``reconcile_verdict`` holds the limit.
+    """Every difference as ``(keys, kind)``: missing_target, missing_source, mismatch, duplicate_key.
+
+    Rows are compared as counted sets, so a repeated key is never paired with
+    itself: both sides are counted per (key, values) by one partial aggregate,
+    and per key what differs decides. A key with the same rows on both sides,
+    repeated or not, is no finding; one that repeats on a side and differs is
+    ``duplicate_key``. NULL keys are compared as rows: each difference is a
+    missing row. All findings are kept; ``reconcile_verdict`` holds the limit.
     """
     shared = [c for c in source.columns if c in target.columns and c not in keys]
-    matched = compare.match_rows(
-        source.select(*keys, *shared), target.select(*keys, *shared), keys, shared, null_keys=True
+    both = source.select(*keys, *shared, F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(
+        target.select(*keys, *shared, F.lit(0).alias("_s"), F.lit(1).alias("_t"))
+    )
+    counted = both.groupBy(*keys, *shared).agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t"))
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    per_key = counted.where(whole).groupBy(*keys).agg(
+        F.sum("_s").alias("_s"), F.sum("_t").alias("_t"), F.max(F.col("_s") != F.col("_t")).alias("_differs")
     )
     kind = (
-        F.when(F.col("kind") == compare.ONLY_LEFT, "missing_target")
-        .when(F.col("kind") == compare.ONLY_RIGHT, "missing_source")
+        F.when(F.col("_t") == 0, "missing_target")
+        .when(F.col("_s") == 0, "missing_source")
+        .when((F.col("_s") > 1) | (F.col("_t") > 1), "duplicate_key")
         .otherwise("mismatch")
     )
-    return matched.where(F.col("kind") != compare.SAME).select(
-        *[F.coalesce(F.col("l")[k], F.col("r")[k]).alias(k) for k in keys], kind.alias("kind")
-    )
+    found = per_key.where("_differs").select(*keys, kind.alias("kind"))
+    loose = counted.where(~whole & (F.col("_s") != F.col("_t")))
+    side = F.when(F.col("_s") > F.col("_t"), "missing_target").otherwise("missing_source")
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs(F.col("_s") - F.col("_t"))))
+    return found.unionByName(loose.select(*keys, side.alias("kind"), each.alias("_n")).drop("_n"))
 
 
 # Findings after which a table is suspended from validation.
@@ -38,7 +50,7 @@ TABLE_FAILURE_LIMIT = 1000
 
 def reconcile_verdict(findings: DataFrame, limit: int = TABLE_FAILURE_LIMIT) -> DataFrame:
     """Finding counts of one table and whether it is over the limit."""
-    kinds = ("missing_target", "missing_source", "mismatch")
+    kinds = ("missing_target", "missing_source", "mismatch", "duplicate_key")
     return findings.agg(
         *[F.count_if(F.col("kind") == k).alias(k) for k in kinds],
         (F.count("*") > limit).alias("suspended"),
@@ -142,13 +154,14 @@ LOB_LIMIT_KB = 32
 
 
 def limit_lobs(df: DataFrame, columns: Sequence[str], limit_kb: int = LOB_LIMIT_KB) -> DataFrame:
-    """Limited large objects: cut listed columns and flag each cut value.
+    """Limited large objects: values stay whole; each listed column gains its size and an over-limit flag.
 
-    Text is measured in characters, binary in bytes.
+    ``<column>_size`` counts characters of text and bytes of binary (NULL for
+    NULL); a target with the limit can then hold or divert flagged rows.
     """
-    size = limit_kb * 1024
-    cut = {c: F.substring(F.col(f"`{c}`"), 1, size) for c in columns}
+    size = {c: F.length(f"`{c}`").cast("bigint") for c in columns}
     return df.select(
-        *[cut[c].alias(c) if c in cut else F.col(f"`{c}`") for c in df.columns],
-        *[F.coalesce(F.length(f"`{c}`") > size, F.lit(False)).alias(f"{c}_truncated") for c in columns],
+        *[F.col(f"`{c}`") for c in df.columns],
+        *[x.alias(f"{c}_size") for c, x in size.items()],
+        *[F.coalesce(x > limit_kb * 1024, F.lit(False)).alias(f"{c}_over_limit") for c, x in size.items()],
     )

@@ -79,15 +79,18 @@ def conform(
     target: T.StructType,
     source: str,
     aliases: Mapping[str, str] | None = None,
+    failed_out: str | None = None,
 ) -> DataFrame:
     """Natural key and business columns of ``target``, cast with ``try_cast``.
 
     ``aliases`` maps raw names to dimension names. Extra raw columns are left
-    out, absent ones become typed NULLs.
+    out, absent ones become typed NULLs. ``failed_out`` adds an array of
+    ``(column, value)`` with the values as given that could not be cast.
     """
     raw_name = {dim: name for name, dim in (aliases or {}).items()}
     raw_name |= {f"{c}_src": c for c in raw.columns if f"{c}_src" in target.names}
     nk = natural_key(target.names, source)
+    failed: list[Column] = []
 
     def value(name: str) -> Column:
         candidates = [raw_name.get(name, name)] + (["id"] if name == nk else [])
@@ -95,11 +98,18 @@ def conform(
         column = F.col(f"`{found}`") if found else F.lit(None)
         dtype = target[name].dataType
         if found is None or raw.schema[found].dataType != dtype:
-            column = column.try_cast(dtype) if found else column.cast(dtype)
+            given, column = column, column.try_cast(dtype) if found else column.cast(dtype)
+            if found:
+                entry = F.struct(F.lit(name).alias("column"), given.cast("string").alias("value"))
+                failed.append(F.when(given.isNotNull() & column.isNull(), entry))
         return column.alias(name)
 
     wanted = ([nk] if nk else []) + business_columns(target.names, source)
-    return raw.select(*[value(name) for name in wanted])
+    columns = [value(name) for name in wanted]
+    if failed_out:
+        none = F.array().cast("array<struct<column:string,value:string>>")
+        columns.append((F.array_compact(F.array(*failed)) if failed else none).alias(failed_out))
+    return raw.select(*columns)
 
 
 def add_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -90,7 +90,7 @@ def unseen_rows(
     incoming: DataFrame, existing: DataFrame, business_id: str, pk: str
 ) -> DataFrame:
     """Rows whose business id is not loaded yet, numbered on from the last key."""
-    fresh = incoming.drop(pk).join(existing.select(business_id).distinct(), business_id, "left_anti")
+    fresh = incoming.drop(pk).join(existing.select(business_id), business_id, "left_anti")
     ties = [c for c in fresh.columns if c != business_id]
     return continue_keys(fresh, existing, [business_id, *ties], pk).select(*incoming.columns)
 

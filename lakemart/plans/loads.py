@@ -28,17 +28,6 @@ from lakemart.sources.runs import DimensionTable, RunTable
 CURATE_WORKERS = 4
 DIMENSION_WORKERS = 2
 
-# Source tables that are never curated.
-NOT_CURATED = (
-    "accounts_useremail", "accounts_userforgetpasswordtoken", "audit_auditdgcompliancerequestbatch",
-    "auth_permission", "axes_accessattempt", "axes_accesslog", "background_task",
-    "background_task_completedtask", "company_bankingdetails", "configurable_bank",
-    "configurable_bankaccounttype", "configurable_questiontype", "configurable_questiontypeoptions",
-    "django_content_type", "django_migrations", "django_session", "manual_section",
-    "manual_section_roles", "manual_usermanual", "manual_usermanual_roles", "manual_usermanualmedia",
-    "src_announcement", "src_announcement_roles", "src_boardmemberbankdetails",
-)
-
 STATUS = "table string, n_rows bigint, status string, detail string"
 
 
@@ -103,7 +92,7 @@ def curate(spark: SparkSession, raw_root: str, curated_root: str, name: str, for
     keep, dropped, rows = profile.split_columns(raw, force_drop)
     if not keep:
         raise Skip("no_columns")
-    tables.write_curated(raw.select(*[f"`{c}`" for c in keep]), f"{curated_root}/{name}", rows)
+    tables.write_curated(raw.select(*[f"`{c}`" for c in keep]), f"{curated_root}/{name}")
     return rows, ("empty; " if rows == 0 else "") + "dropped: " + ",".join(dropped)
 
 
@@ -112,14 +101,18 @@ def curate_all(
     raw_root: str,
     curated_root: str,
     names: Sequence[str],
-    exclude: Collection[str] = NOT_CURATED,
+    exclude: Collection[str] = (),
     force_drop: Collection[str] = (),
 ) -> DataFrame:
+    """Curate many tables; those in ``exclude`` (any case) get the status ``excluded``."""
     skip = {e.lower() for e in exclude}
-    wanted = [n for n in names if n.lower() not in skip]
-    return run_tables(
-        spark, wanted, lambda n: curate(spark, raw_root, curated_root, n, force_drop), CURATE_WORKERS
-    )
+
+    def work(name: str) -> tuple[int, str]:
+        if name.lower() in skip:
+            raise Skip("excluded")
+        return curate(spark, raw_root, curated_root, name, force_drop)
+
+    return run_tables(spark, names, work, CURATE_WORKERS)
 
 
 # ---- dimensions ------------------------------------------------------------------
@@ -154,14 +147,17 @@ def load_dimension(
     """Read, clamp, conform and apply one curated table to its dimension.
 
     A column that vanished from the source keeps each key's current value, so
-    a profiling change on one night does not open a version of every row.
+    a profiling change on one night does not open a version of every row. A row
+    with a value that cannot be cast goes to the rejects, as do NULL and
+    repeated keys; the current row of its key stays. The counts by reason are
+    in the status detail.
     """
     table = dimension_table(spark, dims_root, curated_root, source)
     raw = tables.path_or_none(spark, f"{curated_root}/{source}")
     if raw is None:
         raise Skip("read_fail")
     dim = scd2.Dimension.of(table.schema.names, source, sig_hash=sig_hash)
-    stage = shape.conform(shape.clamp_ancient(raw), table.schema, source, aliases)
+    stage = shape.conform(shape.clamp_ancient(raw), table.schema, source, aliases, failed_out="failed_casts")
     present = {(aliases or {}).get(c, c) for c in raw.columns} | {f"{c}_src" for c in raw.columns}
     missing = [c for c in dim.business if c not in present]
     if missing:
@@ -170,7 +166,9 @@ def load_dimension(
             *[F.col(f"_now_{c}").alias(c) if c in missing else F.col(c) for c in stage.columns]
         )
     run = table.load(stage, dim, load_ts)
+    rejected = table.rejects(run).groupBy("reason").count().orderBy("reason").collect()
     detail = f"run {run}" + (f"; missing columns kept: {','.join(missing)}" if missing else "")
+    detail += "".join(f"; rejected {r['reason']}: {r['count']}" for r in rejected)
     return table.part("new").where(F.col("run") == run).count(), detail
 
 

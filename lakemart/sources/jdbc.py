@@ -8,6 +8,7 @@ without a database.
 
 from __future__ import annotations
 
+import datetime as dt
 import fnmatch
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -19,20 +20,20 @@ from lakemart.functions.names import safe_name
 from lakemart.operators.mirror import MirrorTable
 from lakemart.operators.quality import orphans
 
-# Rows per JDBC batch, writers per table, tables extracted at once.
+# Rows per JDBC batch, tables extracted at once.
 BATCH_ROWS = 50_000
-MAX_WRITERS = 4
 EXTRACT_WORKERS = 8
 
 
 @dataclass(frozen=True)
 class Database:
-    """Connection options; credentials come from the caller."""
+    """Connection options; credentials come from the caller, as does the number of connections it may hold."""
 
     url: str
     schema: str
     driver: str = "org.postgresql.Driver"
     properties: Mapping[str, str] = field(default_factory=dict)
+    writers: int = 4
 
     def options(self, **extra: object) -> dict[str, str]:
         base = {"url": self.url, "driver": self.driver, **self.properties}
@@ -167,8 +168,12 @@ def create_control(db: Database, control: str) -> str:
 
 
 def sql_literal(value: object) -> str:
+    """SQL text of a value; a moment is written in UTC with its offset, whatever the zones of driver and database."""
     if value is None:
         return "NULL"
+    if isinstance(value, dt.datetime):
+        # A collected timestamp without zone is in the driver's own zone, as astimezone() reads it.
+        value = value.astimezone(dt.timezone.utc).isoformat(sep=" ")
     if isinstance(value, (int, float)):
         return str(value)
     return "'" + str(value).replace("'", "''") + "'"
@@ -210,14 +215,13 @@ def upsert_from_stage(db: Database, table: MirrorTable) -> list[str]:
     ]
 
 
-def write_stage(df: DataFrame, db: Database, table: MirrorTable, writers: int = MAX_WRITERS) -> None:
-    """Append to the stage with a bounded number of connections.
+def write_stage(df: DataFrame, db: Database, table: MirrorTable) -> None:
+    """Append to the stage over ``db.writers`` connections.
 
-    ``df`` should be a scan of a published table: coalescing lowers the
-    parallelism of everything up to the last shuffle.
+    The rows are dealt out anew, so only the write runs in that many tasks.
     """
     (
-        df.coalesce(writers)
+        df.repartition(db.writers)
         .write.format("jdbc")
         .options(**db.options(dbtable=db.name(stage_name(table)), batchsize=BATCH_ROWS))
         .mode("append")

@@ -20,8 +20,9 @@ from lakemart.operators import compare
 from lakemart.operators import scd2
 from lakemart.operators.keys import max_key
 from lakemart.session import scratch_scope
+from lakemart.sources.tables import is_missing_path
 
-LOG = "run bigint, first_run bigint, load_ts string, batch_id bigint, last_key bigint"
+LOG = "run bigint, first_run bigint, load_ts string, batch_id bigint, last_key bigint, feed string"
 
 
 @dataclass(frozen=True)
@@ -35,15 +36,19 @@ class RunTable:
     def log(self) -> DataFrame:
         try:
             return self.spark.read.schema(LOG).parquet(f"{self.root}/log")
-        except AnalysisException:
+        except AnalysisException as error:
+            if not is_missing_path(error):
+                raise
             return self.spark.createDataFrame([], LOG)
 
     def last(self):
         """Newest log row, None before the first publication."""
         return self.log().orderBy(F.desc("run")).first()
 
-    def publish(self, run: int, first_run: int, load_ts: str, batch_id: int | None = None, last_key: int | None = None) -> None:
-        row = [(run, first_run, load_ts, batch_id, last_key)]
+    def publish(
+        self, run: int, first_run: int, load_ts: str, batch_id: int | None = None, last_key: int | None = None, feed: str | None = None
+    ) -> None:
+        row = [(run, first_run, load_ts, batch_id, last_key, feed)]
         self.spark.createDataFrame(row, LOG).coalesce(1).write.mode("append").parquet(f"{self.root}/log")
 
     def part(self, name: str, partitions: str = "run bigint") -> DataFrame:
@@ -51,7 +56,9 @@ class RunTable:
         try:
             schema = T.StructType([*self.schema.fields, *T.StructType.fromDDL(partitions).fields])
             return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        except AnalysisException:
+        except AnalysisException as error:
+            if not is_missing_path(error):
+                raise
             return self.spark.createDataFrame([], schema)
 
     def write(self, df: DataFrame, part: str, run: int, partition_by: str | None = None) -> None:
@@ -126,17 +133,36 @@ class DimensionTable(RunTable):
         delete_flag: str | None = None,
         batch_id: int | None = None,
         trusted_keys: bool = False,
+        feed: str | None = None,
+        seq: str | None = None,
     ) -> int:
         """Apply one stage and publish the result; returns the run number.
 
-        A ``batch_id`` at or below the last one applied changes nothing.
+        A ``batch_id`` that the same ``feed`` has applied changes nothing; other
+        feeds count for themselves. Rows with a NULL or repeated key, or with
+        entries in ``failed_casts``, are published as ``rejects`` of the run and
+        leave the current row of their key as it is. With ``seq`` the deletes of
+        the stage are kept as ``(key, seq)``, so that an older change that comes
+        later is known to be older.
         """
         last = self.last()
-        if last and batch_id is not None and last["batch_id"] is not None and batch_id <= last["batch_id"]:
-            return last["run"]
+        if last and batch_id is not None:
+            done = self.log().where(F.col("feed").eqNullSafe(F.lit(feed))).agg(F.max("batch_id")).first()[0]
+            if done is not None and batch_id <= done:
+                return last["run"]
         run = (last["run"] if last else 0) + 1
         last_key = last["last_key"] if last else 0
-        rows = stage if trusted_keys else compare.one_row_per_key(stage, [dim.nk])
+        if trusted_keys:
+            rows = stage
+        else:
+            unfit = F.size("failed_casts") > 0 if "failed_casts" in stage.columns else F.lit(False)
+            named = compare.bad_key_rows(stage, [dim.nk])
+            fit_key = stage.where(unfit & F.col(dim.nk).isNotNull()).withColumn("reason", F.lit("failed_cast"))
+            self.write(named.unionByName(fit_key), "rejects", run)
+            rows = compare.one_row_per_key(stage.withColumn("_unfit", unfit), [dim.nk])
+            rows = rows.withColumn("_repeated", F.col("_repeated") | F.col("_unfit")).drop("_unfit", "failed_casts")
+        if seq is not None and delete_flag is not None:
+            self.write(stage.where(F.col(delete_flag)).select(dim.nk, seq), "deleted", run)
         changes = scd2.scd2_changes(self._rows(last, True, False), rows, dim, load_ts, close_missing, delete_flag)
         self.write(changes, "rows", run, partition_by="_kind")
         written = self.part("rows", "run bigint, _kind string").where(
@@ -146,6 +172,23 @@ class DimensionTable(RunTable):
             inserts = written.select(*self.schema.names)
             self.write(scd2.number_inserts(inserts, self._rows(last, False, True), dim, last_key), "new", run)
         new = self.part("new").where(F.col("run") == run)
-        applied = batch_id if batch_id is not None else (last["batch_id"] if last else None)
-        self.publish(run, 1, load_ts, applied, max(last_key, max_key(new, dim.sk)))
+        self.publish(run, 1, load_ts, batch_id, max(last_key, max_key(new, dim.sk)), feed)
         return run
+
+    def rejects(self, run: int) -> DataFrame:
+        """The stage rows that a run did not apply, with their ``reason``."""
+        return self.spark.read.parquet(f"{self.root}/rejects/run={run}")
+
+    def deleted(self, nk: str, seq: str) -> DataFrame:
+        """``(key, seq)`` of every delete that a published run has seen."""
+        last = self.last()
+        schema = T.StructType([self.schema[nk], self.schema[seq], T.StructField("run", T.LongType())])
+        if last is None:
+            return self.spark.createDataFrame([], schema).select(nk, seq)
+        try:
+            rows = self.spark.read.schema(schema).parquet(f"{self.root}/deleted")
+        except AnalysisException as error:
+            if not is_missing_path(error):
+                raise
+            rows = self.spark.createDataFrame([], schema)
+        return rows.where(F.col("run") <= last["run"]).select(nk, seq)

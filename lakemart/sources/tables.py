@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Collection, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-# Row counts above which a curated table gets this many files.
-FILE_STEPS = ((1_000_000, 16), (100_000, 8))
-# Beyond the last step files are bounded by rows instead of by a fixed count.
+# Rows that a curated file holds at most, at every table size.
 ROWS_PER_FILE = 5_000_000
+# Tables that are archived at the same time.
+ARCHIVE_WORKERS = 4
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -27,10 +29,17 @@ def read_or_none(spark: SparkSession, name: str) -> DataFrame | None:
     return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
+def is_missing_path(error: AnalysisException) -> bool:
+    """Whether a read failed because there is nothing at the path; anything else is an error."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def path_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return read_parquet(spark, path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
         return None
 
 
@@ -71,26 +80,16 @@ def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
-def target_files(rows: int) -> int | None:
-    """How many files a curated table of this size gets; None leaves it as it is."""
-    for above, files in FILE_STEPS:
-        if rows > above:
-            return max(files, math.ceil(rows / ROWS_PER_FILE))
-    return None
-
-
-def write_curated(df: DataFrame, path: str, rows: int) -> None:
+def write_curated(df: DataFrame, path: str) -> None:
     """Snappy parquet, overwritten.
 
-    Tables in the range of the fixed steps are evened out over that many files.
-    Larger ones skip the extra shuffle: input tasks write their own rows, and
-    ``maxRecordsPerFile`` bounds the files.
+    One rule at every size: ``rebalance`` evens the rows out over as many tasks
+    as the session's advisory partition size asks for, small tables into one
+    file, and ``maxRecordsPerFile`` bounds the files.
     """
-    files = target_files(rows)
-    if files and files <= FILE_STEPS[0][1]:
-        df = df.repartition(files)
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance")
+        .write.mode("overwrite")
         .option("compression", "snappy")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .parquet(path)
@@ -103,19 +102,28 @@ def write_raw(df: DataFrame, path: str) -> None:
 
 
 def archive(spark: SparkSession, raw_root: str, archive_root: str, tables: Sequence[str]) -> DataFrame:
-    """Copy raw tables to an archive folder, leaving the source in place.
+    """Copy raw tables to an archive folder, several at once, leaving the source in place.
 
     Returns ``(table, n_rows, n_archived)``; no tables is a no-op with no rows.
+    All tables are tried; if any failed, one error names them after the rest is done.
     """
-    counts = None
-    for table in tables:
+
+    def one(table: str) -> DataFrame | Exception:
         source, target = f"{raw_root}/{table}", f"{archive_root}/{table}"
-        spark.read.parquet(source).write.mode("errorifexists").parquet(target)
-        row = row_counts(spark, table, source, target)
-        counts = row if counts is None else counts.unionByName(row)
-    if counts is None:
+        try:
+            spark.read.parquet(source).write.mode("errorifexists").parquet(target)
+            return row_counts(spark, table, source, target)
+        except Exception as error:  # reported below, with the table's name
+            return error
+
+    with ThreadPoolExecutor(max_workers=ARCHIVE_WORKERS) as pool:
+        done = dict(zip(tables, pool.map(inheritable_thread_target(spark)(one), tables)))
+    failed = {t: e for t, e in done.items() if isinstance(e, Exception)}
+    if failed:
+        raise RuntimeError("not archived: " + "; ".join(f"{t}: {str(e).splitlines()[0]}" for t, e in failed.items()))
+    if not done:
         return spark.createDataFrame([], "table string, n_rows bigint, n_archived bigint")
-    return counts
+    return reduce(DataFrame.unionByName, done.values())
 
 
 def row_counts(spark: SparkSession, table: str, source: str, target: str) -> DataFrame:

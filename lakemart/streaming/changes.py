@@ -41,12 +41,22 @@ def not_stale(changes: DataFrame, dimension: DataFrame, nk: str, seq: str = "seq
 
 
 def apply_batch(
-    table: DimensionTable, dim: Dimension, feed: DataFrame, batch_id: int, load_ts: str, seq: str = "seq"
+    table: DimensionTable,
+    dim: Dimension,
+    feed: DataFrame,
+    batch_id: int,
+    load_ts: str,
+    seq: str = "seq",
+    feed_id: str | None = None,
 ) -> int:
-    """Apply one micro-batch; applying the same batch again changes nothing."""
+    """Apply one micro-batch; applying the same batch of the same ``feed_id`` again changes nothing.
+
+    Deletes are remembered with their ``seq``, also those of keys not seen yet.
+    """
     with scratch_scope(table.spark):
         latest = materialize(latest_changes(feed, dim.nk, seq=seq), "changes")
-        stage = not_stale(latest, table.read(), dim.nk, seq)
+        known = table.read().select(dim.nk, seq).unionByName(table.deleted(dim.nk, seq))
+        stage = not_stale(latest, known, dim.nk, seq)
         return table.load(
             stage,
             dim,
@@ -55,6 +65,8 @@ def apply_batch(
             delete_flag="_delete",
             batch_id=batch_id,
             trusted_keys=True,
+            feed=feed_id,
+            seq=seq,
         )
 
 
@@ -70,11 +82,13 @@ def follow(
     """Keep a dimension up to date from a streaming feed.
 
     ``clock`` gives the load timestamp of a micro-batch. ``checkpoint`` must be
-    on shared storage.
+    on shared storage. Batches are numbered per checkpoint, so the query id
+    kept there tells feeds apart.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(table, dim, batch, batch_id, clock(), seq)
+        query_id = table.spark.read.text(f"{checkpoint}/metadata").first()[0]
+        apply_batch(table, dim, batch, batch_id, clock(), seq, query_id)
 
     writer = feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if available_now:

@@ -155,6 +155,12 @@ def test_role_array_gaps_and_repeats(spark):
     dim = spark.createDataFrame([(7, 70), (3, 30)], "id int, sk bigint")
     got = {r["k"]: r["sks"] for r in bridge.role_array(df, ["k"], ["a", "b", "c", "d"], dim, "sk", "sks").collect()}
     assert got == {1: [70, 70, 30], 2: []}
+    double = spark.createDataFrame([(7, 70), (7, 71), (3, 30)], "id int, sk bigint")
+    repeated = df.unionByName(df.where("k = 1"))
+    for limit in ("-1", "10m"):
+        with limits(spark, **{"spark.sql.autoBroadcastJoinThreshold": limit}):
+            twice = bridge.role_array(repeated, ["k"], ["a", "b", "c", "d"], double, "sk", "sks").collect()
+        assert sorted((r["k"], r["sks"]) for r in twice) == [(1, [71, 71, 30]), (1, [71, 71, 30]), (2, [])]
     with limits(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         large = bridge.role_array(df, ["k"], ["a", "b", "c", "d"], dim, "sk", "sks")
         assert {r["k"]: r["sks"] for r in large.collect()} == got

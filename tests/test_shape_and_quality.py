@@ -82,7 +82,11 @@ def test_reconcile(spark):
     nulls = source.unionByName(spark.createDataFrame([(None, "a"), (None, "a")], source.schema))
     assert quality.reconcile(nulls, target, ["id"]).where("id IS NULL AND kind = 'missing_target'").count() == 2
     verdict = quality.reconcile_verdict(found, limit=2).first()
-    assert tuple(verdict) == (1, 1, 1, True)
+    assert tuple(verdict) == (1, 1, 1, 0, True)
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, None), (2, None)], "id int, v string")
+    assert quality.reconcile(twice, twice, ["id"]).count() == 0
+    other = quality.reconcile(twice, twice.dropDuplicates(), ["id"]).collect()
+    assert sorted(tuple(r) for r in other) == [(1, "duplicate_key"), (2, "duplicate_key")]
 
 
 def test_keys_and_references(spark):
@@ -106,8 +110,8 @@ def test_casts(spark):
 def test_lobs(spark):
     df = spark.createDataFrame([("é" * 1025, bytearray(b"x" * 1025)), ("ok", None)], "t string, b binary")
     got = quality.limit_lobs(df, ["t", "b"], limit_kb=1).collect()
-    assert (len(got[0]["t"]), len(got[0]["b"]), got[0]["t_truncated"], got[0]["b_truncated"]) == (1024, 1024, True, True)
-    assert (got[1]["t"], got[1]["b"], got[1]["t_truncated"], got[1]["b_truncated"]) == ("ok", None, False, False)
+    assert (len(got[0]["t"]), len(got[0]["b"]), got[0]["t_size"], got[0]["t_over_limit"], got[0]["b_over_limit"]) == (1025, 1025, 1025, True, True)
+    assert (got[1]["t"], got[1]["b"], got[1]["b_size"], got[1]["t_over_limit"], got[1]["b_over_limit"]) == ("ok", None, None, False, False)
 
 
 def test_scalar_to_array(spark):
