@@ -51,15 +51,21 @@ def _level(levels: Column, word: Column) -> Column:
 
 def line_keys(line: Column, levels: Column) -> Column:
     """The distinct words of a line as sorted numbers: level first, so rare words lead, then 56 bits of hash."""
-    words = F.array_remove(F.transform(F.split(_plain(line), " "), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
+    words = F.array_distinct(F.transform(F.split(_plain(line), " "), lambda w: F.xxhash64(w)))
     low = F.lit((1 << 56) - 1).cast("long")
     return F.sort_array(
         F.transform(
-            F.array_distinct(words), lambda h: F.shiftleft(_level(levels, h).cast("long"), 56).bitwiseOR(h.bitwiseAND(low))
+            F.array_remove(words, F.xxhash64(F.lit(""))), lambda h: F.shiftleft(_level(levels, h).cast("long"), 56).bitwiseOR(h.bitwiseAND(low))
         )
     )
 
 
+def _parity(keys: Column) -> Column:
+    """64 bits: how many of the words fall on each, odd or even. Two sets differ in at least as many words as bits."""
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda bits, k: bits.bitwiseXOR(bit(k)))
+
+
 def _lines(texts: DataFrame) -> DataFrame:
     return texts.select("_key", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line"))
 
@@ -75,29 +81,35 @@ def repeated_lines(docs: DataFrame, key: str, text: str, percent: int = PERCENT)
     keyed = _lines(texts).select("_key", "_pos", line_keys(F.col("_line"), levels).alias("_keys")).where(F.size("_keys") > 0)
     n = F.size("_keys")
     lines = keyed.select(
-        "_key", "_pos", n.alias("n"), F.xxhash64("_keys").alias("s1"), F.xxhash64(F.lit(1), "_keys").alias("s2"),
+        "_key", "_pos", n.alias("n"), F.xxhash64("_keys").alias("s1"), F.xxhash64(F.lit(1), "_keys").alias("s2"), _parity(F.col("_keys")).alias("bits"),
         F.slice("_keys", F.lit(1), n - F.ceil(n * percent / 100 - 1e-9).cast("int") + 1).alias("prefix"),
     )
     lines = materialize(lines, "line-sets")
-    sets = lines.groupBy("s1", "s2").agg(F.min(F.struct("_key", "_pos")).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    sets = lines.groupBy("s1", "s2").agg(F.min(F.struct("_key", "_pos")).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
     sets = materialize(sets, "line-distinct")
-    posted = sets.select("first", "n", F.posexplode("prefix").alias("at", "word"))
+    posted = sets.select("first", "n", "bits", F.posexplode("prefix").alias("at", "word"))
     shared = posted.groupBy("word").agg(F.count("*").alias("c")).where("c > 1").select("word")
     posted = materialize(posted.join(shared, "word", "left_semi"), "line-prefixes")
     a, b = posted.alias("a"), posted.alias("b")
     need = _least_shared(F.col("a.n"), F.col("b.n"), percent)
-    rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    # What two lines can share around a common word: the words before it in both, and those from it on in both.
+    around = F.least(F.col("a.at"), F.col("b.at")) + F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
     met = a.join(
         b,
         (F.col("a.word") == F.col("b.word"))
         & (F.col("b.first") < F.col("a.first"))
         & (F.col("a.n") * 100 >= F.col("b.n") * percent)
         & (F.col("b.n") * 100 >= F.col("a.n") * percent)
-        & (rest >= need)
+        & (around >= need)
+        & (F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= F.col("a.n") + F.col("b.n") - need * 2)
         # equal sizes that must share everything are the same set, which is one row here
         & ~((F.col("a.n") == F.col("b.n")) & (need >= F.col("a.n"))),
-    )
-    pairs = materialize(met.select(F.col("a.first").alias("late"), F.col("b.first").alias("early")).distinct(), "line-pairs")
+    ).select(F.col("a.first").alias("late"), F.col("b.first").alias("early"), F.col("a.n").alias("n"), F.col("b.n").alias("m"))
+    # Shared words = those in both prefixes (one row each) + at most what follows the prefix of either.
+    met = met.groupBy("late", "early", "n", "m").agg(F.count("*").alias("met"))
+    rest = F.ceil(F.greatest("n", "m") * percent / 100 - 1e-9) - 1
+    pairs = met.where(F.col("met") >= _least_shared(F.col("n"), F.col("m"), percent) - rest).select("late", "early")
+    pairs = materialize(pairs, "line-pairs")
     wanted = materialize(pairs.select(F.explode(F.array("late", "early")).alias("first")).distinct(), "line-wanted")
     owners = wanted.select(F.col("first._key").alias("_key")).distinct()
     places = wanted.select(F.col("first._key").alias("_key"), F.col("first._pos").alias("_pos"), "first")
