@@ -31,6 +31,31 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_lines", "n_removed", "text")
 
 
+_OP1_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+    FROM documents WHERE text IS NOT NULL
+), k AS (
+    SELECT doc_id, pos, line, list_distinct(list_filter(
+        regexp_split_to_array(lower(line), '[ \t\r\x0b\x0c]+'), lambda x: x <> '')) AS w FROM lines
+), t AS (SELECT doc_id, pos, len(w) AS n, unnest(w) AS x FROM k),
+r AS (
+    SELECT t.*, row_number() OVER (PARTITION BY doc_id, pos ORDER BY c, x) AS place
+    FROM t JOIN (SELECT x, count(*) AS c FROM t GROUP BY 1) USING (x)
+), p AS (SELECT * FROM r WHERE place <= n - (85 * n + 99) // 100 + 1),
+pairs AS (
+    SELECT DISTINCT a.doc_id, a.pos, b.doc_id AS d, b.pos AS q FROM p a JOIN p b ON a.x = b.x
+    WHERE (b.doc_id < a.doc_id OR b.doc_id = a.doc_id AND b.pos < a.pos) AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+), gone AS (
+    SELECT DISTINCT x.doc_id, x.pos FROM pairs JOIN k x USING (doc_id, pos) JOIN k y ON y.doc_id = d AND y.pos = q
+    WHERE 100 * len(list_intersect(x.w, y.w)) >= 85 * (len(x.w) + len(y.w) - len(list_intersect(x.w, y.w)))
+)
+SELECT doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (g.pos IS NULL), '') AS text
+FROM k LEFT JOIN gone g USING (doc_id, pos) GROUP BY doc_id
+"""
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -39,6 +64,30 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+#: Words of a text as the shingle and seed operators see them.
+_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+
+_OP3_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text="text")} AS w FROM documents),
+s AS (
+    SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS g
+    FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+), reach AS (
+    SELECT doc_id AS id, doc_id AS other FROM documents
+    UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a
+)
+SELECT r.id AS doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM reach r LEFT JOIN n ON n.doc_id = r.id GROUP BY 1
+"""
+
+
 def op4_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = piece_model()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -65,6 +114,27 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+_OP6_SQL = rf"""
+WITH d AS (SELECT doc_id, {_WORDS.format(text="text")} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS.format(text="text")} AS w FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS p FROM d),
+iw AS (SELECT item_id, len(w) AS n, unnest(w) AS x, unnest(range(len(w))) AS q FROM i WHERE len(w) >= 5),
+met AS (
+    SELECT doc_id, item_id, n, p - q AS shift, list(q) AS qs FROM dw JOIN iw USING (x)
+    GROUP BY ALL HAVING count(*) >= CASE WHEN n >= 13 THEN 11 ELSE n END
+), starts AS (
+    SELECT m.*, unnest(range(greatest(0, -shift), least(n, len(d.w) - shift) - least(13, n) + 1)) AS f
+    FROM met m JOIN d USING (doc_id)
+), sound AS (
+    SELECT * FROM starts WHERE len(list_filter(qs, lambda q: q >= f AND q < f + least(13, n))) >= CASE WHEN n >= 13 THEN 11 ELSE n END
+), stretch AS (
+    SELECT doc_id, item_id, shift, any_value(qs) AS qs, min(f) AS f, max(f) + least(13, any_value(n)) AS t FROM sound GROUP BY 1, 2, 3
+), sized AS (SELECT *, len(list_filter(qs, lambda q: q >= f AND q < t)) AS same FROM stretch)
+SELECT doc_id, item_id, CAST(shift + f AS INTEGER) AS doc_start, CAST(t - f AS INTEGER) AS n_words, CAST(same AS INTEGER) AS n_same
+FROM sized QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY same DESC, t - f DESC, shift + f) = 1
+"""
+
+
 #: Both texts of the conversation added to the table: markers of the template inside a text.
 HOSTILE_TEXT = "\\### Assistant: </turn> ok"
 
@@ -137,4 +207,10 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_html_text": op10_html_text,
 }
-ORACLES: dict[str, str] = {"op7_chat_format": _OP7_SQL, "op8_exact_top_k": _OP8_SQL}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": _OP1_SQL,
+    "op3_ngram_join": _OP3_SQL,
+    "op6_decontamination": _OP6_SQL,
+    "op7_chat_format": _OP7_SQL,
+    "op8_exact_top_k": _OP8_SQL,
+}
