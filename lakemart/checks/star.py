@@ -282,6 +282,11 @@ STARS = {
                 training_programme_start_date="o_orderdate - INTERVAL 20 DAY",
                 training_programme_end_date="o_orderdate + INTERVAL 800 DAY", current="o_orderstatus <> 'P'",
             ),
+            "dim_learner_learner": customer("learner_learner"),
+            "dim_configurable_disability": region("configurable_disability"),
+            "dim_configurable_gender": customer("configurable_gender"),
+            "dim_configurable_race": supplier("configurable_race"),
+            "dim_etqa_trainingproviderprogramme": customer("etqa_trainingproviderprogramme"),
         },
     ),
     "fact_assessor_moderator": Star(
@@ -296,6 +301,14 @@ STARS = {
                 moderator_approve_date="CASE WHEN o_orderstatus = 'O' THEN o_orderdate END",
                 moderator_end_date="o_orderdate + INTERVAL 500 DAY", application_created_at="o_orderdate - INTERVAL 5 DAY",
             ),
+            "dim_configurable_disability": region("configurable_disability"),
+            "dim_configurable_gender": customer("configurable_gender"),
+            "dim_configurable_race": supplier("configurable_race"),
+            "dim_company_trainingprovider": customer("company_trainingprovider"),
+            "dim_etqa_assessormoderatorapplication": orders("etqa_assessormoderatorapplication"),
+            "dim_etqa_trainingproviderapplicationassessor": orders("etqa_trainingproviderapplicationassessor"),
+            "dim_etqa_assessormoderatorunitstandardapplication": orders("etqa_assessormoderatorunitstandardapplication"),
+            "dim_src_unitstandard": part("src_unitstandard"),
         },
     ),
 }
@@ -465,19 +478,33 @@ LEFT JOIN dim_company_company c ON b.company_id = c.id LEFT JOIN fact_company k
 {day('d1', 'b.date_wsp_submitted')} {day('d2', 'a.at')} {day('d3', 'x.at')}
 WHERE EXISTS (SELECT 1 FROM dim_ssp_wspsubmissionaudittracker e WHERE e.company_wsp_submission_id = b.id)""",
     "fact_certifylearners": f"""
-SELECT r.learner_id, r.id AS etqa_trainingprogrammelearner_id, r.disability_id, r.gender_id, r.race_id,
-  r.training_provider_programme_id, {or_zero('a.date_id', 'date_learer_entered_id')},
+SELECT {or_zero('l.learner_learner_sk', 'learner_id')}, r.etqa_trainingprogrammelearner_sk AS etqa_trainingprogrammelearner_id,
+  {or_zero('i.configurable_disability_sk', 'disability_id')}, {or_zero('g.configurable_gender_sk', 'gender_id')},
+  {or_zero('v.configurable_race_sk', 'race_id')}, {or_zero('t.etqa_trainingproviderprogramme_sk', 'training_provider_programme_id')}, {or_zero('a.date_id', 'date_learer_entered_id')},
   {or_zero('b.date_id', 'date_programme_start_id')}, {or_zero('c.date_id', 'certification_date_id')},
   {or_zero('d.date_id', 'training_programme_start_date_id')}, {or_zero('e.date_id', 'training_programme_end_date_id')}
-FROM dim_etqa_trainingprogrammelearner r {day('a', 'r.date_learner_entered')} {day('b', 'r.programme_start_date')}
+FROM dim_etqa_trainingprogrammelearner r {dim('l', 'learner_learner', 'r.learner_id')}
+{dim('i', 'configurable_disability', 'r.disability_id')} {dim('g', 'configurable_gender', 'r.gender_id')}
+{dim('v', 'configurable_race', 'r.race_id')} {dim('t', 'etqa_trainingproviderprogramme', 'r.training_provider_programme_id')} {day('a', 'r.date_learner_entered')} {day('b', 'r.programme_start_date')}
 {day('c', 'r.certification_date')} {day('d', 'r.training_programme_start_date')} {day('e', 'r.training_programme_end_date')}""",
     "fact_assessor_moderator": f"""
-SELECT r.id AS assessor_moderator_id, r.disability_id, r.gender_id, r.race_id, r.training_provider_id, r.application_id,
-  r.training_provider_application_id, r.unit_standard_application_id, r.unit_standard_id,
+SELECT r.etqa_assessormoderator_sk AS assessor_moderator_id, {or_zero('i.configurable_disability_sk', 'disability_id')},
+  {or_zero('g.configurable_gender_sk', 'gender_id')}, {or_zero('v.configurable_race_sk', 'race_id')},
+  {or_zero('p.company_trainingprovider_sk', 'training_provider_id')},
+  {or_zero('q.etqa_assessormoderatorapplication_sk', 'application_id')},
+  {or_zero('s.etqa_trainingproviderapplicationassessor_sk', 'training_provider_application_id')},
+  {or_zero('t.etqa_assessormoderatorunitstandardapplication_sk', 'unit_standard_application_id')},
+  {or_zero('u.src_unitstandard_sk', 'unit_standard_id')},
   {or_zero('a.date_id', 'assessor_approve_date_id')}, {or_zero('b.date_id', 'assessor_end_date_id')},
   {or_zero('c.date_id', 'moderator_approve_date_id')}, {or_zero('d.date_id', 'moderator_end_date_id')},
   {or_zero('e.date_id', 'application_created_at_id')}
-FROM dim_etqa_assessormoderator r {day('a', 'r.assessor_approve_date')} {day('b', 'r.assessor_end_date')}
+FROM dim_etqa_assessormoderator r {dim('i', 'configurable_disability', 'r.disability_id')}
+{dim('g', 'configurable_gender', 'r.gender_id')} {dim('v', 'configurable_race', 'r.race_id')}
+{dim('p', 'company_trainingprovider', 'r.training_provider_id')}
+{dim('q', 'etqa_assessormoderatorapplication', 'r.application_id')}
+{dim('s', 'etqa_trainingproviderapplicationassessor', 'r.training_provider_application_id')}
+{dim('t', 'etqa_assessormoderatorunitstandardapplication', 'r.unit_standard_application_id')}
+{dim('u', 'src_unitstandard', 'r.unit_standard_id')} {day('a', 'r.assessor_approve_date')} {day('b', 'r.assessor_end_date')}
 {day('c', 'r.moderator_approve_date')} {day('d', 'r.moderator_end_date')} {day('e', 'r.application_created_at')}""",
 }
 

@@ -20,8 +20,8 @@ from lakemart.operators import bridge
 from lakemart.operators.calendar import date_ids, status_ids
 from lakemart.operators.keys import dense_keys
 from lakemart.operators.lookup import attach, current, lookup_by_candidates, lookup_sk
-from lakemart.operators.shape import project_fact
-from lakemart.plans.star import fact_fields
+from lakemart.operators.shape import project_fact, surrogate_key
+from lakemart.plans.star import REFERENCES, fact_fields
 
 Tables = Callable[[str], DataFrame]
 
@@ -328,17 +328,27 @@ def wsp_submission(t: Tables) -> DataFrame:
     )
 
 
-def role_dates(t: Tables, dim: str, ids: dict[str, str], dates: dict[str, str]) -> DataFrame:
-    """Natural ids renamed by ``ids``, dates resolved by ``dates``; ids are not looked up."""
-    rows = base_rows(t, dim, [*ids, *dates])
-    return date_ids(rows, t("dim_date"), dates).select(
-        *[F.col(c).alias(out) for c, out in ids.items()], *dates.values()
-    )
+def role_dates(t: Tables, fact: str, dim: str, ids: dict[str, str], dates: dict[str, str]) -> DataFrame:
+    """Ids renamed by ``ids`` and resolved to the surrogate keys that the fact declares, dates by ``dates``.
+
+    Unknown and missing members give 0.
+    """
+    own = surrogate_key(dim.removeprefix("dim_"))
+    df = base_rows(t, dim, [*ids, own, *dates])
+    for column, out in ids.items():
+        target, key = REFERENCES[fact][out]
+        if target == dim and column == "id":
+            df = df.withColumn(f"_sk_{out}", F.col(own))
+        else:
+            df = lookup_sk(df, t(target), column, key, f"_sk_{out}")
+    keys = [F.coalesce(F.col(f"_sk_{out}").cast("bigint"), F.lit(0).cast("bigint")).alias(out) for out in ids.values()]
+    return date_ids(df, t("dim_date"), dates).select(*keys, *dates.values())
 
 
 def certify_learners(t: Tables) -> DataFrame:
     return role_dates(
         t,
+        "fact_certifylearners",
         "dim_etqa_trainingprogrammelearner",
         {"learner_id": "learner_id", "id": "etqa_trainingprogrammelearner_id", "disability_id": "disability_id",
          "gender_id": "gender_id", "race_id": "race_id",
@@ -355,6 +365,7 @@ def assessor_moderator(t: Tables) -> DataFrame:
             "training_provider_application_id", "unit_standard_application_id", "unit_standard_id")
     return role_dates(
         t,
+        "fact_assessor_moderator",
         "dim_etqa_assessormoderator",
         {"id": "assessor_moderator_id", **{c: c for c in same}},
         {"assessor_approve_date": "assessor_approve_date_id", "assessor_end_date": "assessor_end_date_id",
