@@ -223,7 +223,7 @@ def test_vanished_column_keeps_values(spark, folder):
     assert [(r["note"], r["version"]) for r in current] == [("n", 1)]
 
 
-def test_star_is_consistent():
+def test_star_is_consistent(spark):
     assert set(star.PRIMARY_KEYS) == set(facts.BUILDERS)
     for name in star.FACT_COLUMNS:
         columns = star.fact_fields(name).names
