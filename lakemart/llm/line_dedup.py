@@ -5,7 +5,9 @@ similar lines share one of their first few (the prefix). Lines meet on a prefix
 word; the sizes, and what can still follow the word's positions, rule out most
 meetings inside the join; the rest is verified with the whole sets. A line
 that is similar to one further ahead in the corpus (document id, then line
-number) is removed, whether or not that one is removed too.
+number) is removed, whether or not that one is removed too. Lines are first
+tried with a few leaders of their words, so that a family of near copies does
+not meet pair by pair.
 """
 
 from __future__ import annotations
@@ -74,6 +76,31 @@ def _least_shared(n: Column, m: Column, percent: int) -> Column:
     return F.ceil((n + m) * percent / (100 + percent) - 1e-9)
 
 
+def _near(n: Column, m: Column, bits: Column, other: Column, percent: int) -> Column:
+    """Whether sizes and parity bits allow two different sets to be similar."""
+    need = _least_shared(n, m, percent)
+    return (
+        (n * 100 >= m * percent)
+        & (m * 100 >= n * percent)
+        # equal sizes that must share everything are the same set, which is one row here
+        & ~((n == m) & (need >= n))
+        & (F.bit_count(bits.bitwiseXOR(other)) <= n + m - need * 2)
+    )
+
+
+# Turn the order of set numbers, so that a word has several leaders.
+_TURNS = (0, 0x5555555555555555)
+
+
+def _leaders() -> list[Column]:
+    """Four sets of a word, by least and greatest number in two orders: plain partial aggregates."""
+    out = []
+    for turn in _TURNS:
+        turned = F.col("s1").bitwiseXOR(F.lit(turn).cast("long"))
+        out += [F.min(turned).bitwiseXOR(F.lit(turn).cast("long")), F.max(turned).bitwiseXOR(F.lit(turn).cast("long"))]
+    return [c.alias(f"l{i}") for i, c in enumerate(out)]
+
+
 def repeated_lines(docs: DataFrame, key: str, text: str, percent: int = PERCENT) -> DataFrame:
     """``(_key, _pos)`` of every line that an earlier line is similar to; lines without words are none."""
     texts = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).where("_key IS NOT NULL AND _text IS NOT NULL")
@@ -87,10 +114,36 @@ def repeated_lines(docs: DataFrame, key: str, text: str, percent: int = PERCENT)
     lines = materialize(lines, "line-sets")
     sets = lines.groupBy("s1", "s2").agg(F.min(F.struct("_key", "_pos")).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
     sets = materialize(sets, "line-distinct")
-    posted = sets.select("first", "n", "bits", F.posexplode("prefix").alias("at", "word"))
-    shared = posted.groupBy("word").agg(F.count("*").alias("c")).where("c > 1").select("word")
-    posted = materialize(posted.join(shared, "word", "left_semi"), "line-prefixes")
-    a, b = posted.alias("a"), posted.alias("b")
+    posted = sets.select("s1", "first", "n", "bits", F.posexplode("prefix").alias("at", "word"))
+    shared = posted.groupBy("word").agg(F.count("*").alias("c"), *_leaders())
+    shared = materialize(shared.where("c > 1"), "line-words")
+    posted = materialize(posted.join(shared.select("word"), "word", "left_semi"), "line-prefixes")
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        """The later line of each pair ``(late, early)`` whose whole sets are similar."""
+        pairs = materialize(pairs, "line-pairs")
+        wanted = materialize(pairs.select(F.explode(F.array("late", "early")).alias("first")).distinct(), "line-wanted")
+        owners = wanted.select(F.col("first._key").alias("_key")).distinct()
+        places = wanted.select(F.col("first._key").alias("_key"), F.col("first._pos").alias("_pos"), "first")
+        whole = _lines(texts.join(small(owners), "_key", "left_semi")).join(small(places), ["_key", "_pos"])
+        whole = materialize(whole.select("first", line_keys(F.col("_line"), levels).alias("_keys")), "line-keys")
+        sides = pairs.join(whole.select(F.col("first").alias("late"), F.col("_keys").alias("x")), "late").join(
+            whole.select(F.col("first").alias("early"), F.col("_keys").alias("y")), "early"
+        )
+        both = F.size(F.array_intersect("x", "y"))
+        sound = sides.where(both * 100 >= (F.size("x") + F.size("y") - both) * percent)
+        return materialize(sound.select(F.col("late").alias("first")).distinct(), "line-gone")
+
+    # First each line is tried with a few leaders of the words it shares: a row per line and leader, however many
+    # lines share the word. In a family of copies that removes most of the lines that have an earlier match.
+    led = posted.select("word", "s1", "first", "n", "bits").join(shared, "word")
+    led = led.select("s1", "first", "n", "bits", F.explode(F.array("l0", "l1", "l2", "l3")).alias("lead")).where("lead <> s1").distinct()
+    heads = sets.select(F.col("s1").alias("lead"), F.col("first").alias("head"), F.col("n").alias("m"), F.col("bits").alias("head_bits"))
+    led = led.join(heads, "lead").where(_near(F.col("n"), F.col("m"), F.col("bits"), F.col("head_bits"), percent))
+    gone = similar(led.select(F.greatest("first", "head").alias("late"), F.least("first", "head").alias("early")).distinct())
+
+    # Then those still without a match, with every earlier line of their words.
+    a, b = posted.join(small(gone), "first", "left_anti").alias("a"), posted.alias("b")
     need = _least_shared(F.col("a.n"), F.col("b.n"), percent)
     # What two lines can share around a common word: the words before it in both, and those from it on in both.
     around = F.least(F.col("a.at"), F.col("b.at")) + F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
@@ -98,29 +151,14 @@ def repeated_lines(docs: DataFrame, key: str, text: str, percent: int = PERCENT)
         b,
         (F.col("a.word") == F.col("b.word"))
         & (F.col("b.first") < F.col("a.first"))
-        & (F.col("a.n") * 100 >= F.col("b.n") * percent)
-        & (F.col("b.n") * 100 >= F.col("a.n") * percent)
         & (around >= need)
-        & (F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= F.col("a.n") + F.col("b.n") - need * 2)
-        # equal sizes that must share everything are the same set, which is one row here
-        & ~((F.col("a.n") == F.col("b.n")) & (need >= F.col("a.n"))),
+        & _near(F.col("a.n"), F.col("b.n"), F.col("a.bits"), F.col("b.bits"), percent),
     ).select(F.col("a.first").alias("late"), F.col("b.first").alias("early"), F.col("a.n").alias("n"), F.col("b.n").alias("m"))
     # Shared words = those in both prefixes (one row each) + at most what follows the prefix of either.
     met = met.groupBy("late", "early", "n", "m").agg(F.count("*").alias("met"))
     rest = F.ceil(F.greatest("n", "m") * percent / 100 - 1e-9) - 1
-    pairs = met.where(F.col("met") >= _least_shared(F.col("n"), F.col("m"), percent) - rest).select("late", "early")
-    pairs = materialize(pairs, "line-pairs")
-    wanted = materialize(pairs.select(F.explode(F.array("late", "early")).alias("first")).distinct(), "line-wanted")
-    owners = wanted.select(F.col("first._key").alias("_key")).distinct()
-    places = wanted.select(F.col("first._key").alias("_key"), F.col("first._pos").alias("_pos"), "first")
-    whole = _lines(texts.join(small(owners), "_key", "left_semi")).join(small(places), ["_key", "_pos"])
-    whole = materialize(whole.select("first", line_keys(F.col("_line"), levels).alias("_keys")), "line-words")
-    sides = pairs.join(whole.select(F.col("first").alias("late"), F.col("_keys").alias("x")), "late").join(
-        whole.select(F.col("first").alias("early"), F.col("_keys").alias("y")), "early"
-    )
-    both = F.size(F.array_intersect("x", "y"))
-    sound = sides.where(both * 100 >= (F.size("x") + F.size("y") - both) * percent).select(F.col("late").alias("first")).distinct()
-    gone = materialize(sound, "line-gone").withColumn("_gone", F.lit(True))
+    more = similar(met.where(F.col("met") >= _least_shared(F.col("n"), F.col("m"), percent) - rest).select("late", "early"))
+    gone = gone.unionByName(more).withColumn("_gone", F.lit(True))
     firsts = sets.select("s1", "s2", "first").join(small(gone), "first", "left")
     later = (F.col("first") < F.struct("_key", "_pos")) | F.coalesce("_gone", F.lit(False))
     return lines.select("_key", "_pos", "s1", "s2").join(firsts, ["s1", "s2"]).where(later).select("_key", "_pos")
