@@ -215,7 +215,7 @@ def encode_texts(texts: list[str], model: str) -> list[bytes]:
 def decode_ids(ids: bytes, model: str) -> str:
     """Text of little-endian int32 ids: pieces and bytes joined, less the space before the text."""
     pieces = vocabulary(model).texts
-    text = b"".join([pieces[i] for i in np.frombuffer(ids, "<i4").tolist()]).decode("utf-8", "replace")
+    text = b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<i4").tolist())).decode("utf-8", "replace")
     return text[1:] if text.startswith(" ") else text
 
 
