@@ -6,7 +6,7 @@ word; the sizes, and what can still follow the word's positions, rule out most
 meetings inside the join; the rest is verified with the whole sets. A line
 that is similar to one further ahead in the corpus (document id, then line
 number) is removed, whether or not that one is removed too. Lines are first
-tried with a few leaders of their words, so that a family of near copies does
+tried with two leaders of their common words, so that a family of near copies does
 not meet pair by pair.
 """
 
@@ -23,6 +23,8 @@ from lakemart.llm.common import materialize, small
 PERCENT = 85
 #: Buckets that words are counted in for their order: fixed at any input size; it never changes a result.
 BUCKETS = 1 << 14
+#: Lines that share a word from which on they are first tried with its leaders; it never changes a result.
+LED = 32
 
 
 def _plain(text: Column) -> Column:
@@ -88,16 +90,16 @@ def _near(n: Column, m: Column, bits: Column, other: Column, percent: int) -> Co
     )
 
 
-# Turn the order of set numbers, so that a word has several leaders.
-_TURNS = (0, 0x5555555555555555)
+# Turn the order of set numbers, so that every round has other leaders.
+_TURNS = (0, 0x5555555555555555, 0x3333333333333333)
 
 
 def _leaders() -> list[Column]:
-    """Four sets of a word, by least and greatest number in two orders: plain partial aggregates."""
+    """Two sets of a word for each round, by least and greatest number: plain partial aggregates."""
     out = []
     for turn in _TURNS:
-        turned = F.col("s1").bitwiseXOR(F.lit(turn).cast("long"))
-        out += [F.min(turned).bitwiseXOR(F.lit(turn).cast("long")), F.max(turned).bitwiseXOR(F.lit(turn).cast("long"))]
+        mask = F.lit(turn).cast("long")
+        out += [f(F.col("s1").bitwiseXOR(mask)).bitwiseXOR(mask) for f in (F.min, F.max)]
     return [c.alias(f"l{i}") for i, c in enumerate(out)]
 
 
@@ -134,13 +136,20 @@ def repeated_lines(docs: DataFrame, key: str, text: str, percent: int = PERCENT)
         sound = sides.where(both * 100 >= (F.size("x") + F.size("y") - both) * percent)
         return materialize(sound.select(F.col("late").alias("first")).distinct(), "line-gone")
 
-    # First each line is tried with a few leaders of the words it shares: a row per line and leader, however many
-    # lines share the word. In a family of copies that removes most of the lines that have an earlier match.
-    led = posted.select("word", "s1", "first", "n", "bits").join(shared, "word")
-    led = led.select("s1", "first", "n", "bits", F.explode(F.array("l0", "l1", "l2", "l3")).alias("lead")).where("lead <> s1").distinct()
+    # First each line is tried with two leaders of the words that many lines share: a row per line and leader,
+    # however many lines those are. In a family of copies that removes most of the lines that have an earlier match.
     heads = sets.select(F.col("s1").alias("lead"), F.col("first").alias("head"), F.col("n").alias("m"), F.col("bits").alias("head_bits"))
-    led = led.join(heads, "lead").where(_near(F.col("n"), F.col("m"), F.col("bits"), F.col("head_bits"), percent))
-    gone = similar(led.select(F.greatest("first", "head").alias("late"), F.least("first", "head").alias("early")).distinct())
+    crowded = posted.select("word", "s1", "first", "n", "bits").join(shared.where(F.col("c") >= LED), "word")
+    crowded = materialize(crowded.drop("word", "c"), "line-crowded")
+    gone = None
+    for turn in range(len(_TURNS)):
+        led = crowded if gone is None else crowded.join(small(gone), "first", "left_anti")
+        pair = F.array(f"l{2 * turn}", f"l{2 * turn + 1}")
+        led = led.select("s1", "first", "n", "bits", F.explode(pair).alias("lead")).where("lead <> s1").join(heads, "lead")
+        led = led.where(_near(F.col("n"), F.col("m"), F.col("bits"), F.col("head_bits"), percent))
+        found = similar(led.select(F.greatest("first", "head").alias("late"), F.least("first", "head").alias("early")).distinct())
+        gone = found if gone is None else gone.unionByName(found)
+    gone = materialize(gone.distinct(), "line-gone")
 
     # Then those still without a match, with every earlier line of their words.
     a, b = posted.join(small(gone), "first", "left_anti").alias("a"), posted.alias("b")
@@ -158,7 +167,7 @@ def repeated_lines(docs: DataFrame, key: str, text: str, percent: int = PERCENT)
     met = met.groupBy("late", "early", "n", "m").agg(F.count("*").alias("met"))
     rest = F.ceil(F.greatest("n", "m") * percent / 100 - 1e-9) - 1
     more = similar(met.where(F.col("met") >= _least_shared(F.col("n"), F.col("m"), percent) - rest).select("late", "early"))
-    gone = gone.unionByName(more).withColumn("_gone", F.lit(True))
+    gone = gone.unionByName(more).distinct().withColumn("_gone", F.lit(True))
     firsts = sets.select("s1", "s2", "first").join(small(gone), "first", "left")
     later = (F.col("first") < F.struct("_key", "_pos")) | F.coalesce("_gone", F.lit(False))
     return lines.select("_key", "_pos", "s1", "s2").join(firsts, ["s1", "s2"]).where(later).select("_key", "_pos")
