@@ -73,7 +73,7 @@ _SETS = "_key bigint, f1 bigint, f2 bigint, n int, tokens binary, bits binary"
 
 
 def document_sets(docs: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """Per row: key, fingerprint and size of its set, its rarest shingles (all, if small), its bitmap."""
+    """Per row: key, fingerprint and size of its set, its rarest shingles (all, if small) by rarity, its bitmap."""
 
     def run(batch: pa.RecordBatch) -> pa.Table:
         out = {c: [] for c in ("f1", "f2", "n", "tokens", "bits")}
@@ -83,10 +83,9 @@ def document_sets(docs: DataFrame, k: int, percent: int, levels: np.ndarray) ->
             other = mix(made + np.uint64(0x632BE59BD9B4E019))
             for i, n in enumerate(counts.tolist()):
                 part = slice(ends[i] - n, ends[i])
-                h = made[part]
-                if n > LIGHT_MOST:
-                    order = np.argsort(level[part], kind="stable")
-                    h = h[order[: n - -(-percent * n // 100) + 1]]
+                # One order, by (level, hash), for sets of every size: prefixes only meet if all are taken in the same.
+                order = np.argsort(level[part], kind="stable")
+                h = made[part][order if n <= LIGHT_MOST else order[: n - -(-percent * n // 100) + 1]]
                 width = _BITS
                 while 4 * width < 3 * n:
                     width *= 2

@@ -173,6 +173,31 @@ def test_ngram_join_matches_brute_force(spark, seed):
     assert got == {i: (len(shingle_set(t)), want[i]) for i, t in rows}
 
 
+def test_ngram_join_passages_of_many_documents(spark):
+    """Pairs of 13 to 21 shingles, most of them shared by hundreds of documents, on both sides of the light bound."""
+    r, rows = random.Random(5), []
+
+    def fresh(n):
+        return [f"w{r.randrange(10**9)}" for _ in range(n)]
+
+    for _ in range(3):
+        passage = fresh(14)
+        texts = [passage + fresh(60) for _ in range(150)]
+        for _ in range(40):
+            n, m = r.randint(13, 16), r.randint(17, 21)
+            own = max(ngram_join.need(n, m), 10) - 10
+            if 10 + own <= n:
+                common = fresh(own)
+                texts += [passage + common + fresh(n - 10 - own), passage + common + fresh(m - 10 - own)]
+        rows += [" ".join(x) for x in texts]
+    r.shuffle(rows)
+    rows = list(enumerate(rows))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert (ngram_join.rarity(docs.select("doc_id", "text").withColumnRenamed("text", "_text"), 5) > 0).any()
+    got = {x.doc_id: x.component_id for x in ngram_join.similar_documents(docs).collect()}
+    assert got == similar_components(rows)
+
+
 def test_ngram_join_odd_rows(spark, odd):
     rows = ngram_join.similar_documents(odd).collect()
     assert len(rows) == odd.count()
