@@ -30,6 +30,8 @@ TERMS = 2_000
 #: Words on either side of a hit that its context is read from.
 CONTEXT = 6
 THRESHOLD = 0.7
+#: Toxic documents that a term, or a word beside one, must have for each clean one.
+CLEAN_SHARE = 3
 _LEAST_PREFIX, _MOST_PREFIX, _LEAST_FUZZY, _MISSPELLED = 3, 8, 5, 0.7
 
 # Signs that open or close a quotation, and words that report speech.
@@ -120,11 +122,12 @@ class Automaton:
 
 @dataclass
 class Model:
-    """Lexicon (term, weight; words may be misspelled, beginnings not) and regression weights."""
+    """Lexicon (term, weight; words may be misspelled, beginnings not), ordinary words beside it, regression weights."""
 
     words: dict[str, float] = field(default_factory=dict)
     prefixes: dict[str, float] = field(default_factory=dict)
     fuzzy: list[str] = field(default_factory=list)
+    ordinary: frozenset[str] = frozenset()
     weights: list[float] = field(default_factory=lambda: [-2.0, 0.0, 0.0])
 
     def __getstate__(self):
@@ -146,7 +149,7 @@ class Model:
             begun = [self.prefixes.get(word[:n], 0.0) for n in range(_LEAST_PREFIX, min(len(word), _MOST_PREFIX) + 1)]
             if max(begun, default=0.0) > 0:
                 found = max(begun)
-            if found is None and _LEAST_FUZZY - 1 <= len(word) <= 40 and (hit := self._automaton.match(word)):
+            if found is None and _LEAST_FUZZY - 1 <= len(word) <= 40 and word not in self.ordinary and (hit := self._automaton.match(word)):
                 found = self.words[self.fuzzy[hit[0]]] * (_MISSPELLED if hit[1] else 1.0)
         if len(self._cache) > 400_000:
             self._cache.clear()
@@ -227,7 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
     t, c = F.col("t") + 0.5, F.col("c") + 0.5
     weight = F.log(t / (t_all - F.col("t") + 0.5)) - F.log(c / (c_all - F.col("c") + 0.5))
     sure = weight / F.sqrt(1 / t + 1 / c)
-    strong = tallied.where("t >= 4").withColumn("weight", weight).withColumn("sure", sure).where((sure > 3.0) & (F.col("c") * 3 <= F.col("t")))
+    strong = tallied.where("t >= 4").withColumn("weight", weight).withColumn("sure", sure).where((sure > 3.0) & (F.col("c") * CLEAN_SHARE <= F.col("t")))
     kept = strong.orderBy(F.desc("sure"), "term").limit(TERMS).collect()
     # Of nested beginnings with the same support the longest says most: it is the least likely to begin other words.
     support = {r["term"]: r["t"] for r in kept if not r["term"].endswith("$")}
@@ -245,27 +248,35 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
 
 
 def _choose_fuzzy(sample: DataFrame, model: Model) -> None:
-    """Words whose misspellings may count: those that clean documents hardly hold a neighbour of."""
-    long = sorted(w for w in model.words if len(w) >= _LEAST_FUZZY)
+    """Words that may be misspelled, and the words beside them that are none of their misspellings.
+
+    A word one edit away from a term is ordinary where clean documents hold it
+    too often against toxic ones, by the share that is asked of a term. Only
+    that word goes; the other misspellings of the term still count.
+    """
+    model.fuzzy = long = sorted(w for w in model.words if len(w) >= _LEAST_FUZZY)
     if not long:
         return
+    terms = frozenset(model.words)
 
     def near(batch: pa.RecordBatch) -> pa.Table:
-        automaton, hits, seen = Automaton({w: i for i, w in enumerate(long)}), Counter(), {}
+        automaton, toxic_, clean_, seen = Automaton({w: i for i, w in enumerate(long)}), Counter(), Counter(), {}
         for y, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if y:
-                continue
+            found = set()
             for token in set(x.lower().split()):
                 if token not in seen:
                     word = _EDGE.sub("", token)
-                    seen[token] = automaton.match(word) if _LEAST_FUZZY - 1 <= len(word) <= 40 else None
+                    fits = _LEAST_FUZZY - 1 <= len(word) <= 40 and word not in terms
+                    seen[token] = word if fits and automaton.match(word) else None
                 if seen[token]:
-                    hits[long[seen[token][0]]] += 1
-        return pa.table({"word": pa.array(list(hits), pa.string()), "n": pa.array(list(hits.values()), pa.int64())})
+                    found.add(seen[token])
+            (toxic_ if y else clean_).update(found)
+        names = list(toxic_.keys() | clean_.keys())
+        counts = [pa.array([c[n] for n in names], pa.int64()) for c in (toxic_, clean_)]
+        return pa.table([pa.array(names, pa.string()), *counts], ["word", "t", "c"])
 
-    rows = map_batches(sample, "word string, n bigint", near).groupBy("word").agg(F.sum("n").alias("n")).collect()
-    common = {r["word"] for r in rows if r["n"] > 1}
-    model.fuzzy = [w for w in long if w not in common]
+    rows = map_batches(sample, "word string, t bigint, c bigint", near).groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    model.ordinary = frozenset(r["word"] for r in rows.where(F.col("c") * CLEAN_SHARE > F.col("t")).select("word").collect())
 
 
 def _fit(sample: DataFrame, model: Model, pull: float = 1.0) -> Model:

@@ -321,6 +321,27 @@ def test_toxicity_on_the_held_out_fold(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, y in truth.items() if not y}
 
 
+def test_misspellings_beside_clean_words_and_quotes(spark):
+    """Clean documents with a neighbour of a term, or quoting the term, leave its other misspellings."""
+    r = random.Random(8)
+    plain = [f"w{i}x" for i in range(400)]
+    rows = []
+    for i in range(900):
+        words = r.sample(plain, 20)
+        if i % 3 == 0:
+            words[3:3] = ["grobnak", "plimtosk"]
+        elif i % 3 == 1:
+            words[3:3] = ["robnak"]
+        elif i % 30 == 2:
+            words[3:3] = ["word", '"plimtosk"']
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, F.lit(True))
+    assert model.features("a brobnak b")[0] > 0 and model.features("a blimtosk b")[0] > 0
+    assert model.features("a robnak b") == (0.0, 0.0)
+
+
 def test_toxicity_without_labels(spark, odd):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(odd, none, F.lit(True))
