@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from lakemart.checks import all_queries, all_sql
+from lakemart.checks.star import STARS
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -52,6 +53,16 @@ def test_query_matches_sql(spark, db, name):
     assert rows(got.columns, [tuple(r) for r in got.collect()]) == rows(names, cursor.fetchall())
 
 
+def test_vetting_links_every_line(spark, db):
+    """All lines are risk links, most parts have several risks, and some have none."""
+    links = STARS["fact_vetting"].dims["dim_lpd_loivettingrisk"].frame(spark, SF_DIR)
+    assert links.count() == db.execute("SELECT count(*) FROM lineitem").fetchone()[0]
+    sets = [r[0] for r in QUERIES["fact_vetting"](spark, SF_DIR).select("vettingrisk_sks").collect()]
+    unknown = sum(x == "0" for x in sets)
+    assert 0 < unknown < len(sets) / 10
+    assert sum("," in x for x in sets) > len(sets) / 2
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns[0] == "order_fact_id"
