@@ -9,6 +9,7 @@ from lakemart.llm import (
     chat_format,
     decontaminate,
     html_text,
+    lexical_search,
     license_scan,
     line_dedup,
     ngram_join,
@@ -16,8 +17,11 @@ from lakemart.llm import (
     token_count,
     topk,
     toxicity,
+    warc,
+    whitening,
 )
 from lakemart.llm.common import table
+from lakemart.session import scratch_path
 
 
 def piece_model() -> str:
@@ -195,6 +199,60 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Terms of a text, only A to Z lower-cased.
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+_OP12_SQL = rf"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+c AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS all_terms FROM d WHERE len(w) > 0),
+q AS (
+    SELECT item_id, t, count(*) AS q FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark WHERE text IS NOT NULL) GROUP BY ALL
+), p AS (
+    SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS t FROM d)
+    WHERE t IN (SELECT t FROM q) GROUP BY ALL
+), f AS (SELECT t, count(*) AS df FROM p GROUP BY t),
+scored AS (
+    SELECT item_id, doc_id, sum(
+        q * CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT)
+        * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // all_terms))))::BIGINT AS score
+    FROM q JOIN p USING (t) JOIN f USING (t), c GROUP BY ALL
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM scored WHERE score > 0)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r <= 10
+"""
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    pages = warc.read_archives(spark, path, with_payload=False).where(F.col("record_type").isin("response", "revisit"))
+    return pages.select(
+        F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+# Eight base-32 digits for every ten hexadecimal ones.
+_FIVE = " || ".join(f"to_base(CAST('0x' || substr(h, {1 + 10 * i}, 10) AS BIGINT), 32, 8)" for i in range(4))
+_OP13_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM p)
+SELECT page_id, strlen(body) AS payload_bytes,
+    translate(upper({_FIVE}), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -206,6 +264,9 @@ QUERIES = {
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
     "op9_token_counts": op9_token_counts,
     "op10_html_text": op10_html_text,
+    "op11_whitening": op11_whitening,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_warc": op13_warc,
 }
 ORACLES: dict[str, str] = {
     "op1_line_dedup": _OP1_SQL,
@@ -213,4 +274,6 @@ ORACLES: dict[str, str] = {
     "op6_decontamination": _OP6_SQL,
     "op7_chat_format": _OP7_SQL,
     "op8_exact_top_k": _OP8_SQL,
+    "op12_lexical_search": _OP12_SQL,
+    "op13_warc": _OP13_SQL,
 }
