@@ -176,6 +176,33 @@ def scd2_published_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(table.read())
 
 
+def scd2_delta_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four loads over buckets, the last without a change; superseded bucket files are deleted in between."""
+    stages = states(spark, sf_dir)
+    empty, dim = empty_dim(spark, stages["day1"])
+    table = DimensionTable(spark, scratch_path(spark, "dim_customer"), empty.schema)
+    for stage, at in zip(["day1", "day2", "day1", "day1"], LOAD_TIMES):
+        table.load(stages[stage], dim, at, buckets=4)
+        table.retire(keep=2)
+    return shown(table.read())
+
+
+def scd2_digest_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the digests alone say a second load has to look at; every other key has equal rows on both days."""
+    stages = states(spark, sf_dir)
+    empty, dim = empty_dim(spark, stages["day1"])
+    table = DimensionTable(spark, scratch_path(spark, "dim_customer"), empty.schema)
+    table.load(stages["day1"], dim, LOAD_TIMES[0], buckets=4)
+    current = table._current(table.places(table.last()))
+    return table.delta(stages["day2"], dim, current).select("id", F.col("_why").alias("why"))
+
+
+DIGEST_DELTA_SQL = f"""WITH day1 AS ({DAY1}), day2 AS ({DAY2})
+SELECT coalesce(a.id, b.id) AS id, CASE WHEN b.id IS NULL THEN 'gone' ELSE 'touched' END AS why
+FROM day1 a FULL JOIN day2 b ON a.id = b.id
+WHERE a.id IS NULL OR b.id IS NULL OR NOT ({' AND '.join(f'a.{c} IS NOT DISTINCT FROM b.{c}' for c in BUSINESS)})"""
+
+
 # ---- change feeds ---------------------------------------------------------------
 
 FIRST_BATCH_BEFORE = "2024-01-16 00:00:00"
@@ -267,6 +294,73 @@ t AS (SELECT late.id, event_type, value, row_number() OVER (ORDER BY late.id) AS
 SELECT id, event_type, value, user_sk, seq, {_USER_SHOWN} FROM t"""
 
 
+#: Three batches of the feed, each as a condition on the sequence; the second is ahead of the third.
+BATCHES = [
+    f"seq < TIMESTAMP '{FIRST_BATCH_BEFORE}'",
+    "seq >= TIMESTAMP '2024-01-23 00:00:00'",
+    f"seq >= TIMESTAMP '{FIRST_BATCH_BEFORE}' AND seq < TIMESTAMP '2024-01-27 00:00:00'",
+]
+
+
+def cdc_three_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in three batches over buckets, one of them ahead of its time and one in part seen before."""
+    feed = user_feed(read(spark, sf_dir, "events"))
+    table, dim = user_dimension(spark, feed)
+    table.load(feed.drop("op").limit(0), dim, LOAD_TIMES[0], buckets=8)
+    for i, (where, at) in enumerate(zip(BATCHES, LOAD_TIMES)):
+        changes.apply_batch(table, dim, feed.where(where.replace("TIMESTAMP", "TIMESTAMP_NTZ")), i, at)
+    return shown_user(table.read())
+
+
+def batches_sql() -> str:
+    """The batches as sequential close and insert statements; table is t0..t3."""
+    same = "(n.event_type IS NOT DISTINCT FROM t.event_type AND n.value IS NOT DISTINCT FROM t.value)"
+    parts = [
+        _FEED,
+        "t0 AS (SELECT id, event_type, value, CAST(0 AS BIGINT) AS user_sk, seq, seq AS effective_from, seq AS effective_to, "
+        "FALSE AS current_flag, CAST(0 AS BIGINT) AS version FROM feed WHERE FALSE)",
+    ]
+    for i, (where, at) in enumerate(zip(BATCHES, LOAD_TIMES), 1):
+        parts.append(_latest(f"b{i}", where))
+        seen = " UNION ALL ".join(f"SELECT id, seq FROM b{j}" for j in range(1, i)) or "SELECT id, seq FROM feed WHERE FALSE"
+        parts.append(
+            f"n{i} AS (SELECT b.* FROM b{i} b LEFT JOIN (SELECT id, max(seq) AS m FROM ({seen}) GROUP BY id) s ON s.id = b.id "
+            "WHERE s.m IS NULL OR b.seq > s.m)"
+        )
+        closes = f"(t.current_flag AND n.id IS NOT NULL AND (n.op = 'D' OR NOT {same}))"
+        parts.append(
+            f"old{i} AS (SELECT t.id, t.event_type, t.value, t.user_sk, "
+            f"CASE WHEN t.current_flag AND n.id IS NOT NULL AND (n.op = 'D' OR {same}) THEN n.seq ELSE t.seq END AS seq, t.effective_from, "
+            f"CASE WHEN {closes} THEN TIMESTAMP '{at}' ELSE t.effective_to END AS effective_to, "
+            f"t.current_flag AND NOT {closes} AS current_flag, t.version FROM t{i - 1} t LEFT JOIN n{i} n ON t.id = n.id)"
+        )
+        parts.append(
+            f"ins{i} AS (SELECT n.id, n.event_type, n.value, "
+            f"(SELECT coalesce(max(user_sk), 0) FROM t{i - 1}) + row_number() OVER (ORDER BY n.id) AS user_sk, n.seq, "
+            f"TIMESTAMP '{at}' AS effective_from, TIMESTAMP '{OPEN_END}' AS effective_to, TRUE AS current_flag, "
+            f"CAST(coalesce(v.top, 0) + 1 AS BIGINT) AS version FROM n{i} n LEFT JOIN (SELECT * FROM t{i - 1} WHERE current_flag) t ON t.id = n.id "
+            f"LEFT JOIN (SELECT id, max(version) AS top FROM t{i - 1} GROUP BY id) v ON v.id = n.id "
+            f"WHERE n.op <> 'D' AND (t.id IS NULL OR NOT {same}))"
+        )
+        parts.append(f"t{i} AS (SELECT * FROM old{i} UNION ALL SELECT * FROM ins{i})")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT id, event_type, value, user_sk, seq, {_USER_SHOWN} FROM t{len(BATCHES)}"
+
+
+def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes without a key or a sequence: all are rejects of their run, by reason."""
+    feed = user_feed(read(spark, sf_dir, "events"))
+    feed = feed.withColumn("id", F.when(F.col("event_type") != "signup", F.col("id"))).withColumn("seq", F.when(F.col("value") >= 20, F.col("seq")))
+    table, dim = user_dimension(spark, feed)
+    run = changes.apply_batch(table, dim, feed, 0, LOAD_TIMES[0])
+    return table.rejects(run).groupBy("reason", "event_type").agg(F.count("*").alias("n_rows"), F.countDistinct("id").alias("n_users"))
+
+
+CDC_REJECTS_SQL = f"""WITH {_FEED}
+SELECT CASE WHEN event_type = 'signup' THEN 'null_key' ELSE 'null_seq' END AS reason, event_type, count(*) AS n_rows,
+  count(DISTINCT CASE WHEN event_type <> 'signup' THEN id END) AS n_users
+FROM feed WHERE event_type = 'signup' OR value IS NULL OR value < 20 GROUP BY ALL"""
+
+
 def scd2_load_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejects of a load whose stage has NULL keys, repeated keys and failed casts, with the state of their keys after it."""
     stages = states(spark, sf_dir)
@@ -345,7 +439,11 @@ QUERIES = {
     "scd2_quarantine": scd2_quarantine,
     "scd2_repair_one_current": scd2_repair_one_current,
     "scd2_published_runs": scd2_published_runs,
+    "scd2_delta_loads": scd2_delta_loads,
+    "scd2_digest_delta": scd2_digest_delta,
     "cdc_apply_latest": cdc_apply_latest,
+    "cdc_three_batches": cdc_three_batches,
+    "cdc_rejects": cdc_rejects,
     "cdc_stream": cdc_stream,
     "cdc_out_of_order": cdc_out_of_order,
     "scd2_load_with_rejects": scd2_load_with_rejects,
@@ -363,7 +461,11 @@ ORACLES = {
     "scd2_quarantine": QUARANTINE_SQL,
     "scd2_repair_one_current": REPAIR_SQL,
     "scd2_published_runs": loaded_sql("day1", "day2", "day1"),
+    "scd2_delta_loads": loaded_sql("day1", "day2", "day1", "day1"),
+    "scd2_digest_delta": DIGEST_DELTA_SQL,
     "cdc_apply_latest": CDC_SQL,
+    "cdc_three_batches": batches_sql(),
+    "cdc_rejects": CDC_REJECTS_SQL,
     "cdc_stream": CDC_STREAM_SQL,
     "cdc_out_of_order": CDC_ORDER_SQL,
     "scd2_load_with_rejects": REJECTS_SQL,

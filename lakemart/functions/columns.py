@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,6 +108,22 @@ def signature(columns: Iterable[str]) -> Column:
     return F.xxhash64(*parts)
 
 
+def row_digests(df: DataFrame, columns: Sequence[str]) -> tuple[Column, Column]:
+    """Two 64-bit digests of the columns, NULL apart from any value; the second reads them in reverse.
+
+    Rows that compare equal may differ here (0.0 and -0.0); rows that differ
+    have equal pairs with a chance of 2^-128.
+    """
+    kinds = dict(df.dtypes)
+    parts = [
+        (F.col(f"`{c}`").isNull(), F.col(f"`{c}`").cast("string") if "map<" in kinds[c] or kinds[c] == "variant" else F.col(f"`{c}`"))
+        for c in columns
+    ]
+    there = [x for pair in parts for x in pair]
+    back = [x for pair in reversed(parts) for x in pair]
+    return F.xxhash64(F.lit(1), *there), F.xxhash64(F.lit(2), *back)
+
+
 def same_values(left: str, right: str, columns: Iterable[str]) -> Column:
     """Null-safe equality of two struct columns over ``columns``; TRUE for none."""
     return all_of(F.col(left)[c].eqNullSafe(F.col(right)[c]) for c in columns)

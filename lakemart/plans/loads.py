@@ -169,7 +169,7 @@ def load_dimension(
     rejected = table.rejects(run).groupBy("reason").count().orderBy("reason").collect()
     detail = f"run {run}" + (f"; missing columns kept: {','.join(missing)}" if missing else "")
     detail += "".join(f"; rejected {r['reason']}: {r['count']}" for r in rejected)
-    return table.part("new").where(F.col("run") == run).count(), detail
+    return table.written(run).where("part = 'new'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], detail
 
 
 def load_dimensions(

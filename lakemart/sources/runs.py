@@ -9,20 +9,21 @@ per table is assumed.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Collection
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemart.functions.columns import row_digests
 from lakemart.operators import compare
 from lakemart.operators import scd2
-from lakemart.operators.keys import max_key
-from lakemart.session import scratch_scope
+from lakemart.session import delete_path, materialize, scratch_scope
 from lakemart.sources.tables import is_missing_path
 
-LOG = "run bigint, first_run bigint, load_ts string, batch_id bigint, last_key bigint, feed string"
+LOG = "run bigint, first_run bigint, load_ts string, batch_id bigint, last_key bigint, feed string, buckets bigint"
 
 
 @dataclass(frozen=True)
@@ -46,9 +47,16 @@ class RunTable:
         return self.log().orderBy(F.desc("run")).first()
 
     def publish(
-        self, run: int, first_run: int, load_ts: str, batch_id: int | None = None, last_key: int | None = None, feed: str | None = None
+        self,
+        run: int,
+        first_run: int,
+        load_ts: str,
+        batch_id: int | None = None,
+        last_key: int | None = None,
+        feed: str | None = None,
+        buckets: int | None = None,
     ) -> None:
-        row = [(run, first_run, load_ts, batch_id, last_key, feed)]
+        row = [(run, first_run, load_ts, batch_id, last_key, feed, buckets)]
         self.spark.createDataFrame(row, LOG).coalesce(1).write.mode("append").parquet(f"{self.root}/log")
 
     def part(self, name: str, partitions: str = "run bigint") -> DataFrame:
@@ -61,10 +69,10 @@ class RunTable:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def write(self, df: DataFrame, part: str, run: int, partition_by: str | None = None) -> None:
+    def write(self, df: DataFrame, part: str, run: int, *partition_by: str) -> None:
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
-            writer = writer.partitionBy(partition_by)
+            writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.root}/{part}/run={run}")
 
     def exists(self) -> bool:
@@ -92,37 +100,173 @@ class RunTable:
         self.publish(run, last["first_run"] if last else run, load_ts)
         return run
 
+    def retire(self) -> int:
+        """Delete the data of runs that a later ``replace`` has superseded; returns how many. No reader may be at work on them."""
+        last = self.last()
+        old = [r["run"] for r in self.log().where(F.col("run") < (last["first_run"] if last else 0)).collect()]
+        for run in old:
+            delete_path(self.spark, f"{self.root}/data/run={run}")
+        return len(old)
+
+
+# Digests of a row's compared columns, kept beside the current rows.
+DIGESTS = ("_d1", "_d2")
+_PLACE = "part string, bucket int, at bigint, n bigint"
+#: Keys of a bucket when the number of buckets is fixed; with four times as many they are split.
+BUCKET_KEYS = 200_000
+
 
 @dataclass(frozen=True)
 class DimensionTable(RunTable):
-    """A type-2 dimension as runs.
+    """A type-2 dimension as runs over buckets of the natural key.
 
-    ``rows/run=N/_kind=kept|closed`` holds what became of the previously current
-    rows, ``new/run=N`` the inserted ones. Current = kept and new of the last
-    run; history = closed of all runs. A load writes each current row once and
-    never rewrites history.
+    ``rows/run=N/_kind=kept|closed|insert/_bucket=b`` holds what became of the
+    current rows of a bucket, ``new/run=N/_bucket=b`` its inserted rows with
+    their keys. A run writes only the buckets that its delta touches;
+    ``places/run=N`` names for every bucket the run that holds it. Current =
+    kept and new of those places; history = closed of all runs.
+
+    The delta is found without reading wide rows: keys and two 64-bit digests of
+    the stage meet those of the current rows. Only the rows of keys that differ
+    there are read whole, and compared by value.
+
+    The number of buckets is a power of two; when the table has outgrown it, the
+    next load that touches a row writes all of them anew.
     """
 
-    def _rows(self, last, with_current: bool, with_history: bool) -> DataFrame:
-        names = self.schema.names
+    # ---- where things are --------------------------------------------------------
+
+    def bucket_of(self, key: Column, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+    def buckets_of(self, rows: DataFrame, nk: str, buckets: int) -> set[int]:
+        if buckets == 1:
+            return {0}
+        return {r[0] for r in rows.select(self.bucket_of(F.col(nk), buckets)).distinct().collect()}
+
+    def places(self, last) -> dict[tuple[str, int], tuple[int, int]]:
+        """``(part, bucket)`` to the run that holds it and its rows: some entries per bucket."""
         if last is None:
+            return {}
+        found = self.spark.read.schema(_PLACE).parquet(f"{self.root}/places/run={last['run']}").collect()
+        return {(r["part"], r["bucket"]): (r["at"], r["n"]) for r in found}
+
+    def _at(self, part: str, schema: T.StructType, places: dict, only: Collection[int] | None) -> DataFrame:
+        """The rows of one part in the given buckets, from the newest run of each."""
+        folder = {"kept": "rows", "new": "new", "state": "state"}[part]
+        kind = "/_kind=kept" if part == "kept" else ""
+        paths = [
+            f"{self.root}/{folder}/run={at}{kind}/_bucket={bucket}"
+            for (name, bucket), (at, n) in sorted(places.items())
+            if name == part and n and (only is None or bucket in only)
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    @property
+    def _digested(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, *[T.StructField(d, T.LongType()) for d in DIGESTS]])
+
+    def _current(self, places: dict, only: Collection[int] | None = None) -> DataFrame:
+        return self._at("kept", self._digested, places, only).unionByName(self._at("new", self._digested, places, only))
+
+    def _closed(self, last, only: Collection[int] | None = None) -> DataFrame:
+        if last is None:
+            return self.spark.createDataFrame([], self.schema)
+        schema = T.StructType([*self.schema.fields, *T.StructType.fromDDL("run bigint, _bucket int").fields])
+        try:
+            rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/rows").parquet(f"{self.root}/rows/run=*/_kind=closed")
+        except AnalysisException as error:
+            if not is_missing_path(error):
+                raise
             return self.spark.createDataFrame([], self.schema)
-        run = F.col("run")
-        kept = (F.col("_kind") == scd2.KEPT) & (run == last["run"]) & F.lit(with_current)
-        closed = (F.col("_kind") == scd2.CLOSED) & (run <= last["run"]) & F.lit(with_history)
-        rows = self.part("rows", "run bigint, _kind string").where(kept | closed).select(*names)
-        if not with_current:
-            return rows
-        return rows.unionByName(self.part("new").where(run == last["run"]).select(*names))
+        rows = rows.where(F.col("run") <= last["run"])
+        if only is not None:
+            # Before a split, a bucket's rows lay in the one with the same last digits.
+            sizes = [1 << i for i in range((last["buckets"] or 1).bit_length())]
+            rows = rows.where(F.col("_bucket").isin({b % m for b in only for m in sizes} | set(only)))
+        return rows.select(*self.schema.names)
 
     def read(self) -> DataFrame:
-        return self._rows(self.last(), True, True)
+        last = self.last()
+        return self._closed(last).unionByName(self.current())
 
     def current(self) -> DataFrame:
-        return self._rows(self.last(), True, False)
+        return self._current(self.places(self.last())).select(*self.schema.names)
 
     def history(self) -> DataFrame:
-        return self._rows(self.last(), False, True)
+        return self._closed(self.last())
+
+    def rejects(self, run: int) -> DataFrame:
+        """The stage rows that a run did not apply, with their ``reason``."""
+        try:
+            return self.spark.read.parquet(f"{self.root}/rejects/run={run}")
+        except AnalysisException as error:
+            if not is_missing_path(error):
+                raise
+            return self.spark.createDataFrame([], self.schema).withColumn("reason", F.lit("")).limit(0)
+
+    def written(self, run: int) -> DataFrame:
+        """``(part, bucket, at, n)`` of what one run wrote."""
+        return self.spark.read.schema(_PLACE).parquet(f"{self.root}/places/run={run}").where(F.col("at") == run)
+
+    # ---- loading -------------------------------------------------------------------
+
+    def applied(self, last, batch_id: int | None, feed: str | None) -> bool:
+        """Whether a batch of a feed is already part of the table."""
+        if last is None or batch_id is None:
+            return False
+        done = self.log().where(F.col("feed").eqNullSafe(F.lit(feed))).agg(F.max("batch_id")).first()[0]
+        return done is not None and batch_id <= done
+
+    def delta(
+        self, stage: DataFrame, dim: scd2.Dimension, current: DataFrame, close_missing: bool = True, delete_flag: str | None = None
+    ) -> DataFrame:
+        """``(key, _why)`` of every key of the stage or the current rows that a load has to look at.
+
+        ``_why``: touched, gone (missing from a full load), null_key,
+        duplicate_key, failed_cast. Reads the key and the digests of ``current``.
+        """
+        d1, d2 = row_digests(stage, [*dim.business, *dim.carried])
+        unfit = F.size("failed_casts") > 0 if "failed_casts" in stage.columns else F.lit(False)
+        deletes = F.coalesce(F.col(delete_flag), F.lit(False)) if delete_flag else F.lit(False)
+        # One narrow row per key: a hash aggregate whose partial side folds hot and NULL keys.
+        folded = (
+            stage.select(F.col(dim.nk), d1.alias("_d1"), d2.alias("_d2"), unfit.alias("_unfit"), deletes.alias("_deletes"))
+            .groupBy(dim.nk)
+            .agg(F.count("*").alias("_n"), F.min("_d1").alias("_d1"), F.min("_d2").alias("_d2"), F.max("_unfit").alias("_unfit"), F.max("_deletes").alias("_deletes"))
+        )
+        known = current.select(F.col(dim.nk).alias("_nk"), F.col("_d1").alias("_c1"), F.col("_d2").alias("_c2"), F.lit(True).alias("_known"))
+        met = folded.join(known, F.col(dim.nk) == F.col("_nk"), "full" if close_missing else "left")
+        has = F.coalesce("_known", F.lit(False))
+        same = has & (F.col("_d1") == F.col("_c1")) & (F.col("_d2") == F.col("_c2")) & ~F.col("_deletes")
+        why = (
+            F.when(F.col("_n").isNull(), "gone")
+            .when(F.col(dim.nk).isNull(), "null_key")
+            .when(F.col("_n") > 1, "duplicate_key")
+            .when(F.col("_unfit"), "failed_cast")
+            .when(same | (F.col("_deletes") & ~has), None)
+            .otherwise("touched")
+        )
+        return met.select(F.coalesce(dim.nk, "_nk").alias(dim.nk), why.alias("_why")).where("_why IS NOT NULL")
+
+    def _write_rejects(self, run: int, stage: DataFrame, dim: scd2.Dimension, delta: DataFrame, given: DataFrame | None, reasons: set[str]) -> None:
+        """Whole stage rows with their reason; a load without any writes none."""
+        parts = [] if given is None else [given]
+        if "null_key" in reasons:
+            parts.append(stage.where(F.col(dim.nk).isNull()).withColumn("reason", F.lit("null_key")))
+        if reasons & {"duplicate_key", "failed_cast"}:
+            held = delta.where("_why IN ('duplicate_key', 'failed_cast')").select(F.col(dim.nk), F.col("_why").alias("reason"))
+            both = stage.join(held, dim.nk)
+            parts.append(both.where("reason = 'duplicate_key'"))
+            if "failed_casts" in stage.columns:
+                parts.append(both.where(F.size("failed_casts") > 0).withColumn("reason", F.lit("failed_cast")))
+        if parts:
+            rows = parts[0]
+            for more in parts[1:]:
+                rows = rows.unionByName(more, allowMissingColumns=True)
+            self.write(rows, "rejects", run)
 
     def load(
         self,
@@ -132,63 +276,124 @@ class DimensionTable(RunTable):
         close_missing: bool = True,
         delete_flag: str | None = None,
         batch_id: int | None = None,
-        trusted_keys: bool = False,
         feed: str | None = None,
-        seq: str | None = None,
+        rejects: DataFrame | None = None,
+        state: DataFrame | None = None,
+        buckets: int | None = None,
     ) -> int:
         """Apply one stage and publish the result; returns the run number.
 
         A ``batch_id`` that the same ``feed`` has applied changes nothing; other
         feeds count for themselves. Rows with a NULL or repeated key, or with
         entries in ``failed_casts``, are published as ``rejects`` of the run and
-        leave the current row of their key as it is. With ``seq`` the deletes of
-        the stage are kept as ``(key, seq)``, so that an older change that comes
-        later is known to be older.
+        leave the current row of their key as it is; ``rejects`` adds further
+        ones, with their ``reason``. ``state`` replaces the stored state of the
+        buckets that its keys are in (see ``state_of``). Without
+        ``close_missing`` only the buckets of the stage's keys are read.
+        ``buckets`` fixes their number on the first load.
+
+        The stage is read twice, its second time for the keys of the delta only,
+        and once more where it has rejects: pin a stage that does not repeat.
         """
         last = self.last()
-        if last and batch_id is not None:
-            done = self.log().where(F.col("feed").eqNullSafe(F.lit(feed))).agg(F.max("batch_id")).first()[0]
-            if done is not None and batch_id <= done:
-                return last["run"]
-        run = (last["run"] if last else 0) + 1
-        last_key = last["last_key"] if last else 0
-        if trusted_keys:
-            rows = stage
-        else:
-            unfit = F.size("failed_casts") > 0 if "failed_casts" in stage.columns else F.lit(False)
-            named = compare.bad_key_rows(stage, [dim.nk])
-            fit_key = stage.where(unfit & F.col(dim.nk).isNotNull()).withColumn("reason", F.lit("failed_cast"))
-            self.write(named.unionByName(fit_key), "rejects", run)
-            rows = compare.one_row_per_key(stage.withColumn("_unfit", unfit), [dim.nk])
-            rows = rows.withColumn("_repeated", F.col("_repeated") | F.col("_unfit")).drop("_unfit", "failed_casts")
-        if seq is not None and delete_flag is not None:
-            self.write(stage.where(F.col(delete_flag)).select(dim.nk, seq), "deleted", run)
-        changes = scd2.scd2_changes(self._rows(last, True, False), rows, dim, load_ts, close_missing, delete_flag)
-        self.write(changes, "rows", run, partition_by="_kind")
-        written = self.part("rows", "run bigint, _kind string").where(
-            (F.col("run") == run) & (F.col("_kind") == scd2.INSERT)
-        )
+        if self.applied(last, batch_id, feed):
+            return last["run"]
+        run, last_key = (last["run"] + 1, last["last_key"]) if last else (1, 0)
+        old = self.places(last)
+        n = last["buckets"] if last else buckets and 1 << (buckets - 1).bit_length()
+        held = sum(rows for (part, _), (_, rows) in old.items() if part != "state")
+        split = last is not None and held > 4 * BUCKET_KEYS * n
+        near = None
+        if last and not close_missing and not split:
+            near = self.buckets_of(stage, dim.nk, n)
         with scratch_scope(self.spark):
-            inserts = written.select(*self.schema.names)
-            self.write(scd2.number_inserts(inserts, self._rows(last, False, True), dim, last_key), "new", run)
-        new = self.part("new").where(F.col("run") == run)
-        self.publish(run, 1, load_ts, batch_id, max(last_key, max_key(new, dim.sk)), feed)
+            delta = materialize(self.delta(stage, dim, self._current(old, near), close_missing, delete_flag), "delta")
+            moves = F.col("_why").isin("touched", "gone")
+            told = delta.groupBy("_why", (self.bucket_of(F.col(dim.nk), n) if n else F.lit(0)).alias("_bucket")).count().collect()
+            self._write_rejects(run, stage, dim, delta, rejects, {r["_why"] for r in told} - {"touched", "gone"})
+            touched = {r["_bucket"] for r in told if r["_why"] in ("touched", "gone")}
+            keys = sum(r["count"] for r in told if r["_why"] == "touched")
+            if n is None:
+                n = 1 << max(0, (keys - 1) // BUCKET_KEYS).bit_length()
+                touched = touched and set(range(n))
+            places = dict(old)
+            if split and touched:
+                n <<= max(1, (held // (BUCKET_KEYS * n)).bit_length() - 1)
+                touched, places = set(range(n)), {}
+                if state is not None:
+                    names = {r[0] for r in state.select(self.bucket_of(F.col(dim.nk), last["buckets"])).distinct().collect()}
+                    rest = {b for part, b in old if part == "state"} - names
+                    state = state.unionByName(self._at("state", state.schema, old, rest))
+                elif any(part == "state" for part, _ in old):
+                    raise ValueError("a table with the state of a feed is split by a batch of that feed")
+            if touched:
+                now = self._current(old, None if places != old else touched)
+                last_key += self._write_buckets(run, stage, dim, load_ts, delete_flag, delta.where(moves), now, touched, places, last, last_key, n)
+            if state is not None:
+                bucket = self.bucket_of(F.col(dim.nk), n)
+                self.write(state.withColumn("_bucket", bucket).repartition("_bucket"), "state", run, "_bucket")
+                found = self.spark.read.parquet(f"{self.root}/state/run={run}").groupBy("_bucket").count().collect()
+                places |= {("state", r["_bucket"]): (run, r["count"]) for r in found}
+        rows = [(part, b, at, n_rows) for (part, b), (at, n_rows) in places.items()]
+        self.write(self.spark.createDataFrame(rows, _PLACE).coalesce(1), "places", run)
+        self.publish(run, 1, load_ts, batch_id, last_key, feed, n)
         return run
 
-    def rejects(self, run: int) -> DataFrame:
-        """The stage rows that a run did not apply, with their ``reason``."""
-        return self.spark.read.parquet(f"{self.root}/rejects/run={run}")
+    def _write_buckets(
+        self, run: int, stage: DataFrame, dim: scd2.Dimension, load_ts: str, delete_flag: str | None,
+        moved: DataFrame, now: DataFrame, touched: set[int], places: dict, last, last_key: int, n: int,
+    ) -> int:
+        """Write the touched buckets anew, from their rows ``now``, and note their places; returns the number of inserts."""
+        bucket = self.bucket_of(F.col(dim.nk), n)
+        keys = moved.where("_why = 'touched'").select(dim.nk)
+        gone = moved.where("_why = 'gone'").select(dim.nk, F.lit(True).alias("_gone"))
+        d1, d2 = row_digests(stage, [*dim.business, *dim.carried])
+        deletes = F.coalesce(F.col(delete_flag), F.lit(False)) if delete_flag else F.lit(False)
+        wide = stage.select(dim.nk, *dim.business, *dim.carried, d1.alias("_d1"), d2.alias("_d2"), deletes.alias("_gone"))
+        rows = wide.join(keys, dim.nk, "left_semi").unionByName(gone, allowMissingColumns=True)
+        digested = replace(dim, carried=(*dim.carried, *DIGESTS))
+        changes = scd2.scd2_changes(now, rows, digested, load_ts, False, "_gone")
+        self.write(changes.withColumn("_bucket", bucket).repartition("_bucket"), "rows", run, "_kind", "_bucket")
+        counts = self.spark.read.parquet(f"{self.root}/rows/run={run}").groupBy("_kind", "_bucket").count().collect()
+        n_rows = {(r["_kind"], r["_bucket"]): r["count"] for r in counts}
+        inserted = {b: n_rows.get((scd2.INSERT, b), 0) for b in touched}
+        if any(inserted.values()):
+            inserts = self.spark.read.schema(self._digested).parquet(f"{self.root}/rows/run={run}/_kind={scd2.INSERT}")
+            numbered = scd2.number_inserts(inserts.select(*self._digested.names), self._closed(last, touched), dim, last_key)
+            self.write(numbered.withColumn("_bucket", bucket).repartition("_bucket"), "new", run, "_bucket")
+        for b in touched:
+            places[("kept", b)] = (run, n_rows.get((scd2.KEPT, b), 0))
+            places[("new", b)] = (run, inserted[b])
+        return sum(inserted.values())
+
+    # ---- state of feeds ------------------------------------------------------------
+
+    def state_of(self, last, keys: DataFrame, nk: str, schema: T.StructType) -> DataFrame:
+        """The stored state rows of all keys in the buckets of ``keys``; the other buckets are not read."""
+        if last is None:
+            return self.spark.createDataFrame([], schema)
+        return self._at("state", schema, self.places(last), self.buckets_of(keys, nk, last["buckets"]))
 
-    def deleted(self, nk: str, seq: str) -> DataFrame:
-        """``(key, seq)`` of every delete that a published run has seen."""
+    # ---- retention -----------------------------------------------------------------
+
+    def retire(self, keep: int = 1) -> int:
+        """Delete bucket files that none of the last ``keep`` runs refers to; returns how many folders.
+
+        Closed rows and rejects stay. No reader of an older run may be at work.
+        """
         last = self.last()
-        schema = T.StructType([self.schema[nk], self.schema[seq], T.StructField("run", T.LongType())])
         if last is None:
-            return self.spark.createDataFrame([], schema).select(nk, seq)
-        try:
-            rows = self.spark.read.schema(schema).parquet(f"{self.root}/deleted")
-        except AnalysisException as error:
-            if not is_missing_path(error):
-                raise
-            rows = self.spark.createDataFrame([], schema)
-        return rows.where(F.col("run") <= last["run"]).select(nk, seq)
+            return 0
+        schema = T.StructType.fromDDL(_PLACE + ", run bigint")
+        seen = self.spark.read.schema(schema).parquet(f"{self.root}/places").where(F.col("run") <= last["run"])
+        recent = F.col("run") > last["run"] - keep
+        ones = seen.where("n > 0").groupBy("part", "bucket", "at").agg(F.max(recent).alias("recent"))
+        old = ones.where("NOT recent").collect()
+        folder = {"kept": "rows/run={}/_kind=kept/_bucket={}", "new": "new/run={}/_bucket={}", "state": "state/run={}/_bucket={}"}
+        for r in old:
+            delete_path(self.spark, f"{self.root}/{folder[r['part']].format(r['at'], r['bucket'])}")
+        for run in range(1, last["run"] - keep + 1):
+            # The inserted rows without their keys have served once their run is published.
+            delete_path(self.spark, f"{self.root}/rows/run={run}/_kind={scd2.INSERT}")
+            delete_path(self.spark, f"{self.root}/places/run={run}")
+        return len(old)

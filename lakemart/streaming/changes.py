@@ -1,8 +1,10 @@
 """Change feeds into type-2 dimensions with Structured Streaming.
 
-A feed row is ``(op, seq, natural key, payload...)`` with op I, U or D. State
-lives in the dimension itself, so no watermark is needed: a change older than
-the one last applied to its key is ignored.
+A feed row is ``(op, seq, natural key, payload...)`` with op I, U or D. What was
+last applied to each key is kept beside the dimension as ``(key, last_seq,
+deleted)``, in the same buckets, so a batch reads the state of its own buckets
+only and no watermark is needed: a change that is not newer than the last one of
+its key is ignored.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakemart.operators.compare import latest_rows
@@ -19,24 +22,21 @@ from lakemart.session import materialize, scratch_scope
 from lakemart.sources.runs import DimensionTable
 
 
+def fit_changes(feed: DataFrame, nk: str, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
+    """Changes with a key and a sequence, and the others with their ``reason``."""
+    reason = F.when(F.col(nk).isNull(), "null_key").when(F.col(seq).isNull(), "null_seq")
+    marked = feed.withColumn("reason", reason)
+    return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
+
+
 def latest_changes(feed: DataFrame, nk: str, op: str = "op", seq: str = "seq") -> DataFrame:
     """The last change per key, with ``_delete`` in place of the operation."""
-    latest = latest_rows(feed.where(F.col(nk).isNotNull()), [nk], [seq, op])
-    return latest.withColumn("_delete", F.col(op) == "D").drop(op)
+    return latest_rows(feed, [nk], [seq, op]).withColumn("_delete", F.col(op) == "D").drop(op)
 
 
-def not_stale(changes: DataFrame, dimension: DataFrame, nk: str, seq: str = "seq") -> DataFrame:
-    """Changes newer than anything applied to their key, history included."""
-    seen = (
-        dimension.select(nk, seq)
-        .join(changes.select(nk), nk, "left_semi")
-        .groupBy(nk)
-        .agg(F.max(seq).alias("_seen"))
-    )
-    return (
-        changes.join(seen, nk, "left")
-        .where(F.col("_seen").isNull() | (F.col(seq) > F.col("_seen")))
-        .drop("_seen")
+def state_schema(schema: T.StructType, nk: str, seq: str = "seq") -> T.StructType:
+    return T.StructType(
+        [T.StructField(nk, schema[nk].dataType), T.StructField("last_seq", schema[seq].dataType), T.StructField("deleted", T.BooleanType())]
     )
 
 
@@ -51,22 +51,24 @@ def apply_batch(
 ) -> int:
     """Apply one micro-batch; applying the same batch of the same ``feed_id`` again changes nothing.
 
-    Deletes are remembered with their ``seq``, also those of keys not seen yet.
+    Changes without a key or a sequence are the rejects of the run. Deletes are
+    remembered with their ``seq``, also those of keys not seen yet.
     """
+    last = table.last()
+    if table.applied(last, batch_id, feed_id):
+        return last["run"]
+    nk = dim.nk
     with scratch_scope(table.spark):
-        latest = materialize(latest_changes(feed, dim.nk, seq=seq), "changes")
-        known = table.read().select(dim.nk, seq).unionByName(table.deleted(dim.nk, seq))
-        stage = not_stale(latest, known, dim.nk, seq)
+        fit, unfit = fit_changes(feed, nk, seq)
+        latest = materialize(latest_changes(fit, nk, seq=seq), "changes")
+        known = table.state_of(last, latest, nk, state_schema(latest.schema, nk, seq))
+        newer = latest.join(known.select(nk, "last_seq"), nk, "left").where(F.col("last_seq").isNull() | (F.col(seq) > F.col("last_seq")))
+        stage = materialize(newer.drop("last_seq"), "changes")
+        # The whole state of the batch's buckets: what it had, and what is newer now.
+        seen = stage.select(nk, F.col(seq).alias("last_seq"), F.col("_delete").alias("deleted"))
+        state = known.join(seen, nk, "left_anti").unionByName(seen)
         return table.load(
-            stage,
-            dim,
-            load_ts,
-            close_missing=False,
-            delete_flag="_delete",
-            batch_id=batch_id,
-            trusted_keys=True,
-            feed=feed_id,
-            seq=seq,
+            stage, dim, load_ts, close_missing=False, delete_flag="_delete", batch_id=batch_id, feed=feed_id, rejects=unfit, state=state
         )
 
 

@@ -102,8 +102,8 @@ def test_unpublished_run_is_not_read(spark, dim, folder):
     schema, d = dim
     table = DimensionTable(spark, folder + "/dim", schema)
     table.load(stage(spark, (1, "a", 1.0)), d, T1)
-    leftovers = scd2.scd2_changes(table.current(), stage(spark, (1, "z", 1.0)), d, T2)
-    table.write(leftovers, "rows", 2, partition_by="_kind")
+    leftovers = scd2.scd2_changes(table.current(), stage(spark, (1, "z", 1.0)), d, T2).withColumn("_bucket", F.lit(0))
+    table.write(leftovers, "rows", 2, "_kind", "_bucket")
     assert by_version(table.read()) == {(1, 1): ("a", True, "9999-12-31 23:59:59")}
     table.load(stage(spark, (1, "b", 1.0)), d, T3)
     assert by_version(table.read()) == {
@@ -175,3 +175,131 @@ def test_insert_only(spark):
     assert after(None) == after(empty) == after(zeros) == after(zeros.drop("pk")) == whole
     partly = spark.createDataFrame([(7, 20, "kept")], new.schema)
     assert after(partly) == [(7, 20, "kept"), (8, 10, "a"), (9, 30, "c")]
+
+
+# ---- delta-sized loads -----------------------------------------------------------
+
+
+def bytes_of(path, part):
+    import os
+
+    return {
+        os.path.relpath(os.path.join(d, f), path): os.path.getsize(os.path.join(d, f))
+        for d, _, names in os.walk(f"{path}/{part}")
+        for f in names
+        if f.endswith(".parquet")
+    }
+
+
+def things(spark, changed=(), without=(), n=400):
+    rows = [(i, f"n{i}" + ("!" if i in changed else ""), float(i)) for i in range(n) if i not in without]
+    return spark.createDataFrame(rows, STAGE)
+
+
+def test_loads_write_the_buckets_of_their_delta(spark, dim, folder):
+    schema, d = dim
+    path = folder + "/dim"
+    table = DimensionTable(spark, path, schema)
+    table.load(things(spark), d, T1, buckets=16)
+    first = {part: bytes_of(path, part) for part in ("rows", "new")}
+    for _ in range(3):  # nothing changed: no row, no byte
+        run = table.load(things(spark), d, T2)
+        assert table.written(run).count() == 0
+        assert {part: bytes_of(path, part) for part in ("rows", "new")} == first
+    run = table.load(things(spark, changed={7}, without={9}), d, T3)
+    touched = {r["bucket"] for r in table.written(run).collect()}
+    assert len(touched) in (1, 2)
+    assert table.current().count() == 399 and table.history().count() == 2
+    got = by_version(table.read())
+    assert got[(7, 2)] == ("n7!", True, "9999-12-31 23:59:59") and got[(7, 1)][1:] == (False, T3) and got[(9, 1)][1:] == (False, T3)
+    # A returning key finds its version in the closed rows of its bucket.
+    table.load(things(spark, changed={7}), d, T3)
+    assert by_version(table.read())[(9, 2)][1] is True
+    assert sorted(r["thing_sk"] for r in table.read().collect()) == list(range(1, 403))
+
+
+def test_equal_digests_are_enough_to_leave_a_row(spark, dim, folder):
+    """Unchanged rows are read as key and digests: the plan of the delta asks for three columns of the current rows."""
+    schema, d = dim
+    table = DimensionTable(spark, folder + "/dim", schema)
+    table.load(things(spark), d, T1, buckets=4)
+    current = table._current(table.places(table.last()))
+    plan = table.delta(things(spark, changed={3}), d, current)._jdf.queryExecution().executedPlan().toString()
+    reads = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert reads and all("ReadSchema: struct<id:int,_d1:bigint,_d2:bigint>" in line for line in reads)
+    assert [tuple(r) for r in table.delta(things(spark, changed={3}), d, current).collect()] == [(3, "touched")]
+
+
+def test_tables_that_outgrow_their_buckets_are_split(spark, dim, folder, monkeypatch):
+    from lakemart.sources import runs
+
+    schema, d = dim
+    table = DimensionTable(spark, folder + "/dim", schema)
+    memory = scd2.scd2_apply(spark.createDataFrame([], schema), things(spark, n=50), d, T1)
+    table.load(things(spark, n=50), d, T1, buckets=1)
+    table.load(things(spark, changed={1}, without={2}, n=60), d, T2)
+    memory = scd2.scd2_apply(memory, things(spark, changed={1}, without={2}, n=60), d, T2)
+    monkeypatch.setattr(runs, "BUCKET_KEYS", 10)
+    table.load(things(spark, n=90), d, T3)
+    memory = scd2.scd2_apply(memory, things(spark, n=90), d, T3)
+    assert table.last()["buckets"] == 4
+    assert by_version(table.read()) == by_version(memory)
+    table.load(things(spark, without={1}, n=90), d, T3)
+    assert len({r["bucket"] for r in table.written(4).collect()}) == 1
+    assert by_version(table.read()) == by_version(scd2.scd2_apply(memory, things(spark, without={1}, n=90), d, T3))
+
+
+def test_retired_runs_leave_the_last_ones(spark, dim, folder):
+    schema, d = dim
+    path = folder + "/dim"
+    table = DimensionTable(spark, path, schema)
+    for i, at in enumerate((T1, T2, T3)):
+        table.load(things(spark, changed={i}), d, at, buckets=8)
+    before, held = by_version(table.read()), sum(len(bytes_of(path, p)) for p in ("rows", "new"))
+    assert table.retire(keep=2) > 0
+    assert by_version(table.read()) == before
+    assert sum(len(bytes_of(path, p)) for p in ("rows", "new")) < held
+    table.retire(keep=1)
+    assert table.retire(keep=1) == 0
+    table.load(things(spark), d, T3)
+    assert by_version(table.read())[(2, 3)][1] is True
+
+
+def feed_table(spark, folder):
+    schema = shape.dim_schema(spark.createDataFrame([], "id int, seq int, name string, score double").schema, "thing")
+    return DimensionTable(spark, folder + "/dim", schema), scd2.Dimension.of(schema.names, "thing", carried=["seq"])
+
+
+def test_a_one_key_batch_reads_one_bucket(spark, folder, monkeypatch):
+    table, d = feed_table(spark, folder)
+    rows = [("I", i, i, f"n{i}", 1.0) for i in range(200)]
+    schema = shape.dim_schema(spark.createDataFrame([], "id int, seq int, name string, score double").schema, "thing")
+    table.load(spark.createDataFrame([], "id int, seq int, name string, score double"), d, T1, buckets=16)
+    changes.apply_batch(table, d, feed(spark, *rows), 0, T1)
+    reads = []
+    at = DimensionTable._at
+
+    def seen(self, part, wanted, places, only):
+        reads.append((part, only))
+        return at(self, part, wanted, places, only)
+
+    monkeypatch.setattr(DimensionTable, "_at", seen)
+    run = changes.apply_batch(table, d, feed(spark, ("U", 999, 7, "new", 2.0)), 1, T2)
+    assert reads and all(only is not None and len(only) == 1 for _, only in reads)
+    assert {r["bucket"] for r in table.written(run).collect()} == set().union(*(only for _, only in reads))
+    monkeypatch.undo()
+    assert by_version(table.read())[(7, 2)][0] == "new" and table.current().count() == 200
+    assert schema == table.schema
+
+
+def test_feed_rejects_and_state(spark, folder):
+    table, d = feed_table(spark, folder)
+    run = changes.apply_batch(
+        table, d, feed(spark, ("I", 5, 1, "a", 1.0), ("U", None, 1, "no seq", 1.0), ("I", 6, None, "no key", 1.0), ("D", 9, 2, None, None)), 0, T1
+    )
+    assert sorted((r["id"] or 0, r["name"], r["reason"]) for r in table.rejects(run).collect()) == [(0, "no key", "null_key"), (1, "no seq", "null_seq")]
+    run = changes.apply_batch(table, d, feed(spark, ("U", None, 1, "again", 1.0), ("I", 8, 2, "before its delete", 1.0)), 1, T2)
+    assert [r["name"] for r in table.rejects(run).collect()] == ["again"]
+    assert by_version(table.read()) == {(1, 1): ("a", True, "9999-12-31 23:59:59")}
+    state = table._at("state", changes.state_schema(table.schema, "id"), table.places(table.last()), None)
+    assert sorted(tuple(r) for r in state.collect()) == [(1, 5, False), (2, 9, True)]
