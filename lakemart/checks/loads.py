@@ -200,6 +200,12 @@ def reconcile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.reconcile(found["day1"], found["day2"], ["id"])
 
 
+def reconcile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The findings of ``reconcile_rows``, looking at rows only where digests of key buckets differ."""
+    found = history.states(spark, sf_dir)
+    return quality.reconcile_by_digest(found["day1"], found["day2"], ["id"])
+
+
 RECONCILE_SQL = f"""WITH day1 AS ({history.DAY1}), day2 AS ({history.DAY2}), j AS (
 SELECT coalesce(a.id, b.id) AS id, CASE WHEN b.id IS NULL THEN 'missing_target' WHEN a.id IS NULL THEN 'missing_source'
   WHEN NOT ({' AND '.join(f'a.{c} IS NOT DISTINCT FROM b.{c}' for c in history.BUSINESS)}) THEN 'mismatch' END AS kind
@@ -521,6 +527,7 @@ QUERIES = {
     "file_like_share": file_like_values,
     "reconcile_rows": reconcile_rows,
     "reconcile_duplicates": reconcile_duplicates,
+    "reconcile_digest": reconcile_digest,
     "reconcile_verdict": reconcile_verdict,
     "pk_duplicates": pk_duplicates,
     "fk_orphans": fk_orphans,
@@ -549,6 +556,7 @@ ORACLES = {
     "file_like_share": FILE_LIKE_SQL,
     "reconcile_duplicates": RECONCILE_DUPLICATES_SQL,
     "reconcile_rows": RECONCILE_SQL + "SELECT * FROM j WHERE kind IS NOT NULL",
+    "reconcile_digest": RECONCILE_SQL + "SELECT * FROM j WHERE kind IS NOT NULL",
     "reconcile_verdict": VERDICT_SQL,
     "pk_duplicates": PK_SQL,
     "fk_orphans": ORPHANS_SQL,

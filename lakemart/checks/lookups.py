@@ -217,20 +217,33 @@ SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_or
 FROM (SELECT DISTINCT l_returnflag, l_shipdate, l_orderkey FROM lineitem)"""
 
 
+def chunked_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of each return flag in ship order, in cells of at most 1,000: one flag holds half of all lines."""
+    lines = read(spark, sf_dir, "lineitem").select("l_returnflag", "l_shipdate", "l_orderkey")
+    made = bridge.bridge_chunks(lines, "l_returnflag", "l_orderkey", ["l_shipdate"], "order_ids", size=1000)
+    return made.withColumn("order_ids", as_text("order_ids"))
+
+
+CHUNKS_SQL = f"""
+SELECT l_returnflag, (position - 1) // 1000 + 1 AS chunk_no, count(*) AS n_members,
+  array_to_string(list(l_orderkey ORDER BY position), ',') AS order_ids
+FROM ({BRIDGE_ROWS_SQL}) GROUP BY 1, 2"""
+
+
 def risk_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts to current suppliers; [0] where none is known (few suppliers are current)."""
-    suppliers = sk_dim(read(spark, sf_dir, "supplier"), "supplier", "s_suppkey").where("s_suppkey % 20 = 7")
+    """Parts to current suppliers, those without debt; [0] where none is known, as for the five parts past the last one."""
+    suppliers = sk_dim(read(spark, sf_dir, "supplier"), "supplier", "s_suppkey").where("s_acctbal > 0")
     links = read(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
     sets = bridge.linked_members(links, "l_partkey", "l_suppkey", suppliers, "supplier_sk", "sks")
-    parts = attach(read(spark, sf_dir, "part").select("p_partkey"), sets, "p_partkey", {"sks": "sks"}, nk="l_partkey")
+    parts = attach(read(spark, sf_dir, "part").select((F.col("p_partkey") + 5).alias("p_partkey")), sets, "p_partkey", {"sks": "sks"}, nk="l_partkey")
     unknown = F.array(F.lit(0).cast("bigint"))
     return parts.select("p_partkey", as_text(F.coalesce("sks", unknown)).alias("supplier_sks"))
 
 
 RISK_BRIDGE_SQL = """
-SELECT p_partkey, coalesce(array_to_string(sks, ','), '0') AS supplier_sks FROM part
+SELECT p.p_partkey, coalesce(array_to_string(sks, ','), '0') AS supplier_sks FROM (SELECT p_partkey + 5 AS p_partkey FROM part) p
 LEFT JOIN (SELECT l_partkey, list(DISTINCT s_suppkey + 1 ORDER BY s_suppkey + 1) AS sks
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_suppkey % 20 = 7 GROUP BY 1) ON p_partkey = l_partkey"""
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal > 0 GROUP BY 1) ON p_partkey = l_partkey"""
 
 ROLES = ["first_id", "second_id", "third_id", "fourth_id", "fifth_id", "sixth_id"]
 ROLE_EXPRS = [
@@ -297,6 +310,7 @@ QUERIES = {
     "bridge_max_child": max_child,
     "bridge_ordered": ordered_bridge,
     "bridge_rows": bridge_as_rows,
+    "bridge_chunks": chunked_bridge,
     "bridge_risk_unknown": risk_bridge,
     "role_array": role_array,
     "event_milestones": event_milestones,
@@ -315,6 +329,7 @@ ORACLES = {
     "bridge_max_child": MAX_CHILD_SQL,
     "bridge_ordered": ORDERED_BRIDGE_SQL,
     "bridge_rows": BRIDGE_ROWS_SQL,
+    "bridge_chunks": CHUNKS_SQL,
     "bridge_risk_unknown": RISK_BRIDGE_SQL,
     "role_array": ROLE_ARRAY_SQL,
     "event_milestones": MILESTONES_SQL,

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.checks.inputs import Derived, Star, arrays_as_text, child, entity, list_text, read
-from lakemart.operators import versioned
+from lakemart.checks.inputs import Derived, Star, arrays_as_text, calendar_sql, child, entity, list_text, read
+from lakemart.operators import compare, quality, versioned
 from lakemart.operators.calendar import status_dim
+from lakemart.operators.keys import dense_keys
+from lakemart.operators.lookup import current
 from lakemart.plans import facts
+from lakemart.plans.star import REFERENCES
+from lakemart.session import scratch_path
+from lakemart.sources.runs import KeyMap
 
 ORDER_DAYS = ("1995-01-01", "1999-12-31")
 EVENT_DAYS = ("2024-01-05", "2024-12-31")
@@ -555,7 +560,7 @@ LEARNER_SIGNATURE = [
 def fact_learner(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact_now = None
     for dims in (LEARNER_EARLIER, LEARNER_LATER):
-        rows = facts.learner(Star(ORDER_DAYS, dims).tables(spark, sf_dir))
+        rows = facts.learner(Star(ORDER_DAYS, dims).tables(spark, sf_dir)).drop("learner_programme_id")
         fact_now = versioned.versioned_upsert(
             fact_now, rows, ["learner_programme_sk"], LEARNER_SIGNATURE, "learner_fact_id"
         )
@@ -593,6 +598,191 @@ added AS (SELECT (SELECT max(learner_fact_id) FROM loaded) + row_number() OVER (
 SELECT * FROM kept UNION ALL SELECT * FROM added"""
 
 
+# Every line of an order is a placement; the surrogate key of half the programmes has moved by the second load.
+DURABLE_PLACEMENTS = {
+    "dim_lpd_learnerprogrammeplacement": Derived(
+        "lineitem", {"learner_programme_id": "l_orderkey", "created_at": "l_shipdate"}, current="l_returnflag <> 'R'"
+    )
+}
+_MOVED = LEARNER_LATER["dim_lpd_learnerprogramme"]
+DURABLE_LOADS = (
+    {**LEARNER_EARLIER, **DURABLE_PLACEMENTS},
+    {
+        **LEARNER_LATER,
+        **DURABLE_PLACEMENTS,
+        "dim_lpd_learnerprogramme": Derived(
+            _MOVED.table,
+            {**_MOVED.columns, "lpd_learnerprogramme_sk": "CASE WHEN o_orderstatus = 'O' THEN o_orderkey + 100000000 ELSE o_orderkey + 1 END"},
+            _MOVED.where,
+            _MOVED.current,
+        ),
+    },
+)
+_COMPARED = [c for c in LEARNER_SIGNATURE if c != "learner_programme_sk"]
+
+
+def fact_learner_durable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads keyed on the natural id: moved surrogate keys are pointed anew, several placements count as the latest."""
+    fact_now = None
+    for dims in DURABLE_LOADS:
+        rows = facts.learner(Star(ORDER_DAYS, dims).tables(spark, sf_dir))
+        fact_now = versioned.versioned_upsert(
+            fact_now, rows, ["learner_programme_id"], _COMPARED, "learner_fact_id", carried=["learner_programme_sk"]
+        )
+    return fact_now
+
+
+def learner_durable_sql() -> str:
+    def rows(dims: dict) -> str:
+        return f"""
+SELECT r.id AS learner_programme_id, {or_zero('a.date_id', 'contract_date_id')}, {or_zero('b.date_id', 'placement_date_id')},
+  {or_zero('c.date_id', 'completion_date_id')}, {or_zero('d.date_id', 'employment_date_id')},
+  r.lpd_learnerprogramme_sk AS learner_programme_sk, {or_zero('u.learner_learner_sk', 'learner_sk')},
+  CAST(coalesce(s.lpd_learningprogrammesla_sk, 0) AS BIGINT) AS sla_sk,
+  {or_zero('p.lpd_learningprogramme_sk', 'learning_programme_sk')}
+FROM ({dims['dim_lpd_learnerprogramme'].sql()}) r
+LEFT JOIN (SELECT learner_programme_id, max(created_at) AS created_at FROM ({dims['dim_lpd_learnerprogrammeplacement'].sql()})
+  GROUP BY 1) m ON r.id = m.learner_programme_id
+LEFT JOIN dim_lpd_learnerprogrammetermination n ON r.id = n.learner_programme_id
+{day('a', 'r.created_at')} {day('b', 'm.created_at')} {day('c', 'n.termination_date')} {day('d', 'r.date_employed')}
+{dim('p', 'lpd_learningprogramme', 'r.learning_programme_id')}
+{dim('s', 'lpd_learningprogrammesla', 'r.learning_programme_sla_id')} {dim('u', 'learner_learner', 'r.learner_id')}"""
+
+    columns = ["learner_programme_id", *LEARNER_SIGNATURE]
+    same = " AND ".join(f"o.{c} IS NOT DISTINCT FROM n.{c}" for c in _COMPARED)
+    held = ", ".join(
+        f"CASE WHEN {same} THEN n.{c} ELSE o.{c} END AS {c}" if c == "learner_programme_sk" else f"o.{c}" for c in columns
+    )
+    return f"""{STARS['fact_learner'].ctes()},
+earlier AS ({rows(DURABLE_LOADS[0])}),
+later AS ({rows(DURABLE_LOADS[1])}),
+loaded AS (SELECT row_number() OVER (ORDER BY learner_programme_id) AS learner_fact_id, {', '.join(columns)} FROM earlier),
+kept AS (SELECT o.learner_fact_id, {held}, (n.learner_programme_id IS NULL OR ({same})) AS fact_current_flag
+  FROM loaded o LEFT JOIN later n ON o.learner_programme_id = n.learner_programme_id),
+added AS (SELECT (SELECT max(learner_fact_id) FROM loaded) + row_number() OVER (ORDER BY n.learner_programme_id) AS learner_fact_id,
+    {', '.join('n.' + c for c in columns)}, TRUE AS fact_current_flag
+  FROM later n LEFT JOIN loaded o ON o.learner_programme_id = n.learner_programme_id
+  WHERE o.learner_programme_id IS NULL OR NOT ({same}))
+SELECT * FROM kept UNION ALL SELECT * FROM added"""
+
+
+# ---- a key of two columns, and rows that have none ---------------------------------
+
+_TWO_KEYS = ["order_id", "line_no"]
+#: Lines as a versioned fact; a line that came back has no number on the second day, and its price has moved.
+LINES_DAY1 = "SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_quantity AS quantity, l_suppkey AS supplier_id FROM lineitem"
+LINES_DAY2 = """SELECT l_orderkey AS order_id, CASE WHEN l_returnflag <> 'R' THEN l_linenumber END AS line_no,
+  CASE WHEN l_linestatus = 'F' THEN l_quantity + 1 ELSE l_quantity END AS quantity, l_suppkey AS supplier_id FROM lineitem"""
+
+
+def line_loads(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    lines = read(spark, sf_dir, "lineitem")
+    return [spark.sql(sql.replace("FROM lineitem", "FROM {lineitem}"), lineitem=lines) for sql in (LINES_DAY1, LINES_DAY2)]
+
+
+def versioned_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of lines keyed by order and number; rows without a whole or with a repeated key take no part."""
+    fact_now = None
+    for rows in line_loads(spark, sf_dir):
+        fit, _ = compare.split_bad_keys(rows, _TWO_KEYS)
+        fact_now = versioned.versioned_upsert(fact_now, fit, _TWO_KEYS, ["quantity", "supplier_id"], "line_sk")
+    return fact_now
+
+
+_FIT = "WHERE order_id IS NOT NULL AND line_no IS NOT NULL QUALIFY count(*) OVER (PARTITION BY order_id, line_no) = 1"
+TWO_KEYS_SQL = f"""WITH day1 AS (SELECT * FROM ({LINES_DAY1}) {_FIT}), day2 AS (SELECT * FROM ({LINES_DAY2}) {_FIT}),
+t AS (SELECT row_number() OVER (ORDER BY order_id, line_no) AS line_sk, * FROM day1),
+j AS (SELECT n.*, t.line_sk, (t.quantity IS NOT DISTINCT FROM n.quantity AND t.supplier_id IS NOT DISTINCT FROM n.supplier_id) AS same
+  FROM day2 n LEFT JOIN t ON t.order_id = n.order_id AND t.line_no = n.line_no)
+SELECT t.*, NOT coalesce(NOT j.same, FALSE) AS fact_current_flag FROM t LEFT JOIN j ON j.line_sk = t.line_sk
+UNION ALL SELECT (SELECT max(line_sk) FROM t) + row_number() OVER (ORDER BY order_id, line_no), order_id, line_no, quantity, supplier_id, TRUE
+FROM j WHERE line_sk IS NULL OR NOT same"""
+
+
+def versioned_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of both loads of lines that have no whole or a repeated key, by reason."""
+    parts = [
+        compare.split_bad_keys(rows, _TWO_KEYS)[1].groupBy("reason").agg(F.count("*").alias("n_rows"), F.sum("quantity").alias("quantity")).withColumn("load", F.lit(i))
+        for i, rows in enumerate(line_loads(spark, sf_dir), 1)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+VERSIONED_REJECTS_SQL = "\nUNION ALL ".join(
+    f"""SELECT reason, count(*) AS n_rows, sum(quantity) AS quantity, {i} AS load FROM (
+SELECT *, CASE WHEN order_id IS NULL OR line_no IS NULL THEN 'null_key'
+  WHEN count(*) OVER (PARTITION BY order_id, line_no) > 1 THEN 'duplicate_key' END AS reason FROM ({sql})) WHERE reason IS NOT NULL GROUP BY reason"""
+    for i, sql in enumerate((LINES_DAY1, LINES_DAY2), 1)
+)
+
+
+def insert_only_null_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of two days, pending ones without an id: the later load adds none of them, and counts them as rejects."""
+    orders_ = read(spark, sf_dir, "orders")
+    rows = orders_.select(F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("order_id"), "o_orderdate", "o_totalprice")
+    first = dense_keys(rows.where(F.col("o_orderdate") < F.lit(FIRST_LOAD_BEFORE)), ["order_id", "o_orderdate", "o_totalprice"], "order_sk")
+    numbered = rows.withColumn("order_sk", F.lit(0).cast("bigint"))
+    loaded = versioned.insert_only(first, numbered.select(*first.columns), "order_id", "order_sk").withColumn("reason", F.lit("loaded"))
+    return loaded.unionByName(versioned.nameless_rows(numbered, "order_id").select(*loaded.columns))
+
+
+# ---- keys that outlive a rebuild ---------------------------------------------------
+
+_COMPANIES = STARS["fact_company"]
+_COMPANY = _COMPANIES.dims["dim_company_company"]
+_EARLY_COMPANIES = {
+    **_COMPANIES.dims,
+    "dim_company_company": Derived(_COMPANY.table, _COMPANY.columns, "c_mktsegment <> 'BUILDING'", _COMPANY.current),
+}
+
+
+def fact_company_second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The company fact replaced by a larger one: rows that it had keep their keys."""
+    root, made = scratch_path(spark, "fact_company_keys"), None
+    for dims in (_EARLY_COMPANIES, _COMPANIES.dims):
+        rows = facts.company(Star(ORDER_DAYS, dims).tables(spark, sf_dir))
+        made = KeyMap.of(spark, root, rows, ["company_sk"], "company_fact_id").assign(rows, "2024-03-01 00:00:00")
+    return made.select("company_fact_id", "company_sk", "industry_sk", "province_sk")
+
+
+# ---- every declared reference --------------------------------------------------------
+
+
+def declared(name: str) -> dict[str, tuple[str, str]]:
+    """References of a fact whose dimension its star has; the dimension is named per fact here."""
+    known = {"dim_date", *STARS[name].dims}
+    return {fk: (f"{name}/{d}", key) for fk, (d, key) in REFERENCES.get(name, {}).items() if d in known}
+
+
+CHECKED = [name for name in SELECTS if name in STARS and declared(name)]
+
+
+def star_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphans and unknown members of every declared foreign key of every fact, stacked into one join."""
+    made, dims = {}, {}
+    for name in CHECKED:
+        t = STARS[name].tables(spark, sf_dir)
+        made[name] = (fact_appeal if name == "fact_appeal" else fact(name))(spark, sf_dir)
+        dims |= {d: current(t(d.partition("/")[2])) for d, _ in declared(name).values()}
+    return quality.star_check(made, {name: declared(name) for name in CHECKED}, dims)
+
+
+def star_check_sql() -> str:
+    parts = []
+    for name in CHECKED:
+        star = STARS[name]
+        for fk, (d, key) in declared(name).items():
+            d = d.partition("/")[2]
+            known = calendar_sql(*star.days) if d == "dim_date" else star.dims[d].sql()
+            parts.append(
+                f"SELECT '{name}' AS \"table\", '{fk}' AS fk, count(v) AS n_rows, "
+                "count(*) FILTER (WHERE v <> 0 AND NOT held) AS n_orphans, count(*) FILTER (WHERE v = 0 AND NOT held) AS n_unknown "
+                f"FROM (SELECT f.{fk} AS v, EXISTS (SELECT 1 FROM ({known}) k WHERE k.{key} = f.{fk}) AS held "
+                f"FROM ({star.ctes()}{SELECTS[name]}) f)"
+            )
+    return "\nUNION ALL ".join(parts)
+
+
 # Disbursements ordered before this day are loaded first, the rest by the next load.
 FIRST_LOAD_BEFORE = "1998-01-01"
 _PK, _ID = "learningprogramme_disbursement_fact_id", "learningprogrammedisbursement_id"
@@ -629,9 +819,30 @@ QUERIES = {
     "fact_appeal": fact_appeal,
     "fact_learner": fact_learner,
     "fact_disbursement_insert_only": disbursement_insert_only,
+    "fact_learner_durable": fact_learner_durable,
+    "versioned_two_keys": versioned_two_keys,
+    "versioned_rejects": versioned_rejects,
+    "insert_only_null_ids": insert_only_null_ids,
+    "fact_company_second_load": fact_company_second_load,
+    "star_check": star_check,
 }
 ORACLES = {
     **{name: STARS[name].ctes() + select for name, select in SELECTS.items()},
     "fact_learner": learner_sql(),
     "fact_disbursement_insert_only": disbursement_insert_only_sql(),
+    "fact_learner_durable": learner_durable_sql(),
+    "versioned_two_keys": TWO_KEYS_SQL,
+    "versioned_rejects": VERSIONED_REJECTS_SQL,
+    "insert_only_null_ids": f"""WITH o AS (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS order_id, o_orderdate, o_totalprice FROM orders),
+first AS (SELECT row_number() OVER (ORDER BY order_id NULLS LAST, o_orderdate, o_totalprice) AS order_sk, * FROM o WHERE o_orderdate < TIMESTAMP '{FIRST_LOAD_BEFORE}')
+SELECT order_sk, order_id, o_orderdate, o_totalprice, 'loaded' AS reason FROM first
+UNION ALL SELECT (SELECT max(order_sk) FROM first) + row_number() OVER (ORDER BY order_id), order_id, o_orderdate, o_totalprice, 'loaded'
+FROM o WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM first WHERE order_id IS NOT NULL)
+UNION ALL SELECT 0, order_id, o_orderdate, o_totalprice, 'null_key' FROM o WHERE order_id IS NULL""",
+    "fact_company_second_load": f"""{_COMPANIES.ctes()}, f AS ({SELECTS['fact_company']}),
+early AS (SELECT company_sk, row_number() OVER (ORDER BY company_sk) AS k FROM f WHERE company_sk IN
+  (SELECT company_company_sk FROM ({_EARLY_COMPANIES['dim_company_company'].sql()}))),
+late AS (SELECT company_sk, (SELECT max(k) FROM early) + row_number() OVER (ORDER BY company_sk) AS k FROM f WHERE company_sk NOT IN (SELECT company_sk FROM early))
+SELECT k AS company_fact_id, f.company_sk, industry_sk, province_sk FROM f JOIN (SELECT * FROM early UNION ALL SELECT * FROM late) USING (company_sk)""",
+    "star_check": star_check_sql(),
 }

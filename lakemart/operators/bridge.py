@@ -64,6 +64,28 @@ def bridge_rows(
     return position_in_group(pairs, [parent], tail, out)
 
 
+#: Members of one cell of a chunked bridge.
+CHUNK_MEMBERS = 10_000
+
+
+def bridge_chunks(
+    children: DataFrame, parent: str, member: str, order_by: Sequence[str] = (), out: str = "sks", size: int = CHUNK_MEMBERS
+) -> DataFrame:
+    """``(parent, chunk_no, n_members, out)``: a parent's ordered distinct members in cells of at most ``size``.
+
+    Chunks count from 1 and follow each other, so a reader can go through any
+    number of members in order; all but the last are full. Positions are dense
+    numbers over the distinct pairs, so no task has to hold a parent. NULL
+    members are left out.
+    """
+    rows = bridge_rows(children.where(F.col(member).isNotNull()), parent, member, order_by, "_position")
+    chunked = rows.withColumn("chunk_no", F.floor((F.col("_position") - 1) / size).cast("bigint") + 1)
+    pairs = F.sort_array(F.collect_list(F.struct("_position", F.col(member).alias("m"))))
+    return chunked.groupBy(parent, "chunk_no").agg(
+        F.count("*").alias("n_members"), F.transform(pairs, lambda p: p["m"]).alias(out)
+    )
+
+
 def role_array(
     df: DataFrame,
     keys: Sequence[str],

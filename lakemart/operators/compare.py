@@ -86,6 +86,16 @@ def bad_key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return nulls.unionByName(doubles)
 
 
+def split_bad_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is whole and occurs once, and the others with their ``reason``.
+
+    The keys are counted narrowly; whole rows meet that count once per side.
+    """
+    known = all_of(F.col(k).isNotNull() for k in keys)
+    repeated = duplicate_keys(df.where(known).select(*keys), keys).drop("n_rows")
+    return df.where(known).join(repeated, list(keys), "left_anti").select(*[f"`{c}`" for c in df.columns]), bad_key_rows(df, keys)
+
+
 def latest_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key, the greatest by ``order_by`` and then by the other columns."""
     rest = [c for c in df.columns if c not in keys and c not in order_by]

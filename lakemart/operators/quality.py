@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.functions.columns import any_of
+from lakemart.functions.columns import any_of, row_digests
+from lakemart.session import materialize
 
 
 def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,6 +45,52 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Data
     return found.unionByName(loose.select(*keys, side.alias("kind"), each.alias("_n")).drop("_n"))
 
 
+#: Key buckets whose digests are compared before any row is.
+DIGEST_BUCKETS = 4096
+
+
+def bucket_digests(df: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """Per key bucket: rows, and order-free sums and xors of two row digests. A task gives one row per bucket at most."""
+    d1, d2 = row_digests(df, [*keys, *columns])
+    digested = df.select(F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket"), d1.alias("d1"), d2.alias("d2"))
+    # Sums of half words stay exact and below 64 bits for 2^31 rows of a bucket.
+    return digested.groupBy("bucket").agg(
+        F.count("*").alias("n"),
+        *[F.sum(F.shiftright(d, 32)).alias(f"{d}_high") for d in ("d1", "d2")],
+        *[F.sum(F.col(d).bitwiseAND(0xFFFFFFFF)).alias(f"{d}_low") for d in ("d1", "d2")],
+        *[F.bit_xor(d).alias(f"{d}_xor") for d in ("d1", "d2")],
+    )
+
+
+def differing_buckets(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int = DIGEST_BUCKETS
+) -> DataFrame:
+    """Buckets whose digests are not the same on both sides: at most ``buckets`` rows."""
+    a, b = (bucket_digests(df, keys, columns, buckets) for df in (source, target))
+    parts = [c for c in a.columns if c != "bucket"]
+    other = b.select(F.col("bucket").alias("_bucket"), *[F.col(c).alias(f"_{c}") for c in parts])
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in parts])
+    return a.join(other, F.col("bucket") == F.col("_bucket"), "full").where(~same).select(F.coalesce("bucket", "_bucket").alias("bucket"))
+
+
+def reconcile_by_digest(source: DataFrame, target: DataFrame, keys: Sequence[str], buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """The findings of ``reconcile``, comparing rows only in key buckets whose digests differ.
+
+    Tables that agree move one row per bucket and task. Both sides are scanned
+    once more where some differ; then the rows of those buckets alone are shuffled.
+    """
+    shared = [c for c in source.columns if c in target.columns and c not in keys]
+    bad = materialize(differing_buckets(source, target, keys, shared, buckets), "digests")
+    at = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+    def rows(df: DataFrame) -> DataFrame:
+        found = df.select(*keys, *shared).withColumn("_bucket", at)
+        # One narrow row per bucket at most.
+        return found.join(F.broadcast(bad.withColumnRenamed("bucket", "_bucket")), "_bucket", "left_semi").drop("_bucket")
+
+    return reconcile(rows(source), rows(target), keys)
+
+
 # Findings after which a table is suspended from validation.
 TABLE_FAILURE_LIMIT = 1000
 
@@ -113,6 +160,45 @@ def reference_check(
     return reduce(DataFrame.unionByName, parts)
 
 
+def star_check(
+    facts: Mapping[str, DataFrame],
+    references: Mapping[str, Mapping[str, tuple[str, str]]],
+    dims: Mapping[str, DataFrame],
+    unknown: int = 0,
+) -> DataFrame:
+    """``(table, fk, n_rows, n_orphans, n_unknown)`` of every declared foreign key, one scan per fact.
+
+    The foreign keys of a fact are stacked and counted per value by one partial
+    aggregate, so a hot key is a row per task; all facts then meet the stacked
+    dimension keys in one anti join. NULL is no reference; ``unknown`` counts
+    apart unless the dimension holds it. Columns that a fact lacks are left out.
+    """
+    stacked, wanted, names = [], {}, []
+    for table, columns in references.items():
+        if table not in facts:
+            continue
+        fact = facts[table]
+        held = {c: ref for c, ref in columns.items() if c in fact.columns and ref[0] in dims}
+        names += [(table, c) for c in held]
+        wanted |= {f"{dim}.{key}": (dim, key) for dim, key in held.values()}
+        entries = [F.struct(F.lit(c).alias("fk"), F.lit(f"{dim}.{key}").alias("ref"), F.col(c).cast("bigint").alias("value")) for c, (dim, key) in held.items()]
+        if entries:
+            each = fact.select(F.explode(F.array(*entries)).alias("_e")).select(F.lit(table).alias("table"), "_e.*")
+            stacked.append(each.where("value IS NOT NULL").groupBy("table", "fk", "ref", "value").agg(F.count("*").alias("n")))
+    keys = [dims[dim].select(F.lit(name).alias("ref"), F.col(key).cast("bigint").alias("value")) for name, (dim, key) in wanted.items()]
+    counted, known = reduce(DataFrame.unionByName, stacked), reduce(DataFrame.unionByName, keys).distinct()
+    missing = counted.join(known.withColumn("_known", F.lit(True)), ["ref", "value"], "left")
+    bad = F.col("_known").isNull()
+    none = F.col("value") == unknown
+    summed = missing.groupBy("table", "fk").agg(
+        F.sum("n").alias("n_rows"),
+        F.sum(F.when(bad & ~none, F.col("n")).otherwise(0)).alias("n_orphans"),
+        F.sum(F.when(bad & none, F.col("n")).otherwise(0)).alias("n_unknown"),
+    )
+    declared = counted.sparkSession.createDataFrame(names, "table string, fk string")
+    return declared.join(summed, ["table", "fk"], "left").na.fill(0, ["n_rows", "n_orphans", "n_unknown"])
+
+
 def split_casts(df: DataFrame, target: Mapping[str, T.DataType | str]) -> tuple[DataFrame, DataFrame]:
     """Cast columns; rows with a value that cannot be cast go to the second result.
 

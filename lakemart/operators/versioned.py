@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.functions.columns import all_of
 from lakemart.operators import compare
 from lakemart.operators.keys import continue_keys, dense_keys, max_key
 from lakemart.session import materialize
@@ -20,13 +21,18 @@ def versioned_upsert(
     keys: Sequence[str],
     compare_on: Sequence[str],
     pk: str,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """The versioned fact after ``incoming``.
 
     A current row whose compared columns differ is closed and its new form
     added; unseen keys are added; unchanged and vanished keys stay as they are.
-    ``incoming`` must hold one row per key and is rejected otherwise.
+    ``carried`` columns (surrogate keys that move with the versions of their
+    dimension) are pointed anew in a row that is otherwise unchanged.
+    ``incoming`` must hold one row per key, whole in all its parts, and is
+    refused otherwise: see ``compare.split_bad_keys``.
     """
+    compare_on = [c for c in compare_on if c not in carried]
     keys = [k for k in keys if k in incoming.columns]
     names = [c for c in incoming.columns if c != pk]
     columns = [pk, *names, FLAG]
@@ -37,6 +43,8 @@ def versioned_upsert(
         added = dense_keys(incoming.drop(pk), names, pk, last).withColumn(FLAG, F.lit(True)).select(*columns)
         return added if kept is None else kept.select(*columns).unionByName(added)
 
+    if not incoming.where(~all_of(F.col(k).isNotNull() for k in shared)).isEmpty():
+        raise ValueError(f"versioned upsert needs every part of {list(shared)}")
     rows = compare.one_row_per_key(incoming.drop(pk), shared)
     if fact is None:
         fresh = materialize(rows, "versioned")
@@ -50,12 +58,17 @@ def versioned_upsert(
     kind = F.col("kind")
     repeated = F.coalesce(F.col("r")["_repeated"], F.lit(False))
 
+    def pointed(side: str, name: str) -> Column:
+        if side == "l" and name in carried:
+            return F.when(kind == compare.SAME, F.col("r")[name]).otherwise(F.col("l")[name])
+        return F.col(side)[name]
+
     def row(new: bool, side: str, key: Column, flag: Column) -> Column:
         return F.struct(
             F.lit(new).alias("_new"),
             repeated.alias("_repeated"),
             key.cast("bigint").alias(pk),
-            *[F.col(side)[c].alias(c) for c in names],
+            *[pointed(side, c).alias(c) for c in names],
             flag.alias(FLAG),
         )
 
@@ -89,12 +102,21 @@ def needs_full_load(existing: DataFrame | None, pk: str) -> bool:
 def unseen_rows(
     incoming: DataFrame, existing: DataFrame, business_id: str, pk: str
 ) -> DataFrame:
-    """Rows whose business id is not loaded yet, numbered on from the last key."""
-    fresh = incoming.drop(pk).join(existing.select(business_id), business_id, "left_anti")
+    """Rows whose business id is not loaded yet, numbered on from the last key.
+
+    A row without an id cannot be told from one that is loaded: those are the
+    caller's to reject (``nameless_rows``), and are not added.
+    """
+    fresh = incoming.drop(pk).where(F.col(business_id).isNotNull()).join(existing.select(business_id), business_id, "left_anti")
     ties = [c for c in fresh.columns if c != business_id]
     return continue_keys(fresh, existing, [business_id, *ties], pk).select(*incoming.columns)
 
 
+def nameless_rows(incoming: DataFrame, business_id: str) -> DataFrame:
+    """What ``unseen_rows`` leaves out, with its ``reason``."""
+    return incoming.where(F.col(business_id).isNull()).withColumn("reason", F.lit("null_key"))
+
+
 def insert_only(
     existing: DataFrame | None, incoming: DataFrame, business_id: str, pk: str
 ) -> DataFrame:

@@ -155,17 +155,27 @@ def learning_programme(t: Tables) -> DataFrame:
     return project_fact(df, fact_fields("fact_learning_programme"))
 
 
+def latest_child(children: DataFrame, parent: str, at: str) -> DataFrame:
+    """The latest moment per parent: a partial aggregate before the join, so a hot parent is a row per task."""
+    return children.where(F.col(parent).isNotNull()).groupBy(parent).agg(F.max(at).alias(at))
+
+
 def learner(t: Tables) -> DataFrame:
-    """Rows of the versioned learner fact, without keys (see ``versioned_upsert``)."""
+    """Rows of the versioned learner fact, without keys (see ``versioned_upsert``), one per learner programme.
+
+    ``learner_programme_id`` is its durable key; the surrogate key beside it
+    moves with the versions of the dimension. Of several placements or
+    terminations of a programme the latest counts.
+    """
     df = base_rows(
         t, "dim_lpd_learnerprogramme",
         ["id", "lpd_learnerprogramme_sk", "created_at", "date_employed", "learning_programme_id",
          "learning_programme_sla_id", "learner_id"],
     ).withColumnRenamed("lpd_learnerprogramme_sk", "learner_programme_sk")
     placements = current(t("dim_lpd_learnerprogrammeplacement"))
-    df = attach(df, placements, "id", {"created_at": "_placed"}, nk="learner_programme_id")
+    df = attach(df, latest_child(placements, "learner_programme_id", "created_at"), "id", {"created_at": "_placed"}, nk="learner_programme_id")
     terminations = current(t("dim_lpd_learnerprogrammetermination"))
-    df = attach(df, terminations, "id", {"termination_date": "_ended"}, nk="learner_programme_id")
+    df = attach(df, latest_child(terminations, "learner_programme_id", "termination_date"), "id", {"termination_date": "_ended"}, nk="learner_programme_id")
     df = date_ids(
         df, t("dim_date"),
         {"created_at": "contract_date_id", "_placed": "placement_date_id", "_ended": "completion_date_id",
@@ -174,7 +184,11 @@ def learner(t: Tables) -> DataFrame:
     df = lookup_sk(df, t("dim_lpd_learningprogramme"), "learning_programme_id", "lpd_learningprogramme_sk", "learning_programme_sk")
     df = lookup_sk(df, t("dim_lpd_learningprogrammesla"), "learning_programme_sla_id", "lpd_learningprogrammesla_sk", "sla_sk")
     df = lookup_sk(df, t("dim_learner_learner"), "learner_id", "learner_learner_sk", "learner_sk")
-    return project_fact(df, fact_fields("fact_learner"))
+    # The null fill of the projection must not give a row without an id the key 0.
+    keyed = df.withColumn("learner_programme_id", F.col("id").cast("bigint")).withColumn("_nameless", F.col("id").isNull())
+    fields = fact_fields("fact_learner").add("learner_programme_id", "long").add("_nameless", "boolean")
+    made = project_fact(keyed, fields)
+    return made.withColumn("learner_programme_id", F.when(~F.col("_nameless"), F.col("learner_programme_id"))).drop("_nameless")
 
 
 def nonfunded_programme(t: Tables) -> DataFrame:

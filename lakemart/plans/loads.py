@@ -15,14 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators import mirror, profile, scd2, shape
+from lakemart.operators.compare import split_bad_keys
 from lakemart.operators.lookup import current
 from lakemart.operators.quality import limit_lobs
-from lakemart.operators.versioned import needs_full_load, unseen_rows, versioned_upsert
+from lakemart.operators.versioned import nameless_rows, needs_full_load, unseen_rows, versioned_upsert
 from lakemart.plans import star
 from lakemart.plans.facts import BUILDERS
-from lakemart.session import scratch_scope
+from lakemart.session import materialize, scratch_scope
 from lakemart.sources import jdbc, tables
-from lakemart.sources.runs import DimensionTable, RunTable
+from lakemart.sources.runs import DimensionTable, KeyMap, RunTable
 
 # Tables curated and dimensions loaded at the same time.
 CURATE_WORKERS = 4
@@ -195,17 +196,32 @@ def load_dimensions(
 # ---- facts --------------------------------------------------------------------------
 
 
-def load_fact(spark: SparkSession, facts_root: str, name: str, t: Callable[[str], DataFrame], load_ts: str) -> tuple[int, str]:
-    """Build one fact and publish it: replaced, versioned or appended as declared."""
+def load_fact(
+    spark: SparkSession,
+    facts_root: str,
+    name: str,
+    t: Callable[[str], DataFrame],
+    load_ts: str,
+    durable: Mapping[str, Sequence[str]] | None = None,
+) -> tuple[int, str]:
+    """Build one fact and publish it: replaced, versioned or appended as declared.
+
+    Rows of versioned and insert-only facts without a whole key, and repeated
+    ones of versioned facts, are the rejects of the run and counted in the
+    detail. ``durable`` names the business columns of replaced facts that keep
+    their keys from one rebuild to the next.
+    """
     rows = BUILDERS[name](t)
     path = f"{facts_root}/{name}"
+    rejected = None
     with scratch_scope(spark):
         if name in star.VERSIONED:
-            pk = star.PRIMARY_KEYS[name]
-            compare_on = [c for c in rows.columns if c != pk]
+            pk, keys, carried = star.PRIMARY_KEYS[name], list(star.VERSIONED[name]), star.CARRIED.get(name, ())
+            fit, rejected = split_bad_keys(materialize(rows, "fact"), keys)
+            compare_on = [c for c in rows.columns if c != pk and c not in keys]
             table = RunTable(spark, path, rows.schema.add("fact_current_flag", "boolean"))
             existing = table.read() if table.exists() else None
-            run = table.replace(versioned_upsert(existing, rows, list(star.VERSIONED[name]), compare_on, pk), load_ts)
+            run = table.replace(versioned_upsert(existing, fit, keys, compare_on, pk, carried), load_ts)
         elif name in star.INSERT_ONLY:
             pk, business_id = star.PRIMARY_KEYS[name], star.INSERT_ONLY[name]
             table = RunTable(spark, path, rows.schema)
@@ -213,15 +229,31 @@ def load_fact(spark: SparkSession, facts_root: str, name: str, t: Callable[[str]
             if needs_full_load(existing, pk):
                 run = table.replace(rows, load_ts)
             else:
+                rows = materialize(rows, "fact")
+                rejected = nameless_rows(rows, business_id)
                 run = table.append(unseen_rows(rows, existing, business_id, pk), load_ts)
         else:
             table = RunTable(spark, path, rows.schema)
+            if name in (durable or {}):
+                pk = star.PRIMARY_KEYS[name]
+                keyed = KeyMap.of(spark, f"{path}/keys", rows, durable[name], pk).assign(materialize(rows, "fact"), load_ts)
+                rows = keyed.select(*rows.columns)
             run = table.replace(rows, load_ts)
-    return table.read().count(), f"run {run}"
+        detail = f"run {run}"
+        if rejected is not None:
+            table.write(rejected, "rejects", run)
+            told = spark.read.parquet(f"{path}/rejects/run={run}").groupBy("reason").count().orderBy("reason").collect()
+            detail += "".join(f"; rejected {r['reason']}: {r['count']}" for r in told)
+    return table.read().count(), detail
 
 
 def load_facts(
-    spark: SparkSession, facts_root: str, t: Callable[[str], DataFrame], load_ts: str, names: Sequence[str] = tuple(BUILDERS)
+    spark: SparkSession,
+    facts_root: str,
+    t: Callable[[str], DataFrame],
+    load_ts: str,
+    names: Sequence[str] = tuple(BUILDERS),
+    durable: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Facts in build order, one after the other: later ones may read earlier ones."""
 
@@ -232,7 +264,7 @@ def load_facts(
                 return RunTable(spark, f"{facts_root}/{name}", found.drop("run").schema).read()
         return t(name)
 
-    return run_tables(spark, names, lambda n: load_fact(spark, facts_root, n, with_facts, load_ts), 1)
+    return run_tables(spark, names, lambda n: load_fact(spark, facts_root, n, with_facts, load_ts, durable), 1)
 
 
 # ---- mirror ------------------------------------------------------------------------

@@ -9,7 +9,7 @@ per table is assumed.
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.functions.columns import row_digests
-from lakemart.operators import compare
+from lakemart.functions.columns import all_of, row_digests
 from lakemart.operators import scd2
+from lakemart.operators.keys import dense_keys
 from lakemart.session import delete_path, materialize, scratch_scope
 from lakemart.sources.tables import is_missing_path
 
@@ -109,6 +109,40 @@ class RunTable:
         return len(old)
 
 
+@dataclass(frozen=True)
+class KeyMap(RunTable):
+    """Durable keys: ``(business columns, pk)`` of every row that a rebuilt fact has ever had.
+
+    A rebuild looks its rows up here instead of numbering them anew; unseen ones
+    get the next numbers in order of their business columns and are appended.
+    """
+
+    pk: str = "pk"
+
+    @classmethod
+    def of(cls, spark: SparkSession, root: str, rows: DataFrame, keys: Sequence[str], pk: str) -> KeyMap:
+        return cls(spark, root, T.StructType([*[rows.schema[k] for k in keys], T.StructField(pk, T.LongType())]), pk)
+
+    def assign(self, rows: DataFrame, load_ts: str) -> DataFrame:
+        """``rows`` with their durable ``pk``; rows that share all business columns (NULL is a value) share it."""
+        keys = [c for c in self.schema.names if c != self.pk]
+        known = self.read()
+        on = lambda a, b: all_of(a[k].eqNullSafe(b[k]) for k in keys)
+        seen = rows.select(*keys).distinct()
+        fresh = seen.join(known, on(seen, known), "left_anti")
+        last = self.last()
+        with scratch_scope(self.spark):
+            numbered = dense_keys(fresh, keys, self.pk, offset=(last["last_key"] or 0) if last else 0)
+            run = (last["run"] if last else 0) + 1
+            self.write(numbered.select(*self.schema.names), "data", run)
+        n = self.part("data").where(F.col("run") == run).count()
+        self.publish(run, 1, load_ts, last_key=(last["last_key"] if last else 0) + n)
+        at = self.read().select(*[F.col(k).alias(f"_k_{k}") for k in keys], self.pk)
+        met = all_of(F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys)
+        columns = [c for c in rows.columns if c != self.pk]
+        return rows.drop(self.pk).join(at, met, "left").select(self.pk, *[f"`{c}`" for c in columns])
+
+
 # Digests of a row's compared columns, kept beside the current rows.
 DIGESTS = ("_d1", "_d2")
 _PLACE = "part string, bucket int, at bigint, n bigint"
