@@ -166,6 +166,48 @@ repaired AS (SELECT * EXCLUDE (rn) REPLACE (
 SELECT {SHOWN_SQL} FROM repaired"""
 
 
+def damaged_intervals(table: DataFrame) -> DataFrame:
+    """Superseded rows of some nations are open or current again, some last ones have lost their end."""
+    closed = ~F.col("current_flag")
+    end = F.lit(OPEN_END).cast("timestamp")
+    return table.withColumn(
+        "effective_to", F.when(closed & (F.col("nation_id") < 8), end).otherwise(F.col("effective_to"))
+    ).withColumn("current_flag", F.col("current_flag") | (closed & (F.col("nation_id") < 4)))
+
+
+_DAMAGED_SQL = f"""damaged AS (SELECT * REPLACE (
+    CASE WHEN NOT current_flag AND nation_id < 8 THEN TIMESTAMP '{OPEN_END}' ELSE effective_to END AS effective_to,
+    current_flag OR (NOT current_flag AND nation_id < 4) AS current_flag) FROM t3),
+n AS (SELECT *, lead(effective_from) OVER (PARTITION BY id ORDER BY version, customer_sk) AS later FROM damaged)"""
+
+
+def scd2_repair_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, dim = after_loads(spark, sf_dir, ["day1", "day2", "day1"])
+    return shown(scd2.repair_intervals(damaged_intervals(table), dim, LOAD_TIMES[3]))
+
+
+REPAIR_INTERVALS_SQL = f"""{loads_sql(['day1', 'day2', 'day1'])}, {_DAMAGED_SQL},
+repaired AS (SELECT * REPLACE (
+    CASE WHEN later IS NOT NULL THEN greatest(least(effective_to, later), effective_from) WHEN current_flag THEN TIMESTAMP '{OPEN_END}'
+      WHEN effective_to = TIMESTAMP '{OPEN_END}' THEN TIMESTAMP '{LOAD_TIMES[3]}' ELSE greatest(effective_to, effective_from) END AS effective_to,
+    CASE WHEN later IS NOT NULL THEN FALSE ELSE current_flag END AS current_flag) FROM n)
+SELECT {SHOWN_SQL} FROM repaired"""
+
+
+def scd2_interval_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of the damaged history by kind of row, and none of the sound one."""
+    table, dim = after_loads(spark, sf_dir, ["day1", "day2", "day1"])
+    sound = scd2.interval_faults(table, dim).withColumn("state", F.lit("sound"))
+    return scd2.interval_faults(damaged_intervals(table), dim).withColumn("state", F.lit("damaged")).unionByName(sound)
+
+
+INTERVAL_FAULTS_SQL = f"""{loads_sql(['day1', 'day2', 'day1'])}, {_DAMAGED_SQL}
+SELECT * FROM (SELECT id, version, customer_sk, CASE WHEN later IS NOT NULL AND current_flag THEN 'not_last_current'
+    WHEN later IS NOT NULL AND effective_to > later THEN 'overlap' WHEN effective_to < effective_from THEN 'empty'
+    WHEN later IS NULL AND current_flag <> (effective_to = TIMESTAMP '{OPEN_END}') THEN 'closed_last' END AS fault, 'damaged' AS state
+  FROM n) WHERE fault IS NOT NULL"""
+
+
 def scd2_published_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads through a published table instead of in memory."""
     stages = states(spark, sf_dir)
@@ -438,6 +480,8 @@ QUERIES = {
     "scd2_change_kinds": scd2_change_kinds,
     "scd2_quarantine": scd2_quarantine,
     "scd2_repair_one_current": scd2_repair_one_current,
+    "scd2_repair_intervals": scd2_repair_intervals,
+    "scd2_interval_faults": scd2_interval_faults,
     "scd2_published_runs": scd2_published_runs,
     "scd2_delta_loads": scd2_delta_loads,
     "scd2_digest_delta": scd2_digest_delta,
@@ -460,6 +504,8 @@ ORACLES = {
     "scd2_change_kinds": CHANGE_KINDS_SQL,
     "scd2_quarantine": QUARANTINE_SQL,
     "scd2_repair_one_current": REPAIR_SQL,
+    "scd2_repair_intervals": REPAIR_INTERVALS_SQL,
+    "scd2_interval_faults": INTERVAL_FAULTS_SQL,
     "scd2_published_runs": loaded_sql("day1", "day2", "day1"),
     "scd2_delta_loads": loaded_sql("day1", "day2", "day1", "day1"),
     "scd2_digest_delta": DIGEST_DELTA_SQL,

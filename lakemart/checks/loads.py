@@ -15,6 +15,7 @@ from lakemart.operators import mirror, profile, quality, shape
 from lakemart.plans import loads
 from lakemart.session import scratch_path
 from lakemart.sources import sync, tables
+from lakemart.sources.runs import EvolvingTable
 
 # ---- shaping ---------------------------------------------------------------------
 
@@ -118,6 +119,24 @@ SCALAR_TO_ARRAY_SQL = (
     "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS director_sks, CAST(1 AS INTEGER) AS n FROM orders"
 )
 
+def migrate_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders published in two runs with one owner each, migrated to a list of owners, and a third run in the new schema; both readable."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("owner_sk"), "o_orderstatus")
+    table = EvolvingTable(spark, scratch_path(spark, "fact_orders"), orders.drop("o_orderstatus").schema)
+    for status, at in (("F", "2024-03-01"), ("O", "2024-03-02")):
+        table.append(orders.where(F.col("o_orderstatus") == status), at)
+    table.migrate({"owner_sks": "array(owner_sk)"}, drop=["owner_sk"], legacy="fact_orders_single")
+    pending = orders.where("o_orderstatus = 'P'")
+    table.append(pending.select("o_orderkey", F.array("owner_sk", F.col("owner_sk") + 1).alias("owner_sks")), "2024-03-03")
+    now = table.read().select("o_orderkey", as_text("owner_sks").alias("owners"), F.lit("now").alias("read_as"))
+    old = table.read_legacy("fact_orders_single").select("o_orderkey", F.col("owner_sk").cast("string").alias("owners"), F.lit("legacy").alias("read_as"))
+    return now.unionByName(old)
+
+
+MIGRATE_SQL = """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN concat(o_custkey, ',', o_custkey + 1) ELSE CAST(o_custkey AS VARCHAR) END AS owners, 'now' AS read_as FROM orders
+UNION ALL SELECT o_orderkey, CAST(o_custkey AS VARCHAR), 'legacy' FROM orders WHERE o_orderstatus <> 'P'"""
+
 # ---- profiling ---------------------------------------------------------------------
 
 # File names as people leave them in text columns, by document.
@@ -522,6 +541,7 @@ QUERIES = {
     "conform_schema": conform_schema,
     "ancient_clamp": ancient_clamp,
     "migrate_scalar_to_array": scalar_to_array,
+    "migrate_published_table": migrate_published,
     "profile_columns": profile_columns,
     "drop_decisions": drop_decisions,
     "file_like_share": file_like_values,
@@ -551,6 +571,7 @@ ORACLES = {
     "conform_schema": CONFORM_SQL,
     "ancient_clamp": ANCIENT_SQL,
     "migrate_scalar_to_array": SCALAR_TO_ARRAY_SQL,
+    "migrate_published_table": MIGRATE_SQL,
     "profile_columns": profile_sql() + "SELECT * FROM p",
     "drop_decisions": DECISIONS_SQL,
     "file_like_share": FILE_LIKE_SQL,

@@ -14,21 +14,18 @@ HEAD_LENGTH = 50
 HASH_LENGTH = 7
 
 # Reserved words of the target database.
-RESERVED = frozenset(
-    """
-    all analyse analyze and any array as asc asymmetric authorization
-    binary both case cast check collate collation column concurrently
-    constraint create cross current_catalog current_date current_role
-    current_schema current_time current_timestamp current_user default deferrable
-    desc distinct do else end except false fetch for foreign freeze
-    from full grant group having ilike in initially inner intersect
-    into is isnull join lateral leading left like limit localtime
-    localtimestamp natural not notnull null offset on only or order
-    outer overlaps placing primary references returning right select
-    session_user similar some symmetric table tablesample then to trailing
-    true union unique user using variadic verbose when where window with
-    """.split()
-)
+RESERVED = (
+    "all", "analyse", "analyze", "and", "any", "array", "as", "asc", "asymmetric", "authorization", "binary", "both",
+    "case", "cast", "check", "collate", "collation", "column", "concurrently", "constraint", "create", "cross",
+    "current_catalog", "current_date", "current_role", "current_schema", "current_time", "current_timestamp",
+    "current_user", "default", "deferrable", "desc", "distinct", "do", "else", "end", "except", "false", "fetch",
+    "for", "foreign", "freeze", "from", "full", "grant", "group", "having", "ilike", "in", "initially", "inner",
+    "intersect", "into", "is", "isnull", "join", "lateral", "leading", "left", "like", "limit", "localtime",
+    "localtimestamp", "natural", "not", "notnull", "null", "offset", "on", "only", "or", "order", "outer", "overlaps",
+    "placing", "primary", "references", "returning", "right", "select", "session_user", "similar", "some",
+    "symmetric", "table", "tablesample", "then", "to", "trailing", "true", "union", "unique", "user", "using",
+    "variadic", "verbose", "when", "where", "window", "with",
+)
 
 # Suffix put on a reserved word, by kind of identifier.
 RESERVED_SUFFIX = {"table": "_t", "column": "_col", "constraint": "_c"}

@@ -191,3 +191,54 @@ def repair_one_current(table: DataFrame, dim: Dimension, load_ts: str) -> DataFr
         *[changed.get(c, F.col(f"`{c}`")).alias(c) for c in table.columns]
     )
     return table.where(~is_current()).unionByName(repaired)
+
+
+def with_next(table: DataFrame, dim: Dimension) -> DataFrame:
+    """Every row with the start of the next version of its key, ``_next_from`` (NULL for the last).
+
+    Neighbours are rows whose dense positions by (key, version, surrogate key)
+    differ by one: a range partitioning and a join on unique numbers, so no task
+    has to hold the history of a key.
+    """
+    placed = dense_keys(table, [dim.nk, "version", dim.sk], "_at")
+    ahead = placed.select((F.col("_at") - 1).alias("_at"), F.col(dim.nk).alias("_next_nk"), F.col("effective_from").alias("_next_from"))
+    met = placed.join(ahead, "_at", "left")
+    same = F.col(dim.nk) == F.col("_next_nk")
+    return met.select(*[f"`{c}`" for c in table.columns], F.when(same, F.col("_next_from")).alias("_next_from"))
+
+
+def interval_faults(table: DataFrame, dim: Dimension) -> DataFrame:
+    """``(key, version, surrogate key, fault)`` of rows whose interval does not fit the next one of their key.
+
+    not_last_current: current although a later version exists; overlap: ends
+    after the next begins; empty: ends before it begins; closed_last: the last
+    version is current but has an end, or is closed without one. A gap before
+    the next version is none: the key was away.
+    """
+    later = F.col("_next_from").isNotNull()
+    live = is_current()
+    open_end = F.col("effective_to") == F.lit(OPEN_END).cast("timestamp")
+    fault = (
+        F.when(later & live, "not_last_current")
+        .when(later & (F.col("effective_to") > F.col("_next_from")), "overlap")
+        .when(F.col("effective_to") < F.col("effective_from"), "empty")
+        .when(~later & (live != open_end), "closed_last")
+    )
+    found = with_next(table, dim).withColumn("fault", fault).where("fault IS NOT NULL")
+    return found.select(dim.nk, "version", dim.sk, "fault")
+
+
+def repair_intervals(table: DataFrame, dim: Dimension, load_ts: str) -> DataFrame:
+    """The history with every interval ending where the next begins, at the latest; only the last version is current.
+
+    A last version that is closed without an end gets ``load_ts``; one that is
+    current with an end gets the open end. Rows without a fault stay as they are.
+    """
+    later, live, end = F.col("_next_from").isNotNull(), is_current(), F.col("effective_to")
+    open_end = F.lit(OPEN_END).cast("timestamp")
+    first_end = F.greatest(F.least(end, F.coalesce("_next_from", end)), F.col("effective_from"))
+    changed = {
+        "effective_to": F.when(later, first_end).when(live, open_end).when(end == open_end, F.lit(load_ts).cast("timestamp")).otherwise(first_end),
+        "current_flag": F.when(later, F.lit(False)).otherwise(F.col("current_flag")),
+    }
+    return with_next(table, dim).select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in table.columns])

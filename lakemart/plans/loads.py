@@ -144,9 +144,13 @@ def load_dimension(
     load_ts: str,
     aliases: Mapping[str, str] | None = None,
     sig_hash: bool = False,
+    repair: bool = True,
 ) -> tuple[int, str]:
     """Read, clamp, conform and apply one curated table to its dimension.
 
+    With ``repair``, keys with several current rows are mended before the load
+    and counted in the status; afterwards there must be none.
+
     A column that vanished from the source keeps each key's current value, so
     a profiling change on one night does not open a version of every row. A row
     with a value that cannot be cast goes to the rejects, as do NULL and
@@ -166,9 +170,13 @@ def load_dimension(
         stage = stage.join(known, F.col(dim.nk) == F.col("_key"), "left").select(
             *[F.col(f"_now_{c}").alias(c) if c in missing else F.col(c) for c in stage.columns]
         )
+    repaired = table.repair(dim, load_ts) if repair else 0
     run = table.load(stage, dim, load_ts)
+    if repair and table.repair(dim, load_ts):
+        raise ValueError(f"several current rows per key after run {run}")
     rejected = table.rejects(run).groupBy("reason").count().orderBy("reason").collect()
     detail = f"run {run}" + (f"; missing columns kept: {','.join(missing)}" if missing else "")
+    detail += f"; keys repaired: {repaired}" if repaired else ""
     detail += "".join(f"; rejected {r['reason']}: {r['count']}" for r in rejected)
     return table.written(run).where("part = 'new'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], detail
 

@@ -9,7 +9,8 @@ per table is assumed.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+import json
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.functions.columns import all_of, row_digests
-from lakemart.operators import scd2
+from lakemart.operators import compare, scd2
 from lakemart.operators.keys import dense_keys
 from lakemart.session import delete_path, materialize, scratch_scope
 from lakemart.sources.tables import is_missing_path
@@ -109,6 +110,99 @@ class RunTable:
         return len(old)
 
 
+_VERSIONS = "version bigint, first_run bigint, schema string, mapping map<string,string>, legacy string"
+
+
+@dataclass(frozen=True)
+class EvolvingTable(RunTable):
+    """A run table whose schema changes without its data being written again.
+
+    Each run is written in the schema of its time. ``migrate`` publishes a new
+    schema with an expression per changed column over the one before; readers
+    take every run through the expressions between its schema and theirs. The
+    table as it was stays readable under the name given to it. ``schema`` is
+    that of the first version.
+    """
+
+    def versions(self) -> list:
+        """``(version, first run, schema, mapping from the one before, name of the one before)``, oldest first."""
+        found = [(1, 1, self.schema.json(), {}, None)]
+        try:
+            rows = self.spark.read.schema(_VERSIONS).parquet(f"{self.root}/versions").orderBy("version").collect()
+        except AnalysisException as error:
+            if not is_missing_path(error):
+                raise
+            rows = []
+        return [*found, *[tuple(r) for r in rows]]
+
+    def schema_of(self, version: int) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.versions()[version - 1][2]))
+
+    def migrate(self, changes: Mapping[str, str], drop: Collection[str] = (), legacy: str | None = None) -> int:
+        """Publish the next schema: ``changes`` are new or changed columns as SQL over the present ones.
+
+        The new version is one appended row: until it is there, readers and
+        writers see the present one. Returns its number.
+        """
+        known = self.versions()
+        now = T.StructType.fromJson(json.loads(known[-1][2]))
+        if legacy is not None and legacy in {v[4] for v in known}:
+            raise ValueError(f"{legacy} already names an older schema")
+        mapping = {c: f"`{c}`" for c in now.names if c not in drop} | dict(changes)
+        made = self.spark.createDataFrame([], now).selectExpr(*[f"{e} AS `{c}`" for c, e in mapping.items()]).schema
+        last = self.last()
+        row = [(known[-1][0] + 1, (last["run"] if last else 0) + 1, made.json(), mapping, legacy)]
+        self.spark.createDataFrame(row, _VERSIONS).coalesce(1).write.mode("append").parquet(f"{self.root}/versions")
+        return row[0][0]
+
+    def _in_version(self, version: int, last_run: int | None) -> DataFrame:
+        known = self.versions()[:version]
+        target = T.StructType.fromJson(json.loads(known[-1][2]))
+        last = self.last()
+        out = self.spark.createDataFrame([], target)
+        if last is None:
+            return out
+        stop = last["run"] if last_run is None else min(last_run, last["run"])
+        for i, (_, first, schema, _, _) in enumerate(known):
+            until = min(stop, known[i + 1][1] - 1) if i + 1 < len(known) else stop
+            since = max(first, last["first_run"] if last_run is None else 1)
+            if since > until:
+                continue
+            written = T.StructType.fromJson(json.loads(schema))
+            runs = [f"{self.root}/data/run={r}" for r in range(since, until + 1)]
+            rows = self.spark.read.schema(written).parquet(*runs)
+            for _, _, _, mapping, _ in known[i + 1 :]:
+                rows = rows.selectExpr(*[f"{e} AS `{c}`" for c, e in mapping.items()])
+            out = out.unionByName(rows)
+        return out
+
+    def read(self) -> DataFrame:
+        """The whole table in the newest schema."""
+        return self._in_version(len(self.versions()), None)
+
+    def read_legacy(self, name: str) -> DataFrame:
+        """The table as it was, rows and schema, when it was migrated under this name."""
+        known = self.versions()
+        at = next((i for i, v in enumerate(known) if v[4] == name), None)
+        if at is None:
+            raise ValueError(f"no older schema is named {name}")
+        return self._in_version(at, known[at][1] - 1)
+
+    def _publish_rows(self, df: DataFrame, load_ts: str, whole: bool) -> int:
+        names = self.schema_of(len(self.versions())).names
+        last = self.last()
+        run = (last["run"] if last else 0) + 1
+        self.write(df.select(*names), "data", run)
+        self.publish(run, run if whole or not last else last["first_run"], load_ts)
+        return run
+
+    def replace(self, df: DataFrame, load_ts: str) -> int:
+        return self._publish_rows(df, load_ts, True)
+
+    def append(self, df: DataFrame, load_ts: str) -> int:
+        return self._publish_rows(df, load_ts, False)
+
+
 @dataclass(frozen=True)
 class KeyMap(RunTable):
     """Durable keys: ``(business columns, pk)`` of every row that a rebuilt fact has ever had.
@@ -400,6 +494,36 @@ class DimensionTable(RunTable):
             places[("new", b)] = (run, inserted[b])
         return sum(inserted.values())
 
+    def repair(self, dim: scd2.Dimension, load_ts: str) -> int:
+        """Leave one current row per key, the highest version, and close the others; returns how many keys had several.
+
+        The keys are counted narrowly; only their buckets are read whole and
+        written, as a run of its own. Without such a key nothing is written.
+        """
+        last = self.last()
+        if last is None:
+            return 0
+        places, n = self.places(last), last["buckets"]
+        run = last["run"] + 1
+        with scratch_scope(self.spark):
+            twice = materialize(compare.duplicate_keys(self._current(places).select(dim.nk), [dim.nk]), "repair")
+            counts = twice.groupBy(self.bucket_of(F.col(dim.nk), n).alias("b")).count().collect()
+            touched = {r["b"] for r in counts}
+            if not touched:
+                return 0
+            fixed = scd2.repair_one_current(self._current(places, touched), dim, load_ts)
+            kind = F.when(scd2.is_current(), scd2.KEPT).otherwise(scd2.CLOSED)
+            rows = fixed.withColumn("_kind", kind).withColumn("_bucket", self.bucket_of(F.col(dim.nk), n))
+            self.write(rows.repartition("_bucket"), "rows", run, "_kind", "_bucket")
+        kept = self.spark.read.parquet(f"{self.root}/rows/run={run}").where(F.col("_kind") == scd2.KEPT).groupBy("_bucket").count().collect()
+        for b in touched:
+            places[("kept", b)], places[("new", b)] = (run, 0), (run, 0)
+        places |= {("kept", r["_bucket"]): (run, r["count"]) for r in kept}
+        listed = [(part, b, at, rows) for (part, b), (at, rows) in places.items()]
+        self.write(self.spark.createDataFrame(listed, _PLACE).coalesce(1), "places", run)
+        self.publish(run, 1, load_ts, None, last["last_key"], None, n)
+        return sum(r["count"] for r in counts)
+
     # ---- state of feeds ------------------------------------------------------------
 
     def state_of(self, last, keys: DataFrame, nk: str, schema: T.StructType) -> DataFrame:

@@ -303,3 +303,72 @@ def test_feed_rejects_and_state(spark, folder):
     assert by_version(table.read()) == {(1, 1): ("a", True, "9999-12-31 23:59:59")}
     state = table._at("state", changes.state_schema(table.schema, "id"), table.places(table.last()), None)
     assert sorted(tuple(r) for r in state.collect()) == [(1, 5, False), (2, 9, True)]
+
+
+# ---- repair and schema changes -----------------------------------------------------
+
+
+def test_loads_repair_keys_with_several_current_rows(spark, dim, folder):
+    schema, d = dim
+    table = DimensionTable(spark, folder + "/dim", schema)
+    table.load(things(spark, n=60), d, T1, buckets=4)
+    table.load(things(spark, changed={5}, n=60), d, T2)
+    assert table.repair(d, T3) == 0 and table.last()["run"] == 2
+    # A stray file brings the closed version of key 5 back as current.
+    places = table.places(table.last())
+    bucket = table.written(2).where("part = 'new' AND n > 0").first()["bucket"]
+    at = places[("kept", bucket)][0]
+    stray = table.history().withColumn("current_flag", F.lit(True)).withColumn("_d1", F.lit(0).cast("long")).withColumn("_d2", F.lit(0).cast("long"))
+    stray.write.mode("append").parquet(f"{folder}/dim/rows/run={at}/_kind=kept/_bucket={bucket}")
+    assert table.current().where("id = 5").count() == 2
+    assert table.repair(d, T3) == 1
+    assert [r["version"] for r in table.current().where("id = 5").collect()] == [2]
+    assert table.current().count() == 60 and {r["bucket"] for r in table.written(3).collect()} == {bucket}
+    table.load(things(spark, n=60), d, T3)
+    assert [r["version"] for r in table.current().where("id = 5").collect()] == [3]
+
+
+def test_intervals(spark, dim):
+    schema, d = dim
+    end = "9999-12-31 23:59:59"
+    rows = [
+        (1, "a", 1.0, 1, None, T1, T3, False, 1), (1, "b", 1.0, 2, None, T2, end, True, 2),  # overlap
+        (2, "a", 1.0, 3, None, T1, end, True, 1), (2, "b", 1.0, 4, None, T2, end, True, 2),  # two current
+        (3, "a", 1.0, 5, None, T1, T2, False, 1), (3, "b", 1.0, 6, None, T3, end, True, 2),  # away for a day
+        (4, "a", 1.0, 7, None, T1, end, False, 1), (5, "a", 1.0, 8, None, T2, T1, False, 1),
+    ]
+    text = "id int, name string, score double, thing_sk bigint, sig_hash bigint, f string, t string, current_flag boolean, version bigint"
+    table = spark.createDataFrame(rows, text).withColumn("effective_from", F.col("f").cast("timestamp")).withColumn("effective_to", F.col("t").cast("timestamp"))
+    table = table.select(*schema.names)
+    faults = {(r["id"], r["version"]): r["fault"] for r in scd2.interval_faults(table, d).collect()}
+    assert faults == {(1, 1): "overlap", (2, 1): "not_last_current", (4, 1): "closed_last", (5, 1): "empty"}
+    fixed = scd2.repair_intervals(table, d, T3)
+    assert scd2.interval_faults(fixed, d).count() == 0
+    assert by_version(fixed) == {
+        (1, 1): ("a", False, T2), (1, 2): ("b", True, end), (2, 1): ("a", False, T2), (2, 2): ("b", True, end),
+        (3, 1): ("a", False, T2), (3, 2): ("b", True, end), (4, 1): ("a", False, T3), (5, 1): ("a", False, T2),
+    }
+
+
+def test_tables_whose_schema_changes(spark, folder):
+    from lakemart.sources.runs import EvolvingTable
+
+    one = spark.createDataFrame([(1, 10), (2, None)], "id int, sk bigint")
+    table = EvolvingTable(spark, folder + "/t", one.schema)
+    assert table.read().columns == ["id", "sk"] and table.read().count() == 0
+    table.append(one, T1)
+    written = bytes_of(folder + "/t", "data")
+    assert table.migrate({"sks": "array(sk)"}, drop=["sk"], legacy="t_single") == 2
+    assert bytes_of(folder + "/t", "data") == written  # nothing is written again
+    table.append(spark.createDataFrame([(3, [1, 2])], "id int, sks array<bigint>"), T2)
+    assert table.migrate({"n": "size(sks)"}) == 3
+    got = {r["id"]: (r["sks"], r["n"]) for r in table.read().collect()}
+    assert got == {1: ([10], 1), 2: ([None], 1), 3: ([1, 2], 2)}
+    assert sorted(map(tuple, table.read_legacy("t_single").collect())) == [(1, 10), (2, None)]
+    with pytest.raises(ValueError, match="already names"):
+        table.migrate({}, legacy="t_single")
+    with pytest.raises(ValueError, match="no older schema"):
+        table.read_legacy("other")
+    table.replace(table.read().where("id = 3"), T3)
+    assert [r["id"] for r in table.read().collect()] == [3]
+    assert table.read_legacy("t_single").count() == 2
