@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.functions.columns import OPEN_END, signature
@@ -108,9 +108,9 @@ def scd2_changes(
 
 
 def number_inserts(
-    inserts: DataFrame, history: DataFrame, dim: Dimension, last_key: int
+    inserts: DataFrame, history: DataFrame, dim: Dimension, last_key: int, few: bool = False
 ) -> DataFrame:
-    """Give inserted rows their version and surrogate key.
+    """Give inserted rows their version and surrogate key; ``few``: the caller has counted that one task can sort them.
 
     ``history`` may hold any closed rows. Only keys without a previous current
     row look there, through a semi join, so its cost follows the delta.
@@ -128,7 +128,11 @@ def number_inserts(
     )
     if dim.sig_hash:
         dated = dated.withColumn("sig_hash", signature(dim.business))
-    keyed = dense_keys(dated.drop(dim.sk), [dim.nk], dim.sk, offset=last_key)
+    if few:
+        place = F.row_number().over(Window.orderBy(F.col(dim.nk).asc_nulls_last()))
+        keyed = dated.withColumn(dim.sk, F.lit(last_key).cast("bigint") + place)
+    else:
+        keyed = dense_keys(dated.drop(dim.sk), [dim.nk], dim.sk, offset=last_key)
     return keyed.select(*[f"`{c}`" for c in inserts.columns])
 
 

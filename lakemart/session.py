@@ -82,9 +82,10 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     return spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Whether there was something to delete."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 @contextmanager

@@ -24,7 +24,10 @@ from lakemart.operators.keys import dense_keys
 from lakemart.session import delete_path, materialize, scratch_scope
 from lakemart.sources.tables import is_missing_path
 
-LOG = "run bigint, first_run bigint, load_ts string, batch_id bigint, last_key bigint, feed string, buckets bigint"
+LOG = (
+    "run bigint, first_run bigint, load_ts string, batch_id bigint, last_key bigint, feed string, buckets bigint, "
+    "places array<struct<part:string,bucket:int,at:bigint,n:bigint>>"
+)
 
 
 @dataclass(frozen=True)
@@ -45,7 +48,7 @@ class RunTable:
 
     def last(self):
         """Newest log row, None before the first publication."""
-        return self.log().orderBy(F.desc("run")).first()
+        return self.log().drop("places").orderBy(F.desc("run")).first()
 
     def publish(
         self,
@@ -56,8 +59,10 @@ class RunTable:
         last_key: int | None = None,
         feed: str | None = None,
         buckets: int | None = None,
+        places: Mapping[tuple[str, int], tuple[int, int]] | None = None,
     ) -> None:
-        row = [(run, first_run, load_ts, batch_id, last_key, feed, buckets)]
+        listed = None if places is None else [(part, bucket, at, n) for (part, bucket), (at, n) in sorted(places.items())]
+        row = [(run, first_run, load_ts, batch_id, last_key, feed, buckets, listed)]
         self.spark.createDataFrame(row, LOG).coalesce(1).write.mode("append").parquet(f"{self.root}/log")
 
     def part(self, name: str, partitions: str = "run bigint") -> DataFrame:
@@ -239,7 +244,8 @@ class KeyMap(RunTable):
 
 # Digests of a row's compared columns, kept beside the current rows.
 DIGESTS = ("_d1", "_d2")
-_PLACE = "part string, bucket int, at bigint, n bigint"
+#: Inserted rows, counted, up to which one task numbers them.
+FEW_INSERTS = 50_000
 #: Keys of a bucket when the number of buckets is fixed; with four times as many they are split.
 BUCKET_KEYS = 200_000
 
@@ -250,8 +256,8 @@ class DimensionTable(RunTable):
 
     ``rows/run=N/_kind=kept|closed|insert/_bucket=b`` holds what became of the
     current rows of a bucket, ``new/run=N/_bucket=b`` its inserted rows with
-    their keys. A run writes only the buckets that its delta touches;
-    ``places/run=N`` names for every bucket the run that holds it. Current =
+    their keys. A run writes only the buckets that its delta touches; its log
+    row names for every bucket the run that holds it (``places``). Current =
     kept and new of those places; history = closed of all runs.
 
     The delta is found without reading wide rows: keys and two 64-bit digests of
@@ -276,9 +282,13 @@ class DimensionTable(RunTable):
         """``(part, bucket)`` to the run that holds it and its rows: some entries per bucket."""
         if last is None:
             return {}
-        found = self.spark.read.schema(_PLACE).parquet(f"{self.root}/places/run={last['run']}").collect()
+        found = self.log().where(F.col("run") == last["run"]).select("places").first()["places"]
         return {(r["part"], r["bucket"]): (r["at"], r["n"]) for r in found}
 
+    def _listed(self) -> DataFrame:
+        """``(run, part, bucket, at, n)`` of every published run."""
+        return self.log().select("run", F.explode("places").alias("p")).select("run", "p.*")
+
     def _at(self, part: str, schema: T.StructType, places: dict, only: Collection[int] | None) -> DataFrame:
         """The rows of one part in the given buckets, from the newest run of each."""
         folder = {"kept": "rows", "new": "new", "state": "state"}[part]
@@ -337,7 +347,7 @@ class DimensionTable(RunTable):
 
     def written(self, run: int) -> DataFrame:
         """``(part, bucket, at, n)`` of what one run wrote."""
-        return self.spark.read.schema(_PLACE).parquet(f"{self.root}/places/run={run}").where(F.col("at") == run)
+        return self._listed().where((F.col("run") == run) & (F.col("at") == run)).drop("run")
 
     # ---- loading -------------------------------------------------------------------
 
@@ -381,7 +391,7 @@ class DimensionTable(RunTable):
 
     def _write_rejects(self, run: int, stage: DataFrame, dim: scd2.Dimension, delta: DataFrame, given: DataFrame | None, reasons: set[str]) -> None:
         """Whole stage rows with their reason; a load without any writes none."""
-        parts = [] if given is None else [given]
+        parts = [] if given is None or given.isEmpty() else [given]
         if "null_key" in reasons:
             parts.append(stage.where(F.col(dim.nk).isNull()).withColumn("reason", F.lit("null_key")))
         if reasons & {"duplicate_key", "failed_cast"}:
@@ -462,9 +472,7 @@ class DimensionTable(RunTable):
                 self.write(state.withColumn("_bucket", bucket).repartition("_bucket"), "state", run, "_bucket")
                 found = self.spark.read.parquet(f"{self.root}/state/run={run}").groupBy("_bucket").count().collect()
                 places |= {("state", r["_bucket"]): (run, r["count"]) for r in found}
-        rows = [(part, b, at, n_rows) for (part, b), (at, n_rows) in places.items()]
-        self.write(self.spark.createDataFrame(rows, _PLACE).coalesce(1), "places", run)
-        self.publish(run, 1, load_ts, batch_id, last_key, feed, n)
+        self.publish(run, 1, load_ts, batch_id, last_key, feed, n, places)
         return run
 
     def _write_buckets(
@@ -487,7 +495,8 @@ class DimensionTable(RunTable):
         inserted = {b: n_rows.get((scd2.INSERT, b), 0) for b in touched}
         if any(inserted.values()):
             inserts = self.spark.read.schema(self._digested).parquet(f"{self.root}/rows/run={run}/_kind={scd2.INSERT}")
-            numbered = scd2.number_inserts(inserts.select(*self._digested.names), self._closed(last, touched), dim, last_key)
+            few = sum(inserted.values()) <= FEW_INSERTS
+            numbered = scd2.number_inserts(inserts.select(*self._digested.names), self._closed(last, touched), dim, last_key, few)
             self.write(numbered.withColumn("_bucket", bucket).repartition("_bucket"), "new", run, "_bucket")
         for b in touched:
             places[("kept", b)] = (run, n_rows.get((scd2.KEPT, b), 0))
@@ -519,9 +528,7 @@ class DimensionTable(RunTable):
         for b in touched:
             places[("kept", b)], places[("new", b)] = (run, 0), (run, 0)
         places |= {("kept", r["_bucket"]): (run, r["count"]) for r in kept}
-        listed = [(part, b, at, rows) for (part, b), (at, rows) in places.items()]
-        self.write(self.spark.createDataFrame(listed, _PLACE).coalesce(1), "places", run)
-        self.publish(run, 1, load_ts, None, last["last_key"], None, n)
+        self.publish(run, 1, load_ts, None, last["last_key"], None, n, places)
         return sum(r["count"] for r in counts)
 
     # ---- state of feeds ------------------------------------------------------------
@@ -542,16 +549,14 @@ class DimensionTable(RunTable):
         last = self.last()
         if last is None:
             return 0
-        schema = T.StructType.fromDDL(_PLACE + ", run bigint")
-        seen = self.spark.read.schema(schema).parquet(f"{self.root}/places").where(F.col("run") <= last["run"])
         recent = F.col("run") > last["run"] - keep
-        ones = seen.where("n > 0").groupBy("part", "bucket", "at").agg(F.max(recent).alias("recent"))
+        ones = self._listed().where("n > 0").groupBy("part", "bucket", "at").agg(F.max(recent).alias("recent"))
         old = ones.where("NOT recent").collect()
+        done = 0
         folder = {"kept": "rows/run={}/_kind=kept/_bucket={}", "new": "new/run={}/_bucket={}", "state": "state/run={}/_bucket={}"}
         for r in old:
-            delete_path(self.spark, f"{self.root}/{folder[r['part']].format(r['at'], r['bucket'])}")
+            done += delete_path(self.spark, f"{self.root}/{folder[r['part']].format(r['at'], r['bucket'])}")
         for run in range(1, last["run"] - keep + 1):
             # The inserted rows without their keys have served once their run is published.
             delete_path(self.spark, f"{self.root}/rows/run={run}/_kind={scd2.INSERT}")
-            delete_path(self.spark, f"{self.root}/places/run={run}")
-        return len(old)
+        return done

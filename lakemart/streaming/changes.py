@@ -60,8 +60,8 @@ def apply_batch(
     nk = dim.nk
     with scratch_scope(table.spark):
         fit, unfit = fit_changes(feed, nk, seq)
-        latest = materialize(latest_changes(fit, nk, seq=seq), "changes")
-        known = table.state_of(last, latest, nk, state_schema(latest.schema, nk, seq))
+        latest = latest_changes(fit, nk, seq=seq)
+        known = table.state_of(last, fit, nk, state_schema(latest.schema, nk, seq))
         newer = latest.join(known.select(nk, "last_seq"), nk, "left").where(F.col("last_seq").isNull() | (F.col(seq) > F.col("last_seq")))
         stage = materialize(newer.drop("last_seq"), "changes")
         # The whole state of the batch's buckets: what it had, and what is newer now.
