@@ -390,6 +390,65 @@ UNION ALL SELECT 'orders', 'o_custkey', 'change_type', 'string', 'bigint', (SELE
 UNION ALL SELECT 'orders', 'o_note', 'drop_column', 'string', NULL, (SELECT count(*) FROM orders)"""
 
 
+def landed_in_parts(spark: SparkSession, sf_dir: str) -> str:
+    """Folders as several extracts leave them: other types, missing and further columns from file to file."""
+    root = scratch_path(spark, "landed")
+    orders, customer = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    parts = {
+        "orders": [orders.where(urgent).withColumn("o_custkey", F.col("o_custkey").cast("int")), orders.where(~urgent)],
+        "customer": [customer.drop("c_acctbal"), customer.drop("c_acctbal").withColumn("c_note", F.lit(1)).limit(0),
+                     customer.drop("c_acctbal").withColumn("c_note", F.lit("x")).limit(0)],
+        "nation": [read(spark, sf_dir, "nation")],
+        "supplier": [read(spark, sf_dir, "supplier").withColumn("s_nationkey", F.col("s_nationkey").cast("smallint")),
+                     read(spark, sf_dir, "supplier").drop("s_name")],
+    }
+    for name, frames in parts.items():
+        for df in frames:
+            df.write.mode("append").parquet(f"{root}/{name}")
+    return root
+
+
+def folder_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schemas found in landed folders: the least types that hold what all files of a table have."""
+    return sync.landed_schemas(spark, landed_in_parts(spark, sf_dir))
+
+
+def _described(table: str) -> str:
+    kinds = {"VARCHAR": "string", "TIMESTAMP": "timestamp_ntz", "INTEGER": "int"}
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in kinds.items())
+    return (
+        f"SELECT '{table}' AS \"table\", column_name AS \"column\", CASE column_type {cases} ELSE lower(column_type) END AS type "
+        f"FROM (DESCRIBE {table})"
+    )
+
+
+_LANDED_SQL = (
+    f"{_described('orders')} UNION ALL {_described('nation')} UNION ALL {_described('supplier')} "
+    f"UNION ALL SELECT * FROM ({_described('customer')}) WHERE \"column\" <> 'c_acctbal' "
+    "UNION ALL SELECT 'customer', 'c_note', 'string'"
+)
+
+
+def sync_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a sync of those folders with a catalogue of the given tables would do."""
+    catalogue = tables.schema_rows(spark, {t: read(spark, sf_dir, t).schema for t in ("orders", "customer", "nation", "part")})
+    return sync.sync_diff(sync.landed_schemas(spark, landed_in_parts(spark, sf_dir)), catalogue)
+
+
+SYNC_LANDED_SQL = f"""WITH f AS ({_LANDED_SQL}),
+c AS ({' UNION ALL '.join(_described(t) for t in ('orders', 'customer', 'nation', 'part'))})
+SELECT coalesce(f."table", c."table") AS "table", coalesce(f."column", c."column") AS "column",
+  CASE WHEN c.type IS NULL THEN 'add_column' WHEN f.type IS NULL THEN 'drop_column' ELSE 'change_type' END AS action,
+  c.type AS old_type, f.type AS new_type
+FROM f FULL JOIN c ON f."table" = c."table" AND f."column" = c."column"
+WHERE f.type IS DISTINCT FROM c.type AND coalesce(f."table", c."table") IN (SELECT "table" FROM f)
+  AND coalesce(f."table", c."table") IN (SELECT "table" FROM c)
+UNION ALL SELECT DISTINCT "table", CAST(NULL AS VARCHAR), 'create_table', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+FROM f WHERE "table" NOT IN (SELECT "table" FROM c)
+UNION ALL SELECT DISTINCT "table", NULL, 'drop_table', NULL, NULL FROM c WHERE "table" NOT IN (SELECT "table" FROM f)"""
+
+
 def raw_folders(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
     root = scratch_path(spark, "raw")
     for name in names:
@@ -556,6 +615,8 @@ QUERIES = {
     "cast_failures": cast_failures,
     "lob_flags": lob_limit,
     "sync_diff": schema_sync,
+    "folder_schemas": folder_schemas,
+    "sync_landed": sync_landed,
     "validate_tables": validate_tables,
     "archive_counts": archive_counts,
     "curated_roundtrip": curated_roundtrip,
@@ -586,6 +647,8 @@ ORACLES = {
     "cast_failures": CAST_FAILURES_SQL,
     "lob_flags": LOB_SQL,
     "sync_diff": SYNC_SQL,
+    "folder_schemas": _LANDED_SQL,
+    "sync_landed": SYNC_LANDED_SQL,
     "validate_tables": VALIDATE_SQL,
     "archive_counts": ARCHIVE_SQL,
     "curated_roundtrip": curated_sql(),

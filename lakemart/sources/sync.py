@@ -1,9 +1,99 @@
-"""Catalogue sync and raw-load validation."""
+"""Schemas of landed folders, catalogue sync and raw-load validation."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakemart.sources.tables import schema_rows
+
+# Whole numbers by width; a floating number holds any of them, text holds everything.
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FLOATING = (T.FloatType, T.DoubleType)
+
+
+def widened(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The least type that holds the values of both; text where there is no other."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    kinds = type(a), type(b)
+    if all(k in _WHOLE for k in kinds):
+        return max(a, b, key=lambda t: _WHOLE.index(type(t)))
+    if all(k in _WHOLE + _FLOATING for k in kinds):
+        return T.DoubleType()
+    if all(isinstance(t, (T.DecimalType, *_WHOLE)) for t in (a, b)):
+        digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+        sizes = [(t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (digits[type(t)], 0) for t in (a, b)]
+        whole, scale = max(w for w, _ in sizes), max(s for _, s in sizes)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
+    moments = {T.DateType, T.TimestampNTZType, T.TimestampType}
+    if set(kinds) <= moments and T.DateType in kinds:
+        return a if isinstance(b, T.DateType) else b
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(widened(a.elementType, b.elementType))
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return merged_schemas([a, b])
+    return T.StringType()
+
+
+def merged_schemas(schemas: Iterable[T.StructType]) -> T.StructType:
+    """All columns in order of first appearance, each in the least type that holds it."""
+    found: dict[str, T.DataType] = {}
+    for schema in schemas:
+        for f in schema:
+            found[f.name] = widened(found[f.name], f.dataType) if f.name in found else f.dataType
+    return T.StructType([T.StructField(n, t) for n, t in found.items()])
+
+
+def unmerged(error: Exception) -> bool:
+    return "CANNOT_MERGE_SCHEMAS" in str(error)
+
+
+def files_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
+    """The schema of parquet files of one table, read from their footers by the executors.
+
+    Spark merges what is compatible in one job. Files it cannot merge are halved
+    until each part is, so a table with one odd file takes a few jobs more.
+    """
+    try:
+        found = spark.read.option("mergeSchema", True).parquet(*paths).schema
+    except Exception as error:  # Spark raises this one as it comes from the tasks, without a class of its own
+        if len(paths) == 1 or not unmerged(error):
+            raise
+        half = len(paths) // 2
+        return merged_schemas([files_schema(spark, paths[:half]), files_schema(spark, paths[half:])])
+    return T.StructType([T.StructField(f.name, f.dataType) for f in found])
+
+
+def child_folders(spark: SparkSession, root: str) -> list[str]:
+    """Names one level below ``root`` that hold something not hidden; files further down are not listed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def holds(folder) -> bool:
+        return any(s.getPath().getName()[:1] not in "_." for s in system.listStatus(folder))
+
+    found = [s.getPath() for s in system.listStatus(path) if s.isDirectory() and s.getPath().getName()[:1] not in "_."]
+    return sorted(p.getName() for p in found if holds(p))
+
+
+def landed_schemas(spark: SparkSession, root: str) -> DataFrame:
+    """``(table, column, type)`` of every folder below ``root``, from the files that are there."""
+    found = {}
+    for name in child_folders(spark, root):
+        try:
+            found[name] = files_schema(spark, [f"{root}/{name}"])
+        except Exception as error:
+            if not unmerged(error):
+                raise
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/{name}").select("path")
+            found[name] = files_schema(spark, sorted(r[0] for r in files.collect()))
+    return schema_rows(spark, found)
 
 
 def sync_diff(found: DataFrame, catalogue: DataFrame) -> DataFrame:

@@ -148,3 +148,33 @@ def test_replaced_runs_are_retired(spark, folder):
     assert table.retire() == 2 and table.read().count() == 3
     table.append(df, T1)
     assert table.retire() == 2 and table.read().count() == 6
+
+
+def test_types_widen(spark):
+    from pyspark.sql import types as T
+
+    from lakemart.sources.sync import widened
+
+    def both(a, b):
+        x, y = (T.StructType.fromDDL(f"c {t}")["c"].dataType for t in (a, b))
+        assert widened(x, y) == widened(y, x)
+        return widened(x, y).simpleString()
+
+    assert both("smallint", "bigint") == "bigint" and both("bigint", "float") == "double" and both("float", "double") == "double"
+    assert both("decimal(10,2)", "int") == "decimal(12,2)" and both("decimal(38,2)", "bigint") == "decimal(38,2)" and both("decimal(38,30)", "bigint") == "string"
+    assert both("date", "timestamp") == "timestamp" and both("date", "int") == "string" and both("timestamp", "timestamp_ntz") == "string"
+    assert both("array<int>", "array<bigint>") == "array<bigint>" and both("struct<a:int>", "struct<a:string,b:int>") == "struct<a:string,b:int>"
+
+
+def test_folders_one_level_deep(spark, folder):
+    import os
+
+    from lakemart.sources import sync
+
+    spark.range(2).write.parquet(folder + "/raw/a")
+    spark.range(2).selectExpr("cast(id as int) id").write.mode("append").parquet(folder + "/raw/a")
+    spark.range(2).selectExpr("cast(id as string) id", "1 n").write.mode("append").parquet(folder + "/raw/a")
+    os.makedirs(folder + "/raw/empty")
+    os.makedirs(folder + "/raw/_temporary")
+    assert sync.child_folders(spark, folder + "/raw") == ["a"]
+    assert sorted(map(tuple, sync.landed_schemas(spark, folder + "/raw").collect())) == [("a", "id", "string"), ("a", "n", "int")]
