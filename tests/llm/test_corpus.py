@@ -530,7 +530,7 @@ def test_pages_odd_rows(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_sql(spark, name):
     db = duckdb.connect()
-    for t in ("conversations", "embeddings", "documents", "benchmark"):
+    for t in ("conversations", "embeddings", "documents", "benchmark", "pages"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     cursor = db.execute(queries.ORACLES[name])
     names = [d[0] for d in cursor.description]
@@ -540,7 +540,7 @@ def test_query_matches_sql(spark, name):
 
 def test_all_queries_are_registered():
     names = contract.queries()
-    assert "pipeline" in names and [n for i in range(1, 11) for n in names if n.startswith(f"op{i}_")] == sorted(
+    assert "pipeline" in names and [n for i in range(1, 14) for n in names if n.startswith(f"op{i}_")] == sorted(
         (n for n in names if re.match(r"op\d+_", n)), key=lambda n: int(n[2:].split("_")[0])
     )
 
