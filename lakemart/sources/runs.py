@@ -440,7 +440,9 @@ class DimensionTable(RunTable):
         old = self.places(last)
         n = last["buckets"] if last else buckets and 1 << (buckets - 1).bit_length()
         held = sum(rows for (part, _), (_, rows) in old.items() if part != "state")
-        split = last is not None and held > 4 * BUCKET_KEYS * n
+        # The state of a feed is split along with the rows, so a table that has one waits for a batch of the feed.
+        stateless = all(part != "state" for part, _ in old)
+        split = last is not None and held > 4 * BUCKET_KEYS * n and (stateless or state is not None)
         near = None
         if last and not close_missing and not split:
             near = self.buckets_of(stage, dim.nk, n)
@@ -462,8 +464,6 @@ class DimensionTable(RunTable):
                     names = {r[0] for r in state.select(self.bucket_of(F.col(dim.nk), last["buckets"])).distinct().collect()}
                     rest = {b for part, b in old if part == "state"} - names
                     state = state.unionByName(self._at("state", state.schema, old, rest))
-                elif any(part == "state" for part, _ in old):
-                    raise ValueError("a table with the state of a feed is split by a batch of that feed")
             if touched:
                 now = self._current(old, None if places != old else touched)
                 last_key += self._write_buckets(run, stage, dim, load_ts, delete_flag, delta.where(moves), now, touched, places, last, last_key, n)

@@ -372,3 +372,21 @@ def test_tables_whose_schema_changes(spark, folder):
     table.replace(table.read().where("id = 3"), T3)
     assert [r["id"] for r in table.read().collect()] == [3]
     assert table.read_legacy("t_single").count() == 2
+
+
+def test_feeds_split_rows_and_state_together(spark, folder, monkeypatch):
+    from lakemart.sources import runs
+
+    table, d = feed_table(spark, folder)
+    rows = [("I", i, i, f"n{i}", 1.0) for i in range(80)]
+    changes.apply_batch(table, d, feed(spark, *rows, ("D", 900, 500, None, None)), 0, T1)
+    assert table.last()["buckets"] == 1
+    monkeypatch.setattr(runs, "BUCKET_KEYS", 10)
+    changes.apply_batch(table, d, feed(spark, ("U", 901, 3, "new", 1.0)), 1, T2)
+    assert table.last()["buckets"] == 8
+    state = table._at("state", changes.state_schema(table.schema, "id"), table.places(table.last()), None)
+    assert state.count() == 81 and table.current().count() == 80
+    # The state of before still tells what is stale, in the new buckets.
+    changes.apply_batch(table, d, feed(spark, ("I", 899, 500, "before its delete", 1.0), ("U", 2, 3, "stale", 1.0), ("U", 902, 4, "x", 1.0)), 2, T3)
+    got = by_version(table.read())
+    assert (500, 1) not in got and got[(3, 2)][0] == "new" and got[(4, 2)][0] == "x" and (3, 3) not in got
