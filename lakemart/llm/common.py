@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from lakemart.session import materialize
 
-__all__ = ["materialize", "table", "map_batches", "on_workers", "small", "components", "WORD_BREAK"]
+__all__ = ["materialize", "table", "map_batches", "on_workers", "small", "told_apart", "components", "WORD_BREAK"]
 
 #: Bytes that end a word: space and 0x09 to 0x0D.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
@@ -71,6 +71,20 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+def told_apart(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """``rows`` with ``_tie`` beside ``_key`` and ``_text``, and whether a key has several rows.
+
+    ``_tie`` tells texts of one key apart: a hash of the text where a key has
+    several rows, else 0. It depends on the rows only, not on their order.
+    """
+    counted = rows.where("_key IS NOT NULL").groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1")
+    twice = materialize(counted.select("_key", F.lit(True).alias("_many")), "keys-twice")
+    if twice.limit(1).count() == 0:
+        return rows.withColumn("_tie", F.lit(0).cast("long")), False
+    tie = F.when(F.col("_many"), F.xxhash64("_text")).otherwise(F.lit(0).cast("long"))
+    return rows.join(small(twice), "_key", "left").withColumn("_tie", tie).drop("_many"), True
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """``(id, component)`` for every id in the links ``(a, b)``: the smallest id reachable.
 

@@ -5,7 +5,7 @@ similar lines share one of their first few (the prefix). Lines meet on a prefix
 word; the sizes, and what can still follow the word's positions, rule out most
 meetings inside the join; the rest is verified with the whole sets. A line
 that is similar to one further ahead in the corpus (document id, then line
-number) is removed, whether or not that one is removed too. Lines are first
+number; texts of one id in the order of their hashes) is removed, whether or not that one is removed too. Lines are first
 tried with two leaders of their common words, so that a family of near copies does
 not meet pair by pair.
 """
@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import materialize, small
+from lakemart.llm.common import materialize, small, told_apart
 
 #: Jaccard similarity, in percent, from which a line counts as the same.
 PERCENT = 85
@@ -71,7 +71,7 @@ def _parity(keys: Column) -> Column:
 
 
 def _lines(texts: DataFrame) -> DataFrame:
-    return texts.select("_key", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line"))
+    return texts.select("_key", "_tie", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line"))
 
 
 def _least_shared(n: Column, m: Column, percent: int) -> Column:
@@ -104,17 +104,24 @@ def _leaders() -> list[Column]:
 
 
 def repeated_lines(docs: DataFrame, key: str, text: str, percent: int = PERCENT) -> DataFrame:
-    """``(_key, _pos)`` of every line that an earlier line is similar to; lines without words are none."""
-    texts = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).where("_key IS NOT NULL AND _text IS NOT NULL")
+    """``(_key, _tie, _pos)`` of every line that an earlier line is similar to; lines without words are none.
+
+    ``_tie`` as in :func:`told_apart`: rows of one key and text are one document, other texts of the key are others.
+    """
+    return _repeated(told_apart(docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")))[0], percent)
+
+
+def _repeated(rows: DataFrame, percent: int) -> DataFrame:
+    texts = rows.where("_key IS NOT NULL AND _text IS NOT NULL")
     levels = word_levels(texts)
-    keyed = _lines(texts).select("_key", "_pos", line_keys(F.col("_line"), levels).alias("_keys")).where(F.size("_keys") > 0)
+    keyed = _lines(texts).select("_key", "_tie", "_pos", line_keys(F.col("_line"), levels).alias("_keys")).where(F.size("_keys") > 0)
     n = F.size("_keys")
     lines = keyed.select(
-        "_key", "_pos", n.alias("n"), F.xxhash64("_keys").alias("s1"), F.xxhash64(F.lit(1), "_keys").alias("s2"), _parity(F.col("_keys")).alias("bits"),
+        "_key", "_tie", "_pos", n.alias("n"), F.xxhash64("_keys").alias("s1"), F.xxhash64(F.lit(1), "_keys").alias("s2"), _parity(F.col("_keys")).alias("bits"),
         F.slice("_keys", F.lit(1), n - F.ceil(n * percent / 100 - 1e-9).cast("int") + 1).alias("prefix"),
     )
     lines = materialize(lines, "line-sets")
-    sets = lines.groupBy("s1", "s2").agg(F.min(F.struct("_key", "_pos")).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
+    sets = lines.groupBy("s1", "s2").agg(F.min(F.struct("_key", "_tie", "_pos")).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
     sets = materialize(sets, "line-distinct")
     posted = sets.select("s1", "first", "n", "bits", F.posexplode("prefix").alias("at", "word"))
     shared = posted.groupBy("word").agg(F.count("*").alias("c"), *_leaders())
@@ -125,9 +132,9 @@ def repeated_lines(docs: DataFrame, key: str, text: str, percent: int = PERCENT)
         """The later line of each pair ``(late, early)`` whose whole sets are similar."""
         pairs = materialize(pairs, "line-pairs")
         wanted = materialize(pairs.select(F.explode(F.array("late", "early")).alias("first")).distinct(), "line-wanted")
-        owners = wanted.select(F.col("first._key").alias("_key")).distinct()
-        places = wanted.select(F.col("first._key").alias("_key"), F.col("first._pos").alias("_pos"), "first")
-        whole = _lines(texts.join(small(owners), "_key", "left_semi")).join(small(places), ["_key", "_pos"])
+        owners = wanted.select("first._key", "first._tie").distinct()
+        places = wanted.select("first._key", "first._tie", "first._pos", "first")
+        whole = _lines(texts.join(small(owners), ["_key", "_tie"], "left_semi")).join(small(places), ["_key", "_tie", "_pos"])
         whole = materialize(whole.select("first", line_keys(F.col("_line"), levels).alias("_keys")), "line-keys")
         sides = pairs.join(whole.select(F.col("first").alias("late"), F.col("_keys").alias("x")), "late").join(
             whole.select(F.col("first").alias("early"), F.col("_keys").alias("y")), "early"
@@ -169,8 +176,8 @@ def repeated_lines(docs: DataFrame, key: str, text: str, percent: int = PERCENT)
     more = similar(met.where(F.col("met") >= _least_shared(F.col("n"), F.col("m"), percent) - rest).select("late", "early"))
     gone = gone.unionByName(more).distinct().withColumn("_gone", F.lit(True))
     firsts = sets.select("s1", "s2", "first").join(small(gone), "first", "left")
-    later = (F.col("first") < F.struct("_key", "_pos")) | F.coalesce("_gone", F.lit(False))
-    return lines.select("_key", "_pos", "s1", "s2").join(firsts, ["s1", "s2"]).where(later).select("_key", "_pos")
+    later = (F.col("first") < F.struct("_key", "_tie", "_pos")) | F.coalesce("_gone", F.lit(False))
+    return lines.select("_key", "_tie", "_pos", "s1", "s2").join(firsts, ["s1", "s2"]).where(later).select("_key", "_tie", "_pos")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -178,21 +185,23 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
 
     ``all_removed``: every line with words went. A null text stays null (0
     lines), an empty one is one line without words, which always stays. Rows of
-    one key are one document: repeated rows lose the same lines. A row with a
-    null key stays as it is and is matched with none. Clashing column names:
-    existing columns of the three added names are replaced.
+    one key and text are one document: repeated rows lose the same lines. Other
+    texts of a key are documents of their own, in the order of their hashes. A
+    row with a null key stays as it is and is matched with none. Clashing column
+    names: existing columns of the three added names are replaced.
     """
     added = ["n_lines", "n_removed", "all_removed"]
-    rows = docs.drop(*added)
-    gone = repeated_lines(docs, key, text, percent)
-    per_doc = gone.groupBy(F.col("_key").alias("_doc")).agg(F.collect_set("_pos").alias("_gone"))
-    joined = rows.join(per_doc, F.col(f"`{key}`") == F.col("_doc"), "left")
-    lines = F.split(F.col(f"`{text}`"), "\n")
+    names = docs.drop(*added).columns
+    own = {c: {key: "_key", text: "_text"}.get(c, f"_c{i}") for i, c in enumerate(names)}
+    rows, _ = told_apart(docs.select(*[F.col(f"`{c}`").alias(a) for c, a in own.items()]))
+    gone = _repeated(rows.select("_key", "_text", "_tie"), percent)
+    per_doc = gone.groupBy(F.col("_key").alias("_doc"), F.col("_tie").alias("_doc_tie")).agg(F.collect_set("_pos").alias("_gone"))
+    joined = rows.join(per_doc, (F.col("_key") == F.col("_doc")) & (F.col("_tie") == F.col("_doc_tie")), "left")
+    lines = F.split("_text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    kept = F.when(F.col("_gone").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(F.transform(left, lambda i: lines[i]), "\n"))
+    kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(left, lambda i: lines[i]), "\n"))
     n_removed = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))
-    made = joined.withColumn("n_lines", F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.size(lines)).cast("long"))
+    made = joined.withColumn("n_lines", F.when(F.col("_text").isNull(), 0).otherwise(F.size(lines)).cast("long"))
     made = made.withColumn("n_removed", n_removed.cast("long")).withColumn("_kept", kept)
     made = made.withColumn("all_removed", (F.col("n_removed") > 0) & (F.length(F.trim(F.translate("_kept", "\n\t\r\x0b\x0c", "     "))) == 0))
-    columns = [F.col("_kept").alias(text) if c == text else F.col(f"`{c}`") for c in rows.columns]
-    return made.select(*columns, *added)
+    return made.select(*[F.col("_kept" if c == text else a).alias(c) for c, a in own.items()], *added)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import components, map_batches, materialize, on_workers, small
+from lakemart.llm.common import components, map_batches, materialize, on_workers, small, told_apart
 from lakemart.llm.shingles import mix, shingle_sets
 
 #: Sizes up to which the light way is weighed against the heavy one.
@@ -69,15 +69,15 @@ def rarity(docs: DataFrame, k: int) -> np.ndarray:
     return np.where(over > 1, np.log2(np.maximum(over, 1)).astype(np.int64) + 1, 0).astype(np.uint8)
 
 
-_SETS = "_key bigint, f1 bigint, f2 bigint, n int, tokens binary, bits binary"
+_SETS = "_key bigint, _tie bigint, f1 bigint, f2 bigint, n int, tokens binary, bits binary"
 
 
 def document_sets(docs: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """Per row: key, fingerprint and size of its set, its rarest shingles (all, if small) by rarity, its bitmap."""
+    """Per row: key and tie, fingerprint and size of its set, its rarest shingles (all, if small) by rarity, its bitmap."""
 
     def run(batch: pa.RecordBatch) -> pa.Table:
         out = {c: [] for c in ("f1", "f2", "n", "tokens", "bits")}
-        for _, made, counts in shingle_sets(batch.column(1), k):
+        for _, made, counts in shingle_sets(batch.column(2), k):
             ends = np.cumsum(counts)
             level = levels[(made % np.uint64(SKETCH)).astype(np.int64)]
             other = mix(made + np.uint64(0x632BE59BD9B4E019))
@@ -96,9 +96,9 @@ def document_sets(docs: DataFrame, k: int, percent: int, levels: np.ndarray) ->
                 out["tokens"].append(h.tobytes())
                 out["bits"].append(np.packbits(odd.astype(np.uint8)).tobytes())
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-        return pa.table([batch.column(0), *[pa.array(v, t) for v, t in zip(out.values(), kinds)]], ["_key", *out])
+        return pa.table([batch.column(0), batch.column(1), *[pa.array(v, t) for v, t in zip(out.values(), kinds)]], ["_key", "_tie", *out])
 
-    return map_batches(docs, _SETS, run)
+    return map_batches(docs.select("_key", "_tie", "_text"), _SETS, run)
 
 
 def boundary(sizes: dict[int, int], percent: int) -> int:
@@ -293,12 +293,16 @@ def _folded(bitmaps: np.ndarray, widths: np.ndarray, rows: np.ndarray, words: in
     return out, at
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of document ids whose texts' sets are similar, by the exact counts."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("_key")).distinct(), "ngram-ids")
-    texts = materialize(docs.join(small(ids), "_key", "left_semi"), "ngram-texts")
-    one = pairs.join(texts.select(F.col("_key").alias("a"), F.col("_text").alias("_ta")), "a")
-    both = one.join(texts.select(F.col("_key").alias("b"), F.col("_text").alias("_tb")), "b").select("a", "b", "_ta", "_tb")
+def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, several: bool, k: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of set ids whose texts' sets are similar, by the exact counts.
+
+    ``owners``: a row ``(_key, _tie)`` of ``docs`` for each ``id``; ``several`` if such a row may be repeated.
+    """
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(owners, "id"), "ngram-ids")
+    texts = docs.join(small(ids), ["_key", "_tie"]).select("id", "_text")
+    texts = materialize(texts.dropDuplicates(["id"]) if several else texts, "ngram-texts")
+    one = pairs.join(texts.select(F.col("id").alias("a"), F.col("_text").alias("_ta")), "a")
+    both = one.join(texts.select(F.col("id").alias("b"), F.col("_text").alias("_tb")), "b").select("a", "b", "_ta", "_tb")
 
     def run(batch: pa.RecordBatch) -> pa.Table:
         sides = []
@@ -316,26 +320,26 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     return map_batches(both, "a bigint, b bigint", run)
 
 
-def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
-    """One row per row of ``docs``: key, ``n_shingles``, ``component_id`` (least key reachable by links).
+def _joined(rows: DataFrame, several: bool, k: int, percent: int) -> DataFrame:
+    """Per row of ``rows`` ``(_key, _tie, _text)``: ``_key``, ``_tie``, ``n``, ``component`` and its first row ``first``.
 
-    Keys are integers. A null text is empty; empty sets link with nothing and
-    are components of their own. Rows of the same key count as one document; a
-    null key takes no part and has a null component. Other columns are not read.
+    ``component`` is a number of the component, ``first`` the least ``(_key, _tie)`` in it; both null without a set or key.
     """
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("_key"), F.col(f"`{text}`").alias("_text"))
     levels = rarity(rows, k)
-    found = materialize(document_sets(rows, k, percent, levels), "ngram-rows")
-    member = found.select("_key", "f1", "f2", "n")
-    solid = member.where("n > 0 AND _key IS NOT NULL")
-    classes = materialize(solid.groupBy("f1", "f2", "n").agg(F.min("_key").alias("id")), "ngram-classes")
-    owners = classes.select(F.col("id").alias("_key"), "f1", "f2", "n")
-    sets = found.join(small(owners), ["_key", "f1", "f2", "n"], "left_semi").select(F.col("_key").alias("id"), "n", "tokens", "bits")
-    sets = materialize(sets.dropDuplicates(["id"]) if _repeated(owners) else sets, "ngram-sets")
+    found = document_sets(rows, k, percent, levels).withColumn("row", F.monotonically_increasing_id())
+    found = materialize(found, "ngram-rows")  # written, so that the numbers of its rows stay
+    member = found.select("_key", "_tie", "f1", "f2", "n")
+    solid = found.where("n > 0 AND _key IS NOT NULL")
+    classes = solid.groupBy("f1", "f2", "n").agg(F.min(F.struct("_key", "_tie", "row")).alias("one"))
+    # A class is one written row, whatever else has its key; the number of that row is its id.
+    classes = materialize(classes.select("f1", "f2", "n", F.col("one.row").alias("id"), "one._key", "one._tie"), "ngram-classes")
+    sets = found.join(small(classes.select(F.col("id").alias("row"))), "row", "left_semi").select(F.col("row").alias("id"), "n", "tokens", "bits")
+    sets = materialize(sets, "ngram-sets")
     sizes = {r["n"]: r["c"] for r in sets.where(F.col("n") <= LIGHT_MOST).groupBy("n").agg(F.count("*").alias("c")).collect()}
     posted = signatures(sets, percent, boundary(sizes, percent))
     shared = posted.groupBy("sig").agg(F.count("*").alias("_n")).where("_n > 1").select("sig")
     lists = materialize(posted.join(shared, "sig", "left_semi"), "ngram-lists")
+    texts, owners = rows.where("_key IS NOT NULL"), classes.select("id", "_key", "_tie")
     links, labels = None, None
     for turn in range(ROUNDS + 1):
         last = turn == ROUNDS
@@ -344,36 +348,53 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
             # A share of the lists is enough to find near partners; another share each round.
             used = lists.where(F.pmod(F.xxhash64("sig", F.lit(turn)), F.lit(8)) == 0)
         pairs = materialize(_cells(used, sets, labels, not last, percent), "ngram-pairs")
-        new = materialize(verified(pairs, rows.where("_key IS NOT NULL"), k, percent), "ngram-links")
+        new = materialize(verified(pairs, texts, owners, several, k, percent), "ngram-links")
         links = new if links is None else links.union(new)
         if labels is None or last or new.limit(1).count():
             labels = components(links)
-    placed = classes.join(labels, "id", "left").select("f1", "f2", "n", F.coalesce("component", "id").alias("component"))
-    return member.join(placed, ["f1", "f2", "n"], "left").select(
-        F.col("_key").alias(key), F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("_key").isNotNull(), F.coalesce("component", "_key")).alias("component_id"),
-    )
+    # Ids are row numbers: the least key of a component is taken from its classes.
+    linked = materialize(labels.join(classes.select("id", "_key", "_tie"), "id"), "ngram-linked")
+    least = linked.groupBy("component").agg(F.min(F.struct("_key", "_tie")).alias("first"))
+    linked = linked.select("id", "component").join(least, "component")
+    own = F.struct("_key", "_tie")
+    placed = classes.join(linked, "id", "left").select("f1", "f2", "n", F.coalesce("component", "id").alias("component"), F.coalesce("first", own).alias("first"))
+    whole = member.join(placed, ["f1", "f2", "n"], "left")
+    solid = F.col("_key").isNotNull() & (F.col("n") > 0)
+    return whole.select("_key", "_tie", "n", F.when(solid, F.col("component")).alias("component"), F.when(solid, F.col("first")).alias("first"))
 
 
-def _repeated(owners: DataFrame) -> bool:
-    """Whether one key stands for several sets (rows of one key with different texts)."""
-    return owners.groupBy("_key").count().where("count > 1").limit(1).count() > 0
+def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
+    """One row per row of ``docs``: key, ``n_shingles``, ``component_id`` (least key reachable by links).
+
+    Keys are integers. A null text is empty; empty sets link with nothing and
+    are components of their own. Rows of one key with different texts are
+    documents of their own, linked only if their sets are; a null key takes no
+    part and has a null component. Other columns are not read.
+    """
+    rows, several = told_apart(docs.select(F.col(f"`{key}`").cast("long").alias("_key"), F.col(f"`{text}`").alias("_text")))
+    found = _joined(rows, several, k, percent)
+    return found.select(
+        F.col("_key").alias(key), F.col("n").cast("long").alias("n_shingles"), F.coalesce("first._key", "_key").alias("component_id")
+    )
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
-    """The document with the least key of each component, all columns as they are.
+    """The document with the least key of each component (then the least hash of its text), all columns as they are.
 
-    Rows with a null key stay, documents without words stay; of several rows of
-    one key that have words one stays.
+    Rows with a null key stay, documents without words stay; of several rows
+    of one key and text that have words one stays, whichever.
     """
-    found = materialize(similar_documents(docs, key, text, k, percent), "ngram-found")
-    dropped = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
-    dropped = materialize(dropped, "ngram-dropped")
-    column = F.col(f"`{key}`").cast("long")
-    kept = docs.join(small(dropped), column == F.col("_gone"), "left_anti")
-    twice = found.where("n_shingles > 0").groupBy(F.col(key).alias("_twice")).count().where("count > 1").select("_twice")
-    twice = materialize(twice.where("_twice IS NOT NULL"), "ngram-twice")
-    if twice.limit(1).count() == 0:
-        return kept
-    once = kept.join(small(twice), column == F.col("_twice"), "left_semi").dropDuplicates([key])
-    return kept.join(small(twice), column == F.col("_twice"), "left_anti").unionByName(once)
+    own = {c: {key: "_id", text: "_text"}.get(c, f"_c{i}") for i, c in enumerate(docs.columns)}
+    keyed = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in own.items()]).withColumn("_key", F.col("_id").cast("long"))
+    rows, several = told_apart(keyed)
+    found = materialize(_joined(rows.select("_key", "_tie", "_text"), several, k, percent), "ngram-found")
+    names = ["_key", "_tie"]
+    dropped = found.where(F.col("first") != F.struct("_key", "_tie")).select(*names).distinct()
+    kept = rows.join(small(materialize(dropped, "ngram-dropped")), names, "left_anti")
+    if several:
+        # Counted over rows with words only; the rest of a repeated row stays as it is.
+        twice = found.where("first IS NOT NULL").groupBy(*names).agg(F.count("*").alias("_n")).where("_n > 1").select(*names)
+        twice = materialize(twice, "ngram-twice")
+        once = kept.join(small(twice), names, "left_semi").dropDuplicates(names)
+        kept = kept.join(small(twice), names, "left_anti").unionByName(once)
+    return kept.select(*[F.col(a).alias(c) for c, a in own.items()])

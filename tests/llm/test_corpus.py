@@ -134,6 +134,20 @@ def test_line_dedup_odd_rows(spark, odd):
     assert line_dedup.dedup_lines(odd.limit(0)).collect() == []
 
 
+def test_line_dedup_texts_of_one_key(spark):
+    """Lines belong to a text, not to its key; repeated rows are one document."""
+    lines = ["a b c d e f g", "h i j k l m n", "o p q r s t u"]
+    rows = [(1, "\n".join(lines[:2])), (1, lines[2]), (1, lines[2]), (0, lines[0]), (None, lines[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_tie", F.lit("own")).withColumn("_c0", F.lit("own"))
+    got = sorted(((x.doc_id, x.text, x._tie, x._c0) for x in line_dedup.dedup_lines(docs).collect()), key=str)
+    want = [(1, lines[1]), (1, lines[2]), (1, lines[2]), (0, lines[0]), (None, lines[0])]
+    assert got == sorted(((*x, "own", "own") for x in want), key=str)
+    # Equal texts of different keys, and one line in two texts of a key: the one with the lesser hash keeps it.
+    both = spark.createDataFrame([(1, lines[0] + "\n" + lines[1]), (1, lines[0] + "\n" + lines[2])], "doc_id long, text string")
+    left = sorted(x.text for x in line_dedup.dedup_lines(both).collect())
+    assert left in ([lines[0] + "\n" + lines[1], lines[2]], [lines[0] + "\n" + lines[2], lines[1]])
+
+
 def test_native_operators_run_no_python(spark):
     docs = spark.createDataFrame([(1, "a b\nc d"), (2, "a b")], "doc_id long, text string")
     plans = [line_dedup.dedup_lines(docs), queries.op7_chat_format(spark, SF_DIR)]
@@ -209,6 +223,21 @@ def test_ngram_join_odd_rows(spark, odd):
     assert ngram_join.similar_documents(odd.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("length", [7, 60])
+def test_ngram_join_texts_of_one_key(spark, length):
+    """Each text of a key has its own links; repeated rows count once."""
+    a, b, c = ([f"{x}{i}" for i in range(length)] for x in "abc")
+    near = lambda words: " ".join(words + ["more"])
+    rows = [(1, a), (1, b), (1, b), (0, c), (4, c)]
+    rows = [(i, " ".join(t)) for i, t in rows] + [(2, near(a)), (3, near(b)), (1, ""), (None, " ".join(a))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_key", F.lit("own"))
+    got = Counter((x.doc_id, x.component_id) for x in ngram_join.similar_documents(docs).collect())
+    assert got == {(1, 1): 4, (0, 0): 1, (4, 0): 1, (2, 1): 1, (3, 1): 1, (None, None): 1}
+    kept = sorted(((x.doc_id, x.text, x._key) for x in ngram_join.keep_one(docs).collect()), key=str)
+    want = [(1, " ".join(a)), (1, " ".join(b)), (0, " ".join(c)), (1, ""), (None, " ".join(a))]
+    assert kept == sorted(((*x, "own") for x in want), key=str)
+
+
 def test_boundary_takes_the_cheaper_way():
     assert ngram_join.boundary({}, 75) == 0
     assert ngram_join.boundary({n: 100 for n in range(1, 17)}, 75) >= 4
