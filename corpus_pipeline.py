@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm import decontaminate, line_dedup, ngram_join, sentencepiece_codec, toxicity
-from lakemart.llm.common import materialize, table
+from lakemart.llm.common import table
 from lakemart.llm.queries import piece_model, toxicity_model
+from lakemart.session import settled
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -51,10 +52,10 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; what a stage wrote on the way goes when its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = settled(spark, f"pipeline-{name}", lambda: stage(spark, docs, sf_dir))  # noqa: B023 (called at once)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,9 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+#: Lets Spark delete the shuffle files of a query when it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_root: str | None = None
 # Per thread: loads of several tables run side by side.
 _scopes = threading.local()
@@ -73,12 +76,31 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     Cuts the lineage and pins the rows: a lost executor re-reads files instead
     of re-running (and possibly re-ordering) the plan above.
     """
-    spark = df.sparkSession
+    return _written(df, scratch_path(df.sparkSession, label), partition_by)
+
+
+def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` gives, written as by :func:`materialize`; the scratch tables that it wrote on the way are deleted."""
     path = scratch_path(spark, label)
+    with scratch_scope(spark):
+        return _written(make(), path)
+
+
+def _written(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    spark = df.sparkSession
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    # Once the table is written nothing reads the shuffles behind it any more.
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 from lakemart.functions import names
 from lakemart.operators import mirror
 from lakemart.plans import facts, loads, star
-from lakemart.session import build_session, materialize, scratch_root, scratch_scope
+from lakemart.session import SHUFFLE_CLEANUP, build_session, materialize, scratch_root, scratch_scope, settled
 from lakemart.sources import jdbc, sync, tables
 
 T1, T2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
@@ -245,6 +245,24 @@ def test_scratch_scope_deletes(spark):
     assert tables.path_or_none(spark, path) is None
 
 
+def test_settled_keeps_its_result_only(spark):
+    paths = []
+
+    def make():
+        inner = settled(spark, "test", lambda: spark.range(5).toDF("id"))
+        outer = materialize(inner.where("id > 1"), "test")
+        paths.extend([inner.inputFiles()[0], outer.inputFiles()[0]])
+        return outer.where("id > 2")
+
+    with scratch_scope(spark):
+        df = settled(spark, "test", make)
+        assert sorted(r.id for r in df.collect()) == [3, 4]
+        assert all(tables.path_or_none(spark, p) is None for p in paths)
+        last = df.inputFiles()[0]
+    assert tables.path_or_none(spark, last) is None
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
+
+
 def test_session_defaults(spark):
     assert build_session() is spark
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
