@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.session import materialize
+from lakemart.session import materialize, settled
 
-__all__ = ["materialize", "table", "map_batches", "on_workers", "small", "told_apart", "components", "WORD_BREAK"]
+__all__ = ["materialize", "settled", "table", "map_batches", "on_workers", "small", "told_apart", "components", "WORD_BREAK"]
 
 #: Bytes that end a word: space and 0x09 to 0x0D.
 WORD_BREAK = r"[\x20\x09-\x0D]+"

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import map_batches, materialize, small
+from lakemart.llm.common import map_batches, materialize, settled, small
 from lakemart.llm.shingles import mix, word_hashes
 
 #: Window in words, words of it that must be the same, and the counting positions of each mask.
@@ -166,5 +166,5 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without an overlap, all columns as they are; rows with a null key stay."""
-    found = materialize(leaks(docs, items, key, text).select(F.col(key).alias("_leak")).distinct(), "leak-ids")
+    found = settled(docs.sparkSession, "leak-ids", lambda: leaks(docs, items, key, text).select(F.col(key).alias("_leak")).distinct())
     return docs.join(small(found), F.col(f"`{key}`") == F.col("_leak"), "left_anti")

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import materialize, small, told_apart
+from lakemart.llm.common import materialize, settled, small, told_apart
 
 #: Jaccard similarity, in percent, from which a line counts as the same.
 PERCENT = 85
@@ -112,6 +112,7 @@ def repeated_lines(docs: DataFrame, key: str, text: str, percent: int = PERCENT)
 
 
 def _repeated(rows: DataFrame, percent: int) -> DataFrame:
+    spark = rows.sparkSession
     texts = rows.where("_key IS NOT NULL AND _text IS NOT NULL")
     levels = word_levels(texts)
     keyed = _lines(texts).select("_key", "_tie", "_pos", line_keys(F.col("_line"), levels).alias("_keys")).where(F.size("_keys") > 0)
@@ -141,22 +142,28 @@ def _repeated(rows: DataFrame, percent: int) -> DataFrame:
         )
         both = F.size(F.array_intersect("x", "y"))
         sound = sides.where(both * 100 >= (F.size("x") + F.size("y") - both) * percent)
-        return materialize(sound.select(F.col("late").alias("first")).distinct(), "line-gone")
-
-    # First each line is tried with two leaders of the words that many lines share: a row per line and leader,
-    # however many lines those are. In a family of copies that removes most of the lines that have an earlier match.
-    heads = sets.select(F.col("s1").alias("lead"), F.col("first").alias("head"), F.col("n").alias("m"), F.col("bits").alias("head_bits"))
-    crowded = posted.select("word", "s1", "first", "n", "bits").join(shared.where(F.col("c") >= LED), "word")
-    crowded = materialize(crowded.drop("word", "c"), "line-crowded")
-    gone = None
-    for turn in range(len(_TURNS)):
-        led = crowded if gone is None else crowded.join(small(gone), "first", "left_anti")
-        pair = F.array(f"l{2 * turn}", f"l{2 * turn + 1}")
-        led = led.select("s1", "first", "n", "bits", F.explode(pair).alias("lead")).where("lead <> s1").join(heads, "lead")
-        led = led.where(_near(F.col("n"), F.col("m"), F.col("bits"), F.col("head_bits"), percent))
-        found = similar(led.select(F.greatest("first", "head").alias("late"), F.least("first", "head").alias("early")).distinct())
-        gone = found if gone is None else gone.unionByName(found)
-    gone = materialize(gone.distinct(), "line-gone")
+        return sound.select(F.col("late").alias("first")).distinct()
+
+    def after_leaders() -> DataFrame:
+        """Lines that are similar to one of two leaders of their words, a row per line and leader.
+
+        In a family of copies that is most of the lines that have an earlier match, however many lines it has.
+        """
+        heads = sets.select(F.col("s1").alias("lead"), F.col("first").alias("head"), F.col("n").alias("m"), F.col("bits").alias("head_bits"))
+        crowded = posted.select("word", "s1", "first", "n", "bits").join(shared.where(F.col("c") >= LED), "word")
+        crowded = materialize(crowded.drop("word", "c"), "line-crowded")
+        gone = None
+        for turn in range(len(_TURNS)):
+            led = crowded if gone is None else crowded.join(small(gone), "first", "left_anti")
+            pair = F.array(f"l{2 * turn}", f"l{2 * turn + 1}")
+            led = led.select("s1", "first", "n", "bits", F.explode(pair).alias("lead")).where("lead <> s1").join(heads, "lead")
+            led = led.where(_near(F.col("n"), F.col("m"), F.col("bits"), F.col("head_bits"), percent))
+            led = led.select(F.greatest("first", "head").alias("late"), F.least("first", "head").alias("early")).distinct()
+            found = settled(spark, "line-gone", lambda: similar(led))
+            gone = found if gone is None else gone.unionByName(found)
+        return gone.distinct()
+
+    gone = settled(spark, "line-gone", after_leaders)
 
     # Then those still without a match, with every earlier line of their words.
     a, b = posted.join(small(gone), "first", "left_anti").alias("a"), posted.alias("b")
@@ -173,7 +180,8 @@ def _repeated(rows: DataFrame, percent: int) -> DataFrame:
     # Shared words = those in both prefixes (one row each) + at most what follows the prefix of either.
     met = met.groupBy("late", "early", "n", "m").agg(F.count("*").alias("met"))
     rest = F.ceil(F.greatest("n", "m") * percent / 100 - 1e-9) - 1
-    more = similar(met.where(F.col("met") >= _least_shared(F.col("n"), F.col("m"), percent) - rest).select("late", "early"))
+    met = met.where(F.col("met") >= _least_shared(F.col("n"), F.col("m"), percent) - rest).select("late", "early")
+    more = settled(spark, "line-gone", lambda: similar(met))
     gone = gone.unionByName(more).distinct().withColumn("_gone", F.lit(True))
     firsts = sets.select("s1", "s2", "first").join(small(gone), "first", "left")
     later = (F.col("first") < F.struct("_key", "_tie", "_pos")) | F.coalesce("_gone", F.lit(False))
@@ -194,8 +202,10 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     names = docs.drop(*added).columns
     own = {c: {key: "_key", text: "_text"}.get(c, f"_c{i}") for i, c in enumerate(names)}
     rows, _ = told_apart(docs.select(*[F.col(f"`{c}`").alias(a) for c, a in own.items()]))
-    gone = _repeated(rows.select("_key", "_text", "_tie"), percent)
-    per_doc = gone.groupBy(F.col("_key").alias("_doc"), F.col("_tie").alias("_doc_tie")).agg(F.collect_set("_pos").alias("_gone"))
+    doc = [F.col("_key").alias("_doc"), F.col("_tie").alias("_doc_tie")]
+    per_doc = settled(
+        docs.sparkSession, "line-removed", lambda: _repeated(rows.select("_key", "_text", "_tie"), percent).groupBy(*doc).agg(F.collect_set("_pos").alias("_gone"))
+    )
     joined = rows.join(per_doc, (F.col("_key") == F.col("_doc")) & (F.col("_tie") == F.col("_doc_tie")), "left")
     lines = F.split("_text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))

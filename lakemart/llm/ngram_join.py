@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import components, map_batches, materialize, on_workers, small, told_apart
+from lakemart.llm.common import components, map_batches, materialize, on_workers, settled, small, told_apart
 from lakemart.llm.shingles import mix, shingle_sets
 
 #: Sizes up to which the light way is weighed against the heavy one.
@@ -325,6 +325,7 @@ def _joined(rows: DataFrame, several: bool, k: int, percent: int) -> DataFrame:
 
     ``component`` is a number of the component, ``first`` the least ``(_key, _tie)`` in it; both null without a set or key.
     """
+    spark = rows.sparkSession
     levels = rarity(rows, k)
     found = document_sets(rows, k, percent, levels).withColumn("row", F.monotonically_increasing_id())
     found = materialize(found, "ngram-rows")  # written, so that the numbers of its rows stay
@@ -347,11 +348,15 @@ def _joined(rows: DataFrame, several: bool, k: int, percent: int) -> DataFrame:
         if not last:
             # A share of the lists is enough to find near partners; another share each round.
             used = lists.where(F.pmod(F.xxhash64("sig", F.lit(turn)), F.lit(8)) == 0)
-        pairs = materialize(_cells(used, sets, labels, not last, percent), "ngram-pairs")
-        new = materialize(verified(pairs, texts, owners, several, k, percent), "ngram-links")
+
+        def found_links() -> DataFrame:
+            pairs = materialize(_cells(used, sets, labels, not last, percent), "ngram-pairs")
+            return verified(pairs, texts, owners, several, k, percent)
+
+        new = settled(spark, "ngram-links", found_links)
         links = new if links is None else links.union(new)
         if labels is None or last or new.limit(1).count():
-            labels = components(links)
+            labels = settled(spark, "ngram-components", lambda: components(links))
     # Ids are row numbers: the least key of a component is taken from its classes.
     linked = materialize(labels.join(classes.select("id", "_key", "_tie"), "id"), "ngram-linked")
     least = linked.groupBy("component").agg(F.min(F.struct("_key", "_tie")).alias("first"))
@@ -372,7 +377,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     part and has a null component. Other columns are not read.
     """
     rows, several = told_apart(docs.select(F.col(f"`{key}`").cast("long").alias("_key"), F.col(f"`{text}`").alias("_text")))
-    found = _joined(rows, several, k, percent)
+    found = settled(docs.sparkSession, "ngram-found", lambda: _joined(rows, several, k, percent))
     return found.select(
         F.col("_key").alias(key), F.col("n").cast("long").alias("n_shingles"), F.coalesce("first._key", "_key").alias("component_id")
     )
@@ -387,7 +392,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int =
     own = {c: {key: "_id", text: "_text"}.get(c, f"_c{i}") for i, c in enumerate(docs.columns)}
     keyed = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in own.items()]).withColumn("_key", F.col("_id").cast("long"))
     rows, several = told_apart(keyed)
-    found = materialize(_joined(rows.select("_key", "_tie", "_text"), several, k, percent), "ngram-found")
+    found = settled(docs.sparkSession, "ngram-found", lambda: _joined(rows.select("_key", "_tie", "_text"), several, k, percent))
     names = ["_key", "_tie"]
     dropped = found.where(F.col("first") != F.struct("_key", "_tie")).select(*names).distinct()
     kept = rows.join(small(materialize(dropped, "ngram-dropped")), names, "left_anti")
