@@ -26,6 +26,8 @@ DEFAULTS = {
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _local_root: str | None = None
+_setting = threading.Lock()
+_inside, _setting_before = 0, None
 # Per thread: loads of several tables run side by side.
 _scopes = threading.local()
 
@@ -86,21 +88,34 @@ def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> D
         return _written(make(), path)
 
 
+@contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """The setting is on while any thread is inside, and as it was afterwards."""
+    global _inside, _setting_before
+    with _setting:
+        if _inside == 0:
+            _setting_before = spark.conf.get(SHUFFLE_CLEANUP, None)
+            spark.conf.set(SHUFFLE_CLEANUP, "true")
+        _inside += 1
+    try:
+        yield
+    finally:
+        with _setting:
+            _inside -= 1
+            if _inside == 0 and _setting_before is None:
+                spark.conf.unset(SHUFFLE_CLEANUP)
+            elif _inside == 0:
+                spark.conf.set(SHUFFLE_CLEANUP, _setting_before)
+
+
 def _written(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     spark = df.sparkSession
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
     # Once the table is written nothing reads the shuffles behind it any more.
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with _shuffles_deleted(spark):
         writer.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 
 
