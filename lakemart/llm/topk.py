@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import materialize
 
 SEGMENT_ROWS = 65_536
+#: Rows of a part of the index on average: less than a segment holds, so that few parts need a second one.
+PART_ROWS = SEGMENT_ROWS * 7 // 8
 QUERY_BLOCK = 64
 #: Words of 64 rows times queries worked on at once: small enough for a core's cache.
 _PLANE_WORDS = 8_192
@@ -55,8 +57,23 @@ def _slices(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def runs_of(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut where the column's value changes; empty ones go."""
+    for batch in batches:
+        values = batch.column(column).to_numpy()
+        cuts = [*np.flatnonzero(np.diff(values, prepend=~values[:1])).tolist(), batch.num_rows]
+        for at, to in zip(cuts, cuts[1:]):
+            yield batch.slice(at, to - at)
+
+
 def build_index(rows: DataFrame) -> DataFrame:
-    """Segments of ``(vec_id, q)``, in order of id; vectors of another length are in segments of their own."""
+    """Segments of ``(vec_id, q)``, each in order of id; vectors of another length are in segments of their own.
+
+    How many there are follows from the count of rows, not from partitions: a
+    row's part is a hash of id and vector, and a segment ends with its part or
+    when it is full. Rows equal in both lie in one part, of any number of segments.
+    """
+    parts = max(1, -(-rows.count() // PART_ROWS))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId(), 0
@@ -75,7 +92,10 @@ def build_index(rows: DataFrame) -> DataFrame:
             names = ["segment", "dims", "n", "width", "ids", "base", "slices"]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
-        for batch in batches:
+        part = -1
+        for batch in runs_of(batches, 2):
+            if part != (part := batch.column(2)[0].as_py()):
+                yield from map(flush, list(held))
             lists = batch.column(1)
             lengths = np.diff(lists.offsets.to_numpy())
             ids, values = batch.column(0).to_numpy(), lists.flatten().to_numpy()
@@ -90,11 +110,10 @@ def build_index(rows: DataFrame) -> DataFrame:
                     at, vectors = at[room:], vectors[room:]
                     if len(at):
                         yield flush(dims)
-        for dims in list(held):
-            if sum(map(len, held[dims][0])):
-                yield flush(dims)
+        yield from map(flush, list(held))
 
-    ordered = rows.repartitionByRange(F.col("vec_id")).sortWithinPartitions("vec_id")
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("vec_id", "q"), F.lit(parts)))
+    ordered = dealt.repartition(parts, "part").sortWithinPartitions("part", "vec_id")
     return materialize(ordered.mapInArrow(build, _INDEX), "topk-index")
 
 
