@@ -3,7 +3,8 @@
 A mask names the positions of a window that count; the others are ignored, so
 a seed survives a changed word there. The two masks are chosen such that any
 13 aligned words with at most two substitutions hold a seed of one of them
-(tests go through all cases). Seeds of all documents pass a fixed-size bitmap
+(tests go through all cases). An item of 5 to 12 words is one window with one
+substitution: its masks each ignore one of its words. Seeds of all documents pass a fixed-size bitmap
 of the benchmark's seeds, then a join on the hash; each hit gives a document,
 an item and a shift, and the overlap along that shift is verified word by
 word.
@@ -21,6 +22,8 @@ from lakemart.llm.shingles import mix, word_hashes
 
 #: Window in words, words of it that must be the same, and the counting positions of each mask.
 WINDOW, SAME = 13, 11
+#: Words from which an item shorter than the window forgives one substitution.
+FORGIVING = 5
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
 #: Bits of the bitmap that seeds pass first (2 MB); a full bitmap costs time, never a hit.
 FILTER_BITS = 1 << 24
@@ -36,9 +39,23 @@ def _seeds(words: np.ndarray, mask: tuple[int, ...], salt: int) -> np.ndarray:
     return mix(value)
 
 
-def _masks(lengths) -> list[tuple[tuple[int, ...], int]]:
-    """The masks and, for items shorter than the window, one of all their words; with the salt of each."""
-    return [*zip(MASKS, (0, 1)), *((tuple(range(n)), 100 + n) for n in sorted(lengths) if n < WINDOW)]
+def same_words(n: int) -> int:
+    """Words of a window that must be the same, for an item of ``n`` words."""
+    return SAME if n >= WINDOW else n - 1 if n >= FORGIVING else n
+
+
+def masks_of(n: int) -> list[tuple[tuple[int, ...], int]]:
+    """The masks of an item of ``n`` words, each with its salt: all words of a very short one, else see above."""
+    if n >= WINDOW:
+        return list(zip(MASKS, (0, 1)))
+    if n < FORGIVING:
+        return [(tuple(range(n)), 100 + WINDOW * n)]
+    return [(tuple(p for p in range(n) if p != out), 100 + WINDOW * n + out) for out in range(n)]
+
+
+def _masks(lengths: list[int]) -> list[tuple[tuple[int, ...], int]]:
+    """The masks of the window and of the shorter items' lengths."""
+    return [m for n in [WINDOW, *sorted(n for n in lengths if n < WINDOW)] for m in masks_of(n)]
 
 
 def item_seeds(items: DataFrame, least: int) -> DataFrame:
@@ -53,9 +70,7 @@ def item_seeds(items: DataFrame, least: int) -> DataFrame:
                 if n < least:
                     continue
                 own = words[ends[i] - n : ends[i]]
-                for mask, salt in _masks([n]) if n < WINDOW else zip(MASKS, (0, 1)):
-                    if n < WINDOW and len(mask) != n:
-                        continue
+                for mask, salt in masks_of(n):
                     found = _seeds(own, mask, salt)
                     seed.append(found)
                     at.append(np.arange(len(found), dtype=np.int32))
@@ -114,7 +129,7 @@ def _overlap(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, i
     same = doc[shift + low : shift + high] == item[low:high]
     total = np.concatenate([[0], np.cumsum(same)])
     inside = total[width:] - total[:-width]
-    sound = np.flatnonzero(inside >= (SAME if len(item) >= WINDOW else width))
+    sound = np.flatnonzero(inside >= same_words(len(item)))
     if not len(sound):
         return None
     first, last = int(sound[0]), int(sound[-1]) + width
@@ -126,8 +141,8 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
     Words are runs without white space, A to Z lower-cased. An overlap is a
     stretch of 13 words along one shift with 11 the same (two substitutions);
-    an item of fewer words must occur whole and unchanged, one of fewer than
-    ``least`` words is not searched. Null texts and keys take no part; repeated
+    an item of 5 to 12 words must occur whole with at most one word changed, one
+    of fewer words unchanged; items of fewer than ``least`` words are not searched. Null texts and keys take no part; repeated
     rows of a document or item give one row. Other columns are not read.
     """
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("_key"), F.col(f"`{text}`").alias("_text")).where("_key IS NOT NULL")

@@ -125,12 +125,12 @@ dw AS (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS p FROM d),
 iw AS (SELECT item_id, len(w) AS n, unnest(w) AS x, unnest(range(len(w))) AS q FROM i WHERE len(w) >= 5),
 met AS (
     SELECT doc_id, item_id, n, p - q AS shift, list(q) AS qs FROM dw JOIN iw USING (x)
-    GROUP BY ALL HAVING count(*) >= CASE WHEN n >= 13 THEN 11 ELSE n END
+    GROUP BY ALL HAVING count(*) >= CASE WHEN n >= 13 THEN 11 ELSE n - 1 END
 ), starts AS (
     SELECT m.*, unnest(range(greatest(0, -shift), least(n, len(d.w) - shift) - least(13, n) + 1)) AS f
     FROM met m JOIN d USING (doc_id)
 ), sound AS (
-    SELECT * FROM starts WHERE len(list_filter(qs, lambda q: q >= f AND q < f + least(13, n))) >= CASE WHEN n >= 13 THEN 11 ELSE n END
+    SELECT * FROM starts WHERE len(list_filter(qs, lambda q: q >= f AND q < f + least(13, n))) >= CASE WHEN n >= 13 THEN 11 ELSE n - 1 END
 ), stretch AS (
     SELECT doc_id, item_id, shift, any_value(qs) AS qs, min(f) AS f, max(f) + least(13, any_value(n)) AS t FROM sound GROUP BY 1, 2, 3
 ), sized AS (SELECT *, len(list_filter(qs, lambda q: q >= f AND q < t)) AS same FROM stretch)

@@ -392,19 +392,28 @@ def test_masks_leave_a_seed_in_every_sound_window():
             )
 
 
-def leaks_brute(docs, items):
+def test_short_masks_leave_a_seed():
+    for n in range(1, decontaminate.WINDOW):
+        for changed in range(n) if n >= decontaminate.FORGIVING else [n]:
+            assert any(changed not in mask for mask, _ in decontaminate.masks_of(n))
+    salts = [salt for n in range(1, decontaminate.WINDOW + 1) for _, salt in decontaminate.masks_of(n)]
+    assert len(salts) == len(set(salts))
+
+
+def leaks_brute(docs, items, least=5):
     found = set()
     for d, text in docs:
         doc = ascii_words(text)
         for i, test in items:
             item = ascii_words(test)
             width = min(13, len(item))
-            if len(item) < 5 or d is None or text is None:
+            need = 11 if width == 13 else width - 1 if width >= 5 else width
+            if len(item) < least or d is None or text is None:
                 continue
             for shift in range(-len(item) + width, len(doc) - width + 1):
                 same = [0 <= shift + q < len(doc) and doc[shift + q] == item[q] for q in range(len(item))]
                 low, high = max(0, -shift), min(len(item), len(doc) - shift)
-                if any(sum(same[q : q + width]) >= (11 if len(item) >= 13 else width) for q in range(low, high - width + 1)):
+                if any(sum(same[q : q + width]) >= need for q in range(low, high - width + 1)):
                     found.add((d, i))
     return found
 
@@ -427,18 +436,34 @@ def test_leaks_match_brute_force(spark):
             at = r.randint(0, len(body))
             body[at:at] = part
         docs.append((d, r.choice([" ", "\n"]).join(body)))
-    docs += [(200, None), (None, items[9][1]), (3, docs[3][1])]
+    docs += [(200, None), (None, items[9][1]), (3, docs[3][1]), (201, f"so {items[0][1]} on"), (202, items[2][1].replace(" ", " x ", 1))]
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit(9))
     tests = spark.createDataFrame(items, "item_id long, text string")
     got = [(x.doc_id, x.item_id) for x in decontaminate.leaks(frame, tests).collect()]
     want = leaks_brute(docs, [(i, t or "") for i, t in items])
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 10
+    every = [(x.doc_id, x.item_id) for x in decontaminate.leaks(frame, tests, least=2).collect()]
+    assert len(every) == len(set(every)) and set(every) == leaks_brute(docs, [(i, t or "") for i, t in items], 2) > want
     kept = decontaminate.clean(frame, tests)
     assert kept.columns == frame.columns
     assert Counter(x.doc_id for x in kept.collect()) == Counter(d for d, _ in docs if d not in {d for d, _ in want})
     assert decontaminate.leaks(frame.limit(0), tests).collect() == [] and decontaminate.leaks(frame, tests.limit(0)).collect() == []
 
 
+def test_short_items_forgive_one_word(spark):
+    item = "who wrote the book of long winters in spain again"  # ten words
+    docs = [
+        (1, f"so {item} they asked"), (2, "so " + item.replace("book", "tale") + " they asked"),
+        (3, item.replace("who", "he")), (4, item.replace("again", "once")), (5, item.replace("book", "tale").replace("in", "of")),
+        (6, item.rpartition(" ")[0]), (7, "the cat sat down"), (8, "the cat sat up"), (9, "x " * 50_000 + item.replace("long", "short")),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    tests = spark.createDataFrame([(1, item), (2, "the cat sat down")], "item_id long, text string")
+    found = {(x.doc_id, x.item_id, x.n_words, x.n_same) for x in decontaminate.leaks(frame, tests, least=4).collect()}
+    assert found == {(1, 1, 10, 10), (2, 1, 10, 9), (3, 1, 10, 9), (4, 1, 10, 9), (9, 1, 10, 9), (7, 2, 4, 4)}
+    assert not [x for x in decontaminate.leaks(frame, tests).collect() if x.item_id == 2]
+
+
 # -- 7 chat --------------------------------------------------------------------------------------
 
 
@@ -489,6 +514,7 @@ def top_brute(rows, k, every):
 @pytest.mark.parametrize("rows_per_segment", [65_536, 64])
 def test_top_k_matches_brute_force(spark, monkeypatch, rows_per_segment):
     monkeypatch.setattr(topk, "SEGMENT_ROWS", rows_per_segment)
+    monkeypatch.setattr(topk, "PART_ROWS", rows_per_segment * 7 // 8)
     r = random.Random(9)
     rows = [(i, [r.choice([-1.5, -0.5, 0.0, 0.25, r.uniform(-2, 2)]) for _ in range(6)]) for i in range(300)]
     rows += [(i, [0.5] * 6) for i in range(300, 330)] + [(40, [0.5] * 6), (500, None), (None, [1.0] * 6), (520, [float("nan")] * 6)]
@@ -500,6 +526,14 @@ def test_top_k_matches_brute_force(spark, monkeypatch, rows_per_segment):
     assert topk.top_k(frame.limit(0)).collect() == []
 
 
+def test_segments_follow_the_count_of_rows(spark):
+    rows = spark.range(3_000).select(F.col("id").alias("vec_id"), F.array(F.col("id"), F.lit(7).cast("long")).alias("q"))
+    for partitions in (1, 40):
+        index = topk.build_index(rows.repartition(partitions)).collect()
+        assert len(index) == 1 and index[0]["n"] == 3_000
+        assert np.frombuffer(index[0]["ids"], np.int64).tolist() == list(range(3_000))
+
+
 # -- 10 pages ------------------------------------------------------------------------------------
 
 
