@@ -270,11 +270,13 @@ def library():
     return sentencepiece.SentencePieceProcessor(model_file=MODEL)
 
 
-def test_encoding_is_the_librarys(documents):
+@pytest.mark.parametrize("block", [sentencepiece_codec.BLOCK_CHARS, 1 << 16, 50])
+def test_encoding_is_the_librarys(documents, block):
+    sentencepiece_codec._known.clear()
     r = random.Random(1)
     texts = [t for _, t in documents] + [t for t in STRANGE if t is not None]
     texts += ["".join(r.choice("ab  é\n<s>▁thé 日🙂") for _ in range(r.randrange(60))) for _ in range(500)]
-    got = sentencepiece_codec.encode_texts(texts, MODEL)
+    got = sentencepiece_codec.encode_texts(texts, MODEL, block)
     assert [np.frombuffer(x, "<i4").tolist() for x in got] == library().encode(texts)
     assert [sentencepiece_codec.decode_ids(x, MODEL) for x in got] == [t.replace(SPACE, " ") for t in texts]
 
