@@ -38,8 +38,12 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``piece_ids`` of every document kept, beside the columns of documents."""
-    return sentencepiece_codec.encode(docs, piece_model())
+    """``piece_ids`` of every document kept, beside the columns of documents.
+
+    Smaller blocks than the operator's own: the stages before have filled the
+    executors' heaps, so less is left for Python workers.
+    """
+    return sentencepiece_codec.encode(docs, piece_model(), block=1 << 16)
 
 
 STAGES: list[tuple[str, Stage]] = [
