@@ -361,33 +361,47 @@ SELECT doc_id, md5(text) AS digest, length(text) AS text_size, length(text) > {_
 
 # ---- catalogue and files -----------------------------------------------------------
 
-_SYNCED = ("region", "nation", "customer", "orders", "lineitem", "part")
+def landed_by_nation(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of suppliers per nation; files with debtors have a wider key and one column more."""
+    root = scratch_path(spark, "landed-nations")
+    suppliers = read(spark, sf_dir, "supplier")
+    debtors = suppliers.where("s_acctbal < 0").withColumn("s_debt", -F.col("s_acctbal"))
+    others = suppliers.where("s_acctbal IS NULL OR s_acctbal >= 0").withColumn("s_suppkey", F.col("s_suppkey").cast("int"))
+    for df in (others, debtors):
+        df.repartition("s_nationkey").write.mode("append").partitionBy("s_nationkey").parquet(root)
+    return root
+
+
+def nation_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue rows of one supplier table for every nation that has customers."""
+    columns = (("s_suppkey", "int"), ("s_name", "string"), ("s_acctbal", "double"))
+    known = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t).alias("type")) for c, t in columns])
+    nations = read(spark, sf_dir, "customer").select(F.concat(F.lit("s_nationkey="), "c_nationkey").alias("table")).distinct()
+    return nations.select("table", F.explode(known).alias("c")).select("table", "c.*")
+
+
+def landed_rows(spark: SparkSession, root: str) -> DataFrame:
+    counted = spark.read.parquet(root).groupBy("s_nationkey").agg(F.count("*").alias("n_rows"))
+    return counted.select(F.concat(F.lit("s_nationkey="), "s_nationkey").alias("table"), "n_rows")
 
 
 def schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables found against an older catalogue, with the rows each action concerns."""
-    found = {t: read(spark, sf_dir, t) for t in _SYNCED}
-    older = {t: df.schema for t, df in found.items() if t != "part"}
-    older["customer"] = found["customer"].drop("c_acctbal").schema
-    older["orders"] = found["orders"].withColumn("o_custkey", F.col("o_custkey").cast("string")).withColumn("o_note", F.lit("")).schema
-    older["supplier"] = read(spark, sf_dir, "supplier").schema
-    diff = sync.sync_diff(
-        tables.schema_rows(spark, {t: df.schema for t, df in found.items()}), tables.schema_rows(spark, older)
-    )
-    counts = reduce(
-        DataFrame.unionByName,
-        [df.select(F.lit(t).alias("table")).groupBy("table").agg(F.count("*").alias("n_rows")) for t, df in found.items()],
-    )
-    return diff.join(counts, "table", "left")
+    """Folders landed per nation against a catalogue of the nations with customers, with the rows that lie there."""
+    root = landed_by_nation(spark, sf_dir)
+    diff = sync.sync_diff(sync.landed_schemas(spark, root), nation_catalogue(spark, sf_dir))
+    return diff.join(landed_rows(spark, root), "table", "left")
 
 
-SYNC_SQL = """
-SELECT 'part' AS "table", CAST(NULL AS VARCHAR) AS "column", 'create_table' AS action, CAST(NULL AS VARCHAR) AS old_type,
-  CAST(NULL AS VARCHAR) AS new_type, (SELECT count(*) FROM part) AS n_rows
-UNION ALL SELECT 'supplier', NULL, 'drop_table', NULL, NULL, NULL
-UNION ALL SELECT 'customer', 'c_acctbal', 'add_column', NULL, 'double', (SELECT count(*) FROM customer)
-UNION ALL SELECT 'orders', 'o_custkey', 'change_type', 'string', 'bigint', (SELECT count(*) FROM orders)
-UNION ALL SELECT 'orders', 'o_note', 'drop_column', 'string', NULL, (SELECT count(*) FROM orders)"""
+_NATIONS_SQL = """f AS (SELECT s_nationkey AS k, count(*) AS n_rows, coalesce(bool_or(s_acctbal < 0), FALSE) AS debt FROM supplier GROUP BY 1),
+c AS (SELECT DISTINCT c_nationkey AS k FROM customer)"""
+
+SYNC_SQL = f"""WITH {_NATIONS_SQL}, d AS (
+  SELECT coalesce(f.k, c.k) AS k, n_rows, unnest(CASE
+    WHEN c.k IS NULL THEN [{{'c': NULL, 'a': 'create_table', 'o': NULL, 'n': NULL}}]
+    WHEN f.k IS NULL THEN [{{'c': NULL, 'a': 'drop_table', 'o': NULL, 'n': NULL}}]
+    WHEN debt THEN [{{'c': 's_debt', 'a': 'add_column', 'o': NULL, 'n': 'double'}}, {{'c': 's_suppkey', 'a': 'change_type', 'o': 'int', 'n': 'bigint'}}]
+    ELSE [] END) AS x FROM f FULL JOIN c ON f.k = c.k)
+SELECT 's_nationkey=' || k AS "table", x.c AS "column", x.a AS action, x.o AS old_type, x.n AS new_type, n_rows FROM d"""
 
 
 def landed_in_parts(spark: SparkSession, sf_dir: str) -> str:
@@ -457,27 +471,17 @@ def raw_folders(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
 
 
 def validate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed folders against the catalogue; two expected tables are amiss."""
-    root = raw_folders(spark, sf_dir, ["orders", "customer", "nation"])
-    catalogue = tables.schema_rows(spark, {t: read(spark, sf_dir, t).schema for t in ("orders", "customer", "part")})
-    expected = spark.createDataFrame([(t,) for t in ("orders", "customer", "nation", "part")], "table string")
-    report = sync.validate_load(tables.file_listing(spark, root), catalogue, expected).drop("detail")
-    landed = reduce(
-        DataFrame.unionByName,
-        [
-            spark.read.parquet(f"{root}/{t}").groupBy(F.lit(t).alias("table")).agg(F.count("*").alias("n_rows"))
-            for t in tables.table_folders(spark, root)
-        ],
-    )
-    return report.join(landed, "table", "left")
+    """A folder and a catalogue entry are expected for every nation."""
+    root = landed_by_nation(spark, sf_dir)
+    expected = read(spark, sf_dir, "nation").select(F.concat(F.lit("s_nationkey="), "n_nationkey").alias("table"))
+    report = sync.validate_load(tables.file_listing(spark, root), nation_catalogue(spark, sf_dir), expected).drop("detail")
+    return report.join(landed_rows(spark, root), "table", "left")
 
 
-VALIDATE_SQL = """WITH n AS (SELECT 'orders' AS t, count(*) AS n_rows FROM orders UNION ALL SELECT 'customer', count(*) FROM customer
-  UNION ALL SELECT 'nation', count(*) FROM nation)
-SELECT v.t AS "table", v.c AS "check", v.ok, n.n_rows FROM (VALUES
-  ('orders', 'has_files', TRUE), ('orders', 'in_catalogue', TRUE), ('customer', 'has_files', TRUE), ('customer', 'in_catalogue', TRUE),
-  ('nation', 'has_files', TRUE), ('nation', 'in_catalogue', FALSE), ('part', 'has_files', FALSE), ('part', 'in_catalogue', TRUE)) AS v(t, c, ok)
-LEFT JOIN n ON v.t = n.t"""
+VALIDATE_SQL = f"""WITH {_NATIONS_SQL}, v AS (
+  SELECT n_nationkey AS k, unnest([{{'c': 'has_files', 'ok': f.k IS NOT NULL}}, {{'c': 'in_catalogue', 'ok': c.k IS NOT NULL}}]) AS x, n_rows
+  FROM nation LEFT JOIN f ON f.k = n_nationkey LEFT JOIN c ON c.k = n_nationkey)
+SELECT 's_nationkey=' || k AS "table", x.c AS "check", x.ok AS ok, n_rows FROM v"""
 
 
 def archive_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,6 +90,18 @@ def sql_type(dtype: T.DataType) -> str:
     return SQL_TYPES.get(type(dtype), "TEXT")
 
 
+def override_type(sql: str) -> T.DataType | None:
+    """Spark type of a type that the target is told to use, if one holds its values; else the target converts."""
+    name, _, arguments = sql.strip().upper().partition("(")
+    numbers = [int(n) for n in arguments.rstrip(") ").split(",") if n.strip().isdigit()]
+    name = name.strip()
+    if name in ("NUMERIC", "DECIMAL"):
+        return T.DecimalType(numbers[0], numbers[1] if len(numbers) > 1 else 0) if numbers and numbers[0] <= 38 else None
+    if name in ("TEXT", "VARCHAR", "CHARACTER VARYING"):
+        return T.StringType()
+    return next((kind() for kind, known in SQL_TYPES.items() if known == name), None)
+
+
 def mirror_type(dtype: T.DataType) -> T.DataType:
     """Spark type that travels over JDBC for ``sql_type``."""
     if isinstance(dtype, T.ArrayType):

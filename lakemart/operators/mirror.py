@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import names
@@ -72,13 +72,18 @@ def layout(df: DataFrame, table: str, settings: MirrorSettings | None = None, wi
 
 
 def mirror_projection(df: DataFrame, table: MirrorTable) -> DataFrame:
-    """Columns renamed and cast for the target; types it lacks travel as text."""
-    return df.select(
-        *[
-            F.col(f"`{source}`").cast(names.mirror_type(df.schema[source].dataType)).alias(target)
-            for source, target in zip(table.source_columns, table.column_names)
-        ]
-    )
+    """Columns renamed and cast for the target; types it lacks travel as text.
+
+    A column whose target type was overridden is cast to that type where Spark
+    has it: a value that does not fit fails the load instead of the statement.
+    """
+
+    def shipped(source: str, target: str, sql: str) -> Column:
+        own = df.schema[source].dataType
+        told = names.override_type(sql) if sql != names.sql_type(own) else None
+        return F.col(f"`{source}`").cast(told or names.mirror_type(own)).alias(target)
+
+    return df.select(*[shipped(source, *column) for source, column in zip(table.source_columns, table.columns)])
 
 
 def mirror_slice(df: DataFrame, pk: str, last_key=None, last_effective=None) -> DataFrame:

@@ -44,10 +44,13 @@ def run_tables(
 ) -> DataFrame:
     """Run ``work`` per table, a few at a time; ``(table, n_rows, status, detail)``.
 
-    ``work`` returns a row count and a detail text.
+    ``work`` returns a row count and a detail text. The jobs of a table share a
+    pool named after it: under the fair scheduler (a session default) a large
+    table leaves cores for the small ones beside it.
     """
 
     def one(name: str) -> tuple[str, int, str, str]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         try:
             rows, detail = work(name)
             return name, rows, "ok", detail
@@ -56,10 +59,13 @@ def run_tables(
             return name, 0, status, detail
         except Exception as error:
             return name, 0, "failed", str(error).split("\n")[0]
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
     with ThreadPoolExecutor(max_workers=max(1, min(workers, len(names) or 1))) as pool:
-        target = inheritable_thread_target(spark)(one)
-        return spark.createDataFrame(list(pool.map(target, names)), STATUS)
+        # A target each: threads of one target would share their properties, and so their pool.
+        targets = [inheritable_thread_target(spark)(one) for _ in names]
+        return spark.createDataFrame(list(pool.map(lambda target, name: target(name), targets, names)), STATUS)
 
 
 # ---- landing and curating ---------------------------------------------------------
@@ -337,17 +343,35 @@ def mirror_fact(
     return rows, "; ".join(f"{fk}: {reason}" for fk, reason in skipped)
 
 
+def mirror_settings(spark: SparkSession, names: Sequence[str], database: str | None = None) -> dict[str, mirror.MirrorSettings]:
+    """Settings of each dimension: the defaults, then the properties of its catalogue table in ``database``, if it has one."""
+
+    def one(name: str) -> mirror.MirrorSettings:
+        default = mirror.DEFAULT_SETTINGS.get(name, mirror.MirrorSettings())
+        entry = f"{database}.`{name}`"
+        if database is None or not spark.catalog.tableExists(entry):
+            return default
+        return mirror.MirrorSettings.from_properties(tables.table_properties(spark, entry), default)
+
+    return {name: one(name) for name in names}
+
+
 def mirror_all(
-    spark: SparkSession, db: jdbc.Database, dims: Mapping[str, DataFrame], facts: Mapping[str, DataFrame]
+    spark: SparkSession, db: jdbc.Database, dims: Mapping[str, DataFrame], facts: Mapping[str, DataFrame],
+    database: str | None = None,
 ) -> DataFrame:
-    """Dimensions first, each with its unknown member, then facts with their foreign keys."""
+    """Dimensions first, each with its unknown member, then facts with their foreign keys.
+
+    Dimensions follow the ``mirror.*`` properties of their tables in ``database``.
+    """
 
     def with_unknown(name: str, df: DataFrame) -> DataFrame:
         key = mirror.DEFAULT_SETTINGS[name].pk if name in mirror.DEFAULT_SETTINGS else shape.surrogate_key(name.removeprefix("dim_"))
         return mirror.unknown_member(df, key) if key in df.columns else df
 
     shipped = {n: with_unknown(n, dims[n]) for n in mirror.mirrored_tables(list(dims))}
-    done = run_tables(spark, list(shipped), lambda n: mirror_dimension(spark, db, n, shipped[n]), DIMENSION_WORKERS)
+    settings = mirror_settings(spark, list(shipped), database)
+    done = run_tables(spark, list(shipped), lambda n: mirror_dimension(spark, db, n, shipped[n], settings[n]), DIMENSION_WORKERS)
     return done.unionByName(
         run_tables(spark, list(facts), lambda n: mirror_fact(spark, db, n, facts[n], shipped), 1)
     )

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Joins stay splittable under AQE even when a later aggregate would like to
 # reuse their partitioning: a hot key costs more than one extra exchange.
 DEFAULTS = {
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -1,3 +1,6 @@
+from datetime import date
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,6 +99,11 @@ def test_mirror_settings(spark):
     assert s.exclude and s.casts == {"a": "NUMERIC"} and s.renames == {"b": "c"}
     df = spark.createDataFrame([], "a bigint, b string")
     assert mirror.layout(df, "dim_t", s).columns == (("a", "NUMERIC"), ("c", "TEXT"))
+    told = mirror.MirrorSettings(casts={"a": "numeric(12, 2)", "b": "integer", "c": "geometry"})
+    rows = spark.createDataFrame([(5, "7", "x"), (None, None, None)], "a bigint, b string, c string")
+    shipped = mirror.mirror_projection(rows, mirror.layout(rows, "dim_t", told))
+    assert shipped.dtypes == [("a", "decimal(12,2)"), ("b", "int"), ("c", "string")]
+    assert {tuple(r) for r in shipped.collect()} == {(Decimal("5.00"), 7, "x"), (None, None, None)}
     assert mirror.layout(spark.createDataFrame([], "date_id int, x_sk int"), "dim_date").pk == "date_id"
     assert mirror.mirrored_tables(["dim_a", "fact_b", "bridge_c", "dim_date"]) == ["dim_a", "dim_date"]
 
@@ -118,6 +126,28 @@ def test_watermark_predicates_reach_the_scan(spark, folder):
 # ---- scans, sync, validation --------------------------------------------------------
 
 
+def test_mirror_settings_of_the_catalogue(spark):
+    tables.ensure_database(spark, "mirrored")
+    spark.sql(
+        "CREATE TABLE mirrored.dim_date (date_id INT, day STRING) USING parquet "
+        "TBLPROPERTIES ('mirror.rename.day' = 'on_day', 'mirror.cast.on_day' = 'DATE', 'mirror.pk' = 'day')"
+    )
+    spark.sql("CREATE TABLE mirrored.dim_old (x_sk INT) USING parquet TBLPROPERTIES ('mirror.exclude' = 'true')")
+    found = loads.mirror_settings(spark, ["dim_date", "dim_old", "dim_status", "dim_none"], "mirrored")
+    assert found["dim_date"].pk == "day" and found["dim_date"].casts == {"on_day": "DATE"} and not found["dim_date"].exclude
+    assert found["dim_old"].exclude and found["dim_status"].pk == "status_id" and found["dim_none"] == mirror.MirrorSettings()
+    assert loads.mirror_settings(spark, ["dim_date"])["dim_date"].pk == "date_id"
+    rows = spark.createDataFrame([(1, "2024-02-03")], "date_id int, day string")
+    shipped = mirror.mirror_projection(rows, mirror.layout(rows, "dim_date", found["dim_date"]))
+    assert [tuple(r) for r in shipped.collect()] == [(1, date(2024, 2, 3))]
+
+
+def test_jobs_of_a_table_have_a_pool(spark):
+    pool = lambda name: (1, spark.sparkContext.getLocalProperty("spark.scheduler.pool"))
+    status = loads.run_tables(spark, ["a", "b", "c"], pool, 2).collect()
+    assert {r["table"]: r["detail"] for r in status} == {"a": "a", "b": "b", "c": "c"}
+
+
 def test_only_a_missing_path_counts_as_absent(spark, folder):
     import os
 
