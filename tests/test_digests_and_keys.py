@@ -3,10 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakemart.operators import bridge, compare, quality, versioned
+from lakemart.operators import bridge, compare, keys, quality, versioned
 from lakemart.plans import facts, loads, star
 from lakemart.sources.runs import KeyMap, RunTable
 
+SMOKE = "/root/testdata/sf0.001"
 T1, T2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
 
 
@@ -91,6 +92,40 @@ def test_star_check_joins_once(spark):
     assert {r["n_orphans"] for r in got.collect()} == {50}
 
 
+def test_star_check_numbers_no_fact(spark, monkeypatch):
+    """The rows of no fact are sorted and written for a check that reads no fact key, and are the same otherwise."""
+    from lakemart.checks import star as queries
+
+    written = []
+    monkeypatch.setattr(keys, "materialize", lambda df, label: written.append(df.columns) or df)
+    checked = queries.star_check(spark, SMOKE)
+    assert [c for c in written if "status_nk" not in c] == []
+    monkeypatch.undo()
+    assert checked.count() == sum(len(queries.declared(name)) for name in queries.CHECKED)
+    t = queries.STARS["fact_vetting"].tables(spark, SMOKE)
+    numbered, plain = facts.vetting(t).drop("vetting_fact_id"), facts.unkeyed("fact_vetting", t)
+    assert plain.agg(F.max("vetting_fact_id")).first()[0] == 0 and plain.columns == ["vetting_fact_id", *numbered.columns]
+    plain = plain.drop("vetting_fact_id")
+    assert plain.count() == numbered.count() and plain.exceptAll(numbered).count() == numbered.exceptAll(plain).count() == 0
+
+
+def test_star_check_shuffles_counts_and_keys_once(spark):
+    """Counts per value are joined as they lie after counting; a key shared by columns of two facts is one key."""
+    fact = spark.range(1000).select((F.col("id") % 50).alias("a_sk"), F.lit(7).alias("b_sk"))
+    dims = {"dim_a": spark.range(1, 40).select(F.col("id").alias("sk")), "dim_b": spark.range(7).select(F.col("id").alias("sk"))}
+    declared = {"fact_x": {"a_sk": ("dim_a", "sk"), "b_sk": ("dim_a", "sk")}, "fact_y": {"a_sk": ("dim_a", "sk"), "b_sk": ("dim_b", "sk")}}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = quality.star_check({"fact_x": fact, "fact_y": fact.limit(10)}, declared, dims)
+        want = {("fact_x", "a_sk", 1000, 200, 20), ("fact_x", "b_sk", 1000, 0, 0), ("fact_y", "a_sk", 10, 0, 1), ("fact_y", "b_sk", 10, 10, 0)}
+        assert {tuple(r) for r in got.collect()} == want
+        exchanges = [n for n in nodes(got._jdf.queryExecution().executedPlan()) if n.getClass().getSimpleName() == "ShuffleExchangeExec"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_value = [n for n in exchanges if "value#" in n.outputPartitioning().toString()]
+    assert len(by_value) == 2
+
+
 def test_keys_outlive_rebuilds(spark, folder):
     def rows(*r):
         return spark.createDataFrame(list(r), "a int, b string, v int")
