@@ -41,6 +41,16 @@ def _packed(codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _windows(codes: np.ndarray) -> np.ndarray:
+    """The packed words of the ``_DEPTH`` codes from each place on; past the end the codes are 0."""
+    wide = np.zeros(len(codes) + _DEPTH, np.uint64)
+    wide[: len(codes)] = codes
+    four = wide[:-3].copy()
+    for d in range(1, 4):
+        four = (four << np.uint64(16)) | wide[d : len(wide) - 3 + d]
+    return np.stack([four[d : d + len(codes)] for d in range(0, _DEPTH, 4)])
+
+
 @dataclass
 class Matcher:
     """The pieces of a vocabulary as sorted code strings, and the pairs tested so far."""
@@ -116,17 +126,17 @@ class Matcher:
             self.pairs, self.stands = pairs[order], np.concatenate([self.stands, result[new]])[order]
         return result[back]
 
-    def encode(self, words: list[str]) -> list[np.ndarray]:
-        """Piece ids of each chunk, spelled with the word-start character; -1 - code point for a stranger."""
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all chunks, spelled with the word-start character, one after the other, and where each chunk's
+        begin, with the end at last; -1 - code point for a stranger."""
         text = "\x00".join(words) + "\x00" * _DEPTH
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         codes = self.by_point[points]
-        lengths = np.array([len(w) for w in words])
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
         begin = np.concatenate([[0], np.cumsum(lengths[:-1] + 1)])
-        owner = np.repeat(np.arange(len(words)), lengths)
-        places = np.arange(len(owner)) + owner  # without the separators
-        window = np.lib.stride_tricks.sliding_window_view(codes, _DEPTH)[places]
-        keys = _packed(window)
+        owner = np.repeat(np.arange(len(words)), lengths + 1)  # each separator goes with the chunk before it
+        places = np.delete(np.arange(len(owner)), begin + lengths)  # without the separators
+        keys = _windows(codes)[:, places]
         # A code of 0 ends every match: separators and strangers are in no piece.
         suffix = np.lexsort(keys[::-1])
         keys = keys[:, suffix]
@@ -139,8 +149,7 @@ class Matcher:
         end = np.concatenate([start + self.length[piece], strange + 1])
         start = np.concatenate([start, strange])
         # Edges by end position inside their chunk, then relaxed one position at a time for all chunks.
-        word = np.searchsorted(begin, start, side="right") - 1
-        depth = end - begin[word]
+        depth = end - begin[owner[start]]
         order = np.argsort(depth, kind="stable")
         start, end, ident, depth = start[order], end[order], ident[order], depth[order]
         none, free = np.iinfo(np.int64).min, np.iinfo(np.int64).max
@@ -166,7 +175,7 @@ class Matcher:
             at, home = at[more], home[more]
         found, whose = np.concatenate(found[::-1]), np.concatenate(whose[::-1])
         order = np.argsort(whose, kind="stable")
-        return np.split(found[order], np.searchsorted(whose[order], np.arange(1, len(words))))
+        return found[order], np.append(0, np.cumsum(np.bincount(whose, minlength=len(words))))
 
 
 @lru_cache(maxsize=2)
@@ -179,21 +188,24 @@ _known: dict[str, dict[str, bytes]] = {}
 
 def _learn(words: list[str], model: str, into: dict[str, bytes]) -> None:
     m = matcher(model)
-    for word, path in zip(words, m.encode([SPACE + w.replace(" ", SPACE) for w in words])):
-        if (path < 0).any():
-            ids = []
-            for i in path.tolist():
-                ids += [i] if i >= 0 else [m.vocab.byte_ids[b] for b in chr(-1 - i).encode()]
-            path = np.array(ids)
-        into[word] = path.astype(np.int32).tobytes()
-
-
-def encode_texts(texts: list[str], model: str, block: int = BLOCK_CHARS) -> list[bytes]:
+    ids, cuts = m.encode([SPACE + w.replace(" ", SPACE) for w in words])
+    raw, at = ids.astype("<i4").tobytes(), (cuts * 4).tolist()
+    for word, i, j in zip(words, at, at[1:]):
+        into[word] = raw[i:j]
+    strange = np.searchsorted(cuts, np.flatnonzero(ids < 0), side="right") - 1
+    for k in np.unique(strange).tolist():
+        spelled = []
+        for i in ids[cuts[k] : cuts[k + 1]].tolist():
+            spelled += [i] if i >= 0 else [m.vocab.byte_ids[b] for b in chr(-1 - i).encode()]
+        into[words[k]] = np.array(spelled, "<i4").tobytes()
+
+
+def encode_texts(texts: list[str], model: str, block: int = BLOCK_CHARS, remembered: int = REMEMBERED) -> list[bytes]:
     """Little-endian int32 ids of each text, as the model gives them without begin or end."""
     known = _known.setdefault(model, {})
     out, at = [], 0
     while at < len(texts):
-        if len(known) > REMEMBERED:
+        if len(known) > remembered:
             known.clear()
         # As many texts as bring one block of new chunks; a long text is one block of its own.
         cut, new, size, total, upto = [], {}, 0, 0, at
@@ -219,13 +231,15 @@ def decode_ids(ids: bytes, model: str) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
-def encode(docs: DataFrame, model: str, text: str = "text", out: str = "piece_ids", block: int = BLOCK_CHARS) -> DataFrame:
+def encode(
+    docs: DataFrame, model: str, text: str = "text", out: str = "piece_ids", block: int = BLOCK_CHARS, remembered: int = REMEMBERED
+) -> DataFrame:
     """``docs`` with its text encoded: all columns stay, ``out`` (binary, little-endian int32 ids) is added or replaced.
 
     A null text gives null ids, an empty one empty ids. Rows are taken as they
     come (ties and repeats stay); one pass, no shuffle. ``block`` bounds the
-    characters matched at a time: less of them takes less memory and more time,
-    with the same ids.
+    characters matched at a time, ``remembered`` the chunks a worker remembers:
+    less of them takes less memory and more time, with the same ids.
     """
     rows = docs.drop(out)
     at = rows.columns.index(text)
@@ -233,7 +247,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", out: str = "piece_id
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(at).to_pylist()
-        ids = iter(encode_texts([t for t in texts if t is not None], model, block))
+        ids = iter(encode_texts([t for t in texts if t is not None], model, block, remembered))
         column = pa.array([None if t is None else next(ids) for t in texts], pa.binary())
         return pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, out])
 

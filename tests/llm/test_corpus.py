@@ -281,6 +281,17 @@ def test_encoding_is_the_librarys(documents, block):
     assert [sentencepiece_codec.decode_ids(x, MODEL) for x in got] == [t.replace(SPACE, " ") for t in texts]
 
 
+def test_matching_gives_all_chunks_in_one_array():
+    """Strangers and long chunks among them; no array for each chunk."""
+    words = ["the", "a🙂b", "x" * 300, "é", "", " " * 5 + "end", "龘龘", "\x00q"] * 20
+    ids, cuts = sentencepiece_codec.matcher(MODEL).encode([SPACE + w.replace(" ", SPACE) for w in words])
+    assert cuts.tolist()[0] == 0 and cuts[-1] == len(ids) and len(cuts) == len(words) + 1
+    assert [chr(-1 - i) for i in ids[ids < 0]] == ["龘", "龘", "\x00"] * 20
+    known = {}
+    sentencepiece_codec._learn(words, MODEL, known)
+    assert all(np.frombuffer(known[w], "<i4").tolist() == library().encode(w) for w in words if w)
+
+
 def test_encode_and_decode_frames(spark, odd):
     made = sentencepiece_codec.encode(odd, MODEL)
     assert made.columns == [*odd.columns, "piece_ids"]
