@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from lakemart.llm import decontaminate, line_dedup, ngram_join, sentencepiece_codec, toxicity
 from lakemart.llm.common import table
 from lakemart.llm.queries import piece_model, toxicity_model
-from lakemart.session import settled
+from lakemart.session import settled, smaller_batches
+
+#: Rows handed to Python at a time, on both sides of it: whole documents beside heaps that the stages before have
+#: filled. It never changes a result.
+BATCH_ROWS = 1_000
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -40,10 +44,11 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``piece_ids`` of every document kept, beside the columns of documents.
 
-    Smaller blocks than the operator's own: the stages before have filled the
-    executors' heaps, so less is left for Python workers.
+    Smaller blocks and fewer chunks remembered than the operator's own: the
+    stages before have filled the executors' heaps, so less is left for Python
+    workers.
     """
-    return sentencepiece_codec.encode(docs, piece_model(), block=1 << 16)
+    return sentencepiece_codec.encode(docs, piece_model(), block=1 << 16, remembered=200_000)
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -58,8 +63,9 @@ STAGES: list[tuple[str, Stage]] = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage wrote on the way goes when its result is written."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = settled(spark, f"pipeline-{name}", lambda: stage(spark, docs, sf_dir))  # noqa: B023 (called at once)
+    with smaller_batches(spark, BATCH_ROWS):
+        for name, stage in STAGES[:-1]:
+            docs = settled(spark, f"pipeline-{name}", lambda: stage(spark, docs, sf_dir))  # noqa: B023 (called at once)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

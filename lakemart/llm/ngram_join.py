@@ -14,6 +14,7 @@ joined; what is left between components is then verified pair by pair.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 from math import comb
 
@@ -48,18 +49,21 @@ def rarity(docs: DataFrame, k: int) -> np.ndarray:
     """Level of each sketch bucket: 0 for ordinary shingles, else the power of two by which it is common."""
     parts = 64
 
-    def count(batch: pa.RecordBatch) -> pa.Table:
-        total = np.zeros(SKETCH, np.int64)
-        for _, made, _ in shingle_sets(batch.column(0), k):
-            total += np.bincount((made % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-        cells = [x.astype("<i4").tobytes() for x in np.split(total, parts)]
-        return pa.table({"part": pa.array(range(parts), pa.int32()), "counts": pa.array(cells, pa.binary())})
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The counts of a whole task, however many batches it has."""
+        total = np.zeros(SKETCH, np.int32)
+        for batch in batches:
+            for _, made, _ in shingle_sets(batch.column(0), k):
+                np.add.at(total, (made % np.uint64(SKETCH)).astype(np.int64), 1)
+        for i, x in enumerate(np.split(total, parts)):
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([x.astype("<i4").tobytes()], pa.binary())], ["part", "counts"])
 
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x, "<i4").astype(np.int64) for x in table.column("counts").to_pylist())
         return pa.table({"part": table.column("part")[:1], "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
 
-    counted = map_batches(docs.select("_text"), "part int, counts binary", count)
+    on_workers(docs.sparkSession)
+    counted = docs.select("_text").mapInArrow(count, "part int, counts binary")
     rows = counted.groupBy("part").applyInArrow(add, "part int, counts binary").collect()
     total = np.zeros(SKETCH, np.int64)
     for r in rows:

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at a time; a longer text is cut at word ends, so this changes no result.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 18
 
 _M1, _M2, _BASE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
 _BREAK = np.zeros(256, bool)

@@ -256,6 +256,44 @@ def test_shingles_of_long_texts_do_not_depend_on_slices(monkeypatch):
     assert all_sets() == whole
 
 
+def test_shingles_take_little_memory_beside_the_texts():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = random.Random(3)
+    texts = pa.array([" ".join(f"t{r.randrange(9999)}" for _ in range(400)) for _ in range(2000)])  # 4.5 MB
+    shingles._powers.clear()
+    tracemalloc.start()
+    try:
+        n = sum(len(made) for _, made, _ in shingles.shingle_sets(texts))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n > 700_000 and peak < 50 << 20
+
+
+def test_pipeline_hands_python_few_rows_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    seen = []
+
+    def stage(spark, docs, sf_dir):
+        def sizes(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_pydict({"doc_id": [b.num_rows]})
+
+        seen.append(max(r[0] for r in docs.select("doc_id").coalesce(1).mapInArrow(sizes, "doc_id long").collect()))
+        return docs
+
+    many = lambda *_: spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    monkeypatch.setattr(corpus_pipeline, "table", many)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", stage), ("last", lambda spark, docs, sf_dir: docs)])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert corpus_pipeline.run(spark, SF_DIR).count() == 3000
+    assert seen == [corpus_pipeline.BATCH_ROWS] and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_components(spark):
     links = spark.createDataFrame([(5, 9), (9, 7), (7, 3), (20, 21), (21, 20), (1, 2)], "a long, b long")
     assert {tuple(r) for r in components(links).collect()} == {(i, 3) for i in (3, 5, 7, 9)} | {(20, 20), (21, 20), (1, 1), (2, 1)}
