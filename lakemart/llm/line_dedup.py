@@ -1,93 +1,135 @@
 """Line dedup by an exact set-similarity join over line tokens; DataFrame operations only.
 
-A line is the set of its words. Words are ordered from rare to common, so two
-similar lines share one of their first few (the prefix). Lines meet on a prefix
-word; the sizes, and what can still follow the word's positions, rule out most
-meetings inside the join; the rest is verified with the whole sets. A line
-that is similar to one further ahead in the corpus (document id, then line
-number; texts of one id in the order of their hashes) is removed, whether or not that one is removed too. Lines are first
-tried with two leaders of their common words, so that a family of near copies does
-not meet pair by pair.
+A line is the set of its words, as hashes. The range of hashes is cut into more
+parts than two similar lines of that size can differ in words, so some parts
+hold the same words in both: a line's signatures are the hashes of its parts.
+Lines meet on a signature, after each line has left out its most common ones,
+as many as the parts to spare allow; sizes rule out most other meetings inside
+the join; the rest is verified with the whole sets. A line that is similar to
+one further ahead in the corpus (document id, then line number; texts of one id
+in the order of their hashes) is removed, whether or not that one is removed
+too. Lines are first tried with two leaders of their common signatures, so that
+a family of near copies does not meet pair by pair.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import materialize, settled, small, told_apart
+from lakemart.session import scratch_path, scratch_scope, write_scratch
 
 #: Jaccard similarity, in percent, from which a line counts as the same.
 PERCENT = 85
-#: Buckets that words are counted in for their order: fixed at any input size; it never changes a result.
-BUCKETS = 1 << 14
-#: Lines that share a word from which on they are first tried with its leaders; it never changes a result.
+#: Lines that share a signature from which on they are first tried with its leaders; it never changes a result.
 LED = 32
+#: Bits of a word's hash.
+BITS = 62
+#: Sizes of one class are at most so much apart, in percent, or what two similar lines may be; it never changes a result.
+CLASS = 150
+#: Up to so many parts, signatures are of pairs of parts; it never changes a result.
+PAIRED = 4
+#: Sizes of sets end here.
+MOST_WORDS = 1 << 31
 
 
 def _plain(text: Column) -> Column:
     """Lower case, every white space but the line feed a space."""
     text = F.lower(text)
+    plain, odd = text, F.lit(False)
     for c in "\t\r\x0b\x0c":
-        text = F.replace(text, F.lit(c), F.lit(" "))
-    return text
-
+        plain, odd = F.replace(plain, F.lit(c), F.lit(" ")), odd | F.contains(text, F.lit(c))
+    return F.when(odd, plain).otherwise(text)
 
-def _bucket(word: Column) -> Column:
-    return F.pmod(word, F.lit(BUCKETS)).cast("int")
 
-
-def word_levels(texts: DataFrame) -> Column:
-    """Binary literal, a byte per bucket: how common its words are, as twice the binary logarithm of their count."""
-    words = texts.select(F.explode(F.split(F.replace(_plain(F.col("_text")), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
-    counts = words.groupBy(_bucket(F.xxhash64("w")).alias("b")).count().collect()
-    levels = bytearray([1]) * BUCKETS
-    for r in counts:
-        levels[r["b"]] = 1 + min(int(2 * math.log2(1 + r["count"])), 126)
-    return F.lit(bytes(levels))
+def _lines(texts: DataFrame) -> DataFrame:
+    """Lines that have words."""
+    return texts.select("_key", "_tie", F.posexplode(F.split(_plain(F.col("_text")), "\n")).alias("_pos", "_line")).where(F.trim("_line") != "")
 
 
-def _level(levels: Column, word: Column) -> Column:
-    return F.ascii(F.substring(levels, _bucket(word) + 1, 1).cast("string"))
+def line_keys(line: Column) -> Column:
+    """The distinct words of a line as sorted, even hashes."""
+    cut = lambda h: h.bitwiseAND(F.lit((1 << BITS) - 2).cast("long"))
+    words = F.transform(F.split(line, " "), lambda w: cut(F.xxhash64(w)))
+    return F.sort_array(F.array_distinct(F.array_remove(words, cut(F.xxhash64(F.lit(""))))))
 
 
-def line_keys(line: Column, levels: Column) -> Column:
-    """The distinct words of a line as sorted numbers: level first, so rare words lead, then 56 bits of hash."""
-    words = F.array_distinct(F.transform(F.split(_plain(line), " "), lambda w: F.xxhash64(w)))
-    low = F.lit((1 << 56) - 1).cast("long")
-    return F.sort_array(
-        F.transform(
-            F.array_remove(words, F.xxhash64(F.lit(""))), lambda h: F.shiftleft(_level(levels, h).cast("long"), 56).bitwiseOR(h.bitwiseAND(low))
-        )
-    )
+def size_classes(percent: int) -> list[tuple[int, int, int]]:
+    """``(least size, parts, signatures that similar sets share)`` of each class of set sizes.
 
+    Similar sets of sizes n and m differ in at most (n + m)(100 - percent)/(100 + percent) words. A class has that many
+    parts for its largest sets, and some to spare: of two similar sets at least the parts to spare are equal. A pair meets
+    in the class of its larger set; the smaller one is of that class or of the one before. With up to ``PAIRED`` parts,
+    2 of them to spare, a signature is of two parts: a single one would hold few words.
+    """
+    out = []
+    least = -(-(100 + percent) // (2 * (100 - percent))) if percent < 100 else MOST_WORDS
+    while least < MOST_WORDS:
+        after = max(-(-least * CLASS // 100), -(-least * 100 // percent))
+        differ = 2 * (after - 1) * (100 - percent) // (100 + percent)
+        spare = 2 + differ // 6
+        out.append((least, differ + spare, 1 if differ + spare <= PAIRED else spare))
+        least = after
+    return out
 
-def _parity(keys: Column) -> Column:
-    """64 bits: how many of the words fall on each, odd or even. Two sets differ in at least as many words as bits."""
-    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63).cast("long")).cast("int"))
-    return F.aggregate(keys, F.lit(0).cast("long"), lambda bits, k: bits.bitwiseXOR(bit(k)))
 
+def _class(n: Column, classes: list[tuple[int, int, int]]) -> Column:
+    """From 1 on; 0 for sizes whose similar sets are equal."""
+    return F.size(F.filter(F.array(*[F.lit(c[0]) for c in classes], F.lit(MOST_WORDS - 1)), lambda least: least <= n))
 
-def _lines(texts: DataFrame) -> DataFrame:
-    return texts.select("_key", "_tie", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line"))
 
+def _of_class(number: Column, classes: list[tuple[int, int, int]], at: int) -> Column:
+    return F.element_at(F.array(F.lit(0), *[F.lit(min(c[at], MOST_WORDS - 1)) for c in classes]), number + 1)
 
-def _least_shared(n: Column, m: Column, percent: int) -> Column:
-    return F.ceil((n + m) * percent / (100 + percent) - 1e-9)
 
+def with_signatures(sets: DataFrame, percent: int) -> DataFrame:
+    """``_keys`` replaced by ``signatures`` in the set's own class and, if a similar set may be of it, the next.
 
-def _near(n: Column, m: Column, bits: Column, other: Column, percent: int) -> Column:
-    """Whether sizes and parity bits allow two different sets to be similar."""
-    need = _least_shared(n, m, percent)
-    return (
-        (n * 100 >= m * percent)
-        & (m * 100 >= n * percent)
-        # equal sizes that must share everything are the same set, which is one row here
-        & ~((n == m) & (need >= n))
-        & (F.bit_count(bits.bitwiseXOR(other)) <= n + m - need * 2)
-    )
+    The last bit tells the two classes apart. A signature hashes the class, the number of the part (or pair of parts) and the words in it.
+    """
+    classes = size_classes(percent)
+    rest = [c for c in sets.columns if c != "_keys"]
+
+    def of(parts: Column, half: Column) -> Column:
+        ends = F.transform(F.sequence(F.lit(0), parts - 1), lambda i: i.cast("long") * half * 2 + 1)
+        # Words are even, ends odd: the sorted words as text, cut at the ends. 32 bits of a word do: a part that only seems
+        # equal is one more meeting.
+        is_end = lambda x: x.bitwiseAND(F.lit(1).cast("long")) == 1
+        told = F.transform(F.sort_array(F.concat("_keys", ends)), lambda x: F.when(is_end(x), F.lit(";")).otherwise(F.shiftright(x, BITS - 32).cast("string")))
+        return F.when(parts > 0, F.slice(F.split(F.array_join(told, " "), ";"), F.lit(2), parts)).otherwise(F.array().cast("array<string>"))
+
+    def signed(number: Column, parts: Column, texts: Column) -> Column:
+        pairs = F.flatten(F.transform(texts, lambda t, i: F.transform(F.slice(texts, i + 2, PAIRED), lambda u: F.concat(t, F.lit(";"), u))))
+        odd = number.bitwiseAND(F.lit(1)).cast("long")
+        return F.transform(F.when(parts <= PAIRED, pairs).otherwise(texts), lambda t, i: F.shiftleft(F.xxhash64(number, i, t), 1).bitwiseOR(odd))
+
+    own = _class(F.col("n"), classes)
+    reach = _class(F.floor(F.col("n").cast("long") * 100 / percent), classes)
+    made = sets.select("*", own.alias("_c0"), reach.alias("_c1")).withColumn("_c1", F.when(F.col("_c1") > F.col("_c0"), F.col("_c1")).otherwise(0))
+    made = made.select("*", *[_of_class(F.col(f"_c{i}"), classes, 1).alias(f"_parts{i}") for i in (0, 1)])
+    half = lambda parts: F.call_function("div", F.lit(1 << (BITS - 1)).cast("long"), F.greatest(parts, F.lit(1)).cast("long"))
+    made = made.select("*", *[half(F.col(f"_parts{i}")).alias(f"_half{i}") for i in (0, 1)])
+    made = made.select("*", *[of(F.col(f"_parts{i}"), F.col(f"_half{i}")).alias(f"_texts{i}") for i in (0, 1)])
+    both = [signed(F.col(f"_c{i}"), F.col(f"_parts{i}"), F.col(f"_texts{i}")) for i in (0, 1)]
+    return made.select(*rest, F.concat(*both).alias("signatures"))
+
+
+def _near(n: Column, m: Column, percent: int) -> Column:
+    """Whether sizes allow two different sets to be similar."""
+    return (n * 100 >= m * percent) & (m * 100 >= n * percent)
+
+
+def _least_met(n: Column, m: Column, percent: int) -> Column:
+    """Signatures that two similar sets still share when each has left out its most common ones.
+
+    Of those that they share, the ones left out by either are the last in one order: no more than one set leaves out.
+    """
+    classes = size_classes(percent)
+    number = _class(F.greatest(n, m), classes)
+    parts, shared = _of_class(number, classes, 1), _of_class(number, classes, 2)
+    differ = F.floor((n + m).cast("long") * (100 - percent) / (100 + percent) + 1e-9)
+    return F.when(parts <= PAIRED, F.lit(1)).otherwise(parts - differ - (shared - 1))
 
 
 # Turn the order of set numbers, so that every round has other leaders.
@@ -95,7 +137,7 @@ _TURNS = (0, 0x5555555555555555, 0x3333333333333333)
 
 
 def _leaders() -> list[Column]:
-    """Two sets of a word for each round, by least and greatest number: plain partial aggregates."""
+    """Two sets of a signature for each round, by least and greatest number: plain partial aggregates."""
     out = []
     for turn in _TURNS:
         mask = F.lit(turn).cast("long")
@@ -111,53 +153,81 @@ def repeated_lines(docs: DataFrame, key: str, text: str, percent: int = PERCENT)
     return _repeated(told_apart(docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")))[0], percent)
 
 
+def _line_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Written: every line with words and the two numbers of its set; every set once, with its first line and signatures."""
+    spark = texts.sparkSession
+    lines_path, sets_path = scratch_path(spark, "line-sets"), scratch_path(spark, "line-distinct")
+    with scratch_scope(spark):
+        keyed = _lines(texts).select("_key", "_tie", "_pos", line_keys(F.col("_line")).alias("_keys"))
+        keyed = keyed.select("_key", "_tie", "_pos", "_keys", F.size("_keys").alias("n"), F.xxhash64("_keys").alias("s1"), F.xxhash64(F.lit(1), "_keys").alias("s2"))
+        whole = materialize(with_signatures(keyed, percent), "line-signed")
+        first = F.min(F.struct("_key", "_tie", "_pos")).alias("first")
+        sets = write_scratch(whole.groupBy("s1", "s2").agg(first, F.first("n").alias("n"), F.first("signatures").alias("signatures")), sets_path)
+        lines = write_scratch(whole.select("_key", "_tie", "_pos", "s1", "s2"), lines_path)
+    return lines, sets
+
+
 def _repeated(rows: DataFrame, percent: int) -> DataFrame:
     spark = rows.sparkSession
     texts = rows.where("_key IS NOT NULL AND _text IS NOT NULL")
-    levels = word_levels(texts)
-    keyed = _lines(texts).select("_key", "_tie", "_pos", line_keys(F.col("_line"), levels).alias("_keys")).where(F.size("_keys") > 0)
-    n = F.size("_keys")
-    lines = keyed.select(
-        "_key", "_tie", "_pos", n.alias("n"), F.xxhash64("_keys").alias("s1"), F.xxhash64(F.lit(1), "_keys").alias("s2"), _parity(F.col("_keys")).alias("bits"),
-        F.slice("_keys", F.lit(1), n - F.ceil(n * percent / 100 - 1e-9).cast("int") + 1).alias("prefix"),
-    )
-    lines = materialize(lines, "line-sets")
-    sets = lines.groupBy("s1", "s2").agg(F.min(F.struct("_key", "_tie", "_pos")).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
-    sets = materialize(sets, "line-distinct")
-    posted = sets.select("s1", "first", "n", "bits", F.posexplode("prefix").alias("at", "word"))
-    shared = posted.groupBy("word").agg(F.count("*").alias("c"), *_leaders())
-    shared = materialize(shared.where("c > 1"), "line-words")
-    posted = materialize(posted.join(shared.select("word"), "word", "left_semi"), "line-prefixes")
+    lines, sets = _line_sets(texts, percent)
+
+    def postings() -> DataFrame:
+        """A row per set and signature that it shares with others; each set's most common ones are left out.
+
+        Two similar sets share a known number of signatures of a class. Each leaves out one less than that, the last in one
+        order for all: the first one that they share stays in both.
+        """
+        signed = sets.select("s1", F.explode("signatures").alias("sig"))
+        shared = materialize(signed.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1"), "line-shared")
+        met = materialize(signed.join(shared, "sig"), "line-met")
+        classes = size_classes(percent)
+        odd = F.col("sig").bitwiseAND(F.lit(1).cast("long")).cast("int")
+        own = _class(F.col("n"), classes)
+        number = F.when(F.pmod(own, F.lit(2)) == odd, own).otherwise(own + 1)
+        told = sets.select("s1", "s2", "first", "n").join(met, "s1").withColumn("_spare", _of_class(number, classes, 2)).withColumn("_odd", odd)
+        order = Window.partitionBy("s1", "s2", "_odd").orderBy(F.desc("c"), F.desc("sig"))
+        return told.withColumn("_at", F.row_number().over(order)).where("_at >= _spare").select("sig", "s1", "first", "n")
+
+    posted = settled(spark, "line-postings", postings)
+    crowds = materialize(posted.groupBy("sig").agg(F.count("*").alias("c"), *_leaders()).where("c > 1"), "line-words")
+
+    def whole_sets() -> DataFrame:
+        """The words of every set that meets another."""
+        met = posted.join(crowds.select("sig"), "sig", "left_semi").select("s1", "first").distinct()
+        met = materialize(met, "line-wanted")
+        places = met.select("first._key", "first._tie", "first._pos", "first")
+        owners = materialize(places.select("_key", "_tie").distinct(), "line-owners")
+        found = _lines(texts.join(small(owners), ["_key", "_tie"], "left_semi")).join(small(places), ["_key", "_tie", "_pos"])
+        return found.select("first", line_keys(F.col("_line")).alias("_keys"))
+
+    whole = settled(spark, "line-keys", whole_sets)
 
     def similar(pairs: DataFrame) -> DataFrame:
         """The later line of each pair ``(late, early)`` whose whole sets are similar."""
         pairs = materialize(pairs, "line-pairs")
-        wanted = materialize(pairs.select(F.explode(F.array("late", "early")).alias("first")).distinct(), "line-wanted")
-        owners = wanted.select("first._key", "first._tie").distinct()
-        places = wanted.select("first._key", "first._tie", "first._pos", "first")
-        whole = _lines(texts.join(small(owners), ["_key", "_tie"], "left_semi")).join(small(places), ["_key", "_tie", "_pos"])
-        whole = materialize(whole.select("first", line_keys(F.col("_line"), levels).alias("_keys")), "line-keys")
-        sides = pairs.join(whole.select(F.col("first").alias("late"), F.col("_keys").alias("x")), "late").join(
-            whole.select(F.col("first").alias("early"), F.col("_keys").alias("y")), "early"
-        )
+        n = pairs.count()
+        late = whole.join(small(pairs, n), F.col("first") == F.col("late")).select("early", "late", F.col("_keys").alias("x"))
+        early = whole.join(small(pairs.select(F.col("early").alias("first")).distinct(), n), "first").select(F.col("first").alias("early"), F.col("_keys").alias("y"))
+        sides = late.join(early, "early")
         both = F.size(F.array_intersect("x", "y"))
         sound = sides.where(both * 100 >= (F.size("x") + F.size("y") - both) * percent)
         return sound.select(F.col("late").alias("first")).distinct()
 
     def after_leaders() -> DataFrame:
-        """Lines that are similar to one of two leaders of their words, a row per line and leader.
+        """Lines that are similar to one of two leaders of their signatures, a row per line and leader.
 
         In a family of copies that is most of the lines that have an earlier match, however many lines it has.
         """
-        heads = sets.select(F.col("s1").alias("lead"), F.col("first").alias("head"), F.col("n").alias("m"), F.col("bits").alias("head_bits"))
-        crowded = posted.select("word", "s1", "first", "n", "bits").join(shared.where(F.col("c") >= LED), "word")
-        crowded = materialize(crowded.drop("word", "c"), "line-crowded")
+        crowded = posted.select("sig", "s1", "first", "n").join(small(crowds.where(F.col("c") >= LED)), "sig")
+        crowded = materialize(crowded.drop("sig", "c"), "line-crowded")
         gone = None
         for turn in range(len(_TURNS)):
             led = crowded if gone is None else crowded.join(small(gone), "first", "left_anti")
             pair = F.array(f"l{2 * turn}", f"l{2 * turn + 1}")
-            led = led.select("s1", "first", "n", "bits", F.explode(pair).alias("lead")).where("lead <> s1").join(heads, "lead")
-            led = led.where(_near(F.col("n"), F.col("m"), F.col("bits"), F.col("head_bits"), percent))
+            led = led.select("s1", "first", "n", F.explode(pair).alias("lead")).where("lead <> s1").distinct()
+            heads = sets.select(F.col("s1").alias("lead"), F.col("first").alias("head"), F.col("n").alias("m"))
+            led = led.join(heads, "lead").where(_near(F.col("n"), F.col("m"), percent))
             led = led.select(F.greatest("first", "head").alias("late"), F.least("first", "head").alias("early")).distinct()
             found = settled(spark, "line-gone", lambda: similar(led))
             gone = found if gone is None else gone.unionByName(found)
@@ -165,27 +235,18 @@ def _repeated(rows: DataFrame, percent: int) -> DataFrame:
 
     gone = settled(spark, "line-gone", after_leaders)
 
-    # Then those still without a match, with every earlier line of their words.
+    # Then those still without a match, with every earlier line of their signatures.
     a, b = posted.join(small(gone), "first", "left_anti").alias("a"), posted.alias("b")
-    need = _least_shared(F.col("a.n"), F.col("b.n"), percent)
-    # What two lines can share around a common word: the words before it in both, and those from it on in both.
-    around = F.least(F.col("a.at"), F.col("b.at")) + F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
-    met = a.join(
-        b,
-        (F.col("a.word") == F.col("b.word"))
-        & (F.col("b.first") < F.col("a.first"))
-        & (around >= need)
-        & _near(F.col("a.n"), F.col("b.n"), F.col("a.bits"), F.col("b.bits"), percent),
-    ).select(F.col("a.first").alias("late"), F.col("b.first").alias("early"), F.col("a.n").alias("n"), F.col("b.n").alias("m"))
-    # Shared words = those in both prefixes (one row each) + at most what follows the prefix of either.
+    near = _near(F.col("a.n"), F.col("b.n"), percent)
+    met = a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("b.first") < F.col("a.first")) & near)
+    met = met.select(F.col("a.first").alias("late"), F.col("b.first").alias("early"), F.col("a.n").alias("n"), F.col("b.n").alias("m"))
     met = met.groupBy("late", "early", "n", "m").agg(F.count("*").alias("met"))
-    rest = F.ceil(F.greatest("n", "m") * percent / 100 - 1e-9) - 1
-    met = met.where(F.col("met") >= _least_shared(F.col("n"), F.col("m"), percent) - rest).select("late", "early")
+    met = met.where(F.col("met") >= _least_met(F.col("n"), F.col("m"), percent)).select("late", "early")
     more = settled(spark, "line-gone", lambda: similar(met))
     gone = gone.unionByName(more).distinct().withColumn("_gone", F.lit(True))
     firsts = sets.select("s1", "s2", "first").join(small(gone), "first", "left")
     later = (F.col("first") < F.struct("_key", "_tie", "_pos")) | F.coalesce("_gone", F.lit(False))
-    return lines.select("_key", "_tie", "_pos", "s1", "s2").join(firsts, ["s1", "s2"]).where(later).select("_key", "_tie", "_pos")
+    return lines.join(firsts, ["s1", "s2"]).where(later).select("_key", "_tie", "_pos")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -206,10 +267,10 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     per_doc = settled(
         docs.sparkSession, "line-removed", lambda: _repeated(rows.select("_key", "_text", "_tie"), percent).groupBy(*doc).agg(F.collect_set("_pos").alias("_gone"))
     )
-    joined = rows.join(per_doc, (F.col("_key") == F.col("_doc")) & (F.col("_tie") == F.col("_doc_tie")), "left")
+    joined = rows.join(small(per_doc), (F.col("_key") == F.col("_doc")) & (F.col("_tie") == F.col("_doc_tie")), "left")
     lines = F.split("_text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(left, lambda i: lines[i]), "\n"))
+    left = F.filter(lines, lambda line, i: ~F.array_contains("_gone", i))
+    kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(left, "\n"))
     n_removed = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))
     made = joined.withColumn("n_lines", F.when(F.col("_text").isNull(), 0).otherwise(F.size(lines)).cast("long"))
     made = made.withColumn("n_removed", n_removed.cast("long")).withColumn("_kept", kept)

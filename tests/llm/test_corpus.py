@@ -125,6 +125,31 @@ def test_line_dedup_matches_brute_force(spark, percent):
     assert got == repeated_brute(rows, percent)
 
 
+@pytest.mark.parametrize("percent", [85, 75, 60])
+def test_similar_lines_share_signatures(spark, percent):
+    """In the class of the larger set, as many as the class says; at 85 sets of other words share next to none."""
+    r = random.Random(5)
+    pairs = []
+    for _ in range(300):
+        n = r.choice([*range(1, 30), 57, 58, 59, 88, 90, 150])
+        a = [f"w{r.randrange(10**6)}" for _ in range(n)]
+        b = a[: n - r.randint(0, n // 3)] + [f"w{r.randrange(10**6)}" for _ in range(r.randint(0, 1 + n // 8))]
+        pairs.append((" ".join(a), " ".join(b)))
+    lines = spark.createDataFrame([(i, side, line) for i, p in enumerate(pairs) for side, line in enumerate(p)], "i int, side int, line string")
+    keyed = lines.select("i", "side", line_dedup.line_keys(F.col("line")).alias("_keys")).withColumn("n", F.size("_keys"))
+    rows = {(x.i, x.side): x for x in line_dedup.with_signatures(keyed, percent).collect()}
+    met = 0
+    for i, (a, b) in enumerate(pairs):
+        a, b = set(a.split()), set(b.split())
+        if a != b and 100 * len(a & b) >= percent * len(a | b):
+            met += 1
+            shares = [s for least, _, s in line_dedup.size_classes(percent) if least <= max(len(a), len(b))][-1]
+            assert len(set(rows[i, 0].signatures) & set(rows[i, 1].signatures)) >= shares
+    assert met > 30
+    apart = [set(rows[i, 0].signatures) for i in range(len(pairs)) if rows[i, 0].n >= 26]
+    assert percent < 85 or sum(map(len, apart)) - len(set().union(*apart)) < 0.05 * sum(map(len, apart))
+
+
 def test_line_dedup_odd_rows(spark, odd):
     rows = line_dedup.dedup_lines(odd.withColumn("n_lines", F.lit("old"))).collect()
     assert len(rows) == odd.count()
