@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lakemart.operators import bridge, compare, keys, quality, versioned
 from lakemart.plans import facts, loads, star
+from lakemart.plans.star import REFERENCES
 from lakemart.sources.runs import KeyMap, RunTable
 
 SMOKE = "/root/testdata/sf0.001"
@@ -109,6 +110,20 @@ def test_star_check_numbers_no_fact(spark, monkeypatch):
     assert plain.count() == numbered.count() and plain.exceptAll(numbered).count() == numbered.exceptAll(plain).count() == 0
 
 
+def test_star_check_checks_every_declared_reference(spark):
+    """All of them, the learner fact's with the rows of both its loads and the status of an appeal."""
+    from lakemart.checks import star as queries
+
+    got = {(r["table"], r["fk"]): r for r in queries.star_check(spark, SMOKE).collect()}
+    assert set(got) == {(name, fk) for name, columns in REFERENCES.items() for fk in columns}
+    versions, orders = queries.fact_learner(spark, SMOKE), spark.read.parquet(f"{SMOKE}/orders.parquet").count()
+    assert {got["fact_learner", fk]["n_rows"] for fk in REFERENCES["fact_learner"]} == {versions.count()}
+    assert versions.count() > orders
+    unknown = queries.fact_appeal(spark, SMOKE).where("appeal_status = 0").count()
+    status = got["fact_appeal", "appeal_status"]
+    assert (status["n_rows"], status["n_orphans"], status["n_unknown"]) == (orders, 0, unknown) and unknown > 0
+
+
 def test_star_check_shuffles_counts_and_keys_once(spark):
     """Counts per value are joined as they lie after counting; a key shared by columns of two facts is one key."""
     fact = spark.range(1000).select((F.col("id") % 50).alias("a_sk"), F.lit(7).alias("b_sk"))
