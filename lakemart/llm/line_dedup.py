@@ -14,6 +14,8 @@ a family of near copies does not meet pair by pair.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,13 +32,18 @@ BITS = 62
 CLASS = 150
 #: Up to so many parts, signatures are of pairs of parts; it never changes a result.
 PAIRED = 4
+#: Up to so many parts, their signatures are written out; it never changes a result.
+WRITTEN = 26
+#: The classes of sizes below are looked up; it never changes a result.
+LISTED = 512
+#: Sets of so many words on have 128 bits of parity instead of 64; it never changes a result.
+WIDE = 64
 #: Sizes of sets end here.
 MOST_WORDS = 1 << 31
 
 
 def _plain(text: Column) -> Column:
-    """Lower case, every white space but the line feed a space."""
-    text = F.lower(text)
+    """Every white space but the line feed a space."""
     plain, odd = text, F.lit(False)
     for c in "\t\r\x0b\x0c":
         plain, odd = F.replace(plain, F.lit(c), F.lit(" ")), odd | F.contains(text, F.lit(c))
@@ -45,7 +52,9 @@ def _plain(text: Column) -> Column:
 
 def _lines(texts: DataFrame) -> DataFrame:
     """Lines that have words."""
-    return texts.select("_key", "_tie", F.posexplode(F.split(_plain(F.col("_text")), "\n")).alias("_pos", "_line")).where(F.trim("_line") != "")
+    lower = texts.select("_key", "_tie", F.lower("_text").alias("_text"))
+    plain = lower.select("_key", "_tie", _plain(F.col("_text")).alias("_text"))
+    return plain.select("_key", "_tie", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line")).where(F.trim("_line") != "")
 
 
 def line_keys(line: Column) -> Column:
@@ -76,7 +85,10 @@ def size_classes(percent: int) -> list[tuple[int, int, int]]:
 
 def _class(n: Column, classes: list[tuple[int, int, int]]) -> Column:
     """From 1 on; 0 for sizes whose similar sets are equal."""
-    return F.size(F.filter(F.array(*[F.lit(c[0]) for c in classes], F.lit(MOST_WORDS - 1)), lambda least: least <= n))
+    starts = [c[0] for c in classes]
+    listed = F.array(*[F.lit(bisect_right(starts, size)) for size in range(LISTED)])
+    rest = F.size(F.filter(F.array(*map(F.lit, starts), F.lit(MOST_WORDS - 1)), lambda least: least <= n))
+    return F.when(n < LISTED, F.get(listed, n.cast("int"))).otherwise(rest)
 
 
 def _of_class(number: Column, classes: list[tuple[int, int, int]], at: int) -> Column:
@@ -91,45 +103,63 @@ def with_signatures(sets: DataFrame, percent: int) -> DataFrame:
     classes = size_classes(percent)
     rest = [c for c in sets.columns if c != "_keys"]
 
-    def of(parts: Column, half: Column) -> Column:
-        ends = F.transform(F.sequence(F.lit(0), parts - 1), lambda i: i.cast("long") * half * 2 + 1)
-        # Words are even, ends odd: the sorted words as text, cut at the ends. 32 bits of a word do: a part that only seems
-        # equal is one more meeting.
-        is_end = lambda x: x.bitwiseAND(F.lit(1).cast("long")) == 1
-        told = F.transform(F.sort_array(F.concat("_keys", ends)), lambda x: F.when(is_end(x), F.lit(";")).otherwise(F.shiftright(x, BITS - 32).cast("string")))
-        return F.when(parts > 0, F.slice(F.split(F.array_join(told, " "), ";"), F.lit(2), parts)).otherwise(F.array().cast("array<string>"))
+    def cut(parts: Column, step: Column) -> Column:
+        """The sorted words, with a mark before each part and after the last; words are even, marks end in 1.
+
+        Words after the last mark, which division leaves, are in no part.
+        """
+        return F.when(parts > 0, F.sort_array(F.concat("_keys", F.sequence(F.lit(1).cast("long"), parts * step + 1, step))))
+
+    def places(parts: Column, step: Column, told: Column) -> Column:
+        """Of the marks of few parts."""
+        found = F.transform(F.sequence(F.lit(0), parts), lambda i: F.array_position(told, step * i + 1).cast("int"))
+        return F.when((parts > 0) & (parts <= WRITTEN), found)
 
-    def signed(number: Column, parts: Column, texts: Column) -> Column:
-        pairs = F.flatten(F.transform(texts, lambda t, i: F.transform(F.slice(texts, i + 2, PAIRED), lambda u: F.concat(t, F.lit(";"), u))))
+    def signed(number: Column, parts: Column, told: Column, at: Column) -> Column:
         odd = number.bitwiseAND(F.lit(1)).cast("long")
-        return F.transform(F.when(parts <= PAIRED, pairs).otherwise(texts), lambda t, i: F.shiftleft(F.xxhash64(number, i, t), 1).bitwiseOR(odd))
+        last = lambda *of: F.shiftleft(F.xxhash64(number, *of), 1).bitwiseOR(odd)
+        words = lambda i: F.slice(told, F.get(at, F.lit(i)) + 1, F.get(at, F.lit(i + 1)) - F.get(at, F.lit(i)) - 1)
+        # Written out for few parts: compiled, and a lambda is not.
+        pairs = F.array(*[F.when(parts > j, last(F.lit(i), words(i), F.lit(j), words(j))) for j in range(PAIRED) for i in range(j)])
+        singles = F.array(*[F.when(parts > i, last(F.lit(i), words(i))) for i in range(WRITTEN)])
+        # Else as text cut at "1 ": each piece holds a part and, the same in all sets, the digits of the next mark.
+        pieces = F.slice(F.split(F.array_join(told.cast("array<string>"), " "), "1 "), F.lit(2), parts)
+        few = F.when(parts <= PAIRED, F.slice(pairs, F.lit(1), (parts * (parts - 1) / 2).cast("int"))).otherwise(F.slice(singles, F.lit(1), parts))
+        made = F.when(parts <= WRITTEN, few).otherwise(F.transform(pieces, lambda t, i: last(i, t)))
+        return F.when(parts > 0, made).otherwise(F.array().cast("array<bigint>"))
 
     own = _class(F.col("n"), classes)
     reach = _class(F.floor(F.col("n").cast("long") * 100 / percent), classes)
     made = sets.select("*", own.alias("_c0"), reach.alias("_c1")).withColumn("_c1", F.when(F.col("_c1") > F.col("_c0"), F.col("_c1")).otherwise(0))
     made = made.select("*", *[_of_class(F.col(f"_c{i}"), classes, 1).alias(f"_parts{i}") for i in (0, 1)])
-    half = lambda parts: F.call_function("div", F.lit(1 << (BITS - 1)).cast("long"), F.greatest(parts, F.lit(1)).cast("long"))
-    made = made.select("*", *[half(F.col(f"_parts{i}")).alias(f"_half{i}") for i in (0, 1)])
-    made = made.select("*", *[of(F.col(f"_parts{i}"), F.col(f"_half{i}")).alias(f"_texts{i}") for i in (0, 1)])
-    both = [signed(F.col(f"_c{i}"), F.col(f"_parts{i}"), F.col(f"_texts{i}")) for i in (0, 1)]
+    # Steps end in 0.
+    step = lambda parts: F.call_function("div", F.lit(1 << BITS).cast("long"), F.greatest(parts, F.lit(1)).cast("long") * 10) * 10
+    made = made.select("*", *[step(F.col(f"_parts{i}")).alias(f"_step{i}") for i in (0, 1)])
+    made = made.select("*", *[cut(F.col(f"_parts{i}"), F.col(f"_step{i}")).alias(f"_told{i}") for i in (0, 1)])
+    made = made.select("*", *[places(*[F.col(f"_{c}{i}") for c in ("parts", "step", "told")]).alias(f"_at{i}") for i in (0, 1)])
+    both = [signed(*[F.col(f"_{c}{i}") for c in ("c", "parts", "told", "at")]) for i in (0, 1)]
     return made.select(*rest, F.concat(*both).alias("signatures"))
 
 
-def _near(n: Column, m: Column, percent: int) -> Column:
-    """Whether sizes allow two different sets to be similar."""
-    return (n * 100 >= m * percent) & (m * 100 >= n * percent)
+def _sketched(keyed: DataFrame) -> DataFrame:
+    """With ``p0`` and ``p1``: parities of the words of each of 64 kinds. Two sets differ in at least as many words as bits.
 
+    From ``WIDE`` words on, ``p1`` has half of the words; of fewer, ``p0`` has all.
+    """
+    flipped = lambda bits, h, unit: bits.bitwiseXOR(F.call_function("shiftleft", unit, F.shiftright(h, 31).cast("int")))
+    one, nil = F.lit(1).cast("long"), F.lit(0).cast("long")
+    every = F.aggregate("_keys", nil, lambda bits, h: flipped(bits, h, one))
+    half = F.aggregate("_keys", nil, lambda bits, h: flipped(bits, h, F.shiftright(h, 40).bitwiseAND(one)))
+    made = keyed.select("*", every.alias("_every"), F.when(F.col("n") >= WIDE, half).otherwise(nil).alias("p1"))
+    return made.withColumn("p0", F.col("_every").bitwiseXOR(F.col("p1"))).drop("_every")
 
-def _least_met(n: Column, m: Column, percent: int) -> Column:
-    """Signatures that two similar sets still share when each has left out its most common ones.
 
-    Of those that they share, the ones left out by either are the last in one order: no more than one set leaves out.
-    """
-    classes = size_classes(percent)
-    number = _class(F.greatest(n, m), classes)
-    parts, shared = _of_class(number, classes, 1), _of_class(number, classes, 2)
-    differ = F.floor((n + m).cast("long") * (100 - percent) / (100 + percent) + 1e-9)
-    return F.when(parts <= PAIRED, F.lit(1)).otherwise(parts - differ - (shared - 1))
+def _near(a: str, b: str, percent: int) -> Column:
+    """Whether the sizes and sketches of two different sets allow them to be similar; ``a`` and ``b`` begin their columns' names."""
+    n, m = (F.col(f"{x}n").cast("long") for x in (a, b))
+    x, y = (F.col(f"{a}p{i}").bitwiseXOR(F.col(f"{b}p{i}")) for i in (0, 1))
+    apart = F.when((n >= WIDE) & (m >= WIDE), F.bit_count(x) + F.bit_count(y)).otherwise(F.bit_count(x.bitwiseXOR(y)))
+    return (n * 100 >= m * percent) & (m * 100 >= n * percent) & (apart * (100 + percent) <= (n + m) * (100 - percent))
 
 
 # Turn the order of set numbers, so that every round has other leaders.
@@ -153,60 +183,53 @@ def repeated_lines(docs: DataFrame, key: str, text: str, percent: int = PERCENT)
     return _repeated(told_apart(docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")))[0], percent)
 
 
-def _line_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Written: every line with words and the two numbers of its set; every set once, with its first line and signatures."""
+def _line_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written: every line with words and the two numbers of its set; every set once, with its first line; the postings.
+
+    A posting is a row of a set and a signature that it shares with others; each set's most common ones are left out. Two
+    similar sets share a known number of signatures of a class. Each leaves out one less than that, the last in one order
+    for all: the first one that they share stays in both.
+    """
     spark = texts.sparkSession
-    lines_path, sets_path = scratch_path(spark, "line-sets"), scratch_path(spark, "line-distinct")
+    lines_path, sets_path, posted_path = (scratch_path(spark, f"line-{x}") for x in ("sets", "distinct", "postings"))
+    numbers, first = ["s1", "s2"], F.min(F.struct("_key", "_tie", "_pos")).alias("first")
     with scratch_scope(spark):
         keyed = _lines(texts).select("_key", "_tie", "_pos", line_keys(F.col("_line")).alias("_keys"))
-        keyed = keyed.select("_key", "_tie", "_pos", "_keys", F.size("_keys").alias("n"), F.xxhash64("_keys").alias("s1"), F.xxhash64(F.lit(1), "_keys").alias("s2"))
-        whole = materialize(with_signatures(keyed, percent), "line-signed")
-        first = F.min(F.struct("_key", "_tie", "_pos")).alias("first")
-        sets = write_scratch(whole.groupBy("s1", "s2").agg(first, F.first("n").alias("n"), F.first("signatures").alias("signatures")), sets_path)
-        lines = write_scratch(whole.select("_key", "_tie", "_pos", "s1", "s2"), lines_path)
-    return lines, sets
-
-
-def _repeated(rows: DataFrame, percent: int) -> DataFrame:
-    spark = rows.sparkSession
-    texts = rows.where("_key IS NOT NULL AND _text IS NOT NULL")
-    lines, sets = _line_sets(texts, percent)
-
-    def postings() -> DataFrame:
-        """A row per set and signature that it shares with others; each set's most common ones are left out.
-
-        Two similar sets share a known number of signatures of a class. Each leaves out one less than that, the last in one
-        order for all: the first one that they share stays in both.
-        """
-        signed = sets.select("s1", F.explode("signatures").alias("sig"))
-        shared = materialize(signed.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1"), "line-shared")
-        met = materialize(signed.join(shared, "sig"), "line-met")
+        keyed = keyed.select("*", F.size("_keys").alias("n"), F.xxhash64("_keys").alias("s1"), F.xxhash64(F.lit(1), "_keys").alias("s2"))
+        whole = materialize(with_signatures(_sketched(keyed), percent), "line-signed")
+        same = [F.first(c).alias(c) for c in ("n", "p0", "p1", "signatures")]
+        signed = materialize(whole.groupBy(*numbers).agg(first, F.count("*").alias("lines"), *same), "line-wide")
+        lines = write_scratch(whole.select("_key", "_tie", "_pos", *numbers), lines_path)
+        sets = write_scratch(signed.drop("signatures"), sets_path)
+
+        each = signed.select("s1", F.explode("signatures").alias("sig"))
+        shared = materialize(each.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1"), "line-shared")
+        met = each.join(small(shared).hint("shuffle_hash"), "sig")
         classes = size_classes(percent)
         odd = F.col("sig").bitwiseAND(F.lit(1).cast("long")).cast("int")
         own = _class(F.col("n"), classes)
         number = F.when(F.pmod(own, F.lit(2)) == odd, own).otherwise(own + 1)
-        told = sets.select("s1", "s2", "first", "n").join(met, "s1").withColumn("_spare", _of_class(number, classes, 2)).withColumn("_odd", odd)
-        order = Window.partitionBy("s1", "s2", "_odd").orderBy(F.desc("c"), F.desc("sig"))
-        return told.withColumn("_at", F.row_number().over(order)).where("_at >= _spare").select("sig", "s1", "first", "n")
-
-    posted = settled(spark, "line-postings", postings)
-    crowds = materialize(posted.groupBy("sig").agg(F.count("*").alias("c"), *_leaders()).where("c > 1"), "line-words")
-
-    def whole_sets() -> DataFrame:
-        """The words of every set that meets another."""
-        met = posted.join(crowds.select("sig"), "sig", "left_semi").select("s1", "first").distinct()
-        met = materialize(met, "line-wanted")
-        places = met.select("first._key", "first._tie", "first._pos", "first")
-        owners = materialize(places.select("_key", "_tie").distinct(), "line-owners")
-        found = _lines(texts.join(small(owners), ["_key", "_tie"], "left_semi")).join(small(places), ["_key", "_tie", "_pos"])
-        return found.select("first", line_keys(F.col("_line")).alias("_keys"))
+        told = sets.drop("lines").join(met, "s1").withColumn("_spare", _of_class(number, classes, 2)).withColumn("_odd", odd)
+        order = Window.partitionBy(*numbers, "_odd").orderBy(F.desc("c"), F.desc("sig"))
+        left = told.withColumn("_at", F.row_number().over(order)).where("_at >= _spare")
+        posted = write_scratch(left.select("sig", "s1", "first", "n", "p0", "p1"), posted_path)
+    return lines, sets, posted
 
-    whole = settled(spark, "line-keys", whole_sets)
+
+def _repeated(rows: DataFrame, percent: int) -> DataFrame:
+    spark = rows.sparkSession
+    texts = rows.where("_key IS NOT NULL AND _text IS NOT NULL")
+    lines, sets, posted = _line_sets(texts, percent)
 
     def similar(pairs: DataFrame) -> DataFrame:
         """The later line of each pair ``(late, early)`` whose whole sets are similar."""
         pairs = materialize(pairs, "line-pairs")
         n = pairs.count()
+        firsts = pairs.select(F.col("late").alias("first")).unionByName(pairs.select(F.col("early").alias("first"))).distinct()
+        places = materialize(firsts.select("first._key", "first._tie", "first._pos", "first"), "line-wanted")
+        owners = materialize(places.select("_key", "_tie").distinct(), "line-owners")
+        found = _lines(texts.join(small(owners), ["_key", "_tie"], "left_semi")).join(small(places), ["_key", "_tie", "_pos"])
+        whole = materialize(found.select("first", line_keys(F.col("_line")).alias("_keys")), "line-keys")
         late = whole.join(small(pairs, n), F.col("first") == F.col("late")).select("early", "late", F.col("_keys").alias("x"))
         early = whole.join(small(pairs.select(F.col("early").alias("first")).distinct(), n), "first").select(F.col("first").alias("early"), F.col("_keys").alias("y"))
         sides = late.join(early, "early")
@@ -215,38 +238,33 @@ def _repeated(rows: DataFrame, percent: int) -> DataFrame:
         return sound.select(F.col("late").alias("first")).distinct()
 
     def after_leaders() -> DataFrame:
-        """Lines that are similar to one of two leaders of their signatures, a row per line and leader.
+        """Lines that are similar to the likeliest of the leaders of their signatures, by the sketches.
 
         In a family of copies that is most of the lines that have an earlier match, however many lines it has.
         """
-        crowded = posted.select("sig", "s1", "first", "n").join(small(crowds.where(F.col("c") >= LED)), "sig")
-        crowded = materialize(crowded.drop("sig", "c"), "line-crowded")
-        gone = None
-        for turn in range(len(_TURNS)):
-            led = crowded if gone is None else crowded.join(small(gone), "first", "left_anti")
-            pair = F.array(f"l{2 * turn}", f"l{2 * turn + 1}")
-            led = led.select("s1", "first", "n", F.explode(pair).alias("lead")).where("lead <> s1").distinct()
-            heads = sets.select(F.col("s1").alias("lead"), F.col("first").alias("head"), F.col("n").alias("m"))
-            led = led.join(heads, "lead").where(_near(F.col("n"), F.col("m"), percent))
-            led = led.select(F.greatest("first", "head").alias("late"), F.least("first", "head").alias("early")).distinct()
-            found = settled(spark, "line-gone", lambda: similar(led))
-            gone = found if gone is None else gone.unionByName(found)
-        return gone.distinct()
+        crowds = materialize(posted.groupBy("sig").agg(F.count("*").alias("c")).where(F.col("c") >= LED).select("sig"), "line-crowds")
+        crowded = materialize(posted.join(small(crowds), "sig"), "line-crowded")
+        leaders = crowded.groupBy("sig").agg(*_leaders()).select("sig", F.array_distinct(F.array(*[f"l{i}" for i in range(2 * len(_TURNS))])).alias("leads"))
+        leaders = materialize(leaders, "line-leaders")
+        heads = leaders.select(F.explode("leads").alias("s1")).distinct().join(sets, "s1").select(F.col("s1").alias("lead"), *[F.col(c).alias(f"_{c}") for c in ("first", "n", "p0", "p1")])
+        heads = materialize(heads, "line-heads")
+        led = crowded.join(small(leaders), "sig").select("s1", "first", "n", "p0", "p1", F.explode("leads").alias("lead")).where("lead <> s1").distinct()
+        led = led.join(small(heads), "lead").where(_near("", "_", percent) & (F.col("_first") < F.col("first")))
+        apart = F.bit_count(F.col("p0").bitwiseXOR(F.col("_p0"))) + F.bit_count(F.col("p1").bitwiseXOR(F.col("_p1")))
+        best = led.groupBy(F.col("first").alias("late")).agg(F.min(F.struct(apart.alias("apart"), F.col("_first").alias("early"))).alias("_best"))
+        return similar(best.select("late", "_best.early"))
 
     gone = settled(spark, "line-gone", after_leaders)
 
     # Then those still without a match, with every earlier line of their signatures.
     a, b = posted.join(small(gone), "first", "left_anti").alias("a"), posted.alias("b")
-    near = _near(F.col("a.n"), F.col("b.n"), percent)
-    met = a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("b.first") < F.col("a.first")) & near)
-    met = met.select(F.col("a.first").alias("late"), F.col("b.first").alias("early"), F.col("a.n").alias("n"), F.col("b.n").alias("m"))
-    met = met.groupBy("late", "early", "n", "m").agg(F.count("*").alias("met"))
-    met = met.where(F.col("met") >= _least_met(F.col("n"), F.col("m"), percent)).select("late", "early")
+    met = a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("b.first") < F.col("a.first")) & _near("a.", "b.", percent))
+    met = met.select(F.col("a.first").alias("late"), F.col("b.first").alias("early")).distinct()
     more = settled(spark, "line-gone", lambda: similar(met))
-    gone = gone.unionByName(more).distinct().withColumn("_gone", F.lit(True))
-    firsts = sets.select("s1", "s2", "first").join(small(gone), "first", "left")
-    later = (F.col("first") < F.struct("_key", "_tie", "_pos")) | F.coalesce("_gone", F.lit(False))
-    return lines.join(firsts, ["s1", "s2"]).where(later).select("_key", "_tie", "_pos")
+    # The first line of a set goes for a similar one, the others for the first.
+    again = lines.join(small(sets.where("lines > 1").select("s1", "s2", "first")), ["s1", "s2"])
+    again = again.where(F.col("first") < F.struct("_key", "_tie", "_pos")).select("_key", "_tie", "_pos")
+    return gone.unionByName(more).select("first._key", "first._tie", "first._pos").unionByName(again)
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -272,7 +290,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     left = F.filter(lines, lambda line, i: ~F.array_contains("_gone", i))
     kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(left, "\n"))
     n_removed = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))
-    made = joined.withColumn("n_lines", F.when(F.col("_text").isNull(), 0).otherwise(F.size(lines)).cast("long"))
+    breaks = F.octet_length("_text") - F.octet_length(F.replace(F.col("_text"), F.lit("\n"), F.lit("")))
+    made = joined.withColumn("n_lines", F.coalesce(breaks + 1, F.lit(0)).cast("long"))
     made = made.withColumn("n_removed", n_removed.cast("long")).withColumn("_kept", kept)
     made = made.withColumn("all_removed", (F.col("n_removed") > 0) & (F.length(F.trim(F.translate("_kept", "\n\t\r\x0b\x0c", "     "))) == 0))
     return made.select(*[F.col("_kept" if c == text else a).alias(c) for c, a in own.items()], *added)

@@ -150,6 +150,26 @@ def test_similar_lines_share_signatures(spark, percent):
     assert percent < 85 or sum(map(len, apart)) - len(set().union(*apart)) < 0.05 * sum(map(len, apart))
 
 
+def test_line_dedup_verifies_next_to_similar_lines_only(spark, monkeypatch):
+    """Lines that meet by chance, for they are of few common words, are told apart by their sketches before their words are compared."""
+    r = random.Random(7)
+    words = [f"v{i}" for i in range(60)]
+    lines = [r.sample(words, r.randint(17, 30)) for _ in range(3000)]
+    lines += [line[1:] for line in lines[:25]]
+    docs = spark.createDataFrame([(i, "\n".join(map(" ".join, lines[i : i + 10]))) for i in range(0, len(lines), 10)], "doc_id long, text string")
+    verified, write = [], line_dedup.materialize
+
+    def counted(df, label):
+        made = write(df, label)
+        if label == "line-pairs":
+            verified.append(made.count())
+        return made
+
+    monkeypatch.setattr(line_dedup, "materialize", counted)
+    gone = line_dedup.repeated_lines(docs, "doc_id", "text").collect()
+    assert len(gone) >= 25 and sum(verified) < 2 * len(gone)
+
+
 def test_line_dedup_odd_rows(spark, odd):
     rows = line_dedup.dedup_lines(odd.withColumn("n_lines", F.lit("old"))).collect()
     assert len(rows) == odd.count()
