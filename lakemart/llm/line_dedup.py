@@ -183,6 +183,17 @@ def repeated_lines(docs: DataFrame, key: str, text: str, percent: int = PERCENT)
     return _repeated(told_apart(docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")))[0], percent)
 
 
+def _signed_sets(texts: DataFrame, percent: int, sets_path: str, lines_path: str) -> tuple[DataFrame, DataFrame]:
+    """Written: every set once with its first line and signatures; every line with words and the two numbers of its set."""
+    keyed = _lines(texts).select("_key", "_tie", "_pos", line_keys(F.col("_line")).alias("_keys"))
+    keyed = keyed.select("*", F.size("_keys").alias("n"), F.xxhash64("_keys").alias("s1"), F.xxhash64(F.lit(1), "_keys").alias("s2"))
+    whole = materialize(with_signatures(_sketched(keyed), percent), "line-signed")
+    first = F.min(F.struct("_key", "_tie", "_pos")).alias("first")
+    same = [F.first(c).alias(c) for c in ("n", "p0", "p1", "signatures")]
+    signed = write_scratch(whole.groupBy("s1", "s2").agg(first, F.count("*").alias("lines"), *same), sets_path)
+    return signed, write_scratch(whole.select("_key", "_tie", "_pos", "s1", "s2"), lines_path)
+
+
 def _line_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Written: every line with words and the two numbers of its set; every set once, with its first line; the postings.
 
@@ -192,16 +203,10 @@ def _line_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, Da
     """
     spark = texts.sparkSession
     lines_path, sets_path, posted_path = (scratch_path(spark, f"line-{x}") for x in ("sets", "distinct", "postings"))
-    numbers, first = ["s1", "s2"], F.min(F.struct("_key", "_tie", "_pos")).alias("first")
     with scratch_scope(spark):
-        keyed = _lines(texts).select("_key", "_tie", "_pos", line_keys(F.col("_line")).alias("_keys"))
-        keyed = keyed.select("*", F.size("_keys").alias("n"), F.xxhash64("_keys").alias("s1"), F.xxhash64(F.lit(1), "_keys").alias("s2"))
-        whole = materialize(with_signatures(_sketched(keyed), percent), "line-signed")
-        same = [F.first(c).alias(c) for c in ("n", "p0", "p1", "signatures")]
-        signed = materialize(whole.groupBy(*numbers).agg(first, F.count("*").alias("lines"), *same), "line-wide")
-        lines = write_scratch(whole.select("_key", "_tie", "_pos", *numbers), lines_path)
-        sets = write_scratch(signed.drop("signatures"), sets_path)
-
+        wide_path = scratch_path(spark, "line-wide")
+        with scratch_scope(spark):
+            signed, lines = _signed_sets(texts, percent, wide_path, lines_path)
         each = signed.select("s1", F.explode("signatures").alias("sig"))
         shared = materialize(each.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1"), "line-shared")
         met = each.join(small(shared).hint("shuffle_hash"), "sig")
@@ -209,10 +214,11 @@ def _line_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, Da
         odd = F.col("sig").bitwiseAND(F.lit(1).cast("long")).cast("int")
         own = _class(F.col("n"), classes)
         number = F.when(F.pmod(own, F.lit(2)) == odd, own).otherwise(own + 1)
-        told = sets.drop("lines").join(met, "s1").withColumn("_spare", _of_class(number, classes, 2)).withColumn("_odd", odd)
-        order = Window.partitionBy(*numbers, "_odd").orderBy(F.desc("c"), F.desc("sig"))
+        told = signed.drop("lines", "signatures").join(met, "s1").withColumn("_spare", _of_class(number, classes, 2)).withColumn("_odd", odd)
+        order = Window.partitionBy("s1", "s2", "_odd").orderBy(F.desc("c"), F.desc("sig"))
         left = told.withColumn("_at", F.row_number().over(order)).where("_at >= _spare")
         posted = write_scratch(left.select("sig", "s1", "first", "n", "p0", "p1"), posted_path)
+        sets = write_scratch(signed.drop("signatures"), sets_path)
     return lines, sets, posted
 
 
